@@ -248,3 +248,105 @@ ORACLE["accepted_spans"] = (
     "SELECT id, type, \"start\", \"end\" FROM sr WHERE aligned AND (pidx = first_ok OR NOT ("
     "\"start\" >= ls AND \"start\" < le AND \"end\" - 1 >= ls AND \"end\" - 1 < le))"
 )
+
+
+# -- datasets -----------------------------------------------------------------
+CTE_EXT = (
+    f"ext0 AS (SELECT doc_id, {tokenize(norm('text'))} AS t0 FROM documents), "
+    "ext1 AS (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN list_append(t0, '2020') ELSE t0 END AS t1 FROM ext0), "
+    "ext2 AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN list_append(t1, 'd''Or') ELSE t1 END AS tokens "
+    "FROM ext1), "
+    "ext AS (SELECT doc_id, tokens, "
+    "list_transform(tokens, lambda t, i: CAST((i - 1 + length(t)) % 7 AS BIGINT)) AS ner_tags, "
+    "CASE WHEN doc_id % 25 < 16 THEN 'train' WHEN doc_id % 25 < 20 THEN 'validation' ELSE 'test' END AS subset "
+    "FROM ext2)"
+)
+NO_DIGIT = r"len(list_filter(tokens, lambda t: regexp_matches(t, '\p{Nd}'))) = 0"
+NO_APOS = "len(list_filter(tokens, lambda t: contains(t, chr(39)))) = 0"
+CTE_CONCAT = (
+    CTE_ANN + ", " + CTE_EXT + ", "
+    "mc0 AS (SELECT id, tokens, CAST(fixed_tags AS BIGINT[]) AS ner_tags FROM ann), "
+    "mc AS (SELECT min(id) AS id, tokens, ner_tags FROM mc0 GROUP BY tokens, ner_tags), "
+    "cat0 AS (SELECT 'sentences' AS source, id AS key, tokens, ner_tags, "
+    "CASE WHEN id % 25 < 16 THEN 'train' WHEN id % 25 < 20 THEN 'validation' ELSE 'test' END AS subset FROM mc "
+    f"UNION ALL SELECT 'documents', doc_id, tokens, ner_tags, subset FROM ext WHERE {NO_DIGIT}), "
+    f"cat AS (SELECT * FROM cat0 WHERE subset <> 'test' OR {NO_APOS})"
+)
+ORACLE["filter_numeric"] = (
+    f"WITH {CTE_EXT} SELECT doc_id, subset, CAST(len(tokens) AS BIGINT) AS n_tokens FROM ext WHERE {NO_DIGIT}"
+)
+ORACLE["filter_apostrophe"] = (
+    f"WITH {CTE_EXT} SELECT doc_id, CAST(len(tokens) AS BIGINT) AS n_tokens FROM ext "
+    f"WHERE subset = 'test' AND {NO_APOS}"
+)
+ORACLE["dedup"] = (
+    f"WITH {CTE_EXT} SELECT min(doc_id) AS doc_id, CAST(len(tokens) AS BIGINT) AS n_tokens, count(*) AS copies "
+    "FROM ext GROUP BY tokens, ner_tags"
+)
+ORACLE["concat_splits"] = (
+    f"WITH {CTE_CONCAT} SELECT source, key, subset, CAST(len(tokens) AS BIGINT) AS n_tokens FROM cat"
+)
+ORACLE["split_sizes"] = (
+    f"WITH {CTE_CONCAT} SELECT subset AS Subset, count(*) AS Num_of_Rows, "
+    "CAST(sum(len(ner_tags)) AS BIGINT) AS Num_of_Tokens, "
+    "round(count(*) / sum(count(*)) OVER (), 6) AS Split FROM cat GROUP BY subset"
+)
+ORACLE["distribution"] = (
+    f"WITH {CTE_CONCAT} SELECT subset AS Subset, count(*) AS Num_of_Rows, "
+    "CAST(sum(len(ner_tags)) AS BIGINT) AS Num_of_Tokens, "
+    "round(count(*) / sum(count(*)) OVER (), 6) AS Split, "
+    + ", ".join(f'CAST(sum(len(list_filter(ner_tags, lambda t: t = {i}))) AS BIGINT) AS "{n}"'
+                for i, n in enumerate(K.LABELS))
+    + " FROM cat GROUP BY subset"
+)
+
+# -- review and corrections ---------------------------------------------------
+CTE_REVIEW = (
+    CTE_ANN + ", "
+    "rv0 AS (SELECT row_number() OVER (ORDER BY id) AS row, id, tokens, fixed_tags FROM ann), "
+    "rv AS (SELECT row, id, unnest(tokens) AS word, unnest(fixed_tags) AS tag, "
+    "CAST(generate_subscripts(tokens, 1) - 1 AS INTEGER) AS token_index FROM rv0)"
+)
+
+
+def _block(label: str, new: str) -> str:
+    return ("'Row: ' || row || chr(10) || 'ID: ' || id || chr(10) || 'Token Index: ' || token_index || chr(10) "
+            f"|| 'Word: ' || word || chr(10) || 'NER Tag: ' || {label} || ' -- ' || {new}")
+
+
+_H = "((id * 3 + token_index) % 17)"
+CTE_FILLED = (
+    CTE_REVIEW + ", "
+    "fb AS (SELECT " + _block(f"{LABELS_LIST}[tag + 1]",
+                             f"(CASE WHEN {_H} = 1 THEN '' WHEN {_H} = 0 THEN {LABELS_LIST}[(tag + 1) % 14 + 1] "
+                             f"ELSE {LABELS_LIST}[tag + 1] END)")
+    + " AS block, 1 AS pass, row * 1000 + token_index AS seq FROM rv "
+    "UNION ALL SELECT " + _block(f"{LABELS_LIST}[(tag + 1) % 14 + 1]", f"{LABELS_LIST}[(tag + 2) % 14 + 1]")
+    + " AS block, 2 AS pass, 1000000000000000 + row * 1000 + token_index AS seq FROM rv "
+    f"WHERE {_H} = 0 AND id % 2 = 0), "
+    "pb0 AS (SELECT pass, seq, string_split(trim(block), chr(10)) AS lines FROM fb WHERE trim(block) <> ''), "
+    "pb1 AS (SELECT pass, seq, "
+    r"TRY_CAST(string_split_regex(trim(lines[2]), '\s+')[-1] AS BIGINT) AS id, "
+    r"TRY_CAST(string_split_regex(trim(lines[3]), '\s+')[-1] AS INTEGER) AS token_index, "
+    "trim(string_split(lines[-1], '--')[-1]) AS new_label FROM pb0), "
+    f"pb AS (SELECT *, CAST(list_position({LABELS_LIST}, new_label) - 1 AS INTEGER) AS new_tag FROM pb1), "
+    "pc AS (SELECT id, token_index, new_tag, new_label, pass, seq, "
+    "CASE WHEN new_label = '' THEN 'unfilled' WHEN id IS NULL OR token_index IS NULL OR new_tag IS NULL "
+    "THEN 'bad' ELSE 'ok' END AS status FROM pb)"
+)
+ORACLE["review_blocks"] = (
+    f"WITH {CTE_REVIEW} SELECT id, token_index, " + _block(f"{LABELS_LIST}[tag + 1]", "''") + " AS block FROM rv"
+)
+ORACLE["parse_corrections"] = (
+    f"WITH {CTE_FILLED} SELECT id, token_index, new_tag, new_label, status, pass FROM pc"
+)
+ORACLE["apply_corrections"] = (
+    f"WITH {CTE_FILLED}, "
+    "lw AS (SELECT id, token_index, arg_max(new_tag, seq) AS new_tag FROM pc WHERE status = 'ok' "
+    "GROUP BY id, token_index), "
+    "tk AS (SELECT id, unnest(fixed_tags) AS tag, CAST(generate_subscripts(fixed_tags, 1) - 1 AS INTEGER) AS k "
+    "FROM ann) "
+    "SELECT tk.id, string_agg(CAST(tag AS VARCHAR), ',' ORDER BY k) AS fixed_tags, "
+    "string_agg(CAST(coalesce(lw.new_tag, tag) AS VARCHAR), ',' ORDER BY k) AS corrected_tags "
+    "FROM tk LEFT JOIN lw ON tk.id = lw.id AND tk.k = lw.token_index GROUP BY tk.id"
+)

@@ -14,7 +14,10 @@ from tagtable.constants import LABELS
 from tagtable.functions.labels import align_labels, argmax, label_id, label_name, label_names
 from tagtable.functions.normalize import normalize
 from tagtable.functions.tokens import tokenize
+from tagtable.operators import corrections as C
+from tagtable.operators import datasets as D
 from tagtable.operators import metrics as M
+from tagtable.operators.positions import positions
 from tagtable.operators.pieces import piece_word_ids, words_from_pieces
 from tagtable.operators.spans import entity_spans, piece_boundaries, spans_from_pieces
 from tagtable.sources import fixtures as fx
@@ -135,6 +138,98 @@ def accepted_spans_query(spark, sf):
     return p.select("id", F.inline_outer(spans_from_pieces("pieces"))).filter(F.col("type").isNotNull())
 
 
+# -- step 4: datasets ---------------------------------------------------------
+def modelling_corpus(spark, sf):
+    """Annotated sentences as a modelling corpus: copies dropped (the
+    smallest id survives), subset from the surviving id."""
+    a = fx.annotated_sentences(spark, sf).select(
+        "id", "tokens", F.col("fixed_tags").cast("array<bigint>").alias("ner_tags"))
+    d = D.dedup(a, ["tokens", "ner_tags"], keep="id")
+    return d.select(F.lit("sentences").alias("source"), F.col("id").alias("key"), "tokens", "ner_tags",
+                    fx.subset_of("id").alias("subset"))
+
+
+def external(spark, sf):
+    e = fx.external_corpus(spark, sf)
+    return e.select(F.lit("documents").alias("source"), F.col("doc_id").alias("key"), "tokens", "ner_tags",
+                    "subset")
+
+
+def filter_numeric_query(spark, sf):
+    e = D.filter_numeric(fx.external_corpus(spark, sf))
+    return e.select("doc_id", "subset", F.size("tokens").cast("bigint").alias("n_tokens"))
+
+
+def filter_apostrophe_query(spark, sf):
+    e = fx.external_corpus(spark, sf).filter(F.col("subset") == "test")
+    return D.filter_apostrophe(e).select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"))
+
+
+def dedup_query(spark, sf):
+    d = D.dedup(fx.external_corpus(spark, sf), ["tokens", "ner_tags"], keep="doc_id", count_col="copies")
+    return d.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), "copies")
+
+
+def _concat(spark, sf):
+    return D.concat_splits(modelling_corpus(spark, sf), external(spark, sf))
+
+
+def concat_splits_query(spark, sf):
+    c = _concat(spark, sf)
+    return c.select("source", "key", "subset", F.size("tokens").cast("bigint").alias("n_tokens"))
+
+
+def split_sizes_query(spark, sf):
+    return D.split_sizes(_concat(spark, sf))
+
+
+def distribution_query(spark, sf):
+    return D.distribution(_concat(spark, sf))
+
+
+# -- step 5: review and corrections -------------------------------------------
+def _review(spark, sf):
+    a = fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags")
+    return positions(a, "id", out="row")
+
+
+def review_blocks_query(spark, sf):
+    return C.review_blocks(_review(spark, sf), "row")
+
+
+def filled_blocks(spark, sf):
+    """A reviewer's answers for every token: most keep the label, every
+    17th changes it, some are left empty (rejects), and a second pass
+    changes half of the changed ones again (the last one must win)."""
+    r = C.review_rows(_review(spark, sf), "row")
+    h = F.pmod(F.col("id") * 3 + F.col("token_index"), F.lit(17))
+    new1 = (F.when(h == 1, F.lit("")).when(h == 0, label_name(F.pmod(F.col("tag") + 1, F.lit(14))))
+            .otherwise(label_name(F.col("tag"))))
+    seq = F.col("row") * 1000 + F.col("token_index")
+    first = r.select(C.block_text(F.col("row"), F.col("id"), F.col("token_index"), F.col("word"),
+                                  label_name(F.col("tag")), new1).alias("block"),
+                     F.lit(1).alias("pass"), seq.alias("seq"))
+    second = r.filter((h == 0) & (F.pmod(F.col("id"), F.lit(2)) == 0)).select(
+        C.block_text(F.col("row"), F.col("id"), F.col("token_index"), F.col("word"),
+                     label_name(F.pmod(F.col("tag") + 1, F.lit(14))),
+                     label_name(F.pmod(F.col("tag") + 2, F.lit(14)))).alias("block"),
+        F.lit(2).alias("pass"), (F.lit(10**15) + seq).alias("seq"))
+    return first.unionByName(second)
+
+
+def parse_corrections_query(spark, sf):
+    p = C.parse_corrections(filled_blocks(spark, sf))
+    return p.select("id", "token_index", "new_tag", "new_label", "status", "pass")
+
+
+def apply_corrections_query(spark, sf):
+    a = fx.annotated_sentences(spark, sf).select("id", "fixed_tags")
+    corr = C.parse_corrections(filled_blocks(spark, sf))
+    out = C.apply_corrections(a, corr, out="corrected_tags")
+    return out.select("id", _ints(F.col("fixed_tags")).alias("fixed_tags"),
+                      _ints(F.col("corrected_tags")).alias("corrected_tags"))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_sentences": normalize_sentences,
     "normalize_documents": normalize_documents,
@@ -152,4 +247,13 @@ QUERIES: dict[str, Query] = {
     "entity_metrics": entity_metrics_query,
     "entity_spans": entity_spans_query,
     "accepted_spans": accepted_spans_query,
+    "filter_numeric": filter_numeric_query,
+    "filter_apostrophe": filter_apostrophe_query,
+    "dedup": dedup_query,
+    "concat_splits": concat_splits_query,
+    "split_sizes": split_sizes_query,
+    "distribution": distribution_query,
+    "review_blocks": review_blocks_query,
+    "parse_corrections": parse_corrections_query,
+    "apply_corrections": apply_corrections_query,
 }
