@@ -350,3 +350,113 @@ ORACLE["apply_corrections"] = (
     "string_agg(CAST(coalesce(lw.new_tag, tag) AS VARCHAR), ',' ORDER BY k) AS corrected_tags "
     "FROM tk LEFT JOIN lw ON tk.id = lw.id AND tk.k = lw.token_index GROUP BY tk.id"
 )
+
+# -- training runs --------------------------------------------------------------
+CTE_REC = (
+    "rec0 AS (SELECT user_id AS run_id, event_id, "
+    "CASE WHEN event_type IN ('view', 'click') THEN value END AS loss, "
+    "CASE WHEN event_type IN ('signup', 'purchase') THEN value END AS eval_loss, "
+    "CASE WHEN event_type IN ('signup', 'purchase') THEN value / (abs(value) + 1) END AS eval_f1 FROM events), "
+    "rec AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS position FROM rec0 "
+    "WHERE loss IS NOT NULL OR eval_loss IS NOT NULL), "
+    "rec2 AS (SELECT *, position AS step, CAST(floor((position + 1) / 2) AS INTEGER) AS epoch, "
+    "(position - 1) // 2 AS pair FROM rec), "
+    "hp AS (SELECT run_id, arg_max(epoch, position) AS epoch, arg_max(step, position) AS step, "
+    "arg_max(loss, position) FILTER (WHERE loss IS NOT NULL) AS loss, "
+    "arg_max(eval_loss, position) FILTER (WHERE eval_loss IS NOT NULL) AS eval_loss, "
+    "arg_max(eval_f1, position) FILTER (WHERE eval_f1 IS NOT NULL) AS eval_f1 "
+    "FROM rec2 GROUP BY run_id, pair HAVING count(*) = 2)"
+)
+ORACLE["history_pairs"] = (
+    f"WITH {CTE_REC} SELECT run_id, epoch, step, round(loss, 6) AS loss, round(eval_loss, 6) AS eval_loss, "
+    "round(eval_f1, 6) AS eval_f1 FROM hp"
+)
+ORACLE["best_epoch"] = (
+    f"WITH {CTE_REC}, "
+    "b AS (SELECT run_id, epoch, eval_f1, row_number() OVER (PARTITION BY run_id ORDER BY eval_f1 DESC, epoch) AS r, "
+    "max(eval_f1) OVER (PARTITION BY run_id) AS best FROM hp WHERE eval_f1 IS NOT NULL) "
+    "SELECT run_id, epoch AS best_epoch, round(best, 6) AS best_eval_f1 FROM b WHERE r = 1"
+)
+ORACLE["early_stop"] = (
+    f"WITH {CTE_REC}, "
+    "ev AS (SELECT run_id, step, epoch, eval_f1, row_number() OVER (PARTITION BY run_id ORDER BY step) AS eval_idx, "
+    "max(eval_f1) OVER (PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+    "AS prev_best FROM hp WHERE eval_f1 IS NOT NULL), "
+    "ev2 AS (SELECT *, (prev_best IS NULL OR eval_f1 > prev_best) AS improved FROM ev), "
+    "ev3 AS (SELECT *, max(CASE WHEN improved THEN eval_idx END) OVER (PARTITION BY run_id ORDER BY step "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_improved FROM ev2) "
+    "SELECT run_id, min(CASE WHEN eval_idx - last_improved >= 3 THEN epoch END) AS stop_epoch, "
+    "count(*) AS n_evals FROM ev3 GROUP BY run_id"
+)
+
+CTE_RUNS = (
+    "rc AS (SELECT user_id, count(*) AS n, "
+    + ", ".join(f"sum(CASE WHEN event_type = '{k}' THEN 1 ELSE 0 END) AS n{a}"
+                for k, a in (("view", "v"), ("click", "c"), ("signup", "s"), ("purchase", "p"), ("error", "e")))
+    + " FROM events GROUP BY user_id), "
+    "rt AS (SELECT user_id AS run_id, "
+    "'SlovakBERT_NER_Model_V' || CASE WHEN user_id % 10 = 0 THEN '_POC' ELSE '0.0.' || CAST(user_id % 6 + 1 AS VARCHAR) END "
+    "|| '.' || CAST(CASE WHEN user_id % 10 = 0 THEN user_id // 10 + 1 ELSE user_id // 6 + 1 END AS VARCHAR) AS Name, "
+    "5e-05 * (user_id % 3 + 1) AS learning_rate, user_id % 6 + 10 AS num_train_epochs, "
+    'round(nc / n, 6) AS "eval/precision", round(nv / n, 6) AS "eval/recall", '
+    'round((nc + nv) / (n * 2), 6) AS "eval/f1", round(1 - ne / n, 6) AS "eval/accuracy", '
+    'round(ns / n, 6) AS "test/precision", round(np / n, 6) AS "test/recall", '
+    'round((ns + np) / (n * 2), 6) AS "test/f1", round((n - ne) / n, 6) AS "test/accuracy", '
+    'round(nv / (n + 1), 6) AS "test/macro_precision", round(nc / (n + 1), 6) AS "test/macro_recall", '
+    'round((nv + nc + ns) / (n * 3), 6) AS "test/macro_f1" FROM rc)'
+)
+PARENT = (f"coalesce(nullif(regexp_extract(Name, {lit(K.PARENT_VERSION_PATTERN)}, 1), ''), "
+          f"{lit(K.DEFAULT_PARENT_VERSION)})")
+NATKEY = ("array_to_string(list_transform(regexp_extract_all(Name, '([0-9]+|[^0-9]+)', 1), "
+          "lambda x: CASE WHEN regexp_matches(x, '^[0-9]+$') THEN lpad(x, 12, '0') ELSE x END), '')")
+ORACLE["parent_version"] = f"WITH {CTE_RUNS} SELECT Name, {PARENT} AS parent_version FROM rt"
+ORACLE["natural_sort"] = f"WITH {CTE_RUNS} SELECT Name, {NATKEY} AS natural_key FROM rt"
+ORACLE["top_runs"] = (
+    f"WITH {CTE_RUNS}, "
+    f'tr AS (SELECT Name, "test/macro_f1", {PARENT} AS parent_version, {NATKEY} AS nk FROM rt), '
+    'tr2 AS (SELECT *, row_number() OVER (PARTITION BY parent_version ORDER BY "test/macro_f1", nk) AS rank FROM tr) '
+    'SELECT Name, "test/macro_f1", parent_version, rank FROM tr2 WHERE rank <= 10'
+)
+ORACLE["next_version"] = (
+    f"WITH {CTE_RUNS} SELECT array_to_string(list_slice(string_split(Name, '.'), 1, len(string_split(Name, '.')) - 1), '.') "
+    "AS family, CAST(coalesce(max(TRY_CAST(string_split(Name, '.')[-1] AS INTEGER)), 0) + 1 AS INTEGER) AS next_version "
+    "FROM rt GROUP BY family"
+)
+ORACLE["model_dataset_match"] = (
+    f"WITH {CTE_RUNS}, "
+    "files AS (SELECT * FROM (SELECT CASE run_id % 4 WHEN 0 THEN 'test_dataset_' || Name || '.csv' "
+    "WHEN 1 THEN 'test_dataset_' || substring(Name, 1, length(Name) - 2) || '_old.csv' "
+    "WHEN 3 THEN 'test_' || Name || '_v2.csv' END AS file FROM rt) WHERE file IS NOT NULL), "
+    "ex AS (SELECT r.Name, max(f.file) AS exact_file FROM rt r JOIN files f ON contains(f.file, r.Name) GROUP BY r.Name), "
+    "tm AS (SELECT r.Name, max(f.file) AS trimmed_file FROM rt r "
+    "JOIN files f ON contains(f.file, substring(r.Name, 1, length(r.Name) - 2)) GROUP BY r.Name) "
+    "SELECT rt.Name, coalesce(exact_file, trimmed_file) AS file, "
+    "CASE WHEN exact_file IS NOT NULL THEN 'exact' WHEN trimmed_file IS NOT NULL THEN 'trimmed' END AS matched_by, "
+    "CAST(coalesce(CASE regexp_extract(rt.Name, 'V(_POC|[0-9]+\\.[0-9]+\\.[0-9]+)', 1) "
+    + " ".join(f"WHEN {lit(k)} THEN {v}" for k, v in K.VERSION_TEST_ROWS)
+    + f" END, {K.VERSION_TEST_ROWS_DEFAULT}) AS INTEGER) AS test_rows "
+    "FROM rt LEFT JOIN ex ON rt.Name = ex.Name LEFT JOIN tm ON rt.Name = tm.Name"
+)
+ORACLE["param_grid"] = (
+    "WITH v AS (SELECT DISTINCT CAST(CAST(floor(value) AS BIGINT) % 3 AS DOUBLE) / 10 AS v FROM events) "
+    "SELECT a.v AS hidden_dropout_prob, b.v AS attention_probs_dropout_prob, c.v AS classifier_dropout "
+    "FROM v a, v b, v c"
+)
+_CONFIG = (("learning_rate", "5e-05", "CASE WHEN run_id % 3 = 0 THEN learning_rate END"),
+           ("num_train_epochs", "15.0", "CASE WHEN run_id % 5 = 0 THEN CAST(num_train_epochs AS DOUBLE) END"),
+           ("per_device_train_batch_size", "4.0", "CAST(NULL AS DOUBLE)"),
+           ("weight_decay", "0.0", "CASE WHEN run_id % 2 = 1 THEN CAST(0.01 AS DOUBLE) END"),
+           ("warmup_steps", "0.0", "CAST(NULL AS DOUBLE)"),
+           ("seed", "42.0", "CAST(NULL AS DOUBLE)"))
+ORACLE["config_overlay"] = (
+    f"WITH {CTE_RUNS}, ov AS (SELECT run_id, " + ", ".join(f"{e} AS {k}" for k, _, e in _CONFIG) + " FROM rt) "
+    + " UNION ALL ".join(
+        f"SELECT run_id, '{k}' AS param, coalesce({k}, CAST({d} AS DOUBLE)) AS value, {k} IS NOT NULL AS overridden "
+        "FROM ov" for k, d, _ in _CONFIG)
+)
+ORACLE["metrics_long"] = (
+    f"WITH {CTE_RUNS} "
+    + " UNION ALL ".join(
+        f"SELECT Name, '{cat}' AS category, '{m}' AS metric, CAST(\"{m}\" AS DOUBLE) AS value FROM rt"
+        for cat, cols in K.EVALUATION_COLUMNS for m in cols)
+)

@@ -17,6 +17,7 @@ from tagtable.functions.tokens import tokenize
 from tagtable.operators import corrections as C
 from tagtable.operators import datasets as D
 from tagtable.operators import metrics as M
+from tagtable.operators import runs as R
 from tagtable.operators.positions import positions
 from tagtable.operators.pieces import piece_word_ids, words_from_pieces
 from tagtable.operators.spans import entity_spans, piece_boundaries, spans_from_pieces
@@ -230,6 +231,89 @@ def apply_corrections_query(spark, sf):
                       _ints(F.col("corrected_tags")).alias("corrected_tags"))
 
 
+# -- step 7: runs --------------------------------------------------------------
+def _records(spark, sf):
+    kept = R.keep_step_records(fx.history_records(spark, sf))
+    pos = positions(kept, "event_id", by=["run_id"])
+    return pos.withColumn("step", F.col("position")).withColumn(
+        "epoch", F.floor((F.col("position") + 1) / 2).cast("int"))
+
+
+def _pairs(spark, sf):
+    return R.history_pairs(_records(spark, sf))
+
+
+def history_pairs_query(spark, sf):
+    p = _pairs(spark, sf)
+    return p.select("run_id", "epoch", "step", F.round("loss", 6).alias("loss"),
+                    F.round("eval_loss", 6).alias("eval_loss"), F.round("eval_f1", 6).alias("eval_f1"))
+
+
+def best_epoch_query(spark, sf):
+    b = R.best_epoch(_pairs(spark, sf))
+    return b.select("run_id", "best_epoch", F.round("best_eval_f1", 6).alias("best_eval_f1"))
+
+
+def early_stop_query(spark, sf):
+    return R.early_stop(_pairs(spark, sf), patience=3)
+
+
+def parent_version_query(spark, sf):
+    r = fx.run_table(spark, sf)
+    return r.select("Name", R.parent_version("Name").alias("parent_version"))
+
+
+def top_runs_query(spark, sf):
+    r = fx.run_table(spark, sf).select("Name", "`test/macro_f1`", R.parent_version("Name").alias("parent_version"))
+    return R.top_k_per_group(r, "parent_version", [F.col("`test/macro_f1`").asc(), R.natural_key("Name").asc()], 10)
+
+
+def natural_sort_query(spark, sf):
+    return fx.run_table(spark, sf).select("Name", R.natural_key("Name").alias("natural_key"))
+
+
+def next_version_query(spark, sf):
+    return R.next_version(fx.run_table(spark, sf))
+
+
+def model_dataset_match_query(spark, sf):
+    runs = fx.run_table(spark, sf)
+    m = R.match_models_to_files(runs.select("Name"), fx.test_files(runs))
+    version = F.regexp_extract("Name", r"V(_POC|[0-9]+\.[0-9]+\.[0-9]+)", 1)
+    return m.select("Name", "file", "matched_by", R.version_test_rows(version).alias("test_rows"))
+
+
+def param_grid_query(spark, sf):
+    ev = read_table(spark, sf, "events", ["value"])
+    vals = ev.select((F.pmod(F.floor("value"), F.lit(3)) / 10.0).alias("v"))
+    return R.param_grid_from_values(vals, "v", ["hidden_dropout_prob", "attention_probs_dropout_prob",
+                                                 "classifier_dropout"])
+
+
+CONFIG_DEFAULTS = {"learning_rate": 5e-05, "num_train_epochs": 15.0, "per_device_train_batch_size": 4.0,
+                   "weight_decay": 0.0, "warmup_steps": 0.0, "seed": 42.0}
+
+
+def config_overlay_query(spark, sf):
+    runs = fx.run_table(spark, sf)
+    u = F.col("run_id")
+    ov = runs.select(
+        "run_id",
+        F.when(F.pmod(u, F.lit(3)) == 0, F.col("learning_rate")).alias("learning_rate"),
+        F.when(F.pmod(u, F.lit(5)) == 0, F.col("num_train_epochs").cast("double")).alias("num_train_epochs"),
+        F.lit(None).cast("double").alias("per_device_train_batch_size"),
+        F.when(F.pmod(u, F.lit(2)) == 1, F.lit(0.01)).alias("weight_decay"),
+        F.lit(None).cast("double").alias("warmup_steps"),
+        F.lit(None).cast("double").alias("seed"),
+    )
+    out = R.config_overlay(ov, CONFIG_DEFAULTS)
+    return out.select("run_id", "param", F.col("value").cast("double").alias("value"), "overridden")
+
+
+def metrics_long_query(spark, sf):
+    return R.metrics_long(fx.run_table(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_sentences": normalize_sentences,
     "normalize_documents": normalize_documents,
@@ -256,4 +340,15 @@ QUERIES: dict[str, Query] = {
     "review_blocks": review_blocks_query,
     "parse_corrections": parse_corrections_query,
     "apply_corrections": apply_corrections_query,
+    "history_pairs": history_pairs_query,
+    "best_epoch": best_epoch_query,
+    "early_stop": early_stop_query,
+    "parent_version": parent_version_query,
+    "top_runs": top_runs_query,
+    "natural_sort": natural_sort_query,
+    "next_version": next_version_query,
+    "model_dataset_match": model_dataset_match_query,
+    "param_grid": param_grid_query,
+    "config_overlay": config_overlay_query,
+    "metrics_long": metrics_long_query,
 }

@@ -157,3 +157,70 @@ def external_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = docs.select("doc_id", toks.alias("tokens"))
     tags = F.transform("tokens", lambda t, i: F.pmod(i + F.length(t), F.lit(7)).cast("bigint"))
     return out.select("doc_id", "tokens", tags.alias("ner_tags"), subset_of("doc_id").alias("subset"))
+
+
+# -- training runs from ``events`` ---------------------------------------------
+TRAIN_EVENTS = ("view", "click")
+EVAL_EVENTS = ("signup", "purchase")
+SUMMARY_EVENT = "error"
+NAME_PREFIX = "SlovakBERT_NER_Model_V"
+
+
+def history_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training-log records, one per event: run = user, record order =
+    event_id. view/click are training records (``loss``), signup/purchase
+    evaluations (``eval_loss``, ``eval_f1``), error a summary (``train_loss``)."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "value"])
+    t, v = F.col("event_type"), F.col("value")
+    return ev.select(
+        F.col("user_id").alias("run_id"), "event_id",
+        F.when(t.isin(*TRAIN_EVENTS), v).alias("loss"),
+        F.when(t.isin(*EVAL_EVENTS), v).alias("eval_loss"),
+        F.when(t.isin(*EVAL_EVENTS), v / (F.abs(v) + 1)).alias("eval_f1"),
+        F.when(t == SUMMARY_EVENT, v).alias("train_loss"),
+    )
+
+
+def run_name(user_id: Column) -> Column:
+    version = F.when(F.pmod(user_id, F.lit(10)) == 0, F.lit("_POC")).otherwise(
+        F.concat(F.lit("0.0."), (F.pmod(user_id, F.lit(6)) + 1).cast("string")))
+    seq = F.when(F.pmod(user_id, F.lit(10)) == 0, F.floor(user_id / 10) + 1).otherwise(F.floor(user_id / 6) + 1)
+    return F.concat(F.lit(NAME_PREFIX), version, F.lit("."), seq.cast("string"))
+
+
+def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per run (user): name, a few hyperparameters and the metric
+    columns, all exact ratios of event counts."""
+    ev = read_table(spark, sf_dir, "events", ["user_id", "event_type"])
+
+    def n_of(kind: str) -> Column:
+        return F.sum(F.when(F.col("event_type") == kind, 1).otherwise(0))
+
+    g = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), n_of("view").alias("nv"), n_of("click").alias("nc"),
+                                  n_of("signup").alias("ns"), n_of("purchase").alias("np"),
+                                  n_of("error").alias("ne"))
+    n = F.col("n")
+    r = lambda e: F.round(e, 6)
+    return g.select(
+        F.col("user_id").alias("run_id"),
+        run_name(F.col("user_id")).alias("Name"),
+        (F.lit(5e-05) * (F.pmod("user_id", F.lit(3)) + 1)).alias("learning_rate"),
+        (F.pmod("user_id", F.lit(6)) + 10).alias("num_train_epochs"),
+        r(F.col("nc") / n).alias("eval/precision"), r(F.col("nv") / n).alias("eval/recall"),
+        r((F.col("nc") + F.col("nv")) / (n * 2)).alias("eval/f1"), r(1 - F.col("ne") / n).alias("eval/accuracy"),
+        r(F.col("ns") / n).alias("test/precision"), r(F.col("np") / n).alias("test/recall"),
+        r((F.col("ns") + F.col("np")) / (n * 2)).alias("test/f1"), r((n - F.col("ne")) / n).alias("test/accuracy"),
+        r(F.col("nv") / (n + 1)).alias("test/macro_precision"), r(F.col("nc") / (n + 1)).alias("test/macro_recall"),
+        r((F.col("nv") + F.col("nc") + F.col("ns")) / (n * 3)).alias("test/macro_f1"),
+    )
+
+
+def test_files(runs: DataFrame) -> DataFrame:
+    """Test-file names for runs: exact copies of the name, names cut by two
+    characters, and runs without a file."""
+    u, name = F.pmod(F.col("run_id"), F.lit(4)), F.col("Name")
+    f = (F.when(u == 0, F.concat(F.lit("test_dataset_"), name, F.lit(".csv")))
+         .when(u == 1, F.concat(F.lit("test_dataset_"), F.expr("substring(Name, 1, length(Name) - 2)"),
+                                F.lit("_old.csv")))
+         .when(u == 3, F.concat(F.lit("test_"), name, F.lit("_v2.csv"))))
+    return runs.select(f.alias("file")).filter(F.col("file").isNotNull())
