@@ -83,28 +83,35 @@ def confusion_totals(conf: DataFrame) -> DataFrame:
     )
 
 
-def per_class(conf: DataFrame) -> DataFrame:
+def confusion_by(pairs: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Confusion counts per group (e.g. per model) without zero cells:
+    ``by.., gold, pred, n``. Scoring needs no zeros."""
+    return pairs.groupBy(*by, "gold", "pred").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+def per_class(conf: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """tp, support, predicted, precision, recall, F1 per label that occurs in
-    gold or predictions (A5/A6 building block)."""
-    sup = conf.groupBy(F.col("gold").alias("label")).agg(
+    gold or predictions (A5/A6 building block), per ``by`` group."""
+    by = list(by)
+    sup = conf.groupBy(*by, F.col("gold").alias("label")).agg(
         F.sum("n").alias("support"),
         F.sum(F.when(F.col("gold") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp"))
-    prd = conf.groupBy(F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
-    c = sup.join(prd, "label", "full_outer").fillna(0, ["support", "tp", "predicted"])
+    prd = conf.groupBy(*by, F.col("pred").alias("label")).agg(F.sum("n").alias("predicted"))
+    c = sup.join(prd, [*by, "label"], "full_outer").fillna(0, ["support", "tp", "predicted"])
     c = c.filter((F.col("support") > 0) | (F.col("predicted") > 0))
     p = _div(F.col("tp"), F.col("predicted"))
     r = _div(F.col("tp"), F.col("support"))
-    return c.select("label", "tp", "support", "predicted",
+    return c.select(*by, "label", "tp", "support", "predicted",
                     p.alias("precision"), r.alias("recall"), _div(2 * p * r, p + r).alias("f1"))
 
 
-def token_metrics(conf: DataFrame, name: str | Column | None = None) -> DataFrame:
-    """One metrics row: weighted and macro precision/recall/F1 and accuracy (A5, K2).
-    Macro is the plain mean over labels seen in gold or predictions;
-    weighted uses the gold support."""
-    pc = per_class(conf)
+def token_metrics(conf: DataFrame, name: str | Column | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """One metrics row (per ``by`` group): weighted and macro
+    precision/recall/F1 and accuracy (A5, K2). Macro is the plain mean over
+    labels seen in gold or predictions; weighted uses the gold support."""
+    pc = per_class(conf, by)
     tot = F.sum("support")
-    out = pc.agg(
+    out = pc.groupBy(*by).agg(
         F.round(F.sum(F.col("precision") * F.col("support")) / tot, ROUND).alias("test/precision"),
         F.round(F.avg("precision"), ROUND).alias("test/macro_precision"),
         F.round(F.sum(F.col("recall") * F.col("support")) / tot, ROUND).alias("test/recall"),

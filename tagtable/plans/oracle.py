@@ -460,3 +460,60 @@ ORACLE["metrics_long"] = (
         f"SELECT Name, '{cat}' AS category, '{m}' AS metric, CAST(\"{m}\" AS DOUBLE) AS value FROM rt"
         for cat, cols in K.EVALUATION_COLUMNS for m in cols)
 )
+
+# -- tagger and pipelines -------------------------------------------------------
+ORACLE["annotate_corpus"] = (
+    f"WITH {CTE_FILLED}, "
+    "lw AS (SELECT id, token_index, arg_max(new_tag, seq) AS new_tag FROM pc WHERE status = 'ok' "
+    "GROUP BY id, token_index), "
+    "tk AS (SELECT id, unnest(fixed_tags) AS tag, unnest(model_tags) AS mtag, "
+    "CAST(generate_subscripts(fixed_tags, 1) - 1 AS INTEGER) AS k FROM ann) "
+    "SELECT tk.id, string_agg(CAST(mtag AS VARCHAR), ',' ORDER BY k) AS model_tags, "
+    "string_agg(CAST(coalesce(lw.new_tag, tag) AS VARCHAR), ',' ORDER BY k) AS fixed_tags "
+    "FROM tk LEFT JOIN lw ON tk.id = lw.id AND tk.k = lw.token_index GROUP BY tk.id"
+)
+CTE_MC = (
+    CTE_ANN + ", "
+    "mc0 AS (SELECT id, tokens, CAST(fixed_tags AS BIGINT[]) AS ner_tags FROM ann), "
+    "mc AS (SELECT min(id) AS id, tokens, ner_tags FROM mc0 GROUP BY tokens, ner_tags), "
+    "mrows AS (SELECT id, CAST(generate_subscripts(tokens, 1) - 1 AS INTEGER) AS idx, unnest(tokens) AS token, "
+    "CAST(unnest(ner_tags) AS INTEGER) AS tag, "
+    "CASE WHEN id % 25 < 16 THEN 'train' WHEN id % 25 < 20 THEN 'validation' ELSE 'test' END AS subset FROM mc)"
+)
+ORACLE["majority_tagger"] = (
+    f"WITH {CTE_MC}, "
+    "cnt AS (SELECT token, tag, count(*) AS n FROM mrows WHERE subset = 'train' GROUP BY token, tag), "
+    "best AS (SELECT token, tag FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY n DESC, tag) AS r "
+    "FROM cnt) WHERE r = 1) "
+    "SELECT m.id, m.idx, m.token, m.tag, coalesce(b.tag, 0) AS pred FROM mrows m "
+    "LEFT JOIN best b ON m.token = b.token WHERE m.subset = 'test'"
+)
+ORACLE["evaluate_models"] = (
+    f"WITH {CTE_MC}, {CTE_RUNS}, "
+    "files AS (SELECT * FROM (SELECT CASE run_id % 4 WHEN 0 THEN 'test_dataset_' || Name || '.csv' "
+    "WHEN 1 THEN 'test_dataset_' || substring(Name, 1, length(Name) - 2) || '_old.csv' "
+    "WHEN 3 THEN 'test_' || Name || '_v2.csv' END AS file FROM rt) WHERE file IS NOT NULL), "
+    "models AS (SELECT DISTINCT r.Name, r.run_id FROM rt r JOIN files f ON contains(f.file, r.Name) "
+    "OR contains(f.file, substring(r.Name, 1, length(r.Name) - 2))), "
+    "pairs AS (SELECT m.Name, t.tag AS gold, CAST((t.id * 7 + t.idx * 13 + m.run_id % 14) % 14 AS INTEGER) AS pred "
+    "FROM mrows t, models m WHERE t.subset = 'test'), "
+    "conf AS (SELECT Name, gold, pred, count(*) AS n FROM pairs GROUP BY Name, gold, pred), "
+    "sup AS (SELECT Name, gold AS label, sum(n) AS support, sum(CASE WHEN gold = pred THEN n ELSE 0 END) AS tp "
+    "FROM conf GROUP BY Name, gold), "
+    "prd AS (SELECT Name, pred AS label, sum(n) AS predicted FROM conf GROUP BY Name, pred), "
+    "pc0 AS (SELECT coalesce(s.Name, p.Name) AS Name, coalesce(s.label, p.label) AS label, "
+    "coalesce(support, 0) AS support, coalesce(tp, 0) AS tp, coalesce(predicted, 0) AS predicted "
+    "FROM sup s FULL OUTER JOIN prd p ON s.Name = p.Name AND s.label = p.label), "
+    "pc1 AS (SELECT *, CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision, "
+    "CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall FROM pc0 WHERE support > 0 OR predicted > 0), "
+    "pcf AS (SELECT *, CASE WHEN precision + recall = 0 THEN 0.0 "
+    "ELSE 2 * precision * recall / (precision + recall) END AS f1 FROM pc1) "
+    "SELECT Name, "
+    'round(sum(precision * support) / sum(support), 6) AS "test/precision", '
+    'round(avg(precision), 6) AS "test/macro_precision", '
+    'round(sum(recall * support) / sum(support), 6) AS "test/recall", '
+    'round(avg(recall), 6) AS "test/macro_recall", '
+    'round(sum(f1 * support) / sum(support), 6) AS "test/f1", '
+    'round(avg(f1), 6) AS "test/macro_f1", '
+    'round(sum(tp) / sum(support), 6) AS "test/accuracy" FROM pcf GROUP BY Name'
+)

@@ -18,6 +18,7 @@ from tagtable.operators import corrections as C
 from tagtable.operators import datasets as D
 from tagtable.operators import metrics as M
 from tagtable.operators import runs as R
+from tagtable.operators import tagger as T
 from tagtable.operators.positions import positions
 from tagtable.operators.pieces import piece_word_ids, words_from_pieces
 from tagtable.operators.spans import entity_spans, piece_boundaries, spans_from_pieces
@@ -314,6 +315,54 @@ def metrics_long_query(spark, sf):
     return R.metrics_long(fx.run_table(spark, sf))
 
 
+# -- step 8: tagger and pipelines ----------------------------------------------
+def annotate_corpus_query(spark, sf):
+    """L1 end to end with the fixture model run through mapInPandas and the
+    reviewer's corrections applied."""
+    from tagtable.plans.pipelines import annotate_corpus
+
+    corr = C.parse_corrections(filled_blocks(spark, sf))
+    out = annotate_corpus(fx.sentences(spark, sf), T.FixturePredictor, corrections=corr)
+    return out.select("id", _ints(F.col("model_tags")).alias("model_tags"),
+                      _ints(F.col("fixed_tags")).alias("fixed_tags"))
+
+
+def _split_rows(spark, sf, subset):
+    mc = modelling_corpus(spark, sf).filter(F.col("subset") == subset)
+    return T.token_rows(mc.withColumnRenamed("key", "id"))
+
+
+def majority_tagger_query(spark, sf):
+    model = T.fit_majority(_split_rows(spark, sf, "train"))
+    pred = T.predict_majority(_split_rows(spark, sf, "test"), model)
+    return pred.select("id", "idx", "token", "tag", "pred")
+
+
+def logreg_tagger_query(spark, sf):
+    model = T.fit_logreg(_split_rows(spark, sf, "train"), max_iter=10, num_features=1 << 14)
+    return T.predict_logreg(model, _split_rows(spark, sf, "test")).select("id", "idx", "token", "tag", "pred")
+
+
+MAX_MODELS = 10000
+
+
+def evaluate_models_query(spark, sf):
+    """L3 + L4: every registered model that has a test file, scored on the
+    saved test split in one job."""
+    from tagtable.plans.pipelines import evaluate_models, test_split_repr
+
+    runs = fx.run_table(spark, sf)
+    matched = R.match_models_to_files(runs.select("Name"), fx.test_files(runs)).filter(F.col("file").isNotNull())
+    registry = matched.join(runs.select("Name", "run_id"), "Name").select("Name", "run_id")
+    entries = registry.limit(MAX_MODELS + 1).collect()  # the model registry, not data
+    if len(entries) > MAX_MODELS:
+        raise ValueError("model registry larger than the bound for one scoring pass")
+    factories = {r.Name: (lambda shift=int(r.run_id) % 14: T.FixturePredictor(shift=shift)) for r in entries}
+    test = test_split_repr(modelling_corpus(spark, sf).filter(F.col("subset") == "test")).withColumnRenamed(
+        "key", "id")
+    return evaluate_models(test, factories).withColumnRenamed("model", "Name")
+
+
 QUERIES: dict[str, Query] = {
     "normalize_sentences": normalize_sentences,
     "normalize_documents": normalize_documents,
@@ -351,4 +400,8 @@ QUERIES: dict[str, Query] = {
     "param_grid": param_grid_query,
     "config_overlay": config_overlay_query,
     "metrics_long": metrics_long_query,
+    "annotate_corpus": annotate_corpus_query,
+    "majority_tagger": majority_tagger_query,
+    "logreg_tagger": logreg_tagger_query,
+    "evaluate_models": evaluate_models_query,
 }
