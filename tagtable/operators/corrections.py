@@ -58,8 +58,9 @@ def read_correction_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _last_word(line: Column) -> Column:
-    parts = F.split(F.regexp_replace(line, r"^\s+|\s+$", ""), r"\s+")
-    return F.get(parts, F.size(parts) - 1)
+    """Last whitespace-separated word of a line (one cached pattern; a regex
+    ``split`` would compile its pattern again for every row)."""
+    return F.nullif(F.regexp_extract(line, r"(\S+)\s*$", 1), F.lit(""))
 
 
 def parse_corrections(blocks: DataFrame, block: str = "block") -> DataFrame:

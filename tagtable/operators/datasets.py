@@ -112,15 +112,11 @@ def distribution(df: DataFrame, subset: str = "subset", tags: str = "ner_tags",
     with partial aggregation; no explode."""
     from pyspark.sql import Window
 
-    def equals(v: int):
-        return lambda t: t == F.lit(v)
-
-    per_label = [
-        F.sum(F.size(F.filter(tags, equals(i)))).cast("bigint").alias(name)
-        for i, name in enumerate(labels)
-    ]
-    g = df.groupBy(subset).agg(F.count(F.lit(1)).alias("Num_of_Rows"),
-                               F.sum(F.size(tags)).cast("bigint").alias("Num_of_Tokens"), *per_label)
+    rows = df.select(subset, F.posexplode_outer(tags).alias("_pos", "_tag"))
+    per_label = [F.count(F.when(F.col("_tag") == i, 1)).alias(name) for i, name in enumerate(labels)]
+    g = rows.groupBy(subset).agg(
+        F.count(F.when(F.col("_pos").isNull() | (F.col("_pos") == 0), 1)).alias("Num_of_Rows"),
+        F.count("_tag").alias("Num_of_Tokens"), *per_label)
     total = F.sum("Num_of_Rows").over(Window.partitionBy())
     return g.select(F.col(subset).alias("Subset"), "Num_of_Rows", "Num_of_Tokens",
                     F.round(F.col("Num_of_Rows") / total, ROUND).alias("Split"),

@@ -183,35 +183,37 @@ def chunks(labels: Column | str, outside: Sequence[str] = ("O",)) -> Column:
     outside."""
     out = list(outside)
 
+    def attrs(x: Column) -> Column:
+        return F.struct(_prefix(x).alias("p"), _etype(x).alias("t"), x.isin(out).alias("o"))
+
     def with_bounds(a: Column) -> Column:
-        lab = a["l"]
+        at = a["a"]
 
         def starts(i: Column) -> Column:
-            cur, prev = F.get(lab, i), F.get(lab, i - 1)
-            return (~cur.isin(out)) & (
-                (i == 0) | prev.isin(out) | _prefix(cur).isin("B", "S") | _prefix(prev).isin("E", "S")
-                | (_etype(cur) != _etype(prev))
+            cur, prev = F.get(at, i), F.get(at, i - 1)
+            return (~cur["o"]) & (
+                (i == 0) | prev["o"] | cur["p"].isin("B", "S") | prev["p"].isin("E", "S")
+                | (cur["t"] != prev["t"])
             )
 
         bounds = F.filter(
-            F.transform(indices(F.size(lab)), lambda i: F.struct(
-                i.alias("i"), starts(i).alias("s"), F.get(lab, i).isin(out).alias("o"))),
+            F.transform(at, lambda x, i: F.struct(i.alias("i"), starts(i).alias("s"), x["o"].alias("o"))),
             lambda b: b["s"] | b["o"],
         )
-        return let({"l": lab, "b": bounds}, emit)
+        return let({"a": at, "b": bounds}, emit)
 
     def emit(v: Column) -> Column:
-        lab, bounds = v["l"], v["b"]
-        n = F.size(lab)
+        at, bounds = v["a"], v["b"]
+        n = F.size(at)
         ch = F.filter(
             F.transform(bounds, lambda b, k: F.when(b["s"], F.struct(
-                _etype(F.get(lab, b["i"])).alias("type"), b["i"].alias("start"),
+                F.get(at, b["i"])["t"].alias("type"), b["i"].alias("start"),
                 (F.coalesce(F.get(bounds, k + 1)["i"], n) - 1).alias("end")))),
             lambda c: c.isNotNull(),
         )
         return F.when(n > 0, ch).otherwise(F.array().cast(f"array<{CHUNK_TYPE}>"))
 
-    return let({"l": _col(labels)}, with_bounds)
+    return let({"a": F.transform(_col(labels), attrs)}, with_bounds)
 
 
 def entity_counts(gold_names: Column | str, pred_names: Column | str,

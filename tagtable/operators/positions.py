@@ -14,40 +14,88 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK_WIDTH = 1 << 20
+MAX_CHUNK_WIDTH = 1 << 20
+
+
+# Rank tables up to this many rows (a few longs each) are broadcast to the
+# wide rows; larger ones are sort-merge joined.
+MAX_BROADCAST_RANK_ROWS = 2_000_000
+
+
+def _probe(df: DataFrame, order_col: str, max_width: int = MAX_CHUNK_WIDTH) -> tuple[int, int]:
+    """(chunk width, row count) from one scan pruned to the order column:
+    at least four chunks per core, never more than ``max_width`` order
+    values per chunk."""
+    import math
+
+    lo, hi, n = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
+    if lo is None:
+        return 1, 0
+    span = int(hi) - int(lo) + 1
+    target = max(4 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(span / max_width))
+    return max(1, math.ceil(span / target)), int(n)
+
+
+def auto_chunk_width(df: DataFrame, order_col: str, max_width: int = MAX_CHUNK_WIDTH) -> int:
+    return _probe(df, order_col, max_width)[0]
+
+
+def _join_back(df: DataFrame, side: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Attach a per-row side table computed on a narrow projection. The side
+    is broadcast only when its measured row count is under the bound;
+    otherwise a sort-merge join keeps the wide rows on the streamed side."""
+    if rows <= MAX_BROADCAST_RANK_ROWS:
+        return df.join(F.broadcast(side), keys)
+    return df.join(side.hint("merge"), keys)
 
 
 def positions(df: DataFrame, order_col: str, by: Sequence[str] = (), out: str = "position",
-              chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+              chunk_width: int | None = None) -> DataFrame:
     """Add a 1-based ``out`` column: the row's rank by ``order_col`` (an
-    integral column, unique within ``by``) inside its ``by`` group."""
+    integral column, unique within ``by``) inside its ``by`` group.
+
+    The ranks are computed on the narrow ``(by, order_col)`` projection and
+    joined back, so the wide rows keep their own partitioning (a broadcast
+    when the rank table is small, a sort-merge join otherwise) and later
+    CPU-heavy work is not tied to the window's partitions."""
     by = list(by)
-    d = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_width)))
+    keys = df.select(*by, order_col)
+    width, rows = _probe(keys, order_col)
+    chunk_width = chunk_width or width
+    d = keys.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_width)))
     counts = d.groupBy(*by, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     local = Window.partitionBy(*by, "_chunk").orderBy(order_col)
-    return (
+    # Without ``by`` the offset table has one row per chunk, a bound fixed by
+    # the chunk width: broadcast it, so the rank side keeps its partitioning
+    # instead of inheriting the single partition of the offsets window.
+    offsets = F.broadcast(offsets) if not by else offsets
+    ranks = (
         d.join(offsets, [*by, "_chunk"])
-        .withColumn(out, F.col("_off") + F.row_number().over(local))
-        .drop("_chunk", "_off")
+        .select(*by, order_col, (F.col("_off") + F.row_number().over(local)).alias(out))
     )
+    return _join_back(df, ranks, [*by, order_col], rows)
 
 
 def prefix_max(df: DataFrame, value_col: str, order_col: str, by: Sequence[str] = (),
                out: str = "running_max", inclusive: bool = True,
-               chunk_width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+               chunk_width: int | None = None) -> DataFrame:
     """Running maximum of ``value_col`` in ``order_col`` order within ``by``,
-    split into chunks the same way as :func:`positions`."""
+    split into chunks the same way as :func:`positions` and joined back."""
     by = list(by)
-    d = df.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_width)))
+    keys = df.select(*by, order_col, value_col)
+    width, rows = _probe(keys, order_col)
+    chunk_width = chunk_width or width
+    d = keys.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_width)))
     per_chunk = d.groupBy(*by, "_chunk").agg(F.max(value_col).alias("_m"))
     before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     earlier = per_chunk.select(*by, "_chunk", F.max("_m").over(before).alias("_prev"))
     end = 0 if inclusive else -1
     local = Window.partitionBy(*by, "_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
-    return (
+    earlier = F.broadcast(earlier) if not by else earlier
+    maxima = (
         d.join(earlier, [*by, "_chunk"])
-        .withColumn(out, F.greatest(F.col("_prev"), F.max(value_col).over(local)))
-        .drop("_chunk", "_prev")
+        .select(*by, order_col, F.greatest(F.col("_prev"), F.max(value_col).over(local)).alias(out))
     )
+    return _join_back(df, maxima, [*by, order_col], rows)

@@ -208,15 +208,15 @@ def filled_blocks(spark, sf):
     new1 = (F.when(h == 1, F.lit("")).when(h == 0, label_name(F.pmod(F.col("tag") + 1, F.lit(14))))
             .otherwise(label_name(F.col("tag"))))
     seq = F.col("row") * 1000 + F.col("token_index")
-    first = r.select(C.block_text(F.col("row"), F.col("id"), F.col("token_index"), F.col("word"),
-                                  label_name(F.col("tag")), new1).alias("block"),
+    word, idx, row = F.col("word"), F.col("token_index"), F.col("row")
+    first = F.struct(C.block_text(row, F.col("id"), idx, word, label_name(F.col("tag")), new1).alias("block"),
                      F.lit(1).alias("pass"), seq.alias("seq"))
-    second = r.filter((h == 0) & (F.pmod(F.col("id"), F.lit(2)) == 0)).select(
-        C.block_text(F.col("row"), F.col("id"), F.col("token_index"), F.col("word"),
-                     label_name(F.pmod(F.col("tag") + 1, F.lit(14))),
+    second = F.when((h == 0) & (F.pmod(F.col("id"), F.lit(2)) == 0), F.struct(
+        C.block_text(row, F.col("id"), idx, word, label_name(F.pmod(F.col("tag") + 1, F.lit(14))),
                      label_name(F.pmod(F.col("tag") + 2, F.lit(14)))).alias("block"),
-        F.lit(2).alias("pass"), (F.lit(10**15) + seq).alias("seq"))
-    return first.unionByName(second)
+        F.lit(2).alias("pass"), (F.lit(10**15) + seq).alias("seq")))
+    # Both review passes come from one scan of the token rows.
+    return r.select(F.inline(F.filter(F.array(first, second), lambda x: x.isNotNull())))
 
 
 def parse_corrections_query(spark, sf):

@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Text stages are CPU-bound: do not merge post-shuffle partitions down to
+    # a few tasks just because the shuffled bytes are small.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
 
