@@ -23,3 +23,13 @@ def let(bindings: dict[str, Column], body: Callable[[Column], Column]) -> Column
 def indices(n: Column) -> Column:
     """0 .. n-1, empty when n <= 0 (``sequence(0, -1)`` would count down)."""
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def computed_once(c: Column) -> Column:
+    """Return ``c`` unchanged, in a projection the optimizer treats as
+    non-deterministic, so a later filter on it is not pushed below this point
+    with the expensive expression copied into the filter (which would run the
+    rule chain twice, and on a scan before any repartition). Partition ids
+    are never negative, so the value is the same on every run and retry
+    (a ``rand() >= 0`` guard would be folded away by the optimizer)."""
+    return F.when(F.spark_partition_id() >= F.lit(0), c)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtable.constants import NUM_LABELS
-from tagtable.functions.arrays import let
+from tagtable.functions.arrays import computed_once, let
 from tagtable.functions.labels import label_name
 from tagtable.functions.normalize import normalize
 from tagtable.functions.tokens import tokenize
@@ -59,8 +59,8 @@ def tokenized_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sentences(spark, sf_dir)
     return s.select(
         "id",
-        tokenize(normalize("text")).alias("tokens"),
-        tokenize(normalize("lemma_text")).alias("lemmas"),
+        computed_once(tokenize(normalize("text"))).alias("tokens"),
+        computed_once(tokenize(normalize("lemma_text"))).alias("lemmas"),
     )
 
 
@@ -151,10 +151,14 @@ def external_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     text, tokenised; ``2020`` appended where doc_id % 7 = 0 and ``d'Or``
     where doc_id % 10 = 0; tags from the tokens only, so copies stay copies."""
     docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id")
-    toks = tokenize(normalize("text"))
-    toks = F.when(F.pmod("doc_id", F.lit(7)) == 0, F.concat(toks, F.array(F.lit("2020")))).otherwise(toks)
-    toks = F.when(F.pmod("doc_id", F.lit(10)) == 0, F.concat(toks, F.array(F.lit("d'Or")))).otherwise(toks)
-    out = docs.select("doc_id", toks.alias("tokens"))
+    base = docs.select("doc_id", computed_once(tokenize(normalize("text"))).alias("t0"))
+    t0 = F.col("t0")
+    toks = F.concat(
+        t0,
+        F.when(F.pmod("doc_id", F.lit(7)) == 0, F.array(F.lit("2020"))).otherwise(F.array().cast("array<string>")),
+        F.when(F.pmod("doc_id", F.lit(10)) == 0, F.array(F.lit("d'Or"))).otherwise(F.array().cast("array<string>")),
+    )
+    out = base.select("doc_id", computed_once(toks).alias("tokens"))
     tags = F.transform("tokens", lambda t, i: F.pmod(i + F.length(t), F.lit(7)).cast("bigint"))
     return out.select("doc_id", "tokens", tags.alias("ner_tags"), subset_of("doc_id").alias("subset"))
 
