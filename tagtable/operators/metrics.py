@@ -171,7 +171,7 @@ def _etype(x: Column) -> Column:
     return F.when((t.isNull()) | (t == ""), F.lit("_")).otherwise(t)
 
 
-def chunks(labels: Column | str, outside: Sequence[str] = ("O",)) -> Column:
+def chunks(labels: Column | str, outside: Sequence[str] = ("O",), attrs_col: Column | None = None) -> Column:
     """Entity chunks of one labelled sequence: ``array<struct<type,start,end>>``
     (token indices, end inclusive).
 
@@ -213,15 +213,39 @@ def chunks(labels: Column | str, outside: Sequence[str] = ("O",)) -> Column:
         )
         return F.when(n > 0, ch).otherwise(F.array().cast(f"array<{CHUNK_TYPE}>"))
 
-    return let({"a": F.transform(_col(labels), attrs)}, with_bounds)
+    return _chunks_from_attrs(attrs_col if attrs_col is not None else F.transform(_col(labels), attrs), with_bounds)
+
+
+def _chunks_from_attrs(attrs_col: Column, with_bounds) -> Column:
+    return let({"a": attrs_col}, with_bounds)
+
+
+def label_attributes(labels: Sequence[str] = LABELS, outside: Sequence[str] = ("O",)) -> Column:
+    """Literal per-label (prefix, type, outside) table, indexed by tag id; the
+    same rules as ``chunks`` applies to names, folded to a constant."""
+    def etype(name: str) -> str:
+        rest = name[1:]
+        return rest.split("-", 1)[-1] or "_"
+
+    return F.array(*[F.struct(F.lit(n[:1]).alias("p"), F.lit(etype(n)).alias("t"), F.lit(n in outside).alias("o"))
+                     for n in labels])
+
+
+def chunks_from_ids(tags: Column | str, labels: Sequence[str] = LABELS, outside: Sequence[str] = ("O",)) -> Column:
+    """``chunks`` for tag-id arrays: label attributes come from a literal table."""
+    table = label_attributes(labels, outside)
+    return chunks(_col(tags), outside, attrs_col=F.transform(_col(tags), lambda t: F.get(table, t)))
 
 
 def entity_counts(gold_names: Column | str, pred_names: Column | str,
-                  outside: Sequence[str] = ("O",)) -> list[Column]:
-    """Per-row counts: gold chunks, predicted chunks, matching chunks, tokens, equal tokens."""
+                  outside: Sequence[str] = ("O",), ids: bool = False) -> list[Column]:
+    """Per-row counts: gold chunks, predicted chunks, matching chunks, tokens,
+    equal tokens. With ``ids`` the inputs are tag-id arrays."""
+    ch = (lambda x: chunks_from_ids(x, LABELS, outside)) if ids else (lambda x: chunks(x, outside))
+
     def body(v: Column) -> Column:
         g, p = v["g"], v["p"]
-        return let({"gc": chunks(g, outside), "pc": chunks(p, outside), "g": g, "p": p}, lambda c: F.struct(
+        return let({"gc": ch(g), "pc": ch(p), "g": g, "p": p}, lambda c: F.struct(
             F.size(c["gc"]).alias("n_gold"), F.size(c["pc"]).alias("n_pred"),
             F.size(F.array_intersect(c["gc"], c["pc"])).alias("n_tp"), F.size(c["g"]).alias("n_tok"),
             F.size(F.filter(F.arrays_zip(c["g"].alias("a"), c["p"].alias("b")),
@@ -233,9 +257,10 @@ def entity_counts(gold_names: Column | str, pred_names: Column | str,
 
 
 def entity_metrics(df: DataFrame, gold_names: str, pred_names: str,
-                   outside: Sequence[str] = ("O",)) -> DataFrame:
-    """Overall entity precision, recall, F1 and token accuracy."""
-    per_row = df.select(F.inline_outer(F.array(F.struct(*entity_counts(gold_names, pred_names, outside)))))
+                   outside: Sequence[str] = ("O",), ids: bool = False) -> DataFrame:
+    """Overall entity precision, recall, F1 and token accuracy.
+    Inputs are label-name arrays, or tag-id arrays with ``ids=True``."""
+    per_row = df.select(F.inline_outer(F.array(F.struct(*entity_counts(gold_names, pred_names, outside, ids)))))
     s = per_row.agg(*[F.sum(c).alias(c) for c in ("n_gold", "n_pred", "n_tp", "n_tok", "n_eq")])
     p = _div(F.col("n_tp"), F.col("n_pred"))
     r = _div(F.col("n_tp"), F.col("n_gold"))

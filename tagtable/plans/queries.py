@@ -124,8 +124,7 @@ def class_report_query(spark, sf):
 
 def entity_metrics_query(spark, sf):
     a = fx.annotated_sentences(spark, sf)
-    a = a.select(label_names("fixed_tags").alias("gold"), label_names("model_tags").alias("pred"))
-    return M.entity_metrics(a, "gold", "pred")
+    return M.entity_metrics(a.select("fixed_tags", "model_tags"), "fixed_tags", "model_tags", ids=True)
 
 
 # -- step 6: spans -----------------------------------------------------------
