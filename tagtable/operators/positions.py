@@ -49,15 +49,9 @@ def _join_back(df: DataFrame, side: DataFrame, keys: list[str], rows: int) -> Da
     return df.join(side.hint("merge"), keys)
 
 
-def positions(df: DataFrame, order_col: str, by: Sequence[str] = (), out: str = "position",
-              chunk_width: int | None = None) -> DataFrame:
-    """Add a 1-based ``out`` column: the row's rank by ``order_col`` (an
-    integral column, unique within ``by``) inside its ``by`` group.
-
-    The ranks are computed on the narrow ``(by, order_col)`` projection and
-    joined back, so the wide rows keep their own partitioning (a broadcast
-    when the rank table is small, a sort-merge join otherwise) and later
-    CPU-heavy work is not tied to the window's partitions."""
+def rank_table(df: DataFrame, order_col: str, by: Sequence[str] = (), out: str = "position",
+               chunk_width: int | None = None) -> tuple[DataFrame, int]:
+    """``(by, order_col, out)`` ranks of a narrow projection, and its row count."""
     by = list(by)
     keys = df.select(*by, order_col)
     width, rows = _probe(keys, order_col)
@@ -66,15 +60,33 @@ def positions(df: DataFrame, order_col: str, by: Sequence[str] = (), out: str =
     counts = d.groupBy(*by, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*by, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = Window.partitionBy(*by, "_chunk").orderBy(order_col)
     # Without ``by`` the offset table has one row per chunk, a bound fixed by
     # the chunk width: broadcast it, so the rank side keeps its partitioning
     # instead of inheriting the single partition of the offsets window.
     offsets = F.broadcast(offsets) if not by else offsets
+    local = Window.partitionBy(*by, "_chunk").orderBy(order_col)
     ranks = (
         d.join(offsets, [*by, "_chunk"])
         .select(*by, order_col, (F.col("_off") + F.row_number().over(local)).alias(out))
     )
+    return ranks, rows
+
+
+def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Attach a rank table to wide rows with the size-checked join."""
+    return _join_back(df, table, list(keys), rows)
+
+
+def positions(df: DataFrame, order_col: str, by: Sequence[str] = (), out: str = "position",
+              chunk_width: int | None = None) -> DataFrame:
+    """Add a 1-based ``out`` column: the row's rank by ``order_col`` (an
+    integral column, unique within ``by``) inside its ``by`` group.
+
+    The ranks are computed on the narrow ``(by, order_col)`` projection and
+    joined back, so the wide rows keep their own partitioning (a broadcast
+    when the rank table is small, a sort-merge join otherwise) and later
+    CPU-heavy work is not tied to the window's partitions."""
+    ranks, rows = rank_table(df, order_col, by, out, chunk_width)
     return _join_back(df, ranks, [*by, order_col], rows)
 
 

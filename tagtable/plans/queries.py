@@ -19,7 +19,7 @@ from tagtable.operators import datasets as D
 from tagtable.operators import metrics as M
 from tagtable.operators import runs as R
 from tagtable.operators import tagger as T
-from tagtable.operators.positions import positions
+from tagtable.operators.positions import attach, positions, rank_table
 from tagtable.operators.pieces import piece_word_ids, words_from_pieces
 from tagtable.operators.spans import entity_spans, piece_boundaries, spans_from_pieces
 from tagtable.sources import fixtures as fx
@@ -190,8 +190,11 @@ def distribution_query(spark, sf):
 
 # -- step 5: review and corrections -------------------------------------------
 def _review(spark, sf):
+    """Annotated sentences with their 1-based row number in id order. Ranks
+    come from the raw ids (no text work) and are attached with a size check."""
     a = fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags")
-    return positions(a, "id", out="row")
+    ranks, n = rank_table(fx.sentences(spark, sf).select("id"), "id", out="row")
+    return attach(a, ranks, ["id"], n)
 
 
 def review_blocks_query(spark, sf):
