@@ -32,3 +32,15 @@ def test_fixture_sentence_zero(spark):
 def test_no_python_in_rule_plan(spark):
     plan = fx.annotated_sentences(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_rule_chain_adds_no_shuffle_and_confusion_broadcasts(spark):
+    from tagtable.operators import metrics as M
+
+    ann = fx.annotated_sentences(spark, "/root/testdata/sf0.001")
+    plan = ann._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    # only the input spread (a repartition by id) may appear; the rules themselves are row-local
+    assert all("REPARTITION_BY_NUM" in line for line in exchanges)
+    conf = M.confusion(M.gold_pred_pairs(ann, "fixed_tags", "model_tags"))
+    assert "BroadcastHashJoin" in conf._jdf.queryExecution().executedPlan().toString()
