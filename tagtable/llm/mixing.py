@@ -22,12 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagtable.llm.common import read_table
+from tagtable.llm.common import read_table, settle
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
 SEED = "mix"
-RANGE_ROWS = 50_000  # rows a hash range is planned for
+RANGE_ROWS = 2_000  # rows a hash range is planned for
 
 
 def word_count(text: Column) -> Column:
@@ -40,6 +40,11 @@ def hash32(x: Column) -> Column:
     return F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")
 
 
+def source_key(source: Column) -> Column:
+    """The source as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit("null"))
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MAX_COPIES) -> DataFrame:
     """(source, source_size) -> source, source_size, weight, target. One row per source; runs on that small table.
 
@@ -67,25 +72,23 @@ def copies(docs: DataFrame, weights=WEIGHTS, most: int = MAX_COPIES, seed: str =
     d = docs.select("doc_id", "text", "source", *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     d = d.withColumn("size", word_count(F.col("text"))).withColumn("place", hash32(ident))
-    n = docs.select(F.count("*").alias("rows")).withColumn("ranges", F.greatest(F.lit(1), F.ceil(F.col("rows") / F.lit(RANGE_ROWS))))
-    ranges = n.first()["ranges"]
+    ranges = max(1, -(-docs.count() // RANGE_ROWS))
     d = d.withColumn("hash_range", F.floor(F.col("place") * F.lit(ranges) / F.lit(2**32)))
 
-    parts = d.groupBy("source", "size", "hash_range").agg(F.count("*").alias("n"))
-    levels = parts.groupBy("source", "size").agg(F.sum("n").alias("n"))
-    above = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
-    levels = levels.select(F.col("source").alias("s1"), F.col("size").alias("z1"), F.coalesce(F.sum("n").over(above), F.lit(0)).alias("larger"))
-    beside = Window.partitionBy("source", "size").orderBy("hash_range").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("source_key", source_key(F.col("source")))
+    parts = settle(d.groupBy("source", "source_key", "size", "hash_range").agg(F.count("*").alias("n")))
+    goals = targets(parts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most)
+    parts = parts.drop("source")
+    levels = parts.groupBy("source_key", "size").agg(F.sum("n").alias("n"))
+    above = Window.partitionBy("source_key").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.select("source_key", "size", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("larger"))
+    beside = Window.partitionBy("source_key", "size").orderBy("hash_range").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("beside", F.coalesce(F.sum("n").over(beside), F.lit(0)))
-    goals = targets(d.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
-    goals = goals.select(F.col("source").alias("s2"), "source_size", "target")
-    plan = (parts.join(levels, F.col("source").eqNullSafe(F.col("s1")) & (F.col("size") == F.col("z1")))
-            .join(goals, F.col("source").eqNullSafe(F.col("s2")))
-            .select(F.col("source").alias("s3"), F.col("size").alias("z3"), F.col("hash_range").alias("r3"),
-                    (F.col("larger") + F.col("beside")).alias("base"), "source_size", "target"))
-    inside = Window.partitionBy("source", "size", "hash_range").orderBy("place", "doc_id")
-    d = d.withColumn("row", F.row_number().over(inside)).join(
-        plan, F.col("source").eqNullSafe(F.col("s3")) & (F.col("size") == F.col("z3")) & (F.col("hash_range") == F.col("r3")))
+    goals = goals.select(source_key(F.col("source")).alias("source_key"), "source_size", "target")
+    plan = (parts.join(levels, ["source_key", "size"]).join(goals, "source_key")
+            .select("source_key", "size", "hash_range", (F.col("larger") + F.col("beside")).alias("base"), "source_size", "target"))
+    inside = Window.partitionBy("source_key", "size", "hash_range").orderBy("place", "doc_id")
+    d = d.withColumn("row", F.row_number().over(inside)).join(plan, ["source_key", "size", "hash_range"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = hash32(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit("")))) / F.lit(float(2**32))
     rank = F.col("base") + F.col("row")

@@ -2,21 +2,44 @@
 
 from __future__ import annotations
 
-from tagtable.llm import substring_dedup
+from tagtable.llm import jaccard_join, mixing, substring_dedup
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1,
+    "op2_ngram_jaccard_join": jaccard_join.op2,
+    "op3_mix_sources": mixing.op3,
 }
 
 ORACLE: dict[str, str] = {
     "op1_substring_dedup": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
-p AS (SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w WHERE len(words) >= 13),
-g AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY words[i : i + 12]) AS first_doc FROM p),
-c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM g WHERE first_doc < doc_id),
-r AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id)
-SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
-       sha256(array_to_string(CASE WHEN gone IS NULL THEN words
-              ELSE list_filter(words, lambda x, k: NOT list_contains(gone, k)) END, ' ')) AS kept_sha256
-FROM w LEFT JOIN r ON w.doc_id = r.doc_id""",
+p AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+g AS (SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w WHERE len(words) >= 13),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY array_to_string(words[i : i + 12], ' ')) AS first_doc FROM g),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM f WHERE first_doc < doc_id),
+k AS (SELECT p.doc_id, count(c.i) AS n_removed, string_agg(word, ' ' ORDER BY p.i) FILTER (WHERE c.i IS NULL) AS kept
+      FROM p LEFT JOIN c ON p.doc_id = c.doc_id AND p.i = c.i GROUP BY p.doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k ON w.doc_id = k.doc_id""",
+    "op3_mix_sources": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  ('0x' || left(md5(coalesce(doc_id::VARCHAR, '')), 8))::BIGINT AS place FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
+q AS (SELECT *, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER before, 0) AS left_words,
+             sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST
+                               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS left_weight
+      FROM w WINDOW before AS (ORDER BY source_size / weight, source NULLS LAST
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+o AS (SELECT *, 3 * source_size::HUGEINT * left_weight >= left_words::HUGEINT * weight AS is_open FROM q),
+l AS (SELECT left_words::DOUBLE / left_weight::DOUBLE AS share FROM o WHERE is_open
+      ORDER BY source_size / weight, source NULLS LAST LIMIT 1),
+t AS (SELECT source, source_size, CASE WHEN is_open THEN (SELECT share FROM l) * weight ELSE (3 * source_size)::DOUBLE END AS target FROM o),
+r AS (SELECT d.*, source_size, target, row_number() OVER (PARTITION BY d.source ORDER BY size DESC, place, doc_id NULLS FIRST) AS rank,
+             CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+             ('0x' || left(md5('mix:' || coalesce(d.source, '')), 8))::BIGINT / 4294967296.0::DOUBLE AS offs
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, (floor(rank * rate + offs) - floor((rank - 1) * rate + offs))::BIGINT AS copies FROM r)
+SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c""",
 }
