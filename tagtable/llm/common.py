@@ -171,6 +171,7 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     out = df.checkpoint(eager=True)
+    del df  # the executed plan holds its shuffles
     free_shuffles(spark)
     return out
 

@@ -5,8 +5,7 @@ Kinds found by pattern (leftmost, not overlapping within a kind; offsets in code
   access  AKIA and capitals or digits, 20 characters or more
   hex     24 or more lower-case hexadecimal digits
 The method adds kind ``live``: other opaque strings (20 or more of the characters of keys, with letters and digits and
-an entropy of 3 bits or more a character) and any later mention of a value that an assignment has revealed... in short
-every candidate string that the corpus shows to belong to few owners.
+an entropy of 3 bits or more a character) that the corpus shows to belong to few owners.
 
 Each candidate's value is hashed; the corpus is aggregated to (value, owner, repository) and then to the number of
 distinct owners and repositories of each value. Values with more than ``MAX_OWNERS`` owners are widely copied examples;
@@ -92,7 +91,9 @@ def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("spans"))
     none = F.array().cast("array<struct<start:long,kind:int,end:long,live:boolean>>")
     full = rows.where(F.size("spans") > 0).select("doc_id", "row_key")
-    return (full.join(spans.select("row_key", "spans"), "row_key", "left").select("doc_id", "row_key", F.coalesce("spans", none).alias("spans"))
+    spans = spans.withColumnRenamed("doc_id", "of_doc").withColumnRenamed("row_key", "of_row")
+    same = (F.col("row_key") == F.col("of_row")) & F.col("doc_id").eqNullSafe(F.col("of_doc"))
+    return (full.join(spans, same, "left").select("doc_id", "row_key", F.coalesce("spans", none).alias("spans"))
             .union(rows.where(F.size("spans") == 0).select("doc_id", "row_key", none)))
 
 
@@ -123,6 +124,7 @@ def op4(spark, sf_dir: str) -> DataFrame:
     as_text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s["kind"]), s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["kind"] < 3)
     count = lambda f: F.size(F.filter("spans", f)).cast("long")
-    return found.select("doc_id", *[count(lambda s, k=k: s["kind"] == k).alias(f"n_{KINDS[k]}") for k in range(3)],
+    of_kind = lambda k: lambda s: s["kind"] == k
+    return found.select("doc_id", *[count(of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(3)],
                         F.sha2(as_text(base), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"),
                         count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_example"))

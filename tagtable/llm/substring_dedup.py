@@ -166,7 +166,7 @@ def find_spans(docs: DataFrame, n: int = WINDOW) -> tuple[DataFrame, DataFrame,
              .groupBy("bucket").applyInArrow(recurring, "chunk int, bucket int, keys binary"))
 
     def long(key, table, hint):
-        out = {"bucket": [], "keys": [], "first": [], "last": []}
+        out = {"bucket": [], "keys": [], "first": [], "several": []}
         if table.num_rows and hint.num_rows:
             h, doc, _ = _windows(table, n)
             full = lambda x, b: x.astype(np.uint64) | (np.uint64(b) << np.uint64(32))
@@ -177,25 +177,25 @@ def find_spans(docs: DataFrame, n: int = WINDOW) -> tuple[DataFrame, DataFrame,
             h, d = h[order], d[order]
             start = np.flatnonzero(np.diff(h, prepend=~h[:1]) != 0) if len(h) else np.zeros(0, np.int64)
             end = np.append(start[1:], len(h)) - 1
-            first, last, h = d[start], d[end] if len(h) else d[:0], h[start]
+            first, several, h = d[start], d[start] < d[end], h[start]
             for b, i, j in split_buckets(h, chunks):
                 out["bucket"].append(b)
                 out["keys"].append(pack_sorted(h[i:j]))
                 out["first"].append(pack(first[i:j]))
-                out["last"].append(pack(last[i:j]))
+                out["several"].append(np.packbits(several[i:j]).tobytes())
         c = key[0].as_py()
         return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "chunk": pa.array([c] * len(out["bucket"]), pa.int32()),
-                         **{k: pa.array(out[k], pa.binary()) for k in ("keys", "first", "last")}})
+                         **{k: pa.array(out[k], pa.binary()) for k in ("keys", "first", "several")}})
 
     def owners(key, table):
         lists = [unpack_sorted(b.as_py()) for b in table["keys"]]
         h = np.concatenate(lists)
         first = np.concatenate([unpack(b.as_py(), np.int64) for b in table["first"]])
-        last = np.concatenate([unpack(b.as_py(), np.int64) for b in table["last"]])
+        several = np.concatenate([np.unpackbits(np.frombuffer(b.as_py(), np.uint8))[: len(x)] for b, x in zip(table["several"], lists)])
         order = np.argsort(h, kind="stable")
         start = np.flatnonzero(np.diff(h[order], prepend=~h[order][:1]) != 0)
-        low, high, names = np.minimum.reduceat(first[order], start), np.maximum.reduceat(last[order], start), h[order][start]
-        many = low < high
+        low, high, names = np.minimum.reduceat(first[order], start), np.maximum.reduceat(first[order], start), h[order][start]
+        many = (low < high) | (np.maximum.reduceat(several[order], start) > 0)
         names, low = names[many], low[many]
         rows = []
         for c, x in zip(table["chunk"].to_pylist(), lists):
@@ -206,7 +206,7 @@ def find_spans(docs: DataFrame, n: int = WINDOW) -> tuple[DataFrame, DataFrame,
                          "owner": pa.array([r[2] for r in rows], pa.binary())})
 
     owned = (src.groupBy("chunk").cogroup(hints.groupBy("chunk"))
-             .applyInArrow(long, "bucket int, chunk int, keys binary, first binary, last binary")
+             .applyInArrow(long, "bucket int, chunk int, keys binary, first binary, several binary")
              .groupBy("bucket").applyInArrow(owners, "chunk int, keys binary, owner binary"))
 
     def passages(key, table, reply):
