@@ -9,7 +9,7 @@ Two documents are linked when the Jaccard similarity of their sets of word 5-gra
 3. Candidates are pruned as in BayesLSH: after every 16 values, a pair is dropped when the posterior probability
    (uniform prior) that its similarity reaches the threshold falls below 1e-9. The rest make candidate clusters.
 4. Inside a cluster (large ones again in pairs of blocks) all pairs are pruned the same way and the survivors are
-   verified exactly on the shingle sets. A task sends counts for each document and a spanning forest, never the pairs.
+   verified exactly on the shingle sets. A task sends counts for each document and stars of its groups, never the pairs.
 5. Verified links make the classes: doc_id, class_id (smallest doc_id of the connected group), n_links (other documents
    linked, copies included), n_copies (documents with the same shingle set, itself included).
 
@@ -89,7 +89,7 @@ def _signatures(batches):
             digest += digests(off, h)
             size += np.diff(off).tolist()
             sig += [x.tobytes() for x in m]
-        yield pa.record_batch({"doc_id": batch["doc_id"], "digest": pa.array(digest, pa.string()), "size": pa.array(size, pa.int64()), "sig": pa.array(sig, pa.binary())})
+        yield pa.record_batch({"doc_id": batch["doc_id"], "row_key": batch["row_key"], "digest": pa.array(digest, pa.string()), "size": pa.array(size, pa.int64()), "sig": pa.array(sig, pa.binary())})
 
 
 def _bands(batches):
@@ -131,8 +131,9 @@ def prune(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[n
     return i, j
 
 
-def forest(i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest."""
+def stars(i: np.ndarray, j: np.ndarray, names: list[str]) -> list[tuple[str, str]]:
+    """For each connected group of the pairs, an edge from every member to the one with the least name. The edges that
+    different bands give for one group are then the same."""
     parent: dict[int, int] = {}
 
     def root(x):
@@ -140,13 +141,14 @@ def forest(i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
             parent[x] = x = parent[parent[x]]
         return x
 
-    out = []
     for x, y in zip(i.tolist(), j.tolist()):
         p, q = root(x), root(y)
         if p != q:
             parent[p] = q
-            out.append((x, y))
-    return out
+    least: dict[int, str] = {}
+    for x in parent:
+        least[root(x)] = min(least.get(root(x), names[x]), names[x])
+    return [(names[x], least[root(x)]) for x in parent if names[x] != least[root(x)]]
 
 
 def _groups(*keys: np.ndarray):
@@ -174,7 +176,8 @@ def _pairs(table_rows: np.ndarray, side: np.ndarray, bi: int, bj: int):
 
 
 def _candidates(key, table):
-    """Forest of the pairs of each band that survive; a pair is looked at in its first common band only."""
+    """The pairs of each band that survive, as stars."""
+    names = table["digest"].to_pylist()
     band, bi, bj, side = (table[c].to_numpy() for c in ("band", "bi", "bj", "side"))
     sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
     edges = []
@@ -186,8 +189,8 @@ def _candidates(key, table):
             x, y = prune(sig, sig, x, y)
             left.append(x)
             right.append(y)
-        edges += forest(np.concatenate(left), np.concatenate(right))
-    return pa.table({c: table["digest"].take(pa.array([e[k] for e in edges], pa.int64())) if edges else pa.array([], pa.string()) for k, c in enumerate("ab")})
+        edges += stars(np.concatenate(left), np.concatenate(right), names)
+    return pa.table({c: pa.array([e[k] for e in edges], pa.string()) for k, c in enumerate("ab")})
 
 
 def blocked(members: DataFrame, key: str, sizes: DataFrame) -> DataFrame:
@@ -242,6 +245,7 @@ def _verify(key, table):
     sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
     sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
     size = np.array([len(x) for x in sets], np.int64)
+    names = table["digest"].to_pylist()
     links, edges = np.zeros(len(sets), np.int64), []
     for rows in _groups(label, bi, bj):
         left, right = [], []
@@ -256,17 +260,17 @@ def _verify(key, table):
             x, y = np.concatenate(left), np.concatenate(right)
             np.add.at(links, x, copies[y])
             np.add.at(links, y, copies[x])
-            edges += forest(x, y)
-    linked = np.flatnonzero(links)
-    digest = table["digest"].combine_chunks()
-    none = pa.nulls(len(linked), pa.string())
-    take = lambda x: digest.take(pa.array(x, pa.int64()))
-    return pa.table({"a": pa.concat_arrays([take(linked), take([e[0] for e in edges])]), "b": pa.concat_arrays([none, take([e[1] for e in edges])]),
-                     "links": pa.concat_arrays([pa.array(links[linked]), pa.nulls(len(edges), pa.int64())])})
+            edges += stars(x, y, names)
+    linked = np.flatnonzero(links).tolist()
+    return pa.table({"a": pa.array([*(names[x] for x in linked), *(e[0] for e in edges)], pa.string()),
+                     "b": pa.array([None] * len(linked) + [e[1] for e in edges], pa.string()),
+                     "links": pa.array([*links[linked].tolist(), *[None] * len(edges)], pa.int64())})
 
 
-def jaccard_join(docs: DataFrame) -> DataFrame:
-    sigs = settle(docs.select("doc_id", "text").mapInArrow(_signatures, "doc_id long, digest string, size long, sig binary"))
+def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, row_key, digest of the shingle set) and classes (digest, label of the group, copies, links)."""
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
+    sigs = settle(rows.mapInArrow(_signatures, "doc_id long, row_key long, digest string, size long, sig binary"))
     classes = (sigs.where("digest is not null").groupBy("digest")
                .agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("sig").alias("sig")))
     classes = settle(classes)
@@ -290,12 +294,28 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
     links = verified.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     known = (classes.select("digest", "first_doc", "copies").join(groups.withColumnRenamed("node", "digest"), "digest", "left")
              .join(links.withColumnRenamed("a", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest")))
-    first = known.groupBy("label").agg(F.min("first_doc").alias("class_id"))
-    known = known.join(first, "label").select("digest", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
-    out = sigs.select("doc_id", "digest").join(known, "digest", "left")
+    return sigs.select("doc_id", "row_key", "digest"), known.select("digest", "label", "first_doc", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def jaccard_join(docs: DataFrame) -> DataFrame:
+    rows, classes = linked_classes(docs)
+    first = classes.groupBy("label").agg(F.min("first_doc").alias("class_id"))
+    known = classes.join(first, "label").select("digest", "class_id", "copies", "links")
+    out = rows.join(known, "digest", "left")
     return out.select("doc_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                       F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).alias("n_links"), F.coalesce("copies", F.lit(1)).alias("n_copies"))
 
 
+def one_per_group(docs: DataFrame) -> DataFrame:
+    """One document of each group, the one with the smallest doc_id (nulls last); texts without words all stay. Of
+    rows equal in doc_id and text one stays."""
+    rows, classes = linked_classes(docs)
+    group = F.coalesce("label", F.concat(F.lit("row "), F.col("row_key").cast("string")))
+    chosen = (rows.join(classes.select("digest", "label"), "digest", "left").groupBy(group.alias("g"))
+              .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))).alias("m")).select(F.col("m.row_key").alias("chosen_key")))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("doc_id", "text").alias("chosen_key"))
+    return keyed.join(chosen, "chosen_key").dropDuplicates(["chosen_key"]).select("row.*")
+
+
 def op2(spark, sf_dir: str) -> DataFrame:
     return jaccard_join(read_table(spark, sf_dir, "documents"))

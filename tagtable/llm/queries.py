@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from tagtable.llm import jaccard_join, mixing, substring_dedup
+from tagtable.llm import (jaccard_join, language_id, lattice_lm, license_scan, mixing, packing, permutation_index, secret_scan,
+                          substring_dedup, voronoi_knn)
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1,
     "op2_ngram_jaccard_join": jaccard_join.op2,
     "op3_mix_sources": mixing.op3,
+    "op4_secret_scan": secret_scan.op4,
+    "op5_lattice_lm": lattice_lm.op5,
+    "op6_best_fit_packing": packing.op6,
+    "op7_license_scan": license_scan.op7,
+    "op8_voronoi_knn_join": voronoi_knn.op8,
+    "op9_language_id": language_id.op9,
+    "op10_permutation_index": permutation_index.op10,
 }
 
 ORACLE: dict[str, str] = {
@@ -42,4 +50,12 @@ r AS (SELECT d.*, source_size, target, row_number() OVER (PARTITION BY d.source
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 c AS (SELECT *, (floor(rank * rate + offs) - floor((rank - 1) * rate + offs))::BIGINT AS copies FROM r)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c""",
+    "op8_voronoi_knn_join": r"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, d.vec_id,
+             list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * d.e[i]))::BIGINT AS score
+      FROM v q JOIN v d ON q.vec_id % 100 = 0 AND q.vec_id <> d.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM p)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""",
 }
