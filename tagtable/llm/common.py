@@ -8,6 +8,7 @@ so no key, source or group of copies can make a chunk large; the number of chunk
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -166,17 +167,21 @@ def with_chunk(docs: DataFrame, n: int) -> DataFrame:
         F.pmod("row_key", F.lit(n)).cast("int").alias("chunk"), "row_key", "doc_id", "text")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; then the shuffle files of the job that made it may go."""
+def settle(df: DataFrame, free: bool = False) -> DataFrame:
+    """Reliable checkpoint in the shared folder; with ``free`` the shuffle files of the job that made it go first."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     out = df.checkpoint(eager=True)
     del df  # the executed plan holds its shuffles
-    free_shuffles(spark)
+    if free:
+        free_shuffles(spark)
     return out
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's context cleaner drop shuffle files nothing refers to any more (it acts on collected garbage)."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's context cleaner drop the shuffle files nothing refers to any more. It acts when garbage is collected,
+    which a driver with a quiet heap may not do for long; the last references go a second or two after a job."""
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1)

@@ -152,7 +152,7 @@ def score_documents(docs: DataFrame, vocabulary: str | None = None, folds: int =
                          "n_tokens": pa.array([int(c.sum())] + [0] * m, pa.int64()), "n_types": pa.array([int((c > 0).sum())] + [0] * m, pa.int64())})
 
     words = settle(src.groupBy("chunk").applyInArrow(send, "bucket int, chunk int, keys binary, counts binary, lens binary, blob binary")
-                   .groupBy("bucket").applyInArrow(merge, "bucket int, chunk int, places binary, counts binary, lens binary, blob binary, n_tokens long, n_types long"))
+                   .groupBy("bucket").applyInArrow(merge, "bucket int, chunk int, places binary, counts binary, lens binary, blob binary, n_tokens long, n_types long"), free=True)
 
     def unfold(lens, blob):
         n, text = unpack(lens, np.int64), zstandard.decompress(blob)

@@ -241,7 +241,7 @@ def find_spans(docs: DataFrame, n: int = WINDOW) -> tuple[DataFrame, DataFrame,
                          "starts": pa.array(blob(lambda x: x[2], np.int64), pa.binary())})
 
     found = settle(src.groupBy("chunk").cogroup(owned.groupBy("chunk")).applyInArrow(
-        passages, "owner long, chunk int, asked boolean, name string, words binary, row_keys binary, doc_ids binary, starts binary"))
+        passages, "owner long, chunk int, asked boolean, name string, words binary, row_keys binary, doc_ids binary, starts binary"), free=True)
 
     def stream(key, table):
         sam, asked = SuffixAutomaton(), table["asked"].to_pylist()
