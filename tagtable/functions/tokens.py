@@ -38,7 +38,7 @@ def parse_int_repr(c: Column | str) -> Column:
     """Parse a numpy repr int list such as ``[0 0  1\\n 2]`` to ARRAY<INT> (C4)."""
     spaced = F.regexp_replace(strip_brackets(c), WS + "+", " ")
     trimmed = F.regexp_replace(spaced, "^ | $", "")
-    return F.transform(F.split(trimmed, " "), lambda t: t.try_cast("int"))
+    return F.transform(F.filter(F.split(trimmed, " "), lambda t: t != ""), lambda t: t.try_cast("int"))
 
 
 def parse_list(c: Column | str, element_type: str = "string") -> Column:
@@ -48,6 +48,13 @@ def parse_list(c: Column | str, element_type: str = "string") -> Column:
     return F.from_json(_col(c), f"array<{element_type}>", {"allowSingleQuotes": "true"})
 
 
+def split_rejects(df: DataFrame, raw: str, parsed: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose list text was parsed, and the rejects (C5): rows with a raw
+    value but no parsed one."""
+    bad = F.col(raw).isNotNull() & F.col(parsed).isNull()
+    return df.filter(~bad), df.filter(bad)
+
+
 def to_token_rows(df: DataFrame, key: str, arrays: dict[str, str], pos: str = "idx") -> DataFrame:
     """Sentence form -> token form: one row per position.
 

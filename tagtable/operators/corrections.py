@@ -50,11 +50,37 @@ def write_review_blocks(blocks: DataFrame, path: str) -> None:
     blocks.select("block").write.mode("overwrite").option("lineSep", BLOCK_SEP).text(path)
 
 
-def read_correction_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Read a filled-in review file: one record per blank-line separated
-    block (S7). ``seq`` orders blocks for the last-one-wins rule."""
-    return spark.read.option("lineSep", BLOCK_SEP).text(path).select(
-        F.col("value").alias("block"), F.monotonically_increasing_id().alias("seq"))
+def read_correction_blocks(spark: SparkSession, paths: str | list[str], crlf: bool = False) -> DataFrame:
+    """Read filled-in review files: one record per blank-line separated block
+    (S7). ``seq`` orders blocks for the last-one-wins rule: by the file's
+    place in ``paths``, then by its path (the files of one folder), then by
+    the place in the file, however the scan packs its splits. Line ends are
+    normalised; ``crlf`` also cuts the records at CRLF, so that a large file
+    with such ends is read by many tasks (without it such a file is read
+    whole and cut afterwards: the same rows)."""
+    sep = "\r\n\r\n" if crlf else BLOCK_SEP
+    parts = []
+    for nth, path in enumerate([paths] if isinstance(paths, str) else paths):
+        lines = spark.read.option("lineSep", sep).text(path)
+        parts.append(lines.select(
+            F.lit(nth).alias("nth"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"), F.posexplode(F.split("value", r"\r?\n[ \t]*\r?\n")).alias("part", "block")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    block = F.regexp_replace(F.col("block"), "\r\n?", "\n")
+    return out.select(block.alias("block"), F.struct("nth", "file", "start", "row", "part").alias("seq"))
+
+
+def duplicate_ids(df: DataFrame, key: str = "id") -> DataFrame:
+    """Ids that occur more than once, with their number of rows (Q11). A
+    correction names one row, so ``apply_corrections`` needs unique ids."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def rejects(parsed: DataFrame) -> DataFrame:
+    """Parsed blocks that change nothing: unfilled or bad ones."""
+    return parsed.filter(F.col("status") != "ok")
 
 
 def _last_word(line: Column) -> Column:
@@ -88,14 +114,17 @@ def parse_corrections(blocks: DataFrame, block: str = "block") -> DataFrame:
 def apply_corrections(df: DataFrame, corrections: DataFrame, key: str = "id", tags: str = "fixed_tags",
                       seq: str = "seq", out: str | None = None) -> DataFrame:
     """Set ``tags[token_index] = new_tag`` per (id, token_index), the last
-    correction (highest ``seq``) winning (J1). Duplicates are resolved before
-    the per-sentence map is built (a map may not repeat a key). Corrections
-    per sentence are bounded by its length; the join on the unique key is a
-    broadcast when Spark's size estimate allows, a sort-merge join otherwise."""
+    correction (highest ``seq``) winning (J1). Corrections are gathered per
+    sentence (as many as its reviewers wrote) and joined on the unique key:
+    a broadcast when Spark's size estimate allows, a sort-merge join
+    otherwise."""
     ok = corrections.filter(F.col("status") == "ok") if "status" in corrections.columns else corrections
-    last = ok.groupBy(F.col(key).alias(key), "token_index").agg(F.max_by("new_tag", seq).alias("new_tag"))
-    per_sentence = last.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("token_index", "new_tag"))).alias("_fix"))
+    # One grouping per sentence: corrections in order, of which map_from_entries needs the last per index.
+    ordered = F.sort_array(F.collect_list(F.struct(F.col("token_index"), F.col(seq).alias("s"), F.col("new_tag"))))
+    per_sentence = ok.filter(F.col(key).isNotNull()).groupBy(key).agg(ordered.alias("_all")).select(key, let(
+        {"a": F.col("_all")}, lambda v: F.map_from_entries(F.transform(
+            F.filter(v["a"], lambda x, i: F.coalesce(F.get(v["a"], i + 1)["token_index"] != x["token_index"], F.lit(True))),
+            lambda x: F.struct(x["token_index"], x["new_tag"])))).alias("_fix"))
     joined = df.join(per_sentence, key, "left")
     fixed = let({"t": F.col(tags), "m": F.col("_fix")}, lambda v: F.transform(
         v["t"], lambda t, i: F.coalesce(F.try_element_at(v["m"], i), t)))

@@ -237,6 +237,11 @@ def chunks_from_ids(tags: Column | str, labels: Sequence[str] = LABELS, outside:
     return chunks(_col(tags), outside, attrs_col=F.transform(_col(tags), lambda t: F.get(table, t)))
 
 
+def _chunk_keys(found: Column) -> Column:
+    """One string per chunk: sets of atoms are intersected by hashing, sets of structs pair by pair."""
+    return F.transform(found, lambda c: F.concat_ws(" ", c["start"].cast("string"), c["end"].cast("string"), c["type"]))
+
+
 def entity_counts(gold_names: Column | str, pred_names: Column | str,
                   outside: Sequence[str] = ("O",), ids: bool = False) -> list[Column]:
     """Per-row counts: gold chunks, predicted chunks, matching chunks, tokens,
@@ -247,7 +252,7 @@ def entity_counts(gold_names: Column | str, pred_names: Column | str,
         g, p = v["g"], v["p"]
         return let({"gc": ch(g), "pc": ch(p), "g": g, "p": p}, lambda c: F.struct(
             F.size(c["gc"]).alias("n_gold"), F.size(c["pc"]).alias("n_pred"),
-            F.size(F.array_intersect(c["gc"], c["pc"])).alias("n_tp"), F.size(c["g"]).alias("n_tok"),
+            F.size(F.array_intersect(_chunk_keys(c["gc"]), _chunk_keys(c["pc"]))).alias("n_tp"), F.size(c["g"]).alias("n_tok"),
             F.size(F.filter(F.arrays_zip(c["g"].alias("a"), c["p"].alias("b")),
                             lambda z: z["a"] == z["b"])).alias("n_eq"),
         ))
@@ -271,8 +276,26 @@ def entity_metrics(df: DataFrame, gold_names: str, pred_names: str,
     )
 
 
+def evaluation_checks(df: DataFrame, gold: str, pred: str, n_labels: int = len(LABELS)) -> DataFrame:
+    """What the token metrics leave out (Q13): rows whose gold and predicted
+    lengths differ, positions without a partner, and pairs with a tag outside
+    the dictionary, beside the pairs that are counted."""
+    def known(x: Column) -> Column:
+        return (x >= 0) & (x < n_labels)
+
+    z = F.arrays_zip(F.col(gold).alias("g"), F.col(pred).alias("p"))
+    paired = F.filter(z, lambda x: x["g"].isNotNull() & x["p"].isNotNull())
+    rows = df.select(
+        (F.coalesce(F.size(gold), F.lit(0)) != F.coalesce(F.size(pred), F.lit(0))).cast("long").alias("mismatched_rows"),
+        (F.size(z) - F.size(paired)).cast("long").alias("unpaired_tokens"),
+        F.size(F.filter(paired, lambda x: ~(known(x["g"]) & known(x["p"])))).cast("long").alias("unknown_tag_pairs"),
+        F.size(F.filter(paired, lambda x: known(x["g"]) & known(x["p"]))).cast("long").alias("counted_pairs"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in rows.columns])
+
+
 def evaluate_all(df: DataFrame, gold: str, pred: str) -> dict[str, DataFrame]:
-    """All token-level outputs for a scored DataFrame of tag-id arrays."""
+    """All outputs for a scored DataFrame of tag-id arrays (X5): token level,
+    entity level (A7) and the checks of what the numbers leave out."""
     conf = confusion(gold_pred_pairs(df, gold, pred))
     return {
         "confusion": conf,
@@ -280,4 +303,6 @@ def evaluate_all(df: DataFrame, gold: str, pred: str) -> dict[str, DataFrame]:
         "confusion_totals": confusion_totals(conf),
         "token_metrics": token_metrics(conf),
         "class_report": class_report(conf),
+        "entity_metrics": entity_metrics(df, gold, pred, ids=True),
+        "checks": evaluation_checks(df, gold, pred),
     }

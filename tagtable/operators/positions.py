@@ -1,113 +1,88 @@
-"""Row positions within a key without one task per key.
+"""Row positions and running maxima within a key without one task per key.
 
 ``row_number() over (partition by key order by o)`` sends every row of a key
 to one task; one key may hold a third of all rows. Here the order values are
-cut into fixed-width chunks, so a (key, chunk) group holds at most
-``chunk_width`` rows. Rows are numbered inside their chunk, and each chunk is
-offset by the row count of the earlier chunks of its key, taken from a small
-count table (one row per non-empty chunk)."""
+cut into chunks at (approximate) quantiles, so a (key, chunk) group holds
+about one ``CHUNKS``-th of the rows at most, however sparse or clustered the
+values are. Rows are numbered inside their chunk, and each chunk is offset by
+the counts of the earlier chunks of its key. That table has at most one row
+per (key, chunk): a bounded number per key, joined on both columns.
+
+Nulls: a null key is a key of its own (keys are compared as structs, which
+are null-safe); a null order value comes last. Ties in the order column get
+consecutive positions in the order of ``ties`` (by default a hash of the
+row), so each row has its own position and reruns agree; only rows equal in
+every column may trade places."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CHUNK_WIDTH = 1 << 20
+CHUNKS = 1024
+INF = float("inf")
 
 
-# Rank tables up to this many rows (a few longs each) are broadcast to the
-# wide rows; larger ones are sort-merge joined.
-MAX_BROADCAST_RANK_ROWS = 2_000_000
+def chunked(df: DataFrame, order_col: str, by: Sequence[str] = (), chunk_width: int | None = None,
+            chunks: int = CHUNKS) -> DataFrame:
+    """Add ``_key`` (the ``by`` columns) and ``_chunk``, monotone in the order
+    column. The cut points come from one probe over that column alone;
+    ``chunk_width`` replaces them by steps of a fixed width."""
+    value = F.coalesce(F.col(order_col).cast("double"), F.lit(INF))
+    keyed = df.withColumn("_key", F.struct(*[F.col(c) for c in by]) if by else F.lit(0))
+    if chunk_width is not None:
+        return keyed.withColumn("_chunk", F.when(value < INF, F.floor(value / F.lit(chunk_width))).otherwise(F.lit(2**62)))
+    probs = [i / chunks for i in range(1, chunks)]
+    cuts = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 100 * chunks)).first()[0] or [0.0]
+    splits = [-INF, *sorted(set(cuts)), INF]
+    cut = Bucketizer(splits=splits, inputCol="_value", outputCol="_chunk", handleInvalid="keep")
+    return cut.transform(keyed.withColumn("_value", value)).drop("_value")
 
 
-def _probe(df: DataFrame, order_col: str, max_width: int = MAX_CHUNK_WIDTH) -> tuple[int, int]:
-    """(chunk width, row count) from one scan pruned to the order column:
-    at least four chunks per core, never more than ``max_width`` order
-    values per chunk."""
-    import math
+def _row_order(df: DataFrame, order_col: str, ties: Sequence[Column] | None) -> list[Column]:
+    if ties is None:
+        plain = [f.name for f in df.schema.fields if not f.dataType.typeName() in ("map", "variant")]
+        ties = [F.xxhash64(*[F.col(f"`{c}`") for c in plain])]
+    return [F.col(order_col).asc_nulls_last(), *ties]
 
-    lo, hi, n = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
-    if lo is None:
-        return 1, 0
-    span = int(hi) - int(lo) + 1
-    target = max(4 * df.sparkSession.sparkContext.defaultParallelism, math.ceil(span / max_width))
-    return max(1, math.ceil(span / target)), int(n)
 
+def _earlier(d: DataFrame, agg: Column, over: Column, out: str) -> DataFrame:
+    """Per (key, chunk): ``over`` of ``agg`` over the earlier chunks of the key."""
+    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    return d.groupBy("_key", "_chunk").agg(agg.alias("_a")).select("_key", "_chunk", over.over(before).alias(out))
 
-def auto_chunk_width(df: DataFrame, order_col: str, max_width: int = MAX_CHUNK_WIDTH) -> int:
-    return _probe(df, order_col, max_width)[0]
 
+def chunk_positions(d: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """1-based positions of rows that ``chunked`` has prepared."""
+    offsets = _earlier(d, F.count(F.lit(1)), F.sum("_a"), "_off")
+    local = Window.partitionBy("_key", "_chunk").orderBy(*order)
+    ranked = d.withColumn(out, F.row_number().over(local)).join(offsets, ["_key", "_chunk"])
+    return ranked.withColumn(out, F.coalesce(F.col("_off"), F.lit(0)) + F.col(out)).drop("_off")
 
-def _join_back(df: DataFrame, side: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Attach a per-row side table computed on a narrow projection. The side
-    is broadcast only when its measured row count is under the bound;
-    otherwise a sort-merge join keeps the wide rows on the streamed side."""
-    if rows <= MAX_BROADCAST_RANK_ROWS:
-        return df.join(F.broadcast(side), keys)
-    return df.join(side.hint("merge"), keys)
 
-
-def rank_table(df: DataFrame, order_col: str, by: Sequence[str] = (), out: str = "position",
-               chunk_width: int | None = None) -> tuple[DataFrame, int]:
-    """``(by, order_col, out)`` ranks of a narrow projection, and its row count."""
-    by = list(by)
-    keys = df.select(*by, order_col)
-    width, rows = _probe(keys, order_col)
-    chunk_width = chunk_width or width
-    d = keys.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_width)))
-    counts = d.groupBy(*by, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # Without ``by`` the offset table has one row per chunk, a bound fixed by
-    # the chunk width: broadcast it, so the rank side keeps its partitioning
-    # instead of inheriting the single partition of the offsets window.
-    offsets = F.broadcast(offsets) if not by else offsets
-    local = Window.partitionBy(*by, "_chunk").orderBy(order_col)
-    ranks = (
-        d.join(offsets, [*by, "_chunk"])
-        .select(*by, order_col, (F.col("_off") + F.row_number().over(local)).alias(out))
-    )
-    return ranks, rows
-
-
-def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
-    """Attach a rank table to wide rows with the size-checked join."""
-    return _join_back(df, table, list(keys), rows)
+def chunk_max(d: DataFrame, value_col: str, order: list[Column], out: str, inclusive: bool = True) -> DataFrame:
+    """Running maximum of rows that ``chunked`` has prepared."""
+    earlier = _earlier(d, F.max(value_col), F.max("_a"), "_prev")
+    local = Window.partitionBy("_key", "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    local_max = d.withColumn(out, F.max(value_col).over(local)).join(earlier, ["_key", "_chunk"])
+    return local_max.withColumn(out, F.greatest("_prev", out)).drop("_prev")
 
 
 def positions(df: DataFrame, order_col: str, by: Sequence[str] = (), out: str = "position",
-              chunk_width: int | None = None) -> DataFrame:
-    """Add a 1-based ``out`` column: the row's rank by ``order_col`` (an
-    integral column, unique within ``by``) inside its ``by`` group.
-
-    The ranks are computed on the narrow ``(by, order_col)`` projection and
-    joined back, so the wide rows keep their own partitioning (a broadcast
-    when the rank table is small, a sort-merge join otherwise) and later
-    CPU-heavy work is not tied to the window's partitions."""
-    ranks, rows = rank_table(df, order_col, by, out, chunk_width)
-    return _join_back(df, ranks, [*by, order_col], rows)
+              chunk_width: int | None = None, ties: Sequence[Column] | None = None) -> DataFrame:
+    """Add a 1-based ``out`` column: the row's rank by ``order_col`` inside
+    its ``by`` group. Every row is kept; see the module text for nulls and
+    ties."""
+    d = chunked(df, order_col, by, chunk_width)
+    return chunk_positions(d, _row_order(df, order_col, ties), out).drop("_key", "_chunk")
 
 
 def prefix_max(df: DataFrame, value_col: str, order_col: str, by: Sequence[str] = (),
                out: str = "running_max", inclusive: bool = True,
-               chunk_width: int | None = None) -> DataFrame:
-    """Running maximum of ``value_col`` in ``order_col`` order within ``by``,
-    split into chunks the same way as :func:`positions` and joined back."""
-    by = list(by)
-    keys = df.select(*by, order_col, value_col)
-    width, rows = _probe(keys, order_col)
-    chunk_width = chunk_width or width
-    d = keys.withColumn("_chunk", F.floor(F.col(order_col) / F.lit(chunk_width)))
-    per_chunk = d.groupBy(*by, "_chunk").agg(F.max(value_col).alias("_m"))
-    before = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = per_chunk.select(*by, "_chunk", F.max("_m").over(before).alias("_prev"))
-    end = 0 if inclusive else -1
-    local = Window.partitionBy(*by, "_chunk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
-    earlier = F.broadcast(earlier) if not by else earlier
-    maxima = (
-        d.join(earlier, [*by, "_chunk"])
-        .select(*by, order_col, F.greatest(F.col("_prev"), F.max(value_col).over(local)).alias(out))
-    )
-    return _join_back(df, maxima, [*by, order_col], rows)
+               chunk_width: int | None = None, ties: Sequence[Column] | None = None) -> DataFrame:
+    """Running maximum of ``value_col`` in ``order_col`` order within ``by``."""
+    d = chunked(df, order_col, by, chunk_width)
+    return chunk_max(d, value_col, _row_order(df, order_col, ties), out, inclusive).drop("_key", "_chunk")

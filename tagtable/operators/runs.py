@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtable import constants as K
-from tagtable.operators.positions import positions, prefix_max
+from tagtable.operators.positions import chunk_max, chunk_positions, chunked, positions
 
 ROUND = 6
 
@@ -53,13 +53,15 @@ def early_stop(pairs: DataFrame, patience: int, run: str = "run_id", metric: str
                order: str = "step") -> DataFrame:
     """Epoch at which early stopping fires: the first evaluation where
     ``patience`` evaluations in a row have not beaten the best so far (W8).
-    Null when it never fires. Running maxima are chunked per run."""
+    Null when it never fires. One probe cuts the order column into chunks;
+    the index, the best so far and the last improvement are carried over
+    those same chunks (see ``positions``)."""
     ev = pairs.filter(F.col(metric).isNotNull()).select(run, order, "epoch", metric)
-    ev = positions(ev, order, by=[run], out="eval_idx")
-    ev = prefix_max(ev, metric, order, by=[run], out="prev_best", inclusive=False)
-    ev = ev.withColumn("improved", F.col("prev_best").isNull() | (F.col(metric) > F.col("prev_best")))
-    ev = ev.withColumn("_imp_idx", F.when(F.col("improved"), F.col("eval_idx")))
-    ev = prefix_max(ev, "_imp_idx", order, by=[run], out="last_improved")
+    by_order = [F.col(order).asc_nulls_last(), F.col("epoch"), F.col(metric)]
+    ev = chunk_positions(chunked(ev, order, by=[run]), by_order, "eval_idx")
+    ev = chunk_max(ev, metric, by_order, "prev_best", inclusive=False)
+    ev = ev.withColumn("_imp_idx", F.when(F.col("prev_best").isNull() | (F.col(metric) > F.col("prev_best")), F.col("eval_idx")))
+    ev = chunk_max(ev, "_imp_idx", by_order, "last_improved")
     ev = ev.withColumn("streak", F.col("eval_idx") - F.col("last_improved"))
     return ev.groupBy(run).agg(
         F.min(F.when(F.col("streak") >= patience, F.col("epoch"))).alias("stop_epoch"),
@@ -84,7 +86,7 @@ def family(name: Column | str) -> Column:
 
 def version_suffix(name: Column | str) -> Column:
     n = F.col(name) if isinstance(name, str) else name
-    return F.substring_index(n, ".", -1).try_cast("int")
+    return F.substring_index(n, ".", -1).try_cast("bigint")
 
 
 def has_version(name: Column | str) -> Column:
@@ -99,13 +101,18 @@ def next_version(names: DataFrame, name: str = "Name") -> DataFrame:
         (F.coalesce(F.max(version_suffix(name)), F.lit(0)) + 1).alias("next_version"))
 
 
-def natural_key(name: Column | str, width: int = 12) -> Column:
-    """Sort key for natural order (O4): digit runs are left-padded so
-    ``V0.0.10`` sorts after ``V0.0.9``."""
+def natural_key(name: Column | str) -> Column:
+    """Sort key for natural order (O4): each run of digits loses its leading
+    zeros and gets its length in front (ten digits), so ``V0.0.10`` sorts
+    after ``V0.0.9`` whatever the length of the runs."""
     n = F.col(name) if isinstance(name, str) else name
     parts = F.regexp_extract_all(n, F.lit("([0-9]+|[^0-9]+)"), 1)
-    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]+$"), F.lpad(x, width, "0"))
-                                    .otherwise(x)), "")
+
+    def one(x: Column) -> Column:
+        digits = F.regexp_replace(x, "^0+", "")
+        return F.when(x.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)).otherwise(x)
+
+    return F.array_join(F.transform(parts, one), "")
 
 
 def top_k_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int,
@@ -122,25 +129,33 @@ def top_k_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int,
 
 
 # -- model to test-file matching -----------------------------------------------
-def substring_candidates(files: DataFrame, file_col: str, prefix: str, out: str = "cand") -> DataFrame:
-    """Every substring of the file name that starts at the first occurrence of
-    ``prefix`` and is at least as long as it. Model names all start with
-    ``prefix``, so 'file contains name' becomes an equi-join on these
-    candidates: O(length) rows per file and no pairing of all models with
-    all files."""
+def substring_candidates(files: DataFrame, file_col: str, lengths: Sequence[int], out: str = "cand",
+                         at_start: bool = False) -> DataFrame:
+    """Every substring of the file name with one of ``lengths``, at any place
+    or at the start only. 'File contains name' becomes an equi-join on these
+    candidates: at most (name length x distinct lengths) rows per file, and no
+    pairing of all models with all files."""
     f = F.col(file_col)
-    pos = F.instr(f, prefix)
-    lengths = F.sequence(F.lit(len(prefix)), F.length(f) - pos + 1)
-    return files.filter(pos > 0).select(
-        "*", F.explode(F.transform(lengths, lambda n: F.substring(f, pos, n))).alias(out))
+    sizes = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(f))
+    places = (lambda n: F.array(F.lit(1))) if at_start else (lambda n: F.sequence(F.lit(1), F.length(f) - n + 1))
+    cands = F.flatten(F.transform(sizes, lambda n: F.transform(places(n), lambda p: F.substring(f, p, n))))
+    return files.select("*", F.explode(F.array_distinct(cands)).alias(out))
+
 
+def name_lengths(names: DataFrame, name: str) -> list[int]:
+    """Distinct lengths of the names (as many as the longest name is long, at most)."""
+    return sorted(r[0] for r in names.select(F.length(name)).distinct().collect() if r[0])
 
-def match_models_to_files(models: DataFrame, files: DataFrame, name: str = "Name", file_col: str = "file",
-                          prefix: str = "SlovakBERT_NER_Model_V") -> DataFrame:
+
+def match_models_to_files(models: DataFrame, files: DataFrame, name: str = "Name", file_col: str = "file") -> DataFrame:
     """Test file per model (J3): files containing the model name, else files
     containing the name minus its last two characters; the greatest file
-    name is taken so the choice is deterministic."""
-    cands = substring_candidates(files.select(file_col), file_col, prefix).dropDuplicates([file_col, "cand"])
+    name is taken so the choice is deterministic. Names need no common
+    prefix and may stand anywhere in the file name."""
+    lengths = name_lengths(models, name)
+    wanted = sorted({n for m in lengths for n in (m, m - 2) if n > 0})
+    files = files.select(file_col).where(F.col(file_col).isNotNull()).distinct()
+    cands = substring_candidates(files, file_col, wanted)
     exact = models.select(name).join(cands, F.col(name) == F.col("cand")).groupBy(name).agg(
         F.max(file_col).alias("exact_file"))
     trimmed_key = F.expr(f"substring({name}, 1, length({name}) - 2)")
@@ -155,6 +170,17 @@ def match_models_to_files(models: DataFrame, files: DataFrame, name: str = "Name
     )
 
 
+def pick_version_folder(versions: DataFrame, folders: DataFrame, version: str = "version", folder: str = "folder",
+                        at_start: bool = False) -> DataFrame:
+    """Model folder of each version (J4): the least folder name that contains
+    the version, or starts with it; null where there is none. The least is
+    taken because the order of a directory listing is arbitrary."""
+    wanted = versions.select(version).distinct()
+    cands = substring_candidates(folders.select(folder).distinct(), folder, name_lengths(wanted, version), at_start=at_start)
+    found = wanted.join(cands, F.col(version) == F.col("cand")).groupBy(version).agg(F.min(folder).alias(folder))
+    return wanted.join(found, version, "left")
+
+
 def version_test_rows(version: Column, table: Sequence[tuple[str, int]] = K.VERSION_TEST_ROWS,
                       default: int = K.VERSION_TEST_ROWS_DEFAULT) -> Column:
     """Version-specific default test size, else the fallback."""
@@ -165,20 +191,19 @@ def version_test_rows(version: Column, table: Sequence[tuple[str, int]] = K.VERS
 
 
 # -- sweeps and configurations ---------------------------------------------------
-MAX_GRID_VALUES = 1000
-
-
 def param_grid_from_values(values: DataFrame, value_col: str, names: Sequence[str]) -> DataFrame:
     """Product of one value list with itself, once per name (J6, ``repeat``).
-    The distinct values are gathered into one array whose size is checked,
-    then expanded by nested explodes: no join, no all-pairs of data rows."""
-    arr = values.select(value_col).distinct().agg(F.sort_array(F.collect_list(value_col)).alias("v"))
-    arr = arr.select(F.when(F.size("v") <= MAX_GRID_VALUES, F.col("v"))
-                     .otherwise(F.raise_error(F.lit("parameter list too long for a grid"))).alias("v"))
-    out = arr
-    for n in names:
-        out = out.select("*", F.explode("v").alias(n))
-    return out.drop("v")
+    Values are numbered; the grid is a range of n^k numbers, spread over
+    partitions, whose digits in base n are joined to the values."""
+    digits = positions(values.select(value_col).distinct(), value_col, out="_nth").select(
+        (F.col("_nth") - 1).alias("_digit"), F.col(value_col).alias("_v"))
+    n = digits.count()
+    out = values.sparkSession.range(n ** len(names))
+    for k, name in enumerate(names):
+        own = digits.select(F.col("_digit").alias("_d"), F.col("_v").alias(name))
+        digit = F.floor(F.col("id") / F.lit(n**k)) % F.lit(max(n, 1))
+        out = out.withColumn("_d", digit).join(own, "_d").drop("_d")
+    return out.select(*names)
 
 
 def param_grid(spark: SparkSession, params: Mapping[str, Sequence]) -> DataFrame:
@@ -201,11 +226,21 @@ def config_overlay(overrides: DataFrame, defaults: Mapping[str, object], run: st
     return overrides.select(run, F.inline(entries))
 
 
+def sort_runs(runs: DataFrame, metrics: Sequence[str], name: str = "Name") -> DataFrame:
+    """Runs by several metrics, all descending (O2); ties by natural name order."""
+    return runs.orderBy(*[F.col(f"`{m}`").desc() for m in metrics], natural_key(name), name)
+
+
+def generations(runs: DataFrame, group: str = "parent_version") -> DataFrame:
+    """Distinct groups in order."""
+    return runs.select(group).distinct().orderBy(group)
+
+
 def metrics_long(runs: DataFrame, name: str = "Name",
-                 groups: Sequence[tuple[str, Sequence[str]]] = K.EVALUATION_COLUMNS) -> DataFrame:
-    """Wide metric columns to ``(Name, category, metric, value)`` rows."""
+                 groups: Sequence[tuple[str, Sequence[str]]] = K.EVALUATION_COLUMNS, keep: Sequence[str] = ()) -> DataFrame:
+    """Wide metric columns to ``(Name, category, metric, value)`` rows (C18), with the ``keep`` columns."""
     entries = F.array(*[
         F.struct(F.lit(cat).alias("category"), F.lit(m).alias("metric"), F.col(f"`{m}`").cast("double").alias("value"))
         for cat, cols in groups for m in cols
     ])
-    return runs.select(name, F.inline(entries))
+    return runs.select(name, *keep, F.inline(entries))

@@ -186,7 +186,7 @@ ORACLE["align_labels"] = (
     "FROM wi JOIN fx ON wi.id = fx.id"
 )
 ORACLE["argmax_labels"] = (
-    "SELECT vec_id, CAST(list_position(embedding[1:14], list_max(embedding[1:14])) - 1 AS INTEGER) AS pred, label "
+    "SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS pred, label "
     "FROM embeddings"
 )
 ORACLE["confusion"] = f"WITH {CTE_CONF} SELECT gold, pred, n FROM conf"
@@ -408,7 +408,8 @@ CTE_RUNS = (
 PARENT = (f"coalesce(nullif(regexp_extract(Name, {lit(K.PARENT_VERSION_PATTERN)}, 1), ''), "
           f"{lit(K.DEFAULT_PARENT_VERSION)})")
 NATKEY = ("array_to_string(list_transform(regexp_extract_all(Name, '([0-9]+|[^0-9]+)', 1), "
-          "lambda x: CASE WHEN regexp_matches(x, '^[0-9]+$') THEN lpad(x, 12, '0') ELSE x END), '')")
+          "lambda x: CASE WHEN regexp_matches(x, '^[0-9]+$') THEN "
+          "lpad(length(ltrim(x, '0'))::VARCHAR, 10, '0') || ltrim(x, '0') ELSE x END), '')")
 ORACLE["parent_version"] = f"WITH {CTE_RUNS} SELECT Name, {PARENT} AS parent_version FROM rt"
 ORACLE["natural_sort"] = f"WITH {CTE_RUNS} SELECT Name, {NATKEY} AS natural_key FROM rt"
 ORACLE["top_runs"] = (
@@ -419,7 +420,7 @@ ORACLE["top_runs"] = (
 )
 ORACLE["next_version"] = (
     f"WITH {CTE_RUNS} SELECT array_to_string(list_slice(string_split(Name, '.'), 1, len(string_split(Name, '.')) - 1), '.') "
-    "AS family, CAST(coalesce(max(TRY_CAST(string_split(Name, '.')[-1] AS INTEGER)), 0) + 1 AS INTEGER) AS next_version "
+    "AS family, CAST(coalesce(max(TRY_CAST(string_split(Name, '.')[-1] AS BIGINT)), 0) + 1 AS BIGINT) AS next_version "
     "FROM rt GROUP BY family"
 )
 ORACLE["model_dataset_match"] = (
@@ -466,12 +467,67 @@ ORACLE["annotate_corpus"] = (
     f"WITH {CTE_FILLED}, "
     "lw AS (SELECT id, token_index, arg_max(new_tag, seq) AS new_tag FROM pc WHERE status = 'ok' "
     "GROUP BY id, token_index), "
-    "tk AS (SELECT id, unnest(fixed_tags) AS tag, unnest(model_tags) AS mtag, "
+    "tk AS (SELECT id, unnest(tokens) AS token, unnest(fixed_tags) AS tag, unnest(model_tags) AS mtag, "
     "CAST(generate_subscripts(fixed_tags, 1) - 1 AS INTEGER) AS k FROM ann) "
-    "SELECT tk.id, string_agg(CAST(mtag AS VARCHAR), ',' ORDER BY k) AS model_tags, "
+    "SELECT tk.id, string_agg(token, ' ' ORDER BY k) AS tokens, "
+    "string_agg(CAST(mtag AS VARCHAR), ',' ORDER BY k) AS model_tags, "
     "string_agg(CAST(coalesce(lw.new_tag, tag) AS VARCHAR), ',' ORDER BY k) AS fixed_tags "
     "FROM tk LEFT JOIN lw ON tk.id = lw.id AND tk.k = lw.token_index GROUP BY tk.id"
 )
+ORACLE["correction_order"] = (
+    f"WITH {CTE_FILLED}, "
+    "lw AS (SELECT id, token_index, arg_max(new_tag, pass) AS new_tag FROM pc WHERE status = 'ok' "
+    "AND (pass = 2 OR token_index % 2 = 0) GROUP BY id, token_index), "
+    "tk AS (SELECT id, unnest(fixed_tags) AS tag, CAST(generate_subscripts(fixed_tags, 1) - 1 AS INTEGER) AS k FROM ann) "
+    "SELECT tk.id, string_agg(CAST(coalesce(lw.new_tag, tag) AS VARCHAR), ',' ORDER BY k) AS corrected_tags "
+    "FROM tk LEFT JOIN lw ON tk.id = lw.id AND tk.k = lw.token_index GROUP BY tk.id"
+)
+ORACLE["predict_spans"] = ORACLE["accepted_spans"]
+ORACLE["modelling_dataset"] = (
+    f"WITH {CTE_ANN}, mc AS (SELECT min(id) AS key, tokens, fixed_tags FROM ann GROUP BY tokens, fixed_tags) "
+    "SELECT key, array_to_string(tokens, ' ') AS tokens, array_to_string(list_transform(range(1, 25), "
+    "lambda i: CASE WHEN i <= len(fixed_tags) THEN fixed_tags[i] ELSE -100 END), ',') AS ner_tags, "
+    "CASE WHEN key * 97 % 10000 < 6400 THEN 'train' WHEN key * 97 % 10000 < 8000 THEN 'validation' ELSE 'test' END AS subset FROM mc"
+)
+ORACLE["masked_accuracy"] = (
+    f"WITH {CTE_ANN}, r AS (SELECT unnest(fixed_tags) AS g, unnest(model_tags) AS p, "
+    "generate_subscripts(fixed_tags, 1) - 1 AS i FROM ann) "
+    "SELECT CAST(count(*) AS BIGINT) AS n_tokens, CAST(sum(CASE WHEN g = p THEN 1 ELSE 0 END) AS BIGINT) AS n_equal "
+    "FROM r WHERE i % 5 <> 4"
+)
+ORACLE["evaluation_checks"] = (
+    f"WITH {CTE_ANN}, c AS (SELECT id, fixed_tags AS g, CASE WHEN id % 9 = 0 THEN model_tags[1:5] ELSE model_tags END AS p FROM ann), "
+    "n AS (SELECT id, len(g) AS ng, len(p) AS np, CASE WHEN id % 11 = 0 AND least(len(g), len(p)) >= 3 THEN 1 ELSE 0 END AS odd FROM c) "
+    "SELECT count(*) AS n_rows, CAST(sum(CASE WHEN ng <> np THEN 1 ELSE 0 END) AS BIGINT) AS mismatched_rows, "
+    "CAST(sum(abs(ng - np)) AS BIGINT) AS unpaired_tokens, CAST(sum(odd) AS BIGINT) AS unknown_tag_pairs, "
+    "CAST(sum(least(ng, np) - odd) AS BIGINT) AS counted_pairs FROM n"
+)
+ORACLE["version_folder"] = (
+    f"WITH {CTE_RUNS}, v AS (SELECT DISTINCT regexp_extract(Name, 'V(_POC|[0-9]+\\.[0-9]+\\.[0-9]+)', 1) AS version FROM rt) "
+    "SELECT version, min(Name) AS folder FROM v LEFT JOIN rt ON contains(Name, version) GROUP BY version"
+)
+ORACLE["compare_runs"] = (
+    f"WITH {CTE_RUNS}, "
+    f'r1 AS (SELECT *, {PARENT} AS parent_version, {NATKEY} AS nk FROM rt), '
+    'r2 AS (SELECT *, row_number() OVER (PARTITION BY parent_version ORDER BY "test/macro_f1", nk) AS rank FROM r1), '
+    "r3 AS (SELECT * FROM r2 WHERE rank <= 5) "
+    + " UNION ALL ".join(
+        f"SELECT Name, parent_version, rank, '{cat}' AS category, '{m}' AS metric, CAST(\"{m}\" AS DOUBLE) AS value FROM r3"
+        for cat, cols in K.EVALUATION_COLUMNS for m in cols)
+)
+ORACLE["sorted_runs"] = (
+    f'WITH {CTE_RUNS} SELECT Name, {PARENT} AS parent_version, "test/macro_f1", "test/f1" FROM rt '
+    'ORDER BY "test/macro_f1" DESC, "test/f1" DESC, Name'
+)
+ORACLE["generations"] = f"WITH {CTE_RUNS} SELECT DISTINCT {PARENT} AS parent_version FROM rt ORDER BY parent_version"
+ORACLE["training_history"] = (
+    f"WITH {CTE_REC}, "
+    "b AS (SELECT run_id, epoch AS best_epoch FROM (SELECT *, row_number() OVER (PARTITION BY run_id "
+    "ORDER BY eval_f1 DESC, epoch) AS r FROM hp WHERE eval_f1 IS NOT NULL) WHERE r = 1), "
+    "es AS (" + ORACLE["early_stop"].replace(f"WITH {CTE_REC}, ", "WITH ", 1) + ") "
+    "SELECT hp.run_id, epoch, step, round(eval_f1, 6) AS eval_f1, best_epoch, stop_epoch, n_evals "
+    "FROM hp LEFT JOIN b ON hp.run_id = b.run_id LEFT JOIN es ON hp.run_id = es.run_id"
+)
 CTE_MC = (
     CTE_ANN + ", "
     "mc0 AS (SELECT id, tokens, CAST(fixed_tags AS BIGINT[]) AS ner_tags FROM ann), "
@@ -493,10 +549,15 @@ ORACLE["evaluate_models"] = (
     "files AS (SELECT * FROM (SELECT CASE run_id % 4 WHEN 0 THEN 'test_dataset_' || Name || '.csv' "
     "WHEN 1 THEN 'test_dataset_' || substring(Name, 1, length(Name) - 2) || '_old.csv' "
     "WHEN 3 THEN 'test_' || Name || '_v2.csv' END AS file FROM rt) WHERE file IS NOT NULL), "
-    "models AS (SELECT DISTINCT r.Name, r.run_id FROM rt r JOIN files f ON contains(f.file, r.Name) "
-    "OR contains(f.file, substring(r.Name, 1, length(r.Name) - 2))), "
+    "ex AS (SELECT r.Name, max(f.file) AS file FROM rt r JOIN files f ON contains(f.file, r.Name) GROUP BY r.Name), "
+    "tm AS (SELECT r.Name, max(f.file) AS file FROM rt r "
+    "JOIN files f ON contains(f.file, substring(r.Name, 1, length(r.Name) - 2)) GROUP BY r.Name), "
+    "models AS (SELECT r.Name, r.run_id, coalesce(ex.file, tm.file) AS file FROM rt r LEFT JOIN ex ON r.Name = ex.Name "
+    "LEFT JOIN tm ON r.Name = tm.Name WHERE coalesce(ex.file, tm.file) IS NOT NULL), "
+    "ranked AS (SELECT file, row_number() OVER (ORDER BY file) - 1 AS nth, count(*) OVER () AS n_files "
+    "FROM (SELECT DISTINCT file FROM models)), "
     "pairs AS (SELECT m.Name, t.tag AS gold, CAST((t.id * 7 + t.idx * 13 + m.run_id % 14) % 14 AS INTEGER) AS pred "
-    "FROM mrows t, models m WHERE t.subset = 'test'), "
+    "FROM ranked r JOIN models m ON m.file = r.file JOIN mrows t ON t.id % r.n_files = r.nth WHERE t.subset = 'test'), "
     "conf AS (SELECT Name, gold, pred, count(*) AS n FROM pairs GROUP BY Name, gold, pred), "
     "sup AS (SELECT Name, gold AS label, sum(n) AS support, sum(CASE WHEN gold = pred THEN n ELSE 0 END) AS tp "
     "FROM conf GROUP BY Name, gold), "

@@ -10,8 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtable.constants import LABELS
-from tagtable.functions.labels import align_labels, argmax, label_id, label_name, label_names
+from tagtable.functions.labels import align_labels, argmax, drop_masked, label_id, label_name
 from tagtable.functions.normalize import normalize
 from tagtable.functions.tokens import tokenize
 from tagtable.operators import corrections as C
@@ -19,9 +18,9 @@ from tagtable.operators import datasets as D
 from tagtable.operators import metrics as M
 from tagtable.operators import runs as R
 from tagtable.operators import tagger as T
-from tagtable.operators.positions import attach, positions, rank_table
+from tagtable.operators.positions import positions
 from tagtable.operators.pieces import piece_word_ids, words_from_pieces
-from tagtable.operators.spans import entity_spans, piece_boundaries, spans_from_pieces
+from tagtable.operators.spans import entity_spans, spans_from_pieces
 from tagtable.sources import fixtures as fx
 from tagtable.sources.tables import read_table, spread
 
@@ -93,7 +92,7 @@ def align_labels_query(spark, sf):
 
 def argmax_labels(spark, sf):
     e = read_table(spark, sf, "embeddings", ["vec_id", "embedding", "label"])
-    return e.select("vec_id", argmax("embedding", len(LABELS)).alias("pred"), "label")
+    return e.select("vec_id", argmax("embedding").alias("pred"), "label")
 
 
 # -- step 3: metrics ---------------------------------------------------------
@@ -162,7 +161,7 @@ def filter_numeric_query(spark, sf):
 
 
 def filter_apostrophe_query(spark, sf):
-    e = fx.external_corpus(spark, sf).filter(F.col("subset") == "test")
+    e = fx.external_corpus(spark, sf, subset="test")
     return D.filter_apostrophe(e).select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"))
 
 
@@ -190,11 +189,10 @@ def distribution_query(spark, sf):
 
 # -- step 5: review and corrections -------------------------------------------
 def _review(spark, sf):
-    """Annotated sentences with their 1-based row number in id order. Ranks
-    come from the raw ids (no text work) and are attached with a size check."""
+    """Annotated sentences with their 1-based row number in id order. Numbers
+    come from the raw ids (no text work) and are joined on the unique id."""
     a = fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags")
-    ranks, n = rank_table(fx.sentences(spark, sf).select("id"), "id", out="row")
-    return attach(a, ranks, ["id"], n)
+    return a.join(positions(fx.sentences(spark, sf).select("id"), "id", out="row"), "id")
 
 
 def review_blocks_query(spark, sf):
@@ -205,7 +203,11 @@ def filled_blocks(spark, sf):
     """A reviewer's answers for every token: most keep the label, every
     17th changes it, some are left empty (rejects), and a second pass
     changes half of the changed ones again (the last one must win)."""
-    r = C.review_rows(_review(spark, sf), "row")
+    return _filled(_review(spark, sf))
+
+
+def _filled(numbered):
+    r = C.review_rows(numbered, "row")
     h = F.pmod(F.col("id") * 3 + F.col("token_index"), F.lit(17))
     new1 = (F.when(h == 1, F.lit("")).when(h == 0, label_name(F.pmod(F.col("tag") + 1, F.lit(14))))
             .otherwise(label_name(F.col("tag"))))
@@ -227,13 +229,24 @@ def parse_corrections_query(spark, sf):
 
 
 def apply_corrections_query(spark, sf):
-    a = fx.annotated_sentences(spark, sf).select("id", "fixed_tags")
-    corr = C.parse_corrections(filled_blocks(spark, sf))
+    a = fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row"))
+    corr = C.parse_corrections(_filled(a))
     out = C.apply_corrections(a, corr, out="corrected_tags")
     return out.select("id", _ints(F.col("fixed_tags")).alias("fixed_tags"),
                       _ints(F.col("corrected_tags")).alias("corrected_tags"))
 
 
+def correction_order_query(spark, sf):
+    """Corrections from two sources for the same tokens; the second
+    source wins wherever both answer."""
+    a = fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row"))
+    corr = C.parse_corrections(_filled(a))
+    seq = F.struct(F.col("pass").alias("nth"), F.lit("").alias("file"), F.lit(0).alias("start"), F.col("seq").alias("row"), F.lit(0).alias("part"))
+    corr = corr.filter((F.col("pass") == 2) | (F.pmod("token_index", F.lit(2)) == 0)).withColumn("seq", seq)
+    out = C.apply_corrections(a, corr, out="corrected_tags")
+    return out.select("id", _ints(F.col("corrected_tags")).alias("corrected_tags"))
+
+
 # -- step 7: runs --------------------------------------------------------------
 def _records(spark, sf):
     kept = R.keep_step_records(fx.history_records(spark, sf))
@@ -319,16 +332,49 @@ def metrics_long_query(spark, sf):
 
 # -- step 8: tagger and pipelines ----------------------------------------------
 def annotate_corpus_query(spark, sf):
-    """L1 end to end with the fixture model run through mapInPandas and the
-    reviewer's corrections applied."""
+    """L1 end to end with the fixture model run through mapInArrow and the
+    reviewer's corrections applied. The reviewer's blocks are written from
+    the annotation without their display row, which nothing reads back."""
     from tagtable.plans.pipelines import annotate_corpus
 
-    corr = C.parse_corrections(filled_blocks(spark, sf))
+    corr = C.parse_corrections(_filled(fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row"))))
     out = annotate_corpus(fx.sentences(spark, sf), T.FixturePredictor, corrections=corr)
-    return out.select("id", _ints(F.col("model_tags")).alias("model_tags"),
+    return out.select("id", F.array_join("tokens", " ").alias("tokens"), _ints(F.col("model_tags")).alias("model_tags"),
                       _ints(F.col("fixed_tags")).alias("fixed_tags"))
 
 
+def predict_spans_query(spark, sf):
+    """Raw text to accepted spans with the fixture model."""
+    from tagtable.plans.pipelines import predict_spans
+
+    return predict_spans(fx.sentences(spark, sf), T.FixturePredictor)
+
+
+def modelling_dataset_query(spark, sf):
+    """L2: annotated sentences as list text, parsed, deduplicated, split by
+    an integer bucket and padded."""
+    from tagtable.plans.pipelines import modelling_dataset
+
+    a = fx.annotated_sentences(spark, sf).select(
+        "id", F.to_json("tokens").alias("tokens"), F.to_json("fixed_tags").alias("fixed_tags"))
+    out = modelling_dataset(a, bucket=F.pmod(F.col("key") * 97, F.lit(10000)), max_length=24)
+    return out.select("key", F.array_join("tokens", " ").alias("tokens"), _ints(F.col("ner_tags")).alias("ner_tags"), "subset")
+
+
+def _with_masked(spark, sf):
+    a = fx.annotated_sentences(spark, sf).select("id", "fixed_tags", "model_tags")
+    gold = F.transform("fixed_tags", lambda t, i: F.when(F.pmod(i, F.lit(5)) == 4, F.lit(-100)).otherwise(t))
+    pairs = F.arrays_zip(gold.alias("label"), F.col("model_tags").alias("pred"))
+    return a.select("id", drop_masked(pairs, "label").alias("p"))
+
+
+def masked_accuracy_query(spark, sf):
+    """positions labelled -100 are dropped before tokens are compared."""
+    e = _with_masked(spark, sf)
+    return e.agg(F.sum(F.size("p")).alias("n_tokens"),
+                 F.sum(F.size(F.filter("p", lambda x: x["label"] == x["pred"]))).alias("n_equal"))
+
+
 def _split_rows(spark, sf, subset):
     mc = modelling_corpus(spark, sf).filter(F.col("subset") == subset)
     return T.token_rows(mc.withColumnRenamed("key", "id"))
@@ -345,24 +391,67 @@ def logreg_tagger_query(spark, sf):
     return T.predict_logreg(model, _split_rows(spark, sf, "test")).select("id", "idx", "token", "tag", "pred")
 
 
-MAX_MODELS = 10000
+def _fixture_model(params: dict):
+    return T.FixturePredictor(shift=int(params["run_id"]) % 14)
 
 
 def evaluate_models_query(spark, sf):
-    """L3 + L4: every registered model that has a test file, scored on the
-    saved test split in one job."""
+    """L3 + L4: every model that has a test file is scored on that file's
+    rows. Test rows belong to one file each, by id over the files in order."""
     from tagtable.plans.pipelines import evaluate_models, test_split_repr
 
     runs = fx.run_table(spark, sf)
     matched = R.match_models_to_files(runs.select("Name"), fx.test_files(runs)).filter(F.col("file").isNotNull())
-    registry = matched.join(runs.select("Name", "run_id"), "Name").select("Name", "run_id")
-    entries = registry.limit(MAX_MODELS + 1).collect()  # the model registry, not data
-    if len(entries) > MAX_MODELS:
-        raise ValueError("model registry larger than the bound for one scoring pass")
-    factories = {r.Name: (lambda shift=int(r.run_id) % 14: T.FixturePredictor(shift=shift)) for r in entries}
-    test = test_split_repr(modelling_corpus(spark, sf).filter(F.col("subset") == "test")).withColumnRenamed(
-        "key", "id")
-    return evaluate_models(test, factories).withColumnRenamed("model", "Name")
+    work = matched.select("Name", "file").join(runs.select("Name", "run_id"), "Name")
+    files = work.select("file").distinct()
+    ranked = files.withColumn("_o", F.lit(0).cast("long"))
+    ranked = positions(ranked, "_o", out="nth", ties=[F.col("file")]).select("file", (F.col("nth") - 1).alias("nth"))
+    n = files.count()
+    test = test_split_repr(modelling_corpus(spark, sf).filter(F.col("subset") == "test")).withColumnRenamed("key", "id")
+    test = test.withColumn("nth", F.pmod(F.col("id"), F.lit(max(n, 1))))
+    rows = test.join(ranked.join(work, "file"), "nth")
+    return evaluate_models(rows, _fixture_model, ["run_id"], model="Name")
+
+
+def version_folder_query(spark, sf):
+    """The least run folder whose name contains each version."""
+    runs = fx.run_table(spark, sf)
+    versions = runs.select(F.regexp_extract("Name", r"V(_POC|[0-9]+\.[0-9]+\.[0-9]+)", 1).alias("version")).distinct()
+    return R.pick_version_folder(versions, runs.select(F.col("Name").alias("folder")))
+
+
+def compare_runs_query(spark, sf):
+    """The runs with the lowest macro F1 of each generation, in long form."""
+    from tagtable.plans.pipelines import compare_runs
+
+    return compare_runs(fx.run_table(spark, sf), k=5)
+
+
+def sorted_runs_query(spark, sf):
+    """Runs ordered by several metrics; the place is made a column."""
+    runs = R.sort_runs(fx.run_table(spark, sf), ["test/macro_f1", "test/f1"])
+    return runs.select("Name", R.parent_version("Name").alias("parent_version"), "`test/macro_f1`", "`test/f1`")
+
+
+def generations_query(spark, sf):
+    return R.generations(fx.run_table(spark, sf).select(R.parent_version("Name").alias("parent_version")))
+
+
+def training_history_query(spark, sf):
+    """Merged records with the best and the early-stopping epoch."""
+    from tagtable.plans.pipelines import training_history
+
+    h = training_history(_records(spark, sf).drop("event_id"), patience=3)
+    return h.select("run_id", "epoch", "step", F.round("eval_f1", 6).alias("eval_f1"), "best_epoch", "stop_epoch", "n_evals")
+
+
+def evaluation_checks_query(spark, sf):
+    """Row-level checks of a scored table, with sentences cut short on
+    purpose and labels outside the dictionary."""
+    a = fx.annotated_sentences(spark, sf).select("id", "fixed_tags", "model_tags")
+    cut = F.when(F.pmod("id", F.lit(9)) == 0, F.slice("model_tags", 1, 5)).otherwise(F.col("model_tags"))
+    odd = F.transform("fixed_tags", lambda t, i: F.when((F.pmod(F.col("id"), F.lit(11)) == 0) & (i == 2), F.lit(20)).otherwise(t))
+    return M.evaluation_checks(a.select(odd.alias("gold"), cut.alias("pred")), "gold", "pred")
 
 
 QUERIES: dict[str, Query] = {
@@ -405,5 +494,15 @@ QUERIES: dict[str, Query] = {
     "annotate_corpus": annotate_corpus_query,
     "majority_tagger": majority_tagger_query,
     "logreg_tagger": logreg_tagger_query,
+    "predict_spans": predict_spans_query,
+    "modelling_dataset": modelling_dataset_query,
+    "masked_accuracy": masked_accuracy_query,
+    "correction_order": correction_order_query,
+    "version_folder": version_folder_query,
+    "compare_runs": compare_runs_query,
+    "sorted_runs": sorted_runs_query,
+    "generations": generations_query,
+    "training_history": training_history_query,
+    "evaluation_checks": evaluation_checks_query,
     "evaluate_models": evaluate_models_query,
 }

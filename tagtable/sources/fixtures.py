@@ -14,6 +14,7 @@ from tagtable.functions.arrays import computed_once, let
 from tagtable.functions.labels import label_name
 from tagtable.functions.normalize import normalize
 from tagtable.functions.tokens import tokenize
+from tagtable.operators.spans import token_offsets
 from tagtable.sources.tables import read_table, spread
 
 MONTHS_GENITIVE = ("januára", "februára", "marca", "apríla", "mája", "júna",
@@ -75,24 +76,6 @@ def predictor_tags(id_col: Column | str, tokens: Column | str) -> Column:
     return F.transform(toks, lambda t, i: predictor_tag(idc, i))
 
 
-def token_offsets(tokens: Column | str) -> Column:
-    """``struct(start, end)`` of each token in the single-space joined
-    sentence. A fold over the sentence's own array (no shuffle)."""
-    toks = F.col(tokens) if isinstance(tokens, str) else tokens
-    init = F.struct(F.lit(0).alias("pos"),
-                    F.array().cast("array<struct<start:int,end:int>>").alias("out"))
-
-    def step(acc, t):
-        start = acc["pos"]
-        end = start + F.length(t)
-        return F.struct(
-            (end + 1).alias("pos"),
-            F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("out"),
-        )
-
-    return F.aggregate(toks, init, step, lambda acc: acc["out"])
-
-
 PIECE_WIDTH = 4
 
 
@@ -146,11 +129,12 @@ def annotated_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumn("fixed_tags", fix_tags("tokens", "lemmas", "model_tags"))
 
 
-def external_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A labelled external corpus from ``documents``: the whole normalised
+def external_corpus(spark: SparkSession, sf_dir: str, subset: str | None = None) -> DataFrame:
+    """With ``subset`` only that part, chosen before any text is read. A labelled external corpus from ``documents``: the whole normalised
     text, tokenised; ``2020`` appended where doc_id % 7 = 0 and ``d'Or``
     where doc_id % 10 = 0; tags from the tokens only, so copies stay copies."""
-    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id")
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = spread(docs if subset is None else docs.filter(subset_of("doc_id") == subset), "doc_id")
     base = docs.select("doc_id", computed_once(tokenize(normalize("text"))).alias("t0"))
     t0 = F.col("t0")
     toks = F.concat(
