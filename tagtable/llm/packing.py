@@ -6,9 +6,9 @@ position; each shard packs its pieces, longest first, with at most ``OPEN_BINS``
 as a bitset with one bit for each size: the lowest set bit at or above a piece's length is the best fit. Where none
 fits a sequence is opened; if too many are open, the fullest closes first.
 
-Tokenising works on distinct words: the tokenizer never joins text over white space, so each distinct white-space
-separated word of a slice of documents is encoded once and its ids are gathered for every place it stands at. Texts
-stay where they are read; only pieces (a few numbers each) are shuffled.
+Tokenising works on distinct words: the tokenizer never joins text over white space, nor over a stop after a letter, so
+each distinct part is encoded once while a worker remembers it, and its ids are gathered for every place it stands
+at. Texts stay where they are read; only pieces (a few numbers each) are shuffled.
 
 A null or empty text is the end id alone. A null doc_id is kept. Rows repeated in full are separate documents and are
 placed separately. The number of a sequence tells shard and place but means nothing. Extra columns are ignored; an
@@ -25,56 +25,118 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagtable.llm.common import read_table, settle, slices, text_buffer, word_bounds, word_hashes
+from tagtable.llm.common import IS_SPACE, is_in, read_table, settle, slices, text_buffer, word_hashes
 
 SEQUENCE, END_ID = 4096, 1
 VOCABULARY = "word_bpe_49k.json"
 SHARD_TOKENS, OPEN_BINS = 1 << 21, 256
-CACHED_WORDS = 200_000
+CACHED_WORDS = 1_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
+LETTER = np.zeros(256, bool)
+LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = True
+STOP = np.zeros(256, bool)
+STOP[list(b".,;:!?")] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def parts(data: np.ndarray, off: np.ndarray):
+    """Start and end byte of each part, and for each document the number of its first part. A part is a word or what a
+    stop after a letter cuts off from it: the tokenizer never joins over either."""
+    inside = np.append(~IS_SPACE[data], False)
+    edge = np.zeros(len(data) + 1, bool)
+    edge[off] = True
+    if len(data):
+        edge[1:-1] |= STOP[data[1:]] & LETTER[data[:-1]]
+    before = np.empty_like(inside)
+    before[0], before[1:] = False, inside[:-1]
+    starts = np.flatnonzero(inside & (~before | edge))
+    ends = np.flatnonzero(before & (~inside | edge))
+    return starts, ends, np.searchsorted(starts, off)
+
+
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z lowered, as the tokenizer does itself, but for words with a mark that a special token begins with."""
+    low = LOWER[data]
+    marks = np.flatnonzero(data == 0x3C)
+    if len(marks):
+        gaps = np.flatnonzero(IS_SPACE[data])
+        at = np.searchsorted(gaps, marks)
+        begin = np.where(at > 0, gaps[np.maximum(at - 1, 0)] if len(gaps) else 0, 0)
+        end = np.where(at < len(gaps), gaps[np.minimum(at, len(gaps) - 1)] if len(gaps) else len(data), len(data))
+        for x, y in set(zip(begin.tolist(), end.tolist())):
+            low[x:y] = data[x:y]
+    return low
+
 
 class WordIds:
-    """Token ids of words, each encoded once while it is remembered."""
+    """Token ids of words by their hash, as flat arrays. Where more than ``CACHED_WORDS`` are remembered, those met
+    only once since the last time are forgotten (they are encoded again when they return)."""
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
 
         with open(vocabulary, encoding="utf-8") as f:
             self.tokenizer = Tokenizer.from_str(f.read())
-        self.known: dict[int, np.ndarray] = {}
+        self._hold(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
+    def _hold(self, keys, begin, n, uses, flat) -> None:
+        self.keys, self.begin, self.n, self.uses, self.flat = keys, begin, n, uses, flat
+
+    def look_up(self, keys: np.ndarray, word) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and number of ids in ``flat`` for sorted distinct keys; ``word(i)`` gives the text of the i-th."""
+        new = np.flatnonzero(~is_in(keys, self.keys))
+        if len(new):
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast([word(i) for i in new.tolist()], add_special_tokens=False)]
+            n = np.array([len(x) for x in coded], np.int64)
+            begin = len(self.flat) + np.cumsum(n) - n
+            flat = np.concatenate([self.flat, np.fromiter((i for x in coded for i in x), np.uint32, int(n.sum()))])
+            at = np.searchsorted(self.keys, keys[new])
+            self._hold(np.insert(self.keys, at, keys[new]), np.insert(self.begin, at, begin), np.insert(self.n, at, n), np.insert(self.uses, at, 0), flat)
+        at = np.searchsorted(self.keys, keys)
+        self.uses[at] += 1
+        return self.begin[at], self.n[at]
+
+    def forget(self) -> None:
+        if len(self.keys) > CACHED_WORDS:
+            keep = self.uses > 1
+            n = self.n[keep]
+            begin = np.cumsum(n) - n
+            flat = self.flat[np.repeat(self.begin[keep] - begin, n) + np.arange(int(n.sum()))]
+            self._hold(self.keys[keep], begin, n, np.zeros(len(n), np.int64), flat)
+
+
+_ids_of: dict[str, WordIds] = {}  # a Python worker serves many tasks; words stay known between them
+
 
-    def of(self, hashes: list[int], words: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        new = [i for i, h in enumerate(hashes) if h not in self.known]
-        coded = self.tokenizer.encode_batch([words[i] for i in new], add_special_tokens=False)
-        self.known.update((hashes[i], np.array(e.ids, np.uint32)) for i, e in zip(new, coded))
-        return [self.known[h] for h in hashes]
+def word_ids(vocabulary: str) -> WordIds:
+    if vocabulary not in _ids_of:
+        _ids_of[vocabulary] = WordIds(vocabulary)
+    return _ids_of[vocabulary]
 
 
 def token_ids(texts, ids: WordIds):
     """For slices of documents: (first document, ids of all, edges between documents)."""
     data, off = text_buffer(texts)
     for i, j in slices(off):
-        part, o = data[off[i] : off[j]], off[i : j + 1] - off[i]
-        starts, ends, first = word_bounds(part, o)
+        part, o = lowered(data[off[i] : off[j]]), off[i : j + 1] - off[i]
+        starts, ends, first = parts(part, o)
         if not len(starts):
             yield i, np.zeros(0, np.uint32), np.zeros(j - i + 1, np.int64)
             continue
         keys, at, back = np.unique(word_hashes(part, starts, ends), return_index=True, return_inverse=True)
-        raw = part.tobytes()
-        coded = ids.of(keys.tolist(), [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-        n = np.array([len(x) for x in coded], np.int64)
-        flat, begin = np.concatenate(coded), np.cumsum(n) - n
+        raw, a, b = part.tobytes(), starts[at].tolist(), ends[at].tolist()
+        begin, n = ids.look_up(keys, lambda k: raw[a[k] : b[k]].decode())
         m = n[back]
         edge = np.concatenate(([0], np.cumsum(m)))
-        yield i, flat[np.repeat(begin[back] - edge[:-1], m) + np.arange(edge[-1])], edge[first]
+        yield i, ids.flat[np.repeat(begin[back] - edge[:-1], m) + np.arange(edge[-1])], edge[first]
+        ids.forget()
 
 
 def _pieces(sequence: int, end_id: int, vocabulary: str):
     def cut(batches):
-        ids = WordIds(vocabulary)
+        ids = word_ids(vocabulary)
         end = np.array([end_id], np.uint32)
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]

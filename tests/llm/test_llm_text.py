@@ -253,6 +253,22 @@ def test_packing(clashing):
     assert len(by) <= -(-sum(r.length for r in got) // 4096) + 1
 
 
+def test_token_ids_are_those_of_whole_texts(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 5)  # words are forgotten and met again
+    texts = ["Hello, World.", "a<|endoftext|>B", "A<|ENDOFTEXT|>b. X", "<|EndOfText|>", "don't.stop!Now 'S 'LL x'S.", "É.À é. ÉE.\u0301a a.\u0301 .\u0301",
+             "…x.y..z...", "3.14,5 U.S.A.", " x \u0130. ", None, "", " \t", "a<b.C D<|startoftext|> E", "\u01c4. ΑΣ. ΣΑΣ, ß.", "<.A", "A.<|endoftext|>.A", "x'\u0301s'S", "I'Ve'RE.We'd"]
+    path = public_tokenizers.path(packing.VOCABULARY)
+    tk, ids = Tokenizer.from_file(path), packing.WordIds(path)
+    for some in (texts, texts[::-1]):
+        for i, flat, edge in packing.token_ids(pa.array(some, pa.string()), ids):
+            for d in range(len(edge) - 1):
+                assert flat[edge[d] : edge[d + 1]].tolist() == tk.encode(some[i + d] or "", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("open_bins", [1, 3, 1000])
 def test_best_fit(open_bins):
     import random
