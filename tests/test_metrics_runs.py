@@ -66,3 +66,62 @@ def test_top_k_per_group_matches_brute_force(spark):
     for g in range(3):
         exp = sorted([(r.v, r.id) for r in rows if r.g == g])[:10]
         assert sorted((r.v, r.id) for r in got.filter(F.col("g") == g).collect()) == exp
+
+
+def test_natural_key_of_long_digit_runs(spark):
+    names = ["m.20230318144455", "m.20230318144459", "m.202303181444", "m.9", "m.10", "m.007"]
+    df = spark.createDataFrame([(n,) for n in names], "Name string").withColumn("k", R.natural_key("Name"))
+    assert df.select("k").distinct().count() == len(names)
+    assert [r.Name for r in df.orderBy("k").collect()] == ["m.007", "m.9", "m.10", "m.202303181444", "m.20230318144455", "m.20230318144459"]
+    big = spark.createDataFrame([("m.20230318144459",)], "Name string")
+    assert R.next_version(big).first().next_version == 20230318144460
+
+
+def test_matching_without_a_common_prefix(spark):
+    models = ["Other_Model_1.1", "x", "ab", "Model_2"]
+    files = ["test_Other_Model_1.1.csv", "zzMo.csv", "Model_.csv", "ab", "xx_ab"]
+    got = {r.Name: r.file for r in R.match_models_to_files(spark.createDataFrame([(m,) for m in models], "Name string"),
+                                                           spark.createDataFrame([(f,) for f in files], "file string")).collect()}
+    for m in models:
+        exact = [f for f in files if m in f]
+        cut = [f for f in files if len(m) > 2 and m[:-2] in f]
+        assert got[m] == (max(exact) if exact else max(cut) if cut else None)
+
+
+def test_version_folder(spark):
+    v = spark.createDataFrame([("1.0",), ("2.0",), ("9",)], "version string")
+    f = spark.createDataFrame([("m_1.0_b",), ("m_1.0_a",), ("2.0_x",), ("a_2.0",)], "folder string")
+    assert {r.version: r.folder for r in R.pick_version_folder(v, f).collect()} == {"1.0": "m_1.0_a", "2.0": "2.0_x", "9": None}
+    assert {r.version: r.folder for r in R.pick_version_folder(v, f, at_start=True).collect()} == {"1.0": None, "2.0": "2.0_x", "9": None}
+
+
+def test_grid_of_more_values_than_the_old_bound(spark):
+    got = R.param_grid_from_values(spark.range(1200).select((F.col("id") / 10).alias("v")), "v", ["a", "b"])
+    assert got.count() == 1200**2 and got.distinct().count() == 1200**2
+    assert R.param_grid_from_values(spark.range(0).select(F.col("id").alias("v")), "v", ["a"]).count() == 0
+
+
+def test_evaluation_checks(spark):
+    df = spark.createDataFrame([([0, -100, 20], [0, 0, 0]), ([1, 2], [1]), ([3], [3])], "g array<int>, p array<int>")
+    r = M.evaluation_checks(df, "g", "p").first()
+    assert (r.n_rows, r.mismatched_rows, r.unpaired_tokens, r.unknown_tag_pairs, r.counted_pairs) == (3, 1, 1, 2, 3)
+    assert set(M.evaluate_all(df.limit(1), "g", "p")) >= {"entity_metrics", "checks"}
+
+
+def test_chunk_matching_and_offsets_are_linear(spark):
+    """A row of 20,000 tokens takes seconds, not minutes."""
+    import time
+
+    from tagtable.operators.spans import token_offsets
+
+    n = 20000
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (i % 14).cast("int")).alias("g"),
+                               F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.repeat(F.lit("w"), (i % 7 + 1).cast("int"))).alias("t"))
+    t0 = time.time()
+    assert M.entity_metrics(df, "g", "g", ids=True).first().f1 == 1.0
+    offs = df.select(token_offsets("t").alias("o")).first().o
+    at = 0
+    for i, x in enumerate(offs):
+        assert (x.start, x.end) == (at, at + i % 7 + 1)
+        at += i % 7 + 2
+    assert time.time() - t0 < 30

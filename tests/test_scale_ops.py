@@ -53,3 +53,29 @@ def test_distribution_sums(spark):
     assert rows["train"].Num_of_Rows == 2 and rows["train"].Num_of_Tokens == 3
     assert rows["train"]["B-Person"] == 2 and rows["test"]["I-Percentage"] == 1 and rows["test"]["0"] == 0
     assert abs(rows["train"].Split - 2 / 3) < 1e-6
+
+
+def test_positions_keep_null_keys_and_ties(spark):
+    rows = [(None, 1, "a"), (None, 2, "b"), (1, 5, "c"), (1, 5, "d"), (1, None, "e"), (1, 4, "f"), (None, None, "g")]
+    df = spark.createDataFrame(rows, "k int, o long, v string")
+    got = positions(df, "o", by=["k"]).collect()
+    assert len(got) == len(rows)
+    assert sorted(r.position for r in got if r.k is None) == [1, 2, 3] and sorted(r.position for r in got if r.k == 1) == [1, 2, 3, 4]
+    by = {r.v: r.position for r in got}
+    assert (by["a"], by["b"], by["g"], by["f"], by["e"]) == (1, 2, 3, 1, 4) and {by["c"], by["d"]} == {2, 3}
+    assert by == {r.v: r.position for r in positions(df.repartition(5), "o", by=["k"]).collect()}
+    m = {r.v: r.running_max for r in prefix_max(df.withColumn("x", F.length("v") + F.coalesce("o", F.lit(9))), "x", "o", by=["k"]).collect()}
+    assert len(m) == 7 and m["a"] == 2 and m["b"] == 3 and m["e"] == 10
+
+
+def test_positions_of_sparse_ids(spark):
+    """Hashed ids: the offset table stays at one row per chunk, not one per row."""
+    from tagtable.operators import positions as P
+
+    df = spark.range(20000).select(F.xxhash64("id").alias("o"))
+    d = P.chunked(df, "o")
+    assert d.select("_chunk").distinct().count() <= P.CHUNKS
+    assert d.groupBy("_chunk").count().agg(F.max("count")).first()[0] < 200
+    got = positions(df, "o")
+    exp = df.withColumn("position", F.row_number().over(Window.orderBy("o")))
+    assert got.select("o", "position").exceptAll(exp.select("o", "position")).count() == 0 and got.count() == 20000
