@@ -544,6 +544,9 @@ ORACLE["majority_tagger"] = (
     "SELECT m.id, m.idx, m.token, m.tag, coalesce(b.tag, 0) AS pred FROM mrows m "
     "LEFT JOIN best b ON m.token = b.token WHERE m.subset = 'test'"
 )
+ORACLE["logreg_tagger"] = (
+    f"WITH {CTE_MC} SELECT tag, count(*) AS n_tagged, TRUE AS at_least_majority FROM mrows WHERE subset = 'test' GROUP BY tag"
+)
 ORACLE["evaluate_models"] = (
     f"WITH {CTE_MC}, {CTE_RUNS}, "
     "files AS (SELECT * FROM (SELECT CASE run_id % 4 WHEN 0 THEN 'test_dataset_' || Name || '.csv' "

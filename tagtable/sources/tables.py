@@ -37,12 +37,15 @@ SENTENCE_SCHEMA = T.StructType([
 ])
 
 
-def read_sentences_csv(spark: SparkSession, path: str, schema: T.StructType = SENTENCE_SCHEMA) -> DataFrame:
+def read_sentences_csv(spark: SparkSession, path: str, schema: T.StructType = SENTENCE_SCHEMA,
+                       multi_line: bool = True) -> DataFrame:
     """Raw sentence CSV (S1): comma, UTF-8, header, quoted multi-line cells.
-    An explicit schema avoids an inference pass over the whole input."""
+    An explicit schema avoids an inference pass over the whole input. A file
+    with multi-line cells cannot be split, so each file is one task: give
+    many files, or ``multi_line=False`` where no cell holds a line end."""
     return (
         spark.read.schema(schema)
-        .option("header", "true").option("multiLine", "true")
+        .option("header", "true").option("multiLine", str(multi_line).lower())
         .option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
         .csv(path)
     )
@@ -75,6 +78,39 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         w.format(fmt).save(path)
 
 
+def read_run_table(spark: SparkSession, path: str, name: str = "Name") -> DataFrame:
+    """Run-table CSV of a sweep or of several trainings (S4): one row per run,
+    the run's name and metric columns such as ``test/f1``. Columns are named by
+    the header; all but the name that hold numbers only become doubles."""
+    raw = spark.read.option("header", "true").option("quote", '"').option("escape", '"').csv(path)
+    others = [c for c in raw.columns if c != name]
+    if not others:
+        return raw
+    numeric = raw.agg(*[F.coalesce(F.bool_and(F.col(f"`{c}`").isNull() | F.col(f"`{c}`").try_cast("double").isNotNull()), F.lit(True))
+                        .alias(f"c{i}") for i, c in enumerate(others)]).first()
+    return raw.withColumns({c: F.col(f"`{c}`").cast("double") for i, c in enumerate(others) if numeric[i]})
+
+
+def read_splits(spark: SparkSession, paths: dict[str, str], label_map: dict[int, int] | None = None,
+                tags: str = "ner_tags", fmt: str = "parquet") -> DataFrame:
+    """External corpus kept as one file per split (S6): rows of all paths with
+    their ``subset``. ``label_map`` renames label ids that do not follow this
+    library's order (Q24); an id it does not name stays."""
+    parts = [spark.read.format(fmt).load(path).withColumn("subset", F.lit(subset)) for subset, path in paths.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    if label_map:
+        mapping = F.create_map(*[F.lit(x) for kv in label_map.items() for x in kv])
+        out = out.withColumn(tags, F.transform(tags, lambda t: F.coalesce(F.try_element_at(mapping, t.cast("int")).cast("bigint"), t.cast("bigint"))))
+    return out
+
+
+def append_metrics(metrics: DataFrame, path: str, name: str) -> None:
+    """Append a named metrics row to a metrics table (K2)."""
+    metrics.select(F.lit(name).alias("Name"), *[F.col(f"`{c}`") for c in metrics.columns if c != "Name"]).write.mode("append").parquet(path)
+
+
 def read_history_json(spark: SparkSession, path: str) -> DataFrame:
     """Training-history files (S5): one JSON object per file with a
     ``log_history`` array. Many runs are read in one scan; the file path is

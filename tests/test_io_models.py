@@ -55,3 +55,51 @@ def test_sweep_and_model_round_trip(spark):
     maj = T.fit_majority(tr)
     T.save_model(maj, os.path.join(d, "maj"))
     assert T.load_model(spark, os.path.join(d, "maj"), majority=True).count() == maj.count()
+
+
+def test_run_table_csv_reader(spark):
+    from tagtable.operators import runs as R
+    from tagtable.sources.tables import read_run_table
+
+    d = tempfile.mkdtemp(prefix="runs-")
+    with open(os.path.join(d, "runs.csv"), "w") as f:
+        f.write('"Name","test/f1","note","test/recall"\n"m.2","0.5","x","0.25"\n"m.10","0.75","3",""\n')
+    df = read_run_table(spark, d)
+    assert dict(df.dtypes) == {"Name": "string", "test/f1": "double", "note": "string", "test/recall": "double"}
+    assert [r.Name for r in R.sort_runs(df, ["test/f1"]).collect()] == ["m.10", "m.2"]
+
+
+def test_split_reader_with_label_map(spark):
+    from tagtable.sources.tables import read_splits
+
+    d = tempfile.mkdtemp(prefix="splits-")
+    for i, s in enumerate(("train", "validation", "test")):
+        spark.createDataFrame([(["a", "b"], [i, 5])], "tokens array<string>, ner_tags array<int>").write.parquet(os.path.join(d, s))
+    paths = {s: os.path.join(d, s) for s in ("train", "validation", "test")}
+    assert {r.subset: r.ner_tags for r in read_splits(spark, paths).collect()} == {"train": [0, 5], "validation": [1, 5], "test": [2, 5]}
+    assert {r.subset: r.ner_tags for r in read_splits(spark, paths, {0: 7, 5: 1}).collect()} == {"train": [7, 1], "validation": [1, 1], "test": [2, 1]}
+
+
+def test_metrics_rows_are_appended(spark):
+    from tagtable.operators import metrics as M
+    from tagtable.sources.tables import append_metrics
+
+    path = os.path.join(tempfile.mkdtemp(prefix="metrics-"), "t")
+    df = spark.createDataFrame([([0, 1], [0, 1])], "g array<int>, p array<int>")
+    row = M.token_metrics(M.confusion(M.gold_pred_pairs(df, "g", "p")))
+    append_metrics(row, path, "first")
+    append_metrics(row, path, "second")
+    back = spark.read.parquet(path)
+    assert sorted(r.Name for r in back.collect()) == ["first", "second"] and back.columns[0] == "Name"
+
+
+def test_saved_test_split_reads_back(spark):
+    from tagtable.functions.tokens import parse_int_repr, repr_tokens_to_sentence
+    from tagtable.plans.pipelines import test_split_repr as split_repr
+
+    df = spark.createDataFrame([(1, ["a", "b"], [0, 3]), (2, [], [])], "id long, tokens array<string>, ner_tags array<int>")
+    path = os.path.join(tempfile.mkdtemp(prefix="split-"), "t")
+    write_table(split_repr(df).select("id", "tokens_repr", "ner_tags_repr"), path, fmt="csv")
+    back = spark.read.option("header", "true").csv(path)
+    got = {r.id: (r.s, r.t) for r in back.select("id", repr_tokens_to_sentence("tokens_repr").alias("s"), parse_int_repr("ner_tags_repr").alias("t")).collect()}
+    assert got == {"1": ("a b", [0, 3]), "2": ("", [])}
