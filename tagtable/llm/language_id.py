@@ -114,42 +114,46 @@ def decode(margins: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return order[:, 0], score, unsure
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
-    """All columns of ``docs`` but text, with lang_pred, score and ambiguous."""
+def _predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], kept: list[str]) -> DataFrame:
+    """The kept columns by number (c0, c1, ...), lang_pred, score and ambiguous."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bits x features, whatever the input
-    kept = [c for c in docs.columns if c != "text"]
+    text = f"c{kept.index('text')}" if "text" in kept else "text"
 
     def run(batches):
         names, code, weights = shared.value
         for batch in batches:
-            n = batch.num_rows
+            n, texts = batch.num_rows, batch[text]
             margins, none = np.zeros((n, len(weights))), np.ones(n, bool)
-            for i, f, edge, plain in trigrams(batch["text"]):
+            for i, f, edge, plain in trigrams(texts):
                 m = np.diff(edge)
                 full = np.flatnonzero(m)
                 none[i : i + len(m)] = ~plain
                 for d in np.flatnonzero(~plain & (m > 0)).tolist():  # bytes beyond ASCII may all be marks
-                    none[i + d] = not any(c.isalpha() for c in batch["text"][i + d].as_py())
+                    none[i + d] = not any(c.isalpha() for c in texts[i + d].as_py())
                 if len(full):
                     for b, w in enumerate(weights):
                         margins[i + full, b] = np.add.reduceat(w[f], edge[full]) / m[full] * np.minimum(m[full], EVIDENCE)
             who, score, unsure = decode(margins, code) if names else (np.zeros(n, int), np.zeros(n), np.ones(n, bool))
             none |= not names
             pred = [NO_LANGUAGE if x else names[k] for x, k in zip(none.tolist(), who.tolist())]
-            yield pa.record_batch({**{f"c{k}": batch[k] for k in range(len(kept))}, "lang_pred": pa.array(pred, pa.string()),
+            yield pa.record_batch({**{f"c{k}": batch[f"c{k}"] for k in range(len(kept))}, "lang_pred": pa.array(pred, pa.string()),
                                    "score": pa.array(np.where(none, 0.0, score)), "ambiguous": pa.array(none | unsure)})
 
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)], "text")
-    fields = ", ".join(f"c{k} {docs.schema[c].dataType.simpleString()}" for k, c in enumerate(kept))
-    out = plain.mapInArrow(run, f"{fields}, lang_pred string, score double, ambiguous boolean")
-    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(kept)], "lang_pred", "score", "ambiguous")
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(kept)], *([] if "text" in kept else ["text"]))
+    fields = "".join(f"c{k} {docs.schema[c].dataType.simpleString()}, " for k, c in enumerate(kept))
+    return plain.mapInArrow(run, f"{fields}lang_pred string, score double, ambiguous boolean")
+
+
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]) -> DataFrame:
+    """All columns of ``docs`` but text, with lang_pred, score and ambiguous (which replace columns of these names)."""
+    kept = [c for c in docs.columns if c not in ("text", "lang_pred", "score", "ambiguous")]
+    return _predict(docs, model, kept).select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(kept)], "lang_pred", "score", "ambiguous")
 
 
 def keep_identified(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
     """The documents whose language is told apart without doubt; the rest (``und`` or ambiguous) is rejected."""
-    model = learn(learn_from)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    return predict(whole, model).where("NOT ambiguous").select("row.*")
+    names = docs.columns
+    return _predict(docs, learn(learn_from), names).where("NOT ambiguous").select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(names)])
 
 
 def op9(spark, sf_dir: str) -> DataFrame:
