@@ -142,17 +142,35 @@ NORMALIZATION_RULES: tuple[tuple[str, str], ...] = (
 # Trim of Python-style whitespace at both ends.
 TRIM_PATTERN = "^" + WS + "+|" + WS + "+$"
 
+# Fixed values that results are compared on: run names and their versions.
 # Default value used for runs whose name carries no parent version.
 DEFAULT_PARENT_VERSION = "SlovakBERT_NER_Model_V_POC"
 PARENT_VERSION_PATTERN = r"(SlovakBERT_NER_Model_V[0-9\.]{5})"
 
-# Version-specific test-row defaults (version -> rows), else the fallback.
+# Version-specific test-row defaults (version -> rows), else the fallback.
 VERSION_TEST_ROWS: tuple[tuple[str, int], ...] = (("_POC", 86), ("0.0.1", 7895))
 VERSION_TEST_ROWS_DEFAULT = 6254
 
-# Metric groups used when comparing runs.
+# Metric groups used when comparing runs.
 EVALUATION_COLUMNS: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("eval", ("eval/precision", "eval/recall", "eval/f1", "eval/accuracy")),
     ("test", ("test/precision", "test/recall", "test/f1", "test/accuracy")),
     ("macro", ("test/macro_precision", "test/macro_recall", "test/macro_f1")),
 )
+
+# Run configurations by version, over the defaults below; only the fields that a token tagger here uses.
+RUN_DEFAULTS: tuple[tuple[str, float], ...] = (
+    ("num_train_epochs", 3.0), ("learning_rate", 5e-05), ("weight_decay", 0.0), ("per_device_train_batch_size", 8.0),
+)
+RUN_PRESETS: tuple[tuple[str, tuple[tuple[str, float], ...]], ...] = (
+    ("_POC", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0))),
+    ("0.0.1", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 8.0))),
+    ("0.0.2", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 8.0))),
+    ("0.0.3", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("early_stopping_patience", 10.0))),
+    ("0.0.4", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("early_stopping_patience", 3.0),
+               ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975))),
+    ("0.0.5", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("early_stopping_patience", 3.0),
+               ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975))),
+    ("0.0.6", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("early_stopping_patience", 3.0),
+               ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975))),
+)

@@ -226,6 +226,21 @@ def config_overlay(overrides: DataFrame, defaults: Mapping[str, object], run: st
     return overrides.select(run, F.inline(entries))
 
 
+def preset_overlay(runs: DataFrame, version: Column, run: str = "run_id",
+                   presets: Sequence[tuple[str, Sequence[tuple[str, float]]]] = K.RUN_PRESETS,
+                   defaults: Sequence[tuple[str, float]] = K.RUN_DEFAULTS) -> DataFrame:
+    """Configuration rows of each run from the preset of its version (M4): a
+    value of the preset, else the default, else null. A version without a
+    preset takes the defaults. Output ``run, param, value, overridden``."""
+    keys = list(dict.fromkeys([k for k, _ in defaults] + [k for _, p in presets for k, _ in p]))
+    table = F.create_map(*[x for v, p in presets for x in (
+        F.lit(v), F.struct(*[F.lit(dict(p).get(k)).cast("double").alias(k) for k in keys]))])
+    own = F.try_element_at(table, version)
+    entries = F.array(*[F.struct(F.lit(k).alias("param"), F.coalesce(own[k], F.lit(dict(defaults).get(k)).cast("double")).alias("value"),
+                                 own[k].isNotNull().alias("overridden")) for k in keys])
+    return runs.select(run, F.inline(entries))
+
+
 def sort_runs(runs: DataFrame, metrics: Sequence[str], name: str = "Name") -> DataFrame:
     """Runs by several metrics, all descending (O2); ties by natural name order."""
     return runs.orderBy(*[F.col(f"`{m}`").desc() for m in metrics], natural_key(name), name)

@@ -462,6 +462,21 @@ ORACLE["metrics_long"] = (
         for cat, cols in K.EVALUATION_COLUMNS for m in cols)
 )
 
+_PRESET_KEYS = list(dict.fromkeys([k for k, _ in K.RUN_DEFAULTS] + [k for _, p in K.RUN_PRESETS for k, _ in p]))
+ORACLE["preset_configs"] = (
+    f"WITH {CTE_RUNS}, v AS (SELECT run_id, regexp_extract(Name, 'V(_POC|[0-9]+\\.[0-9]+\\.[0-9]+)', 1) AS version FROM rt), "
+    "preset(version, param, value) AS (VALUES "
+    + ", ".join(f"({lit(v)}, {lit(k)}, CAST({x!r} AS DOUBLE))" for v, p in K.RUN_PRESETS for k, x in p)
+    + "), param(param, value) AS (VALUES "
+    + ", ".join(f"({lit(k)}, CAST({dict(K.RUN_DEFAULTS).get(k, 'NULL')} AS DOUBLE))" for k in _PRESET_KEYS)
+    + ") SELECT run_id, p.param, coalesce(s.value, p.value) AS value, s.value IS NOT NULL AS overridden "
+    "FROM v CROSS JOIN param p LEFT JOIN preset s ON s.version = v.version AND s.param = p.param"
+)
+ORACLE["sweep_trials"] = (
+    "SELECT 0 AS repeat, CAST(t AS INTEGER) AS trial, CAST(CASE WHEN t < 2 THEN 0.0 ELSE 0.1 END AS DOUBLE) AS \"regParam\", "
+    "CAST(CASE WHEN t % 2 = 0 THEN 0.0 ELSE 0.5 END AS DOUBLE) AS \"elasticNetParam\", TRUE AS scored FROM range(4) r(t)"
+)
+
 # -- tagger and pipelines -------------------------------------------------------
 ORACLE["annotate_corpus"] = (
     f"WITH {CTE_FILLED}, "

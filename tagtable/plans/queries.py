@@ -402,6 +402,21 @@ def logreg_tagger_query(spark, sf):
     return hits.select("tag", "n_tagged", (F.sum("h").over(whole) >= F.sum("m").over(whole)).alias("at_least_majority"))
 
 
+def preset_configs_query(spark, sf):
+    """M4: each run's configuration by the preset of its version."""
+    version = F.regexp_extract("Name", r"V(_POC|[0-9]+\.[0-9]+\.[0-9]+)", 1)
+    return R.preset_overlay(fx.run_table(spark, sf), version)
+
+
+def sweep_trials_query(spark, sf):
+    """M3: a grid of trials on the train rows; the grid and the rows' form are
+    compared, the scores only as being within bounds."""
+    train, _ = _split_rows(spark, sf)
+    grid = {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]}
+    t = T.sweep_trials(train, grid, num_features=1 << 12, max_iter=3)
+    return t.select("repeat", "trial", "regParam", "elasticNetParam", F.col("f1").between(0, 1).alias("scored"))
+
+
 def _fixture_model(params: dict):
     return T.FixturePredictor(shift=int(params["run_id"]) % 14)
 
@@ -505,6 +520,8 @@ QUERIES: dict[str, Query] = {
     "annotate_corpus": annotate_corpus_query,
     "majority_tagger": majority_tagger_query,
     "logreg_tagger": logreg_tagger_query,
+    "preset_configs": preset_configs_query,
+    "sweep_trials": sweep_trials_query,
     "predict_spans": predict_spans_query,
     "modelling_dataset": modelling_dataset_query,
     "masked_accuracy": masked_accuracy_query,

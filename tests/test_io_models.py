@@ -103,3 +103,13 @@ def test_saved_test_split_reads_back(spark):
     back = spark.read.option("header", "true").csv(path)
     got = {r.id: (r.s, r.t) for r in back.select("id", repr_tokens_to_sentence("tokens_repr").alias("s"), parse_int_repr("ner_tags_repr").alias("t")).collect()}
     assert got == {"1": ("a b", [0, 3]), "2": ("", [])}
+
+
+def test_sweep_trials_are_run_table_rows(spark):
+    rows = [(i, k, w, "<s>", "</s>", t) for i in range(60) for k, (w, t) in enumerate([("Eva", 1), ("ma", 0), ("NBS", 3)])]
+    train = spark.createDataFrame(rows, "id long, idx int, token string, prev_token string, next_token string, tag int")
+    values = T.random_values(2, 1e-4, 1e-1, seed=7)
+    assert values == T.random_values(2, 1e-4, 1e-1, seed=7) and all(1e-4 <= v <= 1e-1 for v in values)
+    got = T.sweep_trials(train, {"regParam": values}, repeats=2, num_features=64, max_iter=3).collect()
+    assert [(r.repeat, r.trial) for r in got] == [(0, 0), (0, 1), (1, 0), (1, 1)] and {r.regParam for r in got} == set(values)
+    assert all(0 <= r.f1 <= 1 for r in got) and sum(r.best for r in got) >= 2
