@@ -230,7 +230,7 @@ def parse_corrections_query(spark, sf):
 
 
 def apply_corrections_query(spark, sf):
-    a = fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row"))
+    a = cut_lineage(fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row")))
     corr = C.parse_corrections(_filled(a))
     out = C.apply_corrections(a, corr, out="corrected_tags")
     return out.select("id", _ints(F.col("fixed_tags")).alias("fixed_tags"),
@@ -240,7 +240,7 @@ def apply_corrections_query(spark, sf):
 def correction_order_query(spark, sf):
     """Corrections from two sources for the same tokens; the second
     source wins wherever both answer."""
-    a = fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row"))
+    a = cut_lineage(fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row")))
     corr = C.parse_corrections(_filled(a))
     seq = F.struct(F.col("pass").alias("nth"), F.lit("").alias("file"), F.lit(0).alias("start"), F.col("seq").alias("row"), F.lit(0).alias("part"))
     corr = corr.filter((F.col("pass") == 2) | (F.pmod("token_index", F.lit(2)) == 0)).withColumn("seq", seq)
@@ -334,12 +334,13 @@ def metrics_long_query(spark, sf):
 # -- step 8: tagger and pipelines ----------------------------------------------
 def annotate_corpus_query(spark, sf):
     """L1 end to end with the fixture model run through mapInArrow and the
-    reviewer's corrections applied. The reviewer's blocks are written from
-    the annotation without their display row, which nothing reads back."""
+    reviewer's corrections applied. The corpus is annotated once; the
+    reviewer's blocks are written from that annotation (their display row,
+    which nothing reads back, is the id) and applied to it."""
     from tagtable.plans.pipelines import annotate_corpus
 
-    corr = C.parse_corrections(_filled(fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row"))))
-    out = annotate_corpus(fx.sentences(spark, sf), T.FixturePredictor, corrections=corr)
+    a = cut_lineage(annotate_corpus(fx.sentences(spark, sf), T.FixturePredictor))
+    out = C.apply_corrections(a, C.parse_corrections(_filled(a.withColumn("row", F.col("id")))))
     return out.select("id", F.array_join("tokens", " ").alias("tokens"), _ints(F.col("model_tags")).alias("model_tags"),
                       _ints(F.col("fixed_tags")).alias("fixed_tags"))
 

@@ -31,6 +31,16 @@ def test_tokens_come_from_the_sentence(spark):
     assert P.annotate_corpus(df, byte_level_predictor(), limit=1).count() == 1
 
 
+def test_annotation_with_corrections(spark):
+    df = spark.createDataFrame([(1, "jeden dva tri", "jeden dva tri"), (2, "x y", "x y")], "id long, text string, lemma_text string")
+    corr = spark.createDataFrame([(1, 1, 4, 1, "ok"), (1, 1, 5, 2, "ok"), (2, 0, 3, 3, "bad"), (1, 9, 2, 4, "ok")],
+                                 "id long, token_index int, new_tag int, seq long, status string")
+    plain = {r.id: r for r in P.annotate_corpus(df, T.FixturePredictor).collect()}
+    got = {r.id: r for r in P.annotate_corpus(df, T.FixturePredictor, corrections=corr).collect()}
+    assert got[2].fixed_tags == plain[2].fixed_tags
+    assert got[1].fixed_tags == [plain[1].fixed_tags[0], 5, plain[1].fixed_tags[2]]
+
+
 def test_predict_spans(spark):
     df = spark.createDataFrame([(1, "jeden dva tri styri pat sest sedem")], "id long, text string")
     spans = P.predict_spans(df, T.FixturePredictor).collect()
