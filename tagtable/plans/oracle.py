@@ -8,7 +8,7 @@ from __future__ import annotations
 import re
 
 from tagtable import constants as K
-from tagtable.sources.fixtures import SENTENCES_SQL
+from tagtable.sources.fixtures import SENTENCES_SQL, TRIGGERS
 
 
 def lit(s: str) -> str:
@@ -596,3 +596,22 @@ ORACLE["evaluate_models"] = (
     'round(avg(f1), 6) AS "test/macro_f1", '
     'round(sum(tp) / sum(support), 6) AS "test/accuracy" FROM pcf GROUP BY Name'
 )
+
+# -- the same operators over whole documents ------------------------------------
+_TRIG = "[" + ", ".join(lit(w) for w in TRIGGERS) + "]"
+CTE_DOC_TOK = (
+    f"dt0 AS (SELECT doc_id AS id, {tokenize(norm('text'))} AS t0 FROM documents), "
+    "dt1 AS (SELECT id, CASE WHEN id % 50 = 0 THEN CAST([] AS VARCHAR[]) ELSE list_transform(t0, lambda t, i: "
+    f"CASE WHEN (i - 1 + id) % 4 = 0 THEN ({_TRIG})[((i - 1) * 5 + id) % {len(TRIGGERS)} + 1] ELSE t END) END AS tokens FROM dt0), "
+    "dt2 AS (SELECT id, tokens, list_transform(tokens, lambda t, i: CASE WHEN (i - 1 + id) % 7 = 0 THEN 'január' ELSE t END) AS l0 FROM dt1), "
+    "tok AS (SELECT id, tokens, CASE WHEN id % 3 = 0 THEN list_slice(l0, 1, len(l0) - 1) "
+    "WHEN id % 3 = 2 THEN list_append(l0, 'rok') ELSE l0 END AS lemmas FROM dt2)"
+)
+for _new, _old in (("document_fix_tags", "fix_tags"), ("document_class_report", "class_report"),
+                   ("document_entity_metrics", "entity_metrics"), ("document_words", "pieces_to_words"),
+                   ("document_spans", "accepted_spans")):
+    ORACLE[_new] = ORACLE[_old].replace(CTE_TOK, CTE_DOC_TOK)
+ORACLE["annotation_mismatches"] = (
+    f"WITH {CTE_DOC_TOK} SELECT id, CAST(len(tokens) AS INTEGER) AS n_tokens, CAST(len(tokens) AS INTEGER) AS n_model_tags, "
+    "CAST(len(lemmas) AS INTEGER) AS n_lemmas FROM tok WHERE len(tokens) <> len(lemmas)"
+)

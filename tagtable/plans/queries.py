@@ -418,6 +418,48 @@ def sweep_trials_query(spark, sf):
     return t.select("repeat", "trial", "regParam", "elasticNetParam", F.col("f1").between(0, 1).alias("scored"))
 
 
+# -- the same operators over whole documents: rows of 0 to 20,000 words ----------
+def document_fix_tags_query(spark, sf):
+    a = fx.annotated_documents(spark, sf)
+    return a.select("id", F.array_join("tokens", " ").alias("tokens"), _ints(F.col("model_tags")).alias("model_tags"),
+                    _ints(F.col("fixed_tags")).alias("fixed_tags"))
+
+
+def document_class_report_query(spark, sf):
+    a = fx.annotated_documents(spark, sf)
+    return M.class_report(M.confusion(M.gold_pred_pairs(a, "fixed_tags", "model_tags")))
+
+
+def document_entity_metrics_query(spark, sf):
+    a = fx.annotated_documents(spark, sf)
+    return M.entity_metrics(a.select("fixed_tags", "model_tags"), "fixed_tags", "model_tags", ids=True)
+
+
+def _document_pieces(spark, sf):
+    a = fx.annotated_documents(spark, sf).filter(F.size("tokens") > 0)
+    return a.select("id", fx.pieces("id", "tokens").alias("pieces"))
+
+
+def document_words_query(spark, sf):
+    w = _document_pieces(spark, sf).select("id", words_from_pieces("pieces").alias("w"))
+    return w.select("id", F.array_join(F.transform("w", lambda x: x["word"]), " ").alias("words"),
+                    _ints(F.transform("w", lambda x: label_id(x["entity"]))).alias("tags"),
+                    _ints(F.transform("w", lambda x: x["start"])).alias("starts"),
+                    _ints(F.transform("w", lambda x: x["end"])).alias("ends"))
+
+
+def document_spans_query(spark, sf):
+    p = _document_pieces(spark, sf)
+    return p.select("id", F.inline_outer(spans_from_pieces("pieces"))).filter(F.col("type").isNotNull())
+
+
+def annotation_mismatches_query(spark, sf):
+    """Q6: rows whose lemmas do not pair with their words."""
+    from tagtable.plans.pipelines import annotation_mismatches
+
+    return annotation_mismatches(fx.annotated_documents(spark, sf))
+
+
 def _fixture_model(params: dict):
     return T.FixturePredictor(shift=int(params["run_id"]) % 14)
 
@@ -521,6 +563,12 @@ QUERIES: dict[str, Query] = {
     "annotate_corpus": annotate_corpus_query,
     "majority_tagger": majority_tagger_query,
     "logreg_tagger": logreg_tagger_query,
+    "document_fix_tags": document_fix_tags_query,
+    "document_class_report": document_class_report_query,
+    "document_entity_metrics": document_entity_metrics_query,
+    "document_words": document_words_query,
+    "document_spans": document_spans_query,
+    "annotation_mismatches": annotation_mismatches_query,
     "preset_configs": preset_configs_query,
     "sweep_trials": sweep_trials_query,
     "predict_spans": predict_spans_query,

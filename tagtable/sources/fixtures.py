@@ -147,6 +147,31 @@ def external_corpus(spark: SparkSession, sf_dir: str, subset: str | None = None)
     return out.select("doc_id", "tokens", tags.alias("ner_tags"), subset_of("doc_id").alias("subset"))
 
 
+TRIGGERS = ("2020", "12:30", "NBS", "január", "25", "euro", "%", "rok", "1.5", "mil", "+3", "percento")
+
+
+def annotated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as sentences of very different length: ``id, tokens,
+    lemmas, model_tags, fixed_tags``. Every fourth word is one that a rule
+    looks for, every seventh lemma a month; a third of the rows has a lemma
+    less than words and a third one more; every 50th row is empty."""
+    from tagtable.functions.rules import fix_tags
+
+    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id")
+    base = docs.select(F.col("doc_id").alias("id"), computed_once(tokenize(normalize("text"))).alias("t0"))
+    words = F.array(*[F.lit(w) for w in TRIGGERS])
+    toks = F.transform("t0", lambda t, i: F.when(F.pmod(i + F.col("id"), F.lit(4)) == 0, F.get(words, F.pmod(i * 5 + F.col("id"), F.lit(len(TRIGGERS))).cast("int"))).otherwise(t))
+    none = F.array().cast("array<string>")
+    t = base.select("id", computed_once(F.when(F.pmod("id", F.lit(50)) == 0, none).otherwise(toks)).alias("tokens"))
+    same = F.transform("tokens", lambda t, i: F.when(F.pmod(i + F.col("id"), F.lit(7)) == 0, F.lit("január")).otherwise(t))
+    t = t.withColumn("l0", computed_once(same))
+    lemmas = (F.when(F.pmod("id", F.lit(3)) == 0, F.slice("l0", 1, F.greatest(F.size("l0") - 1, F.lit(0))))
+              .when(F.pmod("id", F.lit(3)) == 2, F.concat("l0", F.array(F.lit("rok")))).otherwise(F.col("l0")))
+    t = t.select("id", "tokens", computed_once(lemmas).alias("lemmas"))
+    t = t.withColumn("model_tags", predictor_tags("id", "tokens"))
+    return t.withColumn("fixed_tags", fix_tags("tokens", "lemmas", "model_tags"))
+
+
 # -- training runs from ``events`` ---------------------------------------------
 TRAIN_EVENTS = ("view", "click")
 EVAL_EVENTS = ("signup", "purchase")
