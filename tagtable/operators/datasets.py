@@ -51,6 +51,34 @@ def dedup(df: DataFrame, cols: Sequence[str] = ("tokens", "ner_tags"), keep: str
     return df.groupBy(*cols).agg(*aggs)
 
 
+def dedup_by_digest(df: DataFrame, cols: Sequence[str], keep: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``dedup`` for callers that need little of a row: copies meet under a
+    SHA-256 digest of ``cols`` instead of the whole arrays, the smallest
+    ``keep`` survives, and ``carry`` columns (which must follow from ``cols``)
+    come along."""
+    digest = F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
+    return df.select(digest.alias("_digest"), keep, *carry).groupBy("_digest").agg(
+        F.min(keep).alias(keep), *[F.any_value(c).alias(c) for c in carry]).drop("_digest")
+
+
+def label_counts(tags: Column | str, n: int = len(LABELS)) -> Column:
+    """How often each label occurs in a row, in dictionary order."""
+    t = F.col(tags) if isinstance(tags, str) else tags
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.size(F.filter(t, lambda x: x == i)).cast("bigint"))
+
+
+def distribution_of_counts(df: DataFrame, subset: str = "subset", n_tokens: str = "n_tokens", counts: str = "counts",
+                           labels: Sequence[str] = LABELS) -> DataFrame:
+    """``distribution`` from rows that carry their token and label counts."""
+    from pyspark.sql import Window
+
+    g = df.groupBy(subset).agg(F.count(F.lit(1)).alias("Num_of_Rows"), F.sum(n_tokens).cast("bigint").alias("Num_of_Tokens"),
+                               *[F.sum(F.get(counts, i)).alias(name) for i, name in enumerate(labels)])
+    total = F.sum("Num_of_Rows").over(Window.partitionBy())
+    return g.select(F.col(subset).alias("Subset"), "Num_of_Rows", "Num_of_Tokens",
+                    F.round(F.col("Num_of_Rows") / total, ROUND).alias("Split"), *[F.col(f"`{n}`") for n in labels])
+
+
 def hash_bucket(key: Column | str, seed: int = 42, buckets: int = 10000) -> Column:
     """Stable split bucket from the row key: the same row gets the same
     subset however the data is partitioned (unlike ``randomSplit``)."""

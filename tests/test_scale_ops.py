@@ -79,3 +79,35 @@ def test_positions_of_sparse_ids(spark):
     got = positions(df, "o")
     exp = df.withColumn("position", F.row_number().over(Window.orderBy("o")))
     assert got.select("o", "position").exceptAll(exp.select("o", "position")).count() == 0 and got.count() == 20000
+
+
+def test_distribution_shuffles_no_token_arrays(spark):
+    """Copies meet under a digest: no exchange carries the tokens, and each table is read once."""
+    import re
+
+    from tagtable.plans.queries import distribution_query
+
+    plan = distribution_query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert keys and not any("tokens" in k or "ner_tags" in k for k in keys)
+    assert len(re.findall(r"FileScan parquet", plan)) == 2
+
+
+def test_corrections_need_one_grouping(spark):
+    import re
+
+    from tagtable.operators.corrections import apply_corrections
+
+    a = spark.createDataFrame([(1, [0, 0])], "id long, fixed_tags array<int>")
+    c = spark.createDataFrame([(1, 0, 3, 1, "ok")], "id long, token_index int, new_tag int, seq long, status string")
+    plan = apply_corrections(a, c)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ObjectHashAggregate|SortAggregate|HashAggregate", plan)) <= 2
+
+
+def test_dedup_by_digest_equals_dedup(spark):
+    from tagtable.operators.datasets import dedup, dedup_by_digest
+
+    rows = [(i, ["a", "b"][: i % 3], [i % 2] * (i % 3)) for i in range(40)] + [(99, None, None), (98, None, None), (97, [None], [0])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>, ner_tags array<int>")
+    a = sorted(r.id for r in dedup(df, ["tokens", "ner_tags"], keep="id").collect())
+    assert a == sorted(r.id for r in dedup_by_digest(df, ["tokens", "ner_tags"], "id").collect())
