@@ -4,9 +4,9 @@ Sources in code point order (a null source last) weigh 5, 2, 1, repeating, and s
 weight. No target passes ``MAX_COPIES`` times its source's words; what is over is shared again by weight among the rest.
 
 Within a source each document is expected target / source words times. These expected copies are prefix-summed in order
-of size, one random offset is added, and the document is taken once for each whole number its stretch of the sum
-crosses. Neighbours in that order have like sizes, so the words taken come near the target: the error stays below the
-size of the largest document. No document is taken more than three times.
+of size, one random offset is added, and the document is taken once for each whole number its part of the sum
+crosses. Neighbours in that order have like sizes, and every other stretch of them is turned round, so the words taken come near
+the target. No document is taken more than three times.
 
 The prefix sum is a rank times a constant. Ranks come from three small steps: documents counted by (source, size), by
 (source, size, hash range) and row numbers inside a hash range; a source with a third of all rows, or a size shared by
@@ -63,7 +63,17 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MAX_COPIES) -> DataFr
     share = F.min(F.when(F.col("open"), F.struct(F.col("source_size") / F.col("weight"), (F.col("left_words").cast("double") / F.col("left_weight").cast("double")).alias("share")))
                   ).over(Window.partitionBy())["share"]
     level = F.when(F.col("open"), share * F.col("weight")).otherwise((F.col("source_size") * F.lit(most)).cast("double"))
-    return s.select("source", "source_size", "weight", level.alias("target"))
+    return s.select(*sizes.columns, "weight", level.alias("target"))
+
+
+def turned(rank: Column, rate: Column, n: Column) -> Column:
+    """The place of the document with this rank by size. A stretch of ranks whose fractional expected copies make one
+    copy is taken forwards and the next one backwards (balanced systematic sampling): where the offset picks the
+    larger documents of one stretch, it picks the smaller ones of the next."""
+    part = rate - F.floor(rate)
+    stretch = F.floor((rank - 1) * part)
+    first, last = F.ceil(stretch / part) + 1, F.least(F.ceil((stretch + 1) / part), n)
+    return F.when((part > 0) & (stretch % 2 == 1), first + last - rank).otherwise(rank)
 
 
 def copies(docs: DataFrame, weights=WEIGHTS, most: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
@@ -77,21 +87,22 @@ def copies(docs: DataFrame, weights=WEIGHTS, most: int = MAX_COPIES, seed: str =
 
     d = d.withColumn("source_key", source_key(F.col("source")))
     parts = settle(d.groupBy("source", "source_key", "size", "hash_range").agg(F.count("*").alias("n")))
-    goals = targets(parts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most)
+    sources = parts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("source_docs"))
+    goals = targets(sources, weights, most)
     parts = parts.drop("source")
     levels = parts.groupBy("source_key", "size").agg(F.sum("n").alias("n"))
     above = Window.partitionBy("source_key").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
     levels = levels.select("source_key", "size", F.coalesce(F.sum("n").over(above), F.lit(0)).alias("larger"))
     beside = Window.partitionBy("source_key", "size").orderBy("hash_range").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("beside", F.coalesce(F.sum("n").over(beside), F.lit(0)))
-    goals = goals.select(source_key(F.col("source")).alias("source_key"), "source_size", "target")
+    goals = goals.select(source_key(F.col("source")).alias("source_key"), "source_size", "source_docs", "target")
     plan = (parts.join(levels, ["source_key", "size"]).join(goals, "source_key")
-            .select("source_key", "size", "hash_range", (F.col("larger") + F.col("beside")).alias("base"), "source_size", "target"))
+            .select("source_key", "size", "hash_range", (F.col("larger") + F.col("beside")).alias("base"), "source_size", "source_docs", "target"))
     inside = Window.partitionBy("source_key", "size", "hash_range").orderBy("place", "doc_id")
     d = d.withColumn("row", F.row_number().over(inside)).join(plan, ["source_key", "size", "hash_range"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = hash32(F.concat(F.lit(seed + ":"), F.coalesce("source", F.lit("")))) / F.lit(float(2**32))
-    rank = F.col("base") + F.col("row")
+    rank = turned(F.col("base") + F.col("row"), rate, F.col("source_docs"))
     crossed = F.floor(rank * rate + offset) - F.floor((rank - 1) * rate + offset)
     keep = [F.col(names.get(c, c)).alias(c) for c in docs.columns if c not in ("size", "source_size", "target", "copies")]
     return d.select(*keep, "size", "source_size", "target", crossed.cast("long").alias("copies"))

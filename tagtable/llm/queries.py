@@ -33,7 +33,7 @@ FROM w LEFT JOIN k ON w.doc_id = k.doc_id""",
     "op3_mix_sources": r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                   ('0x' || left(md5(coalesce(doc_id::VARCHAR, '')), 8))::BIGINT AS place FROM documents),
-s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, count(*) AS source_docs FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM s),
 q AS (SELECT *, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER before, 0) AS left_words,
              sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST
@@ -43,12 +43,17 @@ q AS (SELECT *, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER be
 o AS (SELECT *, 3 * source_size::HUGEINT * left_weight >= left_words::HUGEINT * weight AS is_open FROM q),
 l AS (SELECT left_words::DOUBLE / left_weight::DOUBLE AS share FROM o WHERE is_open
       ORDER BY source_size / weight, source NULLS LAST LIMIT 1),
-t AS (SELECT source, source_size, CASE WHEN is_open THEN (SELECT share FROM l) * weight ELSE (3 * source_size)::DOUBLE END AS target FROM o),
-r AS (SELECT d.*, source_size, target, row_number() OVER (PARTITION BY d.source ORDER BY size DESC, place, doc_id NULLS FIRST) AS rank,
+t AS (SELECT source, source_size, source_docs, CASE WHEN is_open THEN (SELECT share FROM l) * weight ELSE (3 * source_size)::DOUBLE END AS target FROM o),
+r AS (SELECT d.*, source_size, source_docs, target,
+             row_number() OVER (PARTITION BY d.source ORDER BY size DESC, place, doc_id NULLS FIRST) AS by_size,
              CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
              ('0x' || left(md5('mix:' || coalesce(d.source, '')), 8))::BIGINT / 4294967296.0::DOUBLE AS offs
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-c AS (SELECT *, (floor(rank * rate + offs) - floor((rank - 1) * rate + offs))::BIGINT AS copies FROM r)
+f AS (SELECT *, rate - floor(rate) AS part, floor((by_size - 1) * (rate - floor(rate))) AS stretch FROM r),
+b AS (SELECT *, CASE WHEN part > 0 AND stretch % 2 = 1
+                     THEN ceil(stretch / part) + 1 + least(ceil((stretch + 1) / part), source_docs) - by_size
+                     ELSE by_size END AS rank FROM f),
+c AS (SELECT *, (floor(rank * rate + offs) - floor((rank - 1) * rate + offs))::BIGINT AS copies FROM b)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c""",
     "op8_voronoi_knn_join": r"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
