@@ -17,6 +17,7 @@ empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -30,7 +31,8 @@ from tagtable.llm.common import IS_SPACE, is_in, read_table, settle, slices, tex
 SEQUENCE, END_ID = 4096, 1
 VOCABULARY = "word_bpe_49k.json"
 SHARD_TOKENS, OPEN_BINS = 1 << 21, 256
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
+ENCODE_AT_ONCE = 20_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 LETTER = np.zeros(256, bool)
@@ -75,6 +77,7 @@ class WordIds:
     only once since the last time are forgotten (they are encoded again when they return)."""
 
     def __init__(self, vocabulary: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work; each thread would hold memory of its own
         from tokenizers import Tokenizer
 
         with open(vocabulary, encoding="utf-8") as f:
@@ -88,10 +91,14 @@ class WordIds:
         """Begin and number of ids in ``flat`` for sorted distinct keys; ``word(i)`` gives the text of the i-th."""
         new = np.flatnonzero(~is_in(keys, self.keys))
         if len(new):
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast([word(i) for i in new.tolist()], add_special_tokens=False)]
-            n = np.array([len(x) for x in coded], np.int64)
-            begin = len(self.flat) + np.cumsum(n) - n
-            flat = np.concatenate([self.flat, np.fromiter((i for x in coded for i in x), np.uint32, int(n.sum()))])
+            counts, ids = [], [self.flat]
+            for a in range(0, len(new), ENCODE_AT_ONCE):  # the library's results are much larger than the ids
+                words = [word(i) for i in new[a : a + ENCODE_AT_ONCE].tolist()]
+                coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+                counts += map(len, coded)
+                ids.append(np.fromiter((i for x in coded for i in x), np.uint32))
+            n = np.array(counts, np.int64)
+            begin, flat = len(self.flat) + np.cumsum(n) - n, np.concatenate(ids)
             at = np.searchsorted(self.keys, keys[new])
             self._hold(np.insert(self.keys, at, keys[new]), np.insert(self.begin, at, begin), np.insert(self.n, at, n), np.insert(self.uses, at, 0), flat)
         at = np.searchsorted(self.keys, keys)
