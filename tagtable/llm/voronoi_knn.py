@@ -2,15 +2,15 @@
 
 The largest inner product is the nearest neighbour once a vector s is extended by sqrt(M^2 - |s|^2) (M: the largest norm)
 and a query by 0. A bounded sample of rows gives the pivots; data and queries belong to the cell of their nearest pivot.
-Two summaries reach the driver, of fixed size for each pivot: the k + 1 smallest distances of a cell's data to its pivot, and the
-largest distance of a cell's queries to theirs. They bound, for every query cell, the distance of the k-th neighbour;
-the triangle inequality then says which data can matter to that cell, and only those are replicated to it. Cells are
+Two summaries reach the driver, of fixed size for each pivot: the k + 1 smallest distances of a cell's data to its pivot, each
+from another vec_id, and the largest distance of a cell's queries to theirs. They bound, for every query cell, the distance
+of the k-th neighbour (one of k + 1 vec_ids may be the query's own, however many rows it has); the triangle inequality then says which data can matter to that cell, and only those are replicated to it. Cells are
 cut into blocks of queries and slices of data of bounded size; a task solves one block against one slice and sends k
 rows for each query. The bounds are loosened by a rounding allowance, scores are whole numbers and exact.
 
 Components become floor(1024 * x) before all else. Queries are rows whose vec_id is divisible by ``EVERY``; candidates all
 rows with another vec_id. Vectors that are null or hold null or non-finite components take no part, nor do rows without
-a vec_id or with another length than most. Of rows repeated with one vec_id one is the query and all are candidates.
+a vec_id or with another length than most. Of rows repeated with one vec_id one is the query (the least by its bytes) and all are candidates.
 Ties go to the smaller vec_id; fewer candidates than k are all returned. Extra columns are ignored; no queries, no rows.
 """
 
@@ -47,12 +47,22 @@ def _cells(pivots: np.ndarray, top: float, scale: int):
     return place
 
 
-def bounds(pivots: np.ndarray, nearest: dict[int, list[float]], reach: dict[int, float], k: int) -> dict[int, float]:
-    """For each query cell, a distance within which every one of its queries has k neighbours besides itself."""
+def least_of_each(ids: np.ndarray, far: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n vec_ids with the smallest distances and the smallest distance of each, in order."""
+    order = np.lexsort((ids, far))
+    first = np.sort(np.unique(ids[order], return_index=True)[1])[:n]
+    return ids[order][first], far[order][first]
+
+
+def bounds(pivots: np.ndarray, nearest: dict[int, list[tuple[int, float]]], reach: dict[int, float], k: int) -> dict[int, float]:
+    """For each query cell, a distance within which every one of its queries has k neighbours of other vec_ids: k + 1
+    different vec_ids lie within it. ``nearest`` has (vec_id, distance) pairs of each data cell."""
     gap = np.sqrt(((pivots[:, None] - pivots[None]) ** 2).sum(2))
+    ids = np.array([v for r in nearest.values() for v, _ in r], np.int64)
     out = {}
     for i, u in reach.items():
-        ub = np.sort(np.concatenate([np.asarray(r) + u + gap[i, j] for j, r in nearest.items()]))
+        ub = np.array([d + u + gap[i, j] for j, r in nearest.items() for _, d in r])
+        ub = least_of_each(ids, ub, k + 1)[1]
         out[i] = float(ub[k]) if len(ub) > k else float("inf")
     return out
 
@@ -70,22 +80,25 @@ def knn_join(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     p = np.floor(scale * sample(good, pivots))
     p = np.hstack([p, np.sqrt(np.maximum(top - (p * p).sum(1, keepdims=True), 0))])
     placed = settle(good.mapInArrow(_cells(p, top, scale), "vec_id long, vec binary, cell int, far double, q_cell int, q_far double"))
-    queries = placed.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"]).select(
-        F.col("vec_id").alias("query_id"), F.col("vec").alias("q_vec"), F.col("q_cell").alias("for_cell"), F.col("q_far").alias("far"))
+    queries = placed.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min(F.struct("vec", "q_cell", "q_far")).alias("q")).select(
+        F.col("vec_id").alias("query_id"), F.col("q.vec").alias("q_vec"), F.col("q.q_cell").alias("for_cell"), F.col("q.q_far").alias("far"))
 
     def smallest(batches):
-        low: dict[int, np.ndarray] = {}
+        low: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            cell, far = batch["cell"].to_numpy(), batch["far"].to_numpy()
+            ids, cell, far = (batch[c].to_numpy() for c in ("vec_id", "cell", "far"))
             for c in np.unique(cell).tolist():
-                low[c] = np.sort(np.concatenate([low.get(c, far[:0]), far[cell == c]]))[: k + 1]
-        yield pa.record_batch({"cell": pa.array([c for c, x in low.items() for _ in x], pa.int32()), "far": pa.array([v for x in low.values() for v in x], pa.float64())})
-
-    nearest: dict[int, list[float]] = {}
-    least = placed.select("cell", "far").mapInArrow(smallest, "cell int, far double")
-    merged = least.withColumn("nth", F.expr("row_number() OVER (PARTITION BY cell ORDER BY far)")).where(F.col("nth") <= k + 1)
+                old_ids, old = low.get(c, (ids[:0], far[:0]))
+                low[c] = least_of_each(np.concatenate([old_ids, ids[cell == c]]), np.concatenate([old, far[cell == c]]), k + 1)
+        yield pa.record_batch({"vec_id": pa.array([v for x, _ in low.values() for v in x], pa.int64()), "cell": pa.array([c for c, (x, _) in low.items() for _ in x], pa.int32()),
+                               "far": pa.array([v for _, x in low.values() for v in x], pa.float64())})
+
+    nearest: dict[int, list[tuple[int, float]]] = {}
+    least = placed.select("vec_id", "cell", "far").mapInArrow(smallest, "vec_id long, cell int, far double")
+    least = least.groupBy("cell", "vec_id").agg(F.min("far").alias("far"))
+    merged = least.withColumn("nth", F.expr("row_number() OVER (PARTITION BY cell ORDER BY far, vec_id)")).where(F.col("nth") <= k + 1)
     for r in merged.collect():  # k + 1 rows a pivot
-        nearest.setdefault(r["cell"], []).append(r["far"])
+        nearest.setdefault(r["cell"], []).append((r["vec_id"], r["far"]))
     counted = {r["for_cell"]: r for r in queries.groupBy("for_cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()}
     if not counted:
         return spark.createDataFrame([], schema).selectExpr("query_id", "1 AS rank", "vec_id", "score")

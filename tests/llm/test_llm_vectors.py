@@ -51,6 +51,22 @@ def test_voronoi_bounds_leave_data_out(spark):
     assert got == by_force(stored, 50, 10, lambda a, b: int(a @ b))
 
 
+def test_voronoi_repeated_query_ids(spark):
+    """Rows of one query's vec_id fill a tight cluster: its neighbours lie in clusters far away and must still be found."""
+    rng = np.random.default_rng(2)
+    centre = np.eye(8)[:4] * 100
+    near = lambda c: (centre[c] + rng.normal(0, 0.01, 8)).tolist()
+    ids = [r[0] for r in spark.range(1, 701).orderBy(F.xxhash64("id")).collect()]  # the first ones become pivots
+    q = [i for i in ids if i % 50 == 0][-1]
+    rows = [(q, near(0))] * 6 + [(q, near(0)) for _ in range(6)] + [(i, near(0)) for i in ids[:3]]
+    rows += [(i, near(1 + n % 3)) for n, i in enumerate(i for i in ids[3:604] if i != q)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    stored = [(r.vec_id, np.floor(1024 * np.array(r.embedding, np.float64)).astype(np.int64)) for r in df.collect()]
+    stored.sort(key=lambda r: r[1].astype(np.float64).tobytes())  # of repeated ids the least row by its bytes is the query
+    got = answers(voronoi_knn.knn_join(df, every=50))
+    assert len(got[q]) == 10 and got == by_force(stored, 50, 10, lambda a, b: int(a @ b))
+
+
 def test_permutation_index(vectors, monkeypatch):
     rows = good(vectors.collect(), False)
 
