@@ -7,12 +7,13 @@ Kinds found by pattern (leftmost, not overlapping within a kind; offsets in code
 The method adds kind ``live``: other opaque strings (20 or more of the characters of keys, with letters and digits and
 an entropy of 3 bits or more a character) that the corpus shows to belong to few owners.
 
-Each candidate's value is hashed; the corpus is aggregated to (value, owner, repository) and then to the number of
-distinct owners and repositories of each value. Values with more than ``MAX_OWNERS`` owners are widely copied examples;
-the rest look live. Base spans stay whatever their frequency, with the verdict counted beside them.
+Each candidate's value is hashed; the corpus is aggregated to (value, owner, repository, text) and then to the number of
+distinct owners, repositories and texts of each value. Values with more than ``MAX_OWNERS`` owners, ``MAX_REPOS``
+repositories or ``MAX_TEXTS`` different texts are widely copied examples, also when one large owner holds them all; the rest
+look live. Base spans stay whatever their frequency, with the verdict and the three numbers beside them.
 
 An owner is a document's source, a repository a source and language (a null counts as a name of its own). A null or empty
-text has no spans. Rows repeated in full are scanned alike and do not change the number of owners. Patterns use ASCII
+text has no spans. Rows repeated in full and copies of a text in its repository are scanned alike and change no number. Patterns use ASCII
 case. A document without spans has empty strings. An empty table gives an empty result; extra columns are ignored.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tagtable.llm.common import read_table, settle
 
-MAX_OWNERS = 2
+MAX_OWNERS, MAX_REPOS, MAX_TEXTS = 2, 4, 100
 KINDS = ("assign", "access", "hex", "live")
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -40,6 +41,7 @@ MAYBE = r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_=-]{20
 MIN_ENTROPY = 3.0
 MASK = "[removed]"
 SPAN = "array<struct<start:long,end:long,kind:int,value:string>>"
+JUDGED = "array<struct<start:long,kind:int,end:long,live:boolean,n_owners:long,n_repos:long,n_texts:long>>"
 
 
 def entropy(s: str) -> float:
@@ -72,24 +74,28 @@ def _scan(batches):
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """(value, owner, repository) candidates -> value, n_owners, n_repos. Repeats are merged before they travel."""
-    seen = found.select("value", "owner", "repository").distinct()
-    return seen.groupBy("value", "owner").agg(F.count("*").alias("repos")).groupBy("value").agg(
-        F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"))
+    """(value, owner, repository, text_key) candidates -> value, n_owners, n_repos, n_texts. Repeats are merged before they
+    travel; a text that stands in two repositories counts in both."""
+    seen = found.select("value", "owner", "repository", "text_key").distinct()
+    repos = seen.groupBy("value", "owner", "repository").agg(F.count("*").alias("texts"))
+    owners = repos.groupBy("value", "owner").agg(F.count("*").alias("repos"), F.sum("texts").alias("texts"))
+    return owners.groupBy("value").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos"), F.sum("texts").alias("n_texts"))
 
 
-def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """row_key, doc_id and spans (start, end, kind, live) of each row; a row without any has an empty list."""
+def scan(docs: DataFrame, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS, max_texts: int = MAX_TEXTS) -> DataFrame:
+    """row_key, doc_id and spans (start, end, kind, live, n_owners, n_repos, n_texts) of each row; a row without any has an
+    empty list."""
     owner = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
     repo = F.concat_ws("/", owner, F.coalesce(F.concat(F.lit("="), "lang"), F.lit("null")))
-    rows = docs.select("doc_id", "text", owner.alias("owner"), repo.alias("repository"), F.xxhash64("doc_id", "text", "source", "lang").alias("row_key"))
-    rows = settle(rows.mapInArrow(_scan, f"doc_id long, owner string, repository string, row_key long, spans {SPAN}"))
-    each = rows.where(F.size("spans") > 0).select("doc_id", "row_key", "owner", "repository", F.explode("spans").alias("s"))
-    each = each.select("doc_id", "row_key", "owner", "repository", "s.start", "s.end", "s.kind", "s.value").distinct()
-    judged = each.join(ownership(each), "value").withColumn("live", F.col("n_owners") <= max_owners)
+    rows = docs.select("doc_id", "text", owner.alias("owner"), repo.alias("repository"), F.xxhash64("doc_id", "text", "source", "lang").alias("row_key"), F.xxhash64("text").alias("text_key"))
+    rows = settle(rows.mapInArrow(_scan, f"doc_id long, owner string, repository string, row_key long, text_key long, spans {SPAN}"))
+    each = rows.where(F.size("spans") > 0).select("doc_id", "row_key", "owner", "repository", "text_key", F.explode("spans").alias("s"))
+    each = each.select("doc_id", "row_key", "owner", "repository", "text_key", "s.start", "s.end", "s.kind", "s.value").distinct()
+    few = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos) & (F.col("n_texts") <= max_texts)
+    judged = each.join(ownership(each), "value").withColumn("live", few)
     spans = judged.where("kind < 3 or live").groupBy("doc_id", "row_key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("spans"))
-    none = F.array().cast("array<struct<start:long,kind:int,end:long,live:boolean>>")
+        F.sort_array(F.collect_list(F.struct("start", "kind", "end", "live", "n_owners", "n_repos", "n_texts"))).alias("spans"))
+    none = F.array().cast(JUDGED)
     full = rows.where(F.size("spans") > 0).select("doc_id", "row_key")
     spans = spans.withColumnRenamed("doc_id", "of_doc").withColumnRenamed("row_key", "of_row")
     same = (F.col("row_key") == F.col("of_row")) & F.col("doc_id").eqNullSafe(F.col("of_doc"))
@@ -123,8 +129,10 @@ def op4(spark, sf_dir: str) -> DataFrame:
     name = lambda k: F.element_at(F.array(*[F.lit(x) for x in KINDS]), k + 1)
     as_text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", name(s["kind"]), s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["kind"] < 3)
+    seen = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["n_owners"], s["n_repos"], s["n_texts"])), ",")
     count = lambda f: F.size(F.filter("spans", f)).cast("long")
     of_kind = lambda k: lambda s: s["kind"] == k
     return found.select("doc_id", *[count(of_kind(k)).alias(f"n_{KINDS[k]}") for k in range(3)],
                         F.sha2(as_text(base), 256).alias("base_sha256"), as_text(F.col("spans")).alias("spans"),
-                        count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_example"))
+                        count(lambda s: s["live"]).alias("n_live"), count(lambda s: ~s["live"]).alias("n_example"),
+                        seen.alias("owners_repos_texts"))

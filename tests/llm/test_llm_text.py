@@ -190,6 +190,16 @@ def test_secret_scan(spark, documents, clashing, no_documents):
     assert sorted(secret_scan.redact(documents).collect(), key=key) == sorted(documents.collect(), key=key)
 
 
+def test_widely_copied_values_of_one_owner_are_examples(spark, no_documents):
+    """One owner with a placeholder in many texts, or in many repositories; copies of one text stay live."""
+    rows = [(i, f"text {i} token=placeholder99", "en", "own", None) for i in range(101)]
+    rows += [(200 + i, "secret=manyrepos77", f"l{i}", "own", None) for i in range(5)]
+    rows += [(300 + i, "the same text password=realone55", "en", "own", None) for i in range(150)]
+    got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(rows, no_documents.schema)).collect()}
+    seen = {i: [(s.live, s.n_owners, s.n_repos, s.n_texts) for s in got[i]] for i in (0, 200, 300)}
+    assert seen == {0: [(False, 1, 1, 101)], 200: [(False, 1, 5, 5)], 300: [(True, 1, 1, 1)]}
+
+
 # ---- language model
 
 def test_lattice_lm(documents, clashing):
