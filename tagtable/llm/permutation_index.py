@@ -5,7 +5,7 @@ inner product first). Rows are dealt to shards by hash, and in a shard each pivo
 name it, with its place in their order. A query visits the files of its own nearest pivots only and adds up, for each
 vector found there, how near the two orders are: the Spearman footrule of the two lists (a pivot missing from a list
 stands at its end) is a constant minus twice the sum of PREFIX - max(place, place) over common pivots. The best ``SHARE`` of a
-shard by footrule is reranked by the inner product in double precision on the original vectors, summed from the first
+shard by footrule, with every row that ties with the last of them, is reranked by the inner product in double precision on the original vectors, summed from the first
 component to the last so that equal vectors score equal everywhere. Shards send k rows for each query.
 
 Queries (rows whose vec_id is divisible by ``EVERY``) go in blocks against all shards; every row is indexed. SHARE is a
@@ -61,6 +61,13 @@ def nearness(query: np.ndarray, files, n: int, prefix: int) -> np.ndarray:
     return total
 
 
+def reranked(near: np.ndarray, m: int) -> np.ndarray:
+    """Places of the m nearest rows and of all that are as near as the last of them, so equal vectors stay together."""
+    if m >= len(near):
+        return np.arange(len(near))
+    return np.flatnonzero(near >= np.partition(near, len(near) - m)[len(near) - m])
+
+
 def inner(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products, component by component in order."""
     total = np.zeros(len(x))
@@ -99,8 +106,7 @@ def search(rows: DataFrame, k: int = K, every: int = EVERY, share: float = SHARE
             files = inverted_files(matrix(d["pivots"], np.uint16, prefix), n_pivots)
             m = min(len(ids), max(AT_LEAST, int(np.ceil(share * len(ids)))))
             for qid, qv, order in zip(q["query_id"].to_pylist(), matrix(q["q_vec"], np.float64, dim), matrix(q["q_pivots"], np.uint16, prefix)):
-                near = nearness(order, files, len(ids), prefix)
-                at = np.argpartition(-near, m - 1)[:m] if m < len(ids) else np.arange(len(ids))
+                at = reranked(nearness(order, files, len(ids), prefix), m)
                 at = at[ids[at] != qid]
                 rough = x[at] @ qv
                 if len(at) > k:  # the exact sum decides among all that rounding could bring in

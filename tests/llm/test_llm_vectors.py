@@ -92,6 +92,15 @@ def test_permutation_index(vectors, monkeypatch):
     assert answers(permutation_index.search(vectors)) == want
 
 
+def test_permutation_index_keeps_equal_vectors_together(spark, monkeypatch):
+    """More copies of a vector than are reranked: the copies with the smallest ids must be the answer."""
+    monkeypatch.setattr(permutation_index, "AT_LEAST", 30)
+    rng = np.random.default_rng(3)
+    rows = [(i, [10.0] * 16 if i % 2 == 0 else rng.normal(0, 1, 16).tolist()) for i in range(600)]
+    got = answers(permutation_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=200))
+    assert {q: [i for _, i in f] for q, f in got.items()} == {q: [i for i in range(0, 44, 2) if i != q][:20] for q in (0, 200, 400)}
+
+
 def test_recall_on_the_whole_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     got = answers(permutation_index.search(df))
