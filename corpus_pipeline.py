@@ -3,7 +3,8 @@
 Language ID rejects texts without a clear language, the Jaccard join leaves one document of each group, the secret
 scan masks live-looking credentials, the mix takes documents by source weights (a document may come more than once)
 and best-fit packing returns the pieces with their sequences. Nulls, ties, repeated rows and empty tables are treated as the
-operators say; other columns of the documents pass through all stages but the last.
+operators say; other columns of the documents pass through all stages but the last. ``run`` settles each stage's result
+in the shared folder before the next one reads it, so no stage is computed again and all passes read the same rows.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagtable.llm import jaccard_join, language_id, mixing, packing, secret_scan
+from tagtable.llm.common import settle
 
 
 def identify_language(spark, docs, sf_dir):
@@ -45,6 +47,6 @@ ORACLE_SQL = None  # learned models, MinHash groups and a tokenizer: tested agai
 
 def run(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

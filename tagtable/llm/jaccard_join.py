@@ -21,6 +21,7 @@ of each other. A null doc_id takes part; class_id is null only where all of a gr
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -308,13 +309,16 @@ def jaccard_join(docs: DataFrame) -> DataFrame:
 
 def one_per_group(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with the smallest doc_id (nulls last); texts without words all stay. Of
-    rows equal in doc_id and text one stays."""
+    rows equal in doc_id and text the one that is least by its other columns (but maps and variants, which have no order)
+    stays."""
     rows, classes = linked_classes(docs)
     group = F.coalesce("label", F.concat(F.lit("row "), F.col("row_key").cast("string")))
     chosen = (rows.join(classes.select("digest", "label"), "digest", "left").groupBy(group.alias("g"))
               .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))).alias("m")).select(F.col("m.row_key").alias("chosen_key")))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("doc_id", "text").alias("chosen_key"))
-    return keyed.join(chosen, "chosen_key").dropDuplicates(["chosen_key"]).select("row.*")
+    ordered = [f.name for f in docs.schema.fields if f.name not in ("doc_id", "text") and not re.search("map<|variant", f.dataType.simpleString())]
+    place = F.struct(F.lit(0), *[F.col(f"row.`{c}`") for c in ordered])
+    return keyed.join(chosen, "chosen_key").groupBy("chosen_key").agg(F.min_by("row", place).alias("row")).select("row.*")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:
