@@ -8,14 +8,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def usable(rows: DataFrame, zero: bool = True) -> DataFrame:
-    """Rows (vec_id, embedding) with an id and finite components only; with ``zero=False`` no zero vectors either."""
+def usable(rows: DataFrame, zero: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (vec_id, embedding) with an id and finite components only; with ``zero=False`` no zero vectors either. Columns
+    named in ``keep`` stay."""
     x = F.col("embedding")
     good = F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0)
     good &= F.forall(x, lambda v: F.coalesce(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False)))
     if not zero:
         good &= F.exists(x, lambda v: v != 0)
-    return rows.select("vec_id", "embedding").where(good)
+    return rows.select("vec_id", "embedding", *keep).where(good)
 
 
 def sample(rows: DataFrame, n: int, dimension: int | None = None) -> np.ndarray:
