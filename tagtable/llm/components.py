@@ -28,6 +28,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = settle(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     n, before = e.count(), None
+    if not n:
+        return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both, 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
