@@ -86,12 +86,12 @@ class Frontier:
         raise ValueError("no leaves")
 
 
-def grow(leaves: list[str], block: int) -> tuple[Frontier, str]:
+def grow(leaves: list[str], block: int, levels: int = LEVELS) -> tuple[Frontier, str]:
     """Frontier and root of a block's leaves. Blocks after the first, and full ones, rise to the height of a block."""
     f = Frontier()
     for leaf in leaves:
         f.append(leaf)
-    return f, f.close(LEVELS if block or len(leaves) == ARITY**LEVELS else None)
+    return f, f.close(levels if block or len(leaves) == ARITY**levels else None)
 
 
 # ---- leaves and their places
@@ -156,9 +156,11 @@ def _ordered(t: pa.Table) -> pa.Table:
 def block_roots(nodes: DataFrame) -> DataFrame:
     """(key, rank, hash) -> (key, rank, hash) one layer up: the root of each block, at the block's number."""
 
+    levels = LEVELS
+
     def run(key, t):
         k, block = key[0].as_py(), key[1].as_py()
-        _, root = grow(_ordered(t)["hash"].to_pylist(), block)
+        _, root = grow(_ordered(t)["hash"].to_pylist(), block, levels)
         return pa.table({"key": pa.array([k], pa.string()), "rank": pa.array([block], pa.int64()), "hash": pa.array([root], pa.string())})
 
     return _blocks(nodes.select("key", "rank", "hash")).groupBy("key", "block").applyInArrow(run, "key string, rank long, hash string")
@@ -175,11 +177,11 @@ def _witness_array(own: list[list[tuple[int, list[str]]]], upper: list[dict]) ->
 
 def attach(nodes: DataFrame, upper: DataFrame) -> DataFrame:
     """Nodes with subroot, root and witness: those of ``upper`` (key, rank of the block, subroot, root, witness), the block's own before."""
-    kept = nodes.columns
+    kept, levels = nodes.columns, LEVELS
 
     def run(key, t, u):
         t, top = _ordered(t), u.select(["subroot", "root", "witness"]).to_pylist()[0]
-        f, _ = grow(t["hash"].to_pylist(), key[1].as_py())
+        f, _ = grow(t["hash"].to_pylist(), key[1].as_py(), levels)
         out = {c: t[c] for c in kept}
         out["subroot"], out["root"] = (pa.array([top[c]] * t.num_rows, pa.string()) for c in ("subroot", "root"))
         out["witness"] = _witness_array(f.witness, top["witness"])
