@@ -3,7 +3,7 @@ back, apply them with the last correction winning (K4, S7, J1)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtable.functions.arrays import let
@@ -45,31 +45,42 @@ def block_text(row: Column, key: Column, idx: Column, word: Column, label: Colum
     )
 
 
-def write_review_blocks(blocks: DataFrame, path: str) -> None:
+def write_review_blocks(blocks: DataFrame, path: str, crlf: bool = False) -> None:
     """Blocks parted by a blank line, as the review file is laid out."""
-    blocks.select("block").write.mode("overwrite").option("lineSep", BLOCK_SEP).text(path)
-
-
-def read_correction_blocks(spark: SparkSession, paths: str | list[str], crlf: bool = False) -> DataFrame:
-    """Read filled-in review files: one record per blank-line separated block
-    (S7). ``seq`` orders blocks for the last-one-wins rule: by the file's
-    place in ``paths``, then by its path (the files of one folder), then by
-    the place in the file, however the scan packs its splits. Line ends are
-    normalised; ``crlf`` also cuts the records at CRLF, so that a large file
-    with such ends is read by many tasks (without it such a file is read
-    whole and cut afterwards: the same rows)."""
-    sep = "\r\n\r\n" if crlf else BLOCK_SEP
+    blocks.select("block").write.mode("overwrite").option("lineSep", "\r\n\r\n" if crlf else BLOCK_SEP).text(path)
+
+
+def read_correction_blocks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Read filled-in review files: one record per blank-line separated block.
+
+    Files are read as lines, with LF, CRLF or both as line ends, so one large file is read by as many tasks as it
+    has splits. A block is a run of lines between blank ones and may lie across a split's border: the blank lines
+    are counted inside each split and behind those of the file's earlier splits (one count a split), and lines
+    with the same count are one block. ``seq`` orders blocks for the last-one-wins rule: by the file's place in
+    ``paths``, then by its path (the files of one folder), then by the place in the file."""
     parts = []
     for nth, path in enumerate([paths] if isinstance(paths, str) else paths):
-        lines = spark.read.option("lineSep", sep).text(path)
-        parts.append(lines.select(
+        parts.append(spark.read.text(path).select(
             F.lit(nth).alias("nth"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("row"), F.posexplode(F.split("value", r"\r?\n[ \t]*\r?\n")).alias("part", "block")))
-    out = parts[0]
+            F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", "\r$", "").alias("line")))
+    lines = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    block = F.regexp_replace(F.col("block"), "\r\n?", "\n")
-    return out.select(block.alias("block"), F.struct("nth", "file", "start", "row", "part").alias("seq"))
+        lines = lines.unionByName(p)
+    return blocks_of_lines(lines)
+
+
+def blocks_of_lines(lines: DataFrame) -> DataFrame:
+    """Lines ``nth, file, start, row, line`` (``start``: the split's place in its file, ``row``: the line's order
+    in its split) -> ``block, seq``."""
+    split = ["nth", "file", "start"]
+    marked = lines.withColumn("_blank", F.col("line").rlike(r"^[ \t]*$").cast("long"))
+    earlier = Window.partitionBy("nth", "file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = marked.groupBy(*split).agg(F.sum("_blank").alias("_n")).select(*split, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*split).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = marked.withColumn("_in", F.sum("_blank").over(inside)).filter(F.col("_blank") == 0).join(before, split)
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "row", "line"))), lambda x: x["line"]), "\n")
+    return numbered.groupBy("nth", "file", (F.col("_before") + F.col("_in")).alias("_block")).agg(text.alias("block")).select(
+        "block", F.struct("nth", "file", F.col("_block").alias("place")).alias("seq"))
 
 
 def duplicate_ids(df: DataFrame, key: str = "id") -> DataFrame:

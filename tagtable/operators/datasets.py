@@ -3,12 +3,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagtable.constants import LABELS
+from tagtable.session import cut_lineage
 
 ROUND = 6
 SUBSETS = ("train", "validation", "test")
@@ -97,6 +99,63 @@ def assign_subset(df: DataFrame, key: str | Column, train: float = 0.8, validati
     return df.withColumn(out, F.when(b < t_cut, "train").when(b < v_cut, "validation").otherwise("test"))
 
 
+SPLIT_BITS, ROUND_BITS = 60, 12
+
+
+def smallest(df: DataFrame, value: str, ks: Sequence[int], bits: int = SPLIT_BITS) -> list[tuple[int, int]]:
+    """For each k a cut (t, m): the k rows with the smallest ``value`` (whole, from 0 up to 2 ** bits) are those below t
+    and m of those equal to t. A histogram over the leading bits finds the range that a cut lies in, the next one divides that
+    range only: at most bits / ROUND_BITS passes over one column, no sort, and only counts of at most 2 ** ROUND_BITS ranges
+    a cut come to the driver. A range that a cut ends with needs no further division."""
+    done: dict[int, tuple[int, int]] = {k: (0, 0) for k in ks if k <= 0}
+    open_at = {k: (0, k) for k in ks if k > 0}  # k -> the range it lies in, how many of that range
+    for shift in range(bits - ROUND_BITS, -1, -ROUND_BITS):
+        if not open_at:
+            break
+        ranges = sorted({r for r, _ in open_at.values()})
+        rows = df.filter(F.shiftright(value, shift + ROUND_BITS).isin(ranges)).groupBy(F.shiftright(value, shift).alias("r")).count().collect()
+        counts = sorted((r["r"], r["count"]) for r in rows)
+        for k, (parent, left) in list(open_at.items()):
+            for r, n in (x for x in counts if x[0] >> ROUND_BITS == parent):
+                if left <= n:
+                    open_at[k] = (r, left)
+                    if left == n:
+                        done[k] = ((r + 1) << shift, 0)
+                        del open_at[k]
+                    break
+                left -= n
+            else:  # fewer rows than k
+                done[k] = (1 << bits, 0)
+                del open_at[k]
+    return [done.get(k, open_at.get(k)) for k in ks]
+
+
+def subset_sizes(n: int, train: float = 0.8, test: float = 0.2) -> tuple[int, int, int]:
+    """Rows of train, validation and test (W6): the test part rounded up and the train part down, then the train part
+    divided once more in the same way."""
+    both = math.floor(train * n)
+    return math.floor(train * both), math.ceil(test * both), math.ceil(test * n)
+
+
+def assign_exact_subset(df: DataFrame, key: str, train: float = 0.8, test: float = 0.2, seed: int = 42,
+                        order: Column | None = None, out: str = "subset") -> DataFrame:
+    """W6 with exact sizes: rows in the order of a seeded hash of ``key`` (or of ``order``, whole numbers from 0 up to
+    2 ** SPLIT_BITS) are cut at ``subset_sizes``. Rows that tie follow a hash of all columns; rows equal in every
+    column stay together, so copies go first (``dedup``). The rows themselves are neither sorted nor shuffled."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    top = lambda h: F.shiftrightunsigned(h, 64 - SPLIT_BITS)
+    first = order if order is not None else top(F.xxhash64(F.lit(seed), F.col(key)))
+    second = top(F.xxhash64(F.lit(seed), *plain))
+    places = cut_lineage(df.select(first.cast("long").alias("a"), second.alias("b")))
+    sizes = subset_sizes(places.count(), train, test)
+    cuts = []
+    for t, m in smallest(places, "a", [sum(sizes[: i + 1]) for i in range(3)]):
+        tie = smallest(places.filter(F.col("a") == t), "b", [m])[0][0] if m else 0
+        cuts.append((F.col("_a") < t) | ((F.col("_a") == t) & (F.col("_b") < tie)))
+    subset = F.when(cuts[0], SUBSETS[0]).when(cuts[1], SUBSETS[1]).when(cuts[2], SUBSETS[2])
+    return df.withColumns({"_a": first.cast("long"), "_b": second}).withColumn(out, subset).drop("_a", "_b")
+
+
 def to_modelling(df: DataFrame, tokens: str = "text_tokens", tags: str = "fixed_tags") -> DataFrame:
     """Rename the annotated columns to ``tokens, ner_tags`` and cast the tags
     to ARRAY<BIGINT> (P2, P4)."""

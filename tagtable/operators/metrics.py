@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtable.constants import LABELS, NUM_LABELS
-from tagtable.functions.arrays import indices, let
+from tagtable.functions.arrays import computed_once, indices, let
+from tagtable.operators.positions import chunk_max, chunked
+from tagtable.session import cut_lineage
 
 ROUND = 6
 
@@ -266,14 +268,91 @@ def entity_metrics(df: DataFrame, gold_names: str, pred_names: str,
     """Overall entity precision, recall, F1 and token accuracy.
     Inputs are label-name arrays, or tag-id arrays with ``ids=True``."""
     per_row = df.select(F.inline_outer(F.array(F.struct(*entity_counts(gold_names, pred_names, outside, ids)))))
-    s = per_row.agg(*[F.sum(c).alias(c) for c in ("n_gold", "n_pred", "n_tp", "n_tok", "n_eq")])
-    p = _div(F.col("n_tp"), F.col("n_pred"))
-    r = _div(F.col("n_tp"), F.col("n_gold"))
-    return s.select(
-        F.round(p, ROUND).alias("precision"), F.round(r, ROUND).alias("recall"),
-        F.round(_div(2 * p * r, p + r), ROUND).alias("f1"),
-        F.round(_div(F.col("n_eq"), F.col("n_tok")), ROUND).alias("accuracy"),
-    )
+    return _scores(per_row.agg(*[F.sum(c).alias(c) for c in ("n_gold", "n_pred", "n_tp", "n_tok", "n_eq")]))
+
+
+def _marks(tags: Column, table: Column, first: Column) -> Column:
+    """Chunk ends of a sentence inside a corpus read as one sequence, each sentence followed by one outside label:
+    ``struct<ends: array<struct<i, type, begin>>, last>``. ``begin`` is the last start before the end, null where this
+    sentence has none; ``last`` is the sentence's last start. ``first`` marks the corpus' first sentence, whose
+    first label follows nothing."""
+    outside = F.struct(F.lit("O").alias("p"), F.lit("_").alias("t"))
+    nothing = F.struct(F.lit("O").alias("p"), F.lit("").alias("t"))
+
+    def at_place(at: Column, i: Column, start_of_corpus: Column) -> Column:
+        """Whether a chunk starts or ends at place i, and the type of the label before."""
+        def both(v: Column) -> Column:
+            prev, cur = v["prev"], v["cur"]
+            other = prev["t"] != cur["t"]
+            end = prev["p"].isin("E", "S") | (prev["p"].isin("B", "I") & cur["p"].isin("B", "S", "O")) | (~prev["p"].isin("O", ".") & other)
+            start = cur["p"].isin("B", "S") | (prev["p"].isin("E", "S", "O") & cur["p"].isin("E", "I")) | (~cur["p"].isin("O", ".") & other)
+            return F.struct(i.alias("i"), start.alias("s"), end.alias("e"), prev["t"].alias("t"))
+
+        before = F.when(i > 0, F.get(at, i - 1)).when(start_of_corpus, nothing).otherwise(outside)
+        return let({"prev": before, "cur": F.coalesce(F.get(at, i), outside)}, both)
+
+    def ends(v: Column) -> Column:
+        # A chunk can end without another starting only before an outside label, after which no chunk ends before one
+        # starts or an unstarted one ends with a start: of two marks in a row at least one is a start.
+        m = v["m"]
+        found = F.transform(m, lambda x, k: F.when(x["e"], F.struct(x["i"].alias("i"), x["t"].alias("type"), F.coalesce(
+            F.when(F.get(m, k - 1)["s"], F.get(m, k - 1)["i"]), F.when(F.get(m, k - 2)["s"], F.get(m, k - 2)["i"])).alias("begin"))))
+        return F.struct(F.filter(found, lambda x: x.isNotNull()).alias("ends"),
+                        F.array_max(F.transform(F.filter(m, lambda x: x["s"]), lambda x: x["i"])).alias("last"))
+
+    def marks(v: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.size(v["at"])), lambda i: at_place(v["at"], i, v["f"]))
+        return let({"m": F.filter(every, lambda x: x["s"] | x["e"])}, ends)
+
+    known = F.transform(tags, lambda t: F.struct(F.get(table, t)["p"].alias("p"), F.get(table, t)["t"].alias("t")))
+    return let({"at": known, "f": first}, marks)
+
+
+def flat_entity_counts(df: DataFrame, gold: str, pred: str, order: str = "id") -> DataFrame:
+    """One row ``n_gold, n_pred, n_tp, n_tok, n_eq`` of a corpus of tag-id arrays read as one sequence in the order of
+    ``order`` (unique): a chunk that a sentence's end does not close goes on, and one that nothing starts has the place of the
+    last start before it, in whichever sentence.
+
+    All but the open chunk is decided inside the sentence row. What crosses sentences is one place, the last start so far:
+    a running maximum over the sentences' last starts, taken in chunks of the order (see ``positions``). Only sentences
+    with a chunk that began earlier are joined with it; no token array is shuffled but theirs."""
+    table = label_attributes()
+    lowest = df.agg(F.min(order)).first()[0]
+    first = F.col(order) == F.lit(lowest)
+    sides = df.select(F.col(order).alias("_o"), F.col(gold).alias("_g"), F.col(pred).alias("_p"),
+                      computed_once(_marks(F.col(gold), table, first)).alias("g"), computed_once(_marks(F.col(pred), table, first)).alias("p"))
+    numbers = [F.size("_g").alias("n_tok"), F.size(F.filter(F.arrays_zip(F.col("_g").alias("a"), F.col("_p").alias("b")),
+                                                             lambda z: z["a"] == z["b"])).alias("n_eq")]
+    rows = cut_lineage(sides.select("_o", "g", "p", *numbers))
+    place = lambda side: F.when(F.col(f"{side}.last").isNotNull(), F.struct(F.col("_o").alias("o"), F.col(f"{side}.last").alias("i")))
+    narrow = chunked(rows.select("_o", place("g").alias("_gl"), place("p").alias("_pl")), "_o")
+    carried = chunk_max(chunk_max(narrow, "_gl", [F.col("_o")], "_gc", inclusive=False), "_pl", [F.col("_o")], "_pc", inclusive=False)
+    opened = F.exists("g.ends", lambda x: x["begin"].isNull()) | F.exists("p.ends", lambda x: x["begin"].isNull())
+    none = F.lit(None).cast(rows.select(place("g").alias("x")).schema["x"].dataType)
+    with_carry = rows.filter(opened).join(carried.select("_o", "_gc", "_pc"), "_o")
+    every = rows.filter(~opened).withColumns({"_gc": none, "_pc": none}).unionByName(with_carry)
+    begin_of_all = F.struct(F.lit(lowest).cast(rows.schema["_o"].dataType).alias("o"), F.lit(0).alias("i"))
+
+    def keys(side: str) -> Column:
+        def key(x: Column) -> Column:
+            own = F.when(x["begin"].isNotNull(), F.struct(F.col("_o").alias("o"), x["begin"].alias("i")))
+            return F.to_json(F.struct(x["i"].alias("end"), x["type"].alias("type"), F.coalesce(own, F.col(f"_{side}c"), begin_of_all).alias("begin")))
+        return F.transform(f"{side}.ends", key)
+
+    counts = every.select(F.size("g.ends").alias("n_gold"), F.size("p.ends").alias("n_pred"),
+                          F.size(F.array_intersect(keys("g"), keys("p"))).alias("n_tp"), "n_tok", "n_eq")
+    return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns])
+
+
+def _scores(s: DataFrame, *more: str) -> DataFrame:
+    p, r = _div(F.col("n_tp"), F.col("n_pred")), _div(F.col("n_tp"), F.col("n_gold"))
+    return s.select(F.round(p, ROUND).alias("precision"), F.round(r, ROUND).alias("recall"), F.round(_div(2 * p * r, p + r), ROUND).alias("f1"),
+                    F.round(_div(F.col("n_eq"), F.col("n_tok")), ROUND).alias("accuracy"), *more)
+
+
+def entity_metrics_flat(df: DataFrame, gold: str, pred: str, order: str = "id") -> DataFrame:
+    """Entity precision, recall, F1 and token accuracy as over one long sequence (A7), with the three chunk counts."""
+    return _scores(flat_entity_counts(df, gold, pred, order), "n_gold", "n_pred", "n_tp")
 
 
 def evaluation_checks(df: DataFrame, gold: str, pred: str, n_labels: int = len(LABELS)) -> DataFrame:

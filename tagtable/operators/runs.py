@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagtable import constants as K
+from tagtable.functions.arrays import indices, let
 from tagtable.operators.positions import chunk_max, chunk_positions, chunked, positions
 
 ROUND = 6
@@ -42,6 +43,34 @@ def history_pairs(records: DataFrame, run: str = "run_id", position: str = "posi
     )
 
 
+def merge_records(earlier: Column | str, later: Column | str) -> Column:
+    """One map of two: every key of both, the later record's value where both have it (a null of it too)."""
+    a, b = (F.col(x) if isinstance(x, str) else x for x in (earlier, later))
+    return let({"a": a, "b": b}, lambda v: F.map_concat(F.map_filter(v["a"], lambda k, _: ~F.map_contains_key(v["b"], k)), v["b"]))
+
+
+def is_step_record(record: Column | str) -> Column:
+    """Does a record (a map) hold a ``loss`` or ``eval_loss`` key."""
+    r = F.col(record) if isinstance(record, str) else record
+    return F.map_contains_key(r, F.lit("loss")) | F.map_contains_key(r, F.lit("eval_loss"))
+
+
+def merge_history(records: DataFrame, run: str = "run_id", position: str = "position", record: str = "record") -> DataFrame:
+    """W5 for records with any keys, one map a row: (1,2), (3,4), ... merged, an odd last record dropped. Output
+    ``run, pair, record``. At most two rows meet, whatever a run's length."""
+    pair = F.floor((F.col(position) - 1) / 2).cast("long")
+    both = records.groupBy(run, pair.alias("pair")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by(record, position).alias("_a"), F.max_by(record, position).alias("_b"))
+    return both.filter(F.col("_n") == 2).select(run, "pair", merge_records("_a", "_b").alias(record))
+
+
+def merge_log(log: Column | str) -> Column:
+    """W5 on a whole history in one row: an array of maps, step records only (F4), merged pairwise."""
+    kept = F.filter(F.col(log) if isinstance(log, str) else log, is_step_record)
+    return let({"r": kept}, lambda v: F.transform(
+        indices(F.floor(F.size(v["r"]) / 2).cast("int")), lambda i: merge_records(F.get(v["r"], 2 * i), F.get(v["r"], 2 * i + 1))))
+
+
 def best_epoch(pairs: DataFrame, run: str = "run_id", metric: str = "eval_f1") -> DataFrame:
     """Best evaluation per run by ``metric``; ties go to the earliest epoch."""
     key = F.struct(F.col(metric), (-F.col("epoch")).alias("neg_epoch"))

@@ -615,3 +615,71 @@ ORACLE["annotation_mismatches"] = (
     f"WITH {CTE_DOC_TOK} SELECT id, CAST(len(tokens) AS INTEGER) AS n_tokens, CAST(len(tokens) AS INTEGER) AS n_model_tags, "
     "CAST(len(lemmas) AS INTEGER) AS n_lemmas FROM tok WHERE len(tokens) <> len(lemmas)"
 )
+
+# -- list texts, review files, histories, exact splits, one long sequence -------
+ORACLE["parse_lists"] = (
+    "WITH w AS (SELECT doc_id, regexp_extract_all(text, '[a-z]+') AS words FROM documents), "
+    "v AS (SELECT doc_id, list_transform(words, lambda x, i: CASE (i - 1) % 6 WHEN 0 THEN x WHEN 1 THEN x || '''s' "
+    "WHEN 2 THEN x || chr(10) || '\"' WHEN 3 THEN chr(225) || x WHEN 4 THEN chr(318) || x || chr(92) ELSE chr(128512) || x || 'x' END) AS e FROM w) "
+    "SELECT doc_id, CASE WHEN doc_id % 13 < 2 OR e IS NULL THEN NULL ELSE array_to_string(e, '|') END AS elements, e IS NOT NULL AND doc_id % 13 < 2 AS rejected FROM v"
+)
+ORACLE["review_files"] = "SELECT id, corrected_tags FROM (" + ORACLE["apply_corrections"] + ")"
+ORACLE["history_merge"] = (
+    f"WITH {CTE_REC}, "
+    "kv AS (SELECT run_id, position, pair, unnest([{'k': 'loss', 'v': loss}, {'k': 'eval_loss', 'v': eval_loss}, "
+    "{'k': 'eval_f1', 'v': eval_f1}, {'k': 'learning_rate', 'v': event_id / 1024}, "
+    "{'k': 'extra_' || event_type || '_' || (event_id % 3), 'v': event_id::DOUBLE}]) AS x "
+    "FROM rec2 JOIN (SELECT event_id, event_type FROM events) USING (event_id)), "
+    "two AS (SELECT run_id, pair FROM rec2 GROUP BY run_id, pair HAVING count(*) = 2), "
+    "m AS (SELECT run_id, pair, x.k AS k, arg_max(x.v, position) AS v FROM kv JOIN two USING (run_id, pair) "
+    "WHERE x.v IS NOT NULL GROUP BY run_id, pair, x.k) "
+    "SELECT run_id, pair, string_agg(k, ',' ORDER BY k) AS keys, "
+    + "".join(f"round(max(v) FILTER (WHERE k = '{k}'), 6) AS {k}, " for k in ("loss", "eval_loss", "eval_f1", "learning_rate"))
+    + "coalesce(string_agg(k || '=' || v::BIGINT, ',' ORDER BY k || '=' || v::BIGINT) FILTER (WHERE k LIKE 'extra_%'), '') AS extras "
+    "FROM m GROUP BY run_id, pair"
+)
+ORACLE["exact_split"] = (
+    "WITH o AS (SELECT doc_id, row_number() OVER (ORDER BY ('0x' || left(md5(doc_id || ':42'), 15))::BIGINT) AS r, "
+    "floor(count(*) OVER () * 0.8::DOUBLE) AS n_both FROM documents) "
+    "SELECT doc_id, CASE WHEN r <= floor(n_both * 0.8::DOUBLE) THEN 'train' WHEN r <= n_both THEN 'validation' ELSE 'test' END AS subset FROM o"
+)
+
+
+def _flat(source: str, corpus: str) -> str:
+    # Chunks of all sentences in one sequence, each followed by 'O': the state is the place of the last start.
+    def side(name: str) -> str:
+        p, q, t, u = f"left({name}, 1)", f"left({name}_b, 1)", f"{name}_t", f"{name}_u"
+        end = f"({q} IN ('E', 'S') OR ({q} IN ('B', 'I') AND {p} IN ('B', 'S', 'O')) OR ({q} NOT IN ('O', '.') AND {u} <> {t}))"
+        start = f"({p} IN ('B', 'S') OR ({q} IN ('E', 'S', 'O') AND {p} IN ('E', 'I')) OR ({p} NOT IN ('O', '.') AND {u} <> {t}))"
+        return (f"{end} AS {name}_end, coalesce(max(CASE WHEN {start} THEN n END) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+                f"AS {name}_begin, {u} AS {name}_type")
+
+    def kind(x: str) -> str:
+        return f"coalesce(nullif(CASE WHEN contains(substr({x}, 2), '-') THEN substr({x}, 2 + strpos(substr({x}, 2), '-')) ELSE substr({x}, 2) END, ''), '_')"
+
+    return (
+        f"SELECT '{corpus}' AS corpus, * FROM (WITH s AS (SELECT id, unnest(list_append(list_transform(fixed_tags, lambda t: {LABELS_LIST}[t + 1]), 'O')) AS g, "
+        f"unnest(list_append(list_transform(model_tags, lambda t: {LABELS_LIST}[t + 1]), 'O')) AS p, "
+        f"unnest(range(len(fixed_tags) + 1)) AS i, len(fixed_tags) AS size FROM {source}), "
+        "o AS (SELECT *, row_number() OVER (ORDER BY id, i) - 1 AS n FROM s), "
+        f"k AS (SELECT *, {kind('g')} AS g_t, {kind('p')} AS p_t FROM o), "
+        "b AS (SELECT *, coalesce(lag(g) OVER w, 'O') AS g_b, coalesce(lag(p) OVER w, 'O') AS p_b, coalesce(lag(g_t) OVER w, '') AS g_u, "
+        "coalesce(lag(p_t) OVER w, '') AS p_u FROM k WINDOW w AS (ORDER BY n)), "
+        f"e AS (SELECT {side('g')}, {side('p')}, g, p, i < size AS real FROM b), "
+        "c AS (SELECT count(*) FILTER (WHERE g_end) AS n_gold, count(*) FILTER (WHERE p_end) AS n_pred, "
+        "count(*) FILTER (WHERE g_end AND p_end AND g_begin = p_begin AND g_type = p_type) AS n_tp, "
+        "count(*) FILTER (WHERE real) AS n_tok, count(*) FILTER (WHERE real AND g = p) AS n_eq FROM e), "
+        "r AS (SELECT *, CASE WHEN n_pred = 0 THEN 0.0 ELSE n_tp / n_pred END AS pr, CASE WHEN n_gold = 0 THEN 0.0 ELSE n_tp / n_gold END AS re FROM c) "
+        "SELECT round(pr, 6) AS precision, round(re, 6) AS recall, round(CASE WHEN pr + re = 0 THEN 0.0 ELSE 2 * pr * re / (pr + re) END, 6) AS f1, "
+        "round(n_eq / n_tok, 6) AS accuracy, n_gold, n_pred, n_tp FROM r)"
+    )
+
+
+def _zeros(c: str, k: int) -> str:
+    return f"list_transform({c}, lambda t, i: CASE WHEN id % 4 < {k} AND (i < 3 OR i > len({c}) - 2) THEN 0 ELSE t END)"
+
+
+ORACLE["entity_metrics_flat"] = (
+    f"WITH {CTE_ANN}, cut AS (SELECT id, {_zeros('fixed_tags', 3)} AS fixed_tags, {_zeros('model_tags', 2)} AS model_tags FROM ann) "
+    + _flat("ann", "plain") + " UNION ALL " + _flat("cut", "open runs")
+)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tagtable.functions.labels import align_labels, argmax, drop_masked, label_id, label_name
 from tagtable.functions.normalize import normalize
-from tagtable.functions.tokens import tokenize
+from tagtable.functions.arrays import computed_once
+from tagtable.functions.tokens import parse_list, split_rejects, tokenize
 from tagtable.operators import corrections as C
 from tagtable.operators import datasets as D
 from tagtable.operators import metrics as M
@@ -21,9 +22,9 @@ from tagtable.operators import tagger as T
 from tagtable.operators.positions import positions
 from tagtable.operators.pieces import piece_word_ids, words_from_pieces
 from tagtable.operators.spans import entity_spans, spans_from_pieces
-from tagtable.session import cut_lineage
+from tagtable.session import cut_lineage, scratch_path
 from tagtable.sources import fixtures as fx
-from tagtable.sources.tables import read_table, spread
+from tagtable.sources.tables import read_history_lines, read_table, spread, write_history_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -531,6 +532,76 @@ def evaluation_checks_query(spark, sf):
     return M.evaluation_checks(a.select(odd.alias("gold"), cut.alias("pred")), "gold", "pred")
 
 
+# -- list texts, review files, histories, exact splits, one long sequence -------
+def list_texts(spark, sf):
+    """``doc_id, raw``: each document's plain words as the text of a Python list, with both quotes, escapes of every
+    length and strings side by side; some rows are cut short or hold an escape without a character."""
+    d = spread(read_table(spark, sf, "documents", ["doc_id", "text"]), "doc_id")
+    words = F.regexp_extract_all("text", F.lit("[a-z]+"), 0)
+    forms = ["'%'", '"%\'s"', r"""'%\n"'""", r"'\xe1%'", r"'\u013e%\\'", r"'\U0001f600%' 'x'"]
+    shape = F.array(*[F.lit(f) for f in forms])
+    quoted = F.transform(words, lambda w, i: F.replace(F.get(shape, i % len(forms)), F.lit("%"), w))
+    odd = F.when(F.col("doc_id") % 13 == 1, F.concat(quoted, F.array(F.lit(r"'\ud800'")))).otherwise(quoted)
+    joined = F.concat(F.lit("["), F.array_join(odd, ", \n "), F.when(F.col("doc_id") % 13 == 0, F.lit("")).otherwise(F.lit("]")))
+    return d.select("doc_id", computed_once(joined).alias("raw"))
+
+
+def parse_lists_query(spark, sf):
+    """List texts to arrays, and the rows that are rejected."""
+    parsed = list_texts(spark, sf).withColumn("parsed", parse_list("raw"))
+    good, bad = split_rejects(parsed, "raw", "parsed")
+    return good.select("doc_id", F.array_join("parsed", "|").alias("elements"), F.lit(False).alias("rejected")).unionByName(
+        bad.select("doc_id", F.lit(None).cast("string").alias("elements"), F.lit(True).alias("rejected")))
+
+
+def review_files_query(spark, sf):
+    """K4, S7, J1 over files: both review passes are written as block files, the second with CRLF line ends, read back
+    as lines and applied."""
+    a = cut_lineage(fx.annotated_sentences(spark, sf).select("id", "tokens", "fixed_tags", F.col("id").alias("row")))
+    answers = _filled(a)
+    paths = []
+    for nth in (1, 2):
+        text = F.col("block") if nth == 1 else F.replace(F.col("block"), F.lit("\n"), F.lit("\r\n"))
+        paths.append(scratch_path(spark, f"review-{nth}"))
+        C.write_review_blocks(answers.filter(F.col("pass") == nth).select(text.alias("block")), paths[-1], crlf=nth == 2)
+    out = C.apply_corrections(a, C.parse_corrections(C.read_correction_blocks(spark, paths)), out="corrected_tags")
+    return out.select("id", _ints(F.col("corrected_tags")).alias("corrected_tags"))
+
+
+def history_merge_query(spark, sf):
+    """Records with keys that nobody names are written as JSON lines, read back and merged pairwise."""
+    ev = _records(spark, sf).join(read_table(spark, sf, "events", ["event_id", "event_type"]), "event_id")
+    named = {c: F.col(c) for c in ("loss", "eval_loss", "eval_f1")}
+    named["learning_rate"] = F.col("event_id") / 1024
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), v.cast("double").alias("v")) for k, v in named.items()],
+                    F.struct(F.concat(F.lit("extra_"), "event_type", F.lit("_"), (F.col("event_id") % 3).cast("string")).alias("k"),
+                             F.col("event_id").cast("double").alias("v")))
+    path = scratch_path(spark, "history")
+    write_history_lines(ev.select("run_id", "position", F.map_from_entries(F.filter(pairs, lambda x: x["v"].isNotNull())).alias("record")), path)
+    m = R.merge_history(read_history_lines(spark, path, "bigint"))
+    value = lambda k: F.round(F.col("record")[k].cast("double"), 6).alias(k)
+    extras = F.filter(F.map_entries("record"), lambda e: e["key"].startswith("extra_"))
+    shown = F.transform(extras, lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("double").cast("bigint").cast("string")))
+    return m.select("run_id", "pair", F.array_join(F.sort_array(F.map_keys("record")), ",").alias("keys"), *[value(k) for k in named],
+                    F.array_join(F.sort_array(shown), ",").alias("extras"))
+
+
+def exact_split_query(spark, sf):
+    """Subsets of exact size, in the order of a seeded digest of the key."""
+    d = read_table(spark, sf, "documents", ["doc_id"])
+    order = F.conv(F.substring(F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":42"))), 1, 15), 16, 10).cast("long")
+    return D.assign_exact_subset(d, "doc_id", order=order)
+
+
+def entity_metrics_flat_query(spark, sf):
+    """A7 over the corpus as one sequence, and over the same corpus with runs of '0' cut across its sentences' ends."""
+    a = fx.annotated_sentences(spark, sf).select("id", "fixed_tags", "model_tags")
+    zero = lambda c, k: F.transform(c, lambda t, i: F.when((F.pmod("id", F.lit(4)) < k) & ((i < 2) | (i > F.size(c) - 3)), 0).otherwise(t))
+    b = a.select("id", computed_once(zero("fixed_tags", 3)).alias("fixed_tags"), computed_once(zero("model_tags", 2)).alias("model_tags"))
+    return M.entity_metrics_flat(a, "fixed_tags", "model_tags").withColumn("corpus", F.lit("plain")).unionByName(
+        M.entity_metrics_flat(b, "fixed_tags", "model_tags").withColumn("corpus", F.lit("open runs")))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_sentences": normalize_sentences,
     "normalize_documents": normalize_documents,
@@ -590,4 +661,9 @@ QUERIES: dict[str, Query] = {
     "training_history": training_history_query,
     "evaluation_checks": evaluation_checks_query,
     "evaluate_models": evaluate_models_query,
+    "parse_lists": parse_lists_query,
+    "review_files": review_files_query,
+    "history_merge": history_merge_query,
+    "exact_split": exact_split_query,
+    "entity_metrics_flat": entity_metrics_flat_query,
 }

@@ -120,3 +120,20 @@ def read_history_json(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("run_id"),
         F.posexplode("log_history").alias("position", "rec"),
     ).select("run_id", (F.col("position") + 1).alias("position"), "rec.*")
+
+
+def read_history_logs(spark: SparkSession, path: str) -> DataFrame:
+    """Training-history files (S5) with whatever keys their records have: ``run_id`` (the file's path) and ``log``,
+    an array of maps from key to the value's JSON text. No pass over the files to infer a schema."""
+    raw = spark.read.schema("log_history array<map<string,string>>").option("multiLine", "true").json(path)
+    return raw.select(F.col("_metadata.file_path").alias("run_id"), F.col("log_history").alias("log"))
+
+
+def write_history_lines(records: DataFrame, path: str) -> None:
+    """History records ``run_id, position, record`` (a map) as JSON lines: one file holds the records of many runs."""
+    records.select("run_id", "position", "record").write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def read_history_lines(spark: SparkSession, path: str, run_type: str = "string") -> DataFrame:
+    """``run_id, position, record`` of JSON lines; a record keeps all its keys, values as JSON text. Files are splittable."""
+    return spark.read.schema(f"run_id {run_type}, position bigint, record map<string,string>").json(path)

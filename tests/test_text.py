@@ -42,4 +42,4 @@ def test_repr_parsing(spark):
     assert rows[0].n == [0, 0, 1, 2]
     assert rows[0].t == "V roku 1998"
     assert rows[1].l == ["a'b"]
-    assert rows[2].l is None  # an escape JSON lacks: rejected, never evaluated
+    assert rows[2].l == ["a\xa0b"]  # an escape JSON lacks
