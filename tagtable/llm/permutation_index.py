@@ -1,20 +1,21 @@
 """Approximate nearest neighbours by a permutation index.
 
-A bounded sample gives ``PIVOTS`` pivots. Every vector is represented by its ``PREFIX`` nearest pivots in order (largest
-inner product first). Rows are dealt to shards by hash, and in a shard each pivot has an inverted file of the vectors that
-name it, with its place in their order. A query visits the files of its own nearest pivots only and adds up, for each
-vector found there, how near the two orders are: the Spearman footrule of the two lists (a pivot missing from a list
-stands at its end) is a constant minus twice the sum of PREFIX - max(place, place) over common pivots. The best ``SHARE`` of a
+A bounded sample gives pivots, ``PIVOT_RATE`` times the square root of the number of rows (within ``MIN_PIVOTS`` and ``MAX_PIVOTS``). A vector orders
+them by inner product, nearest first, and keeps both ends of that permutation: its ``PREFIX`` nearest pivots in order, and its
+``PREFIX`` farthest ones in order. Rows are dealt to shards by hash; in a shard each pivot has two inverted files,
+of the rows that name it as near or as far, with its place in their order. Only the files of a query's own pivots are
+read, for a block of queries at a time: the Spearman footrule of two such lists (a pivot missing from a list stands at its end)
+is a constant minus twice the sum of PREFIX - max(place, place) over common pivots. The best ``SHARE`` of a
 shard by footrule, with every row that ties with the last of them, is reranked by the inner product in double precision on the original vectors, summed from the first
 component to the last so that equal vectors score equal everywhere. Shards send k rows for each query.
 
-Queries (rows whose vec_id is divisible by ``EVERY``) go in blocks against all shards; every row is indexed. SHARE is a
-share of the rows, not a cap, so recall does not fall as the input grows; README has the recall measured against brute force.
+Queries (rows whose vec_id is divisible by ``EVERY``) go against all shards; every row is indexed, in one shard, and is shipped once for
+``QUERY_BLOCK`` queries. SHARE is the same share at every size, not a cap, so recall does not fall as the input grows; README has the recall measured against brute force.
 
 Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without a vec_id or with
 another length than most. Rows with the query's vec_id are never its neighbours; of rows repeated with one vec_id one is the
-query. Ties go to the smaller vec_id; fewer candidates than k are all returned (a shard with few rows reranks
-all). Extra columns are ignored; no queries, no rows.
+query (the least by its bytes). Ties go to the smaller vec_id; fewer candidates than k are all returned (a shard reranks 2 k rows
+at least). Extra columns are ignored; no queries, no rows.
 """
 
 from __future__ import annotations
@@ -25,39 +26,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagtable.llm.common import read_table, settle
-from tagtable.llm.vectors import best, dimension_of, matrix, merge_best, sample, usable
+from tagtable.llm.vectors import dimension_of, matrix, merge_best, sample, usable
 
 K, EVERY = 20, 20
-PIVOTS, PREFIX = 256, 64
-SHARE, AT_LEAST = 0.3, 400
-SHARD_ROWS, QUERY_BLOCK = 4096, 512
+PIVOT_RATE, MIN_PIVOTS, MAX_PIVOTS, PREFIX = 10, 256, 2048, 48
+SHARE = 0.15
+SHARD_ROWS, QUERY_BLOCK = 4096, 16384
+AT_ONCE = 512  # queries of a block whose footrules are held at once
+
+
+def ends(sim: np.ndarray, prefix: int) -> np.ndarray:
+    """The prefix nearest pivots of each row in order, then the prefix farthest ones in order (numbered from the number of pivots on)."""
+    n = sim.shape[1]
+
+    def first(s):
+        at = np.argpartition(s, prefix - 1, axis=1)[:, :prefix] if prefix < n else np.broadcast_to(np.arange(n), s.shape)
+        at = np.sort(at, axis=1)
+        return np.take_along_axis(at, np.argsort(np.take_along_axis(s, at, 1), axis=1, kind="stable"), 1)
+
+    return np.hstack([first(-sim), n + first(sim)])
 
 
 def _orders(pivots: np.ndarray, prefix: int):
     def run(batches):
         for batch in batches:
             x = batch["embedding"].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
-            near = np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :prefix].astype(np.uint16)
+            near = ends(x @ pivots.T, prefix).astype(np.uint16)
             yield pa.record_batch({"vec_id": batch["vec_id"], "vec": pa.array([r.tobytes() for r in x], pa.binary()), "pivots": pa.array([r.tobytes() for r in near], pa.binary())})
 
     return run
 
 
-def inverted_files(near: np.ndarray, n_pivots: int):
-    """For each pivot: the rows that name it and its place in their order."""
+def inverted_files(near: np.ndarray, n_files: int):
+    """For each pivot, near and far: the rows that name it and prefix minus its place in their order."""
+    prefix = near.shape[1] // 2
     flat = near.reshape(-1)
     order = np.argsort(flat, kind="stable")
-    edge = np.searchsorted(flat[order], np.arange(n_pivots + 1))
-    rows, place = order // near.shape[1], (order % near.shape[1]).astype(np.int32)
-    return [(rows[a:b], place[a:b]) for a, b in zip(edge, edge[1:])]
+    edge = np.searchsorted(flat[order], np.arange(n_files + 1))
+    rows, weight = order // near.shape[1], (prefix - order % near.shape[1] % prefix).astype(np.int16)
+    return [(rows[a:b], weight[a:b]) for a, b in zip(edge, edge[1:])]
 
 
-def nearness(query: np.ndarray, files, n: int, prefix: int) -> np.ndarray:
-    """Sum of prefix - max(place, place) over common pivots; larger is a smaller footrule distance."""
-    total = np.zeros(n, np.int32)
-    for place, p in enumerate(query.tolist()):
-        rows, places = files[p]
-        total[rows] += prefix - np.maximum(places, place)
+def nearness(asked, files, n_asked: int, n: int) -> np.ndarray:
+    """Queries x rows: sum of prefix - max(place, place) over common pivots; larger is a smaller footrule distance."""
+    total = np.zeros((n_asked, n), np.int16)
+    for (q, q_weight), (rows, weight) in zip(asked, files):
+        if len(q) and len(rows):
+            total[np.ix_(q, rows)] += np.minimum(q_weight[:, None], weight[None])
     return total
 
 
@@ -69,30 +84,33 @@ def reranked(near: np.ndarray, m: int) -> np.ndarray:
 
 
 def inner(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Inner products, component by component in order."""
+    """Inner products of rows with rows, component by component in order."""
     total = np.zeros(len(x))
-    for c in range(len(q)):
-        total += x[:, c] * q[c]
+    for c in range(x.shape[1]):
+        total += x[:, c] * q[:, c]
     return total
 
 
-def build_index(rows: DataFrame, pivots: int = PIVOTS, prefix: int = PREFIX) -> tuple[DataFrame, int, int]:
+def build_index(rows: DataFrame, prefix: int = PREFIX) -> tuple[DataFrame, int, int]:
     """(vec_id, vec, pivots) of every usable row, the number of pivots and the vector length."""
     good = usable(rows, zero=False)
     dim = dimension_of(good)
     if not dim:
         return rows.sparkSession.createDataFrame([], "vec_id long, vec binary, pivots binary"), 0, 0
-    p = sample(good, pivots, dim)
-    index = good.where(F.size("embedding") == dim).mapInArrow(_orders(p, prefix), "vec_id long, vec binary, pivots binary")
-    return settle(index), len(p), dim
+    good = good.where(F.size("embedding") == dim)
+    wanted = min(MAX_PIVOTS, max(MIN_PIVOTS, int(PIVOT_RATE * good.count() ** 0.5)))
+    p = sample(good, wanted)
+    return settle(good.mapInArrow(_orders(p, min(prefix, len(p))), "vec_id long, vec binary, pivots binary")), len(p), dim
 
 
 def search(rows: DataFrame, k: int = K, every: int = EVERY, share: float = SHARE) -> DataFrame:
     index, n_pivots, dim = build_index(rows)
-    prefix = min(PREFIX, n_pivots)
-    shards = max(1, -(-index.count() // SHARD_ROWS))
-    queries = index.where(F.pmod("vec_id", F.lit(every)) == 0).dropDuplicates(["vec_id"]).select(
-        F.col("vec_id").alias("query_id"), F.col("vec").alias("q_vec"), F.col("pivots").alias("q_pivots"))
+    width = 2 * min(PREFIX, n_pivots)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    n = index.count()
+    shards = max(1, -(-n // SHARD_ROWS), min(cores, n // 1024))
+    queries = index.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy("vec_id").agg(F.min(F.struct("vec", "pivots")).alias("q")).select(
+        F.col("vec_id").alias("query_id"), F.col("q.vec").alias("q_vec"), F.col("q.pivots").alias("q_pivots"))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     shard = F.pmod(F.xxhash64("vec_id", "vec"), F.lit(shards)).cast("int")
     every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -100,24 +118,35 @@ def search(rows: DataFrame, k: int = K, every: int = EVERY, share: float = SHARE
     asked = queries.select("*", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), every_of(shards).alias("shard"))
 
     def run(key, q, d):
-        out = ([], [], [])
+        out = []
         if q.num_rows and d.num_rows:
             ids, x = d["vec_id"].to_numpy(), matrix(d["vec"], np.float64, dim)
-            files = inverted_files(matrix(d["pivots"], np.uint16, prefix), n_pivots)
-            m = min(len(ids), max(AT_LEAST, int(np.ceil(share * len(ids)))))
-            for qid, qv, order in zip(q["query_id"].to_pylist(), matrix(q["q_vec"], np.float64, dim), matrix(q["q_pivots"], np.uint16, prefix)):
-                at = reranked(nearness(order, files, len(ids), prefix), m)
-                at = at[ids[at] != qid]
-                rough = x[at] @ qv
-                if len(at) > k:  # the exact sum decides among all that rounding could bring in
-                    kth = np.partition(rough, len(rough) - k)[len(rough) - k]
-                    at = at[rough >= kth - 1e-9 * (1 + abs(kth))]
-                exact = inner(x[at], qv)
-                top = best(exact, ids[at], k)
-                out[0].extend([qid] * len(top))
-                out[1].extend(ids[at[top]].tolist())
-                out[2].extend(exact[top].tolist())
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
+            files = inverted_files(matrix(d["pivots"], np.uint16, width), 2 * n_pivots)
+            most = float(np.sqrt((x * x).sum(1).max()))
+            m = min(len(ids), max(2 * k, int(np.ceil(share * len(ids)))))
+            for a in range(0, q.num_rows, AT_ONCE):
+                part = q.slice(a, AT_ONCE)
+                qid, qv, order = part["query_id"].to_numpy(), matrix(part["q_vec"], np.float64, dim), matrix(part["q_pivots"], np.uint16, width)
+                near = nearness(inverted_files(order, 2 * n_pivots), files, len(qid), len(ids))
+                places = []
+                for i, row in enumerate(near):
+                    at = reranked(row, m)
+                    at = at[ids[at] != qid[i]]
+                    rough = x[at] @ qv[i]
+                    if len(at) > k:  # the exact sum decides among all that rounding could bring in
+                        kth = np.partition(rough, len(rough) - k)[len(rough) - k]
+                        at = at[rough >= kth - 1e-13 * dim * most * float(np.sqrt(qv[i] @ qv[i]))]
+                    places.append(at)
+                which = np.repeat(np.arange(len(qid)), [len(at) for at in places])
+                at = np.concatenate(places)
+                exact = inner(x[at], qv[which])
+                order = np.lexsort((ids[at], -exact, which))
+                first = np.searchsorted(which, np.arange(len(qid)))
+                kept = order[np.arange(len(order)) - first[which] < k]  # ``which`` is sorted: order keeps its queries in place
+                out.append((qid[which[kept]], ids[at[kept]], exact[kept]))
+        if not out:
+            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        return pa.table({c: pa.array(np.concatenate(v)) for c, v in zip(("query_id", "vec_id", "score"), zip(*out))})
 
     key = ["shard", "block"]
     return merge_best(asked.groupBy(key).cogroup(data.groupBy(key)).applyInArrow(run, "query_id long, vec_id long, score double"), k)

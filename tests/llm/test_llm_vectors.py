@@ -78,7 +78,6 @@ def test_permutation_index(vectors, monkeypatch):
 
     want = by_force(rows, 20, 20, score)
     monkeypatch.setattr(permutation_index, "SHARD_ROWS", 200)
-    monkeypatch.setattr(permutation_index, "AT_LEAST", 30)
     for df in (vectors, vectors.withColumns({c: F.lit("extra") for c in ("shard", "pivots", "score", "rank", "query_id", "vec")})):
         got = answers(permutation_index.search(df))
         assert set(got) == set(want)
@@ -88,21 +87,33 @@ def test_permutation_index(vectors, monkeypatch):
             assert found == sorted(found) and all(abs(exact[q, i] - s) < 1e-12 for s, i in found)
             hits += len({i for _, i in found} & {i for _, i in want[q]})
         assert hits >= 0.9 * sum(map(len, want.values()))
-    monkeypatch.setattr(permutation_index, "AT_LEAST", 10_000)  # all are reranked: exact, ties included
-    assert answers(permutation_index.search(vectors)) == want
+    assert answers(permutation_index.search(vectors, share=1.0)) == want  # all are reranked: exact, ties included
 
 
-def test_permutation_index_keeps_equal_vectors_together(spark, monkeypatch):
+def test_permutation_index_keeps_equal_vectors_together(spark):
     """More copies of a vector than are reranked: the copies with the smallest ids must be the answer."""
-    monkeypatch.setattr(permutation_index, "AT_LEAST", 30)
     rng = np.random.default_rng(3)
     rows = [(i, [10.0] * 16 if i % 2 == 0 else rng.normal(0, 1, 16).tolist()) for i in range(600)]
     got = answers(permutation_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=200))
     assert {q: [i for _, i in f] for q, f in got.items()} == {q: [i for i in range(0, 44, 2) if i != q][:20] for q in (0, 200, 400)}
 
 
+def test_footrule_of_a_block_by_files():
+    rng = np.random.default_rng(5)
+    lists = permutation_index.ends(rng.normal(0, 1, (40, 20)), 6)
+    files = permutation_index.inverted_files(lists, 40)
+    got = permutation_index.nearness(permutation_index.inverted_files(lists[:7], 40), files, 7, 40)
+    for q in range(7):
+        for r in range(40):
+            footrule = 0
+            for side in (slice(0, 6), slice(6, 12)):
+                a, b = lists[q, side].tolist(), lists[r, side].tolist()
+                footrule += sum(abs((a.index(p) if p in a else 6) - (b.index(p) if p in b else 6)) for p in {*a, *b})
+            assert footrule == 2 * (2 * sum(range(1, 7))) - 2 * got[q, r]
+
+
 def test_recall_on_the_whole_table(spark):
-    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = answers(permutation_index.search(df))
     e = df.toPandas()
     x, ids = np.array(e.embedding.tolist(), np.float64), e.vec_id.to_numpy()
