@@ -348,6 +348,76 @@ def test_language_id(spark, clashing):
     assert kept.columns == clashing.columns and kept.where("text is null").count() == 0
 
 
+def labelled_texts(spark, n=1200):
+    import random
+
+    rng = random.Random(6)
+    letters = {"en": "thandgwo", "fr": "eauoilqs", "de": "schungzr", "es": "cionlmdb"}
+    text = lambda lang, k: "".join(rng.choice(letters[lang]) + (" " if rng.random() < 0.2 else "") for _ in range(k))
+    rows = [(i, text(lang, rng.randrange(60, 400)), lang) for i in range(n) for lang in [list(letters)[i % 4]]]
+    mixed = [(10_000 + i, text(a, 150) + " " + text(b, 150), None) for i in range(60) for a, b in [rng.sample(list(letters), 2)]]
+    junk = [(20_000 + i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") + (" " if rng.random() < 0.2 else "") for _ in range(200)), None) for i in range(60)]
+    return spark.createDataFrame(rows + mixed + junk, "doc_id long, text string, lang string")
+
+
+def test_mixed_and_junk_texts_are_ambiguous(spark):
+    df = labelled_texts(spark)
+    model = language_id.learn(df.where(~language_id.held_out(F.col("doc_id"))))
+    got = {r.doc_id: r for r in language_id.predict(df, model).collect()}
+    flagged = lambda a, b: sum(got[i].ambiguous for i in got if a <= i < b)
+    assert flagged(0, 10_000) <= 12 and flagged(10_000, 20_000) >= 57 and flagged(20_000, 30_000) == 60
+    kept = language_id.keep_identified(df, df.where(~language_id.held_out(F.col("doc_id"))))
+    assert kept.where("doc_id < 10000").count() == 1200 - flagged(0, 10_000) and kept.where("doc_id >= 10000").count() <= 3
+
+
+def test_language_id_by_force(spark):
+    """Trigram counts, bit classifiers and decoding written out for each document."""
+    df = labelled_texts(spark, 200).where("doc_id < 10060")
+    model = language_id.learn(df.where("lang is not null"))
+    rows = df.collect()
+
+    def grams(text):
+        b = [c if 97 <= c < 123 or c >= 128 else 32 for c in (c + 32 if 65 <= c < 91 else c for c in text.encode())]
+        for i, c in enumerate(b):
+            if c != 32:
+                code = (b[i - 1] if i else 32) << 16 | c << 8 | (b[i + 1] if i + 1 < len(b) else 32)
+                yield (code * 2654435761 & 0xFFFFFFFF) >> 18
+
+    counts = {lang: Counter() for lang in ("de", "en", "es", "fr")}
+    for r in rows:
+        if r.lang:
+            counts[r.lang].update(grams(r.text))
+    total = {lang: sum(c.values()) + 0.5 * 2**14 for lang, c in counts.items()}
+    p = lambda lang, f: (counts[lang][f] + 0.5) / total[lang]
+    langs = sorted(counts)
+    splits = [[1] + [1 if s >> k & 1 else -1 for k in range(3)] for s in range(7)]
+    got = {r.doc_id: r for r in language_id.predict(df, model).collect()}
+    for r in rows:
+        fs = list(grams(r.text))
+        margins = []
+        for bits in splits:
+            side = lambda f, sign: [p(x, f) for x, b in zip(langs, bits) if b == sign]
+            odds = [math.log(sum(side(f, 1)) / len(side(f, 1))) - math.log(sum(side(f, -1)) / len(side(f, -1))) for f in fs]
+            margins.append(sum(odds) / len(odds) / model.unit)
+        loss = [sum(math.log1p(math.exp(-m * bits[k])) for m, bits in zip(margins, splits)) for k in range(4)]
+        best = min(loss)
+        assert got[r.doc_id].lang_pred == langs[loss.index(best)]
+        assert abs(got[r.doc_id].score - 1 / sum(math.exp(best - x) for x in loss)) < 1e-4
+        like = sum(math.log(p(got[r.doc_id].lang_pred, f)) for f in fs) / len(fs)
+        gap = sorted(loss)[1] - best
+        if abs(gap - model.gap) > 1e-3 and abs(like - model.least) > 1e-3:
+            assert got[r.doc_id].ambiguous == (gap < model.gap or like < model.least)
+
+
+def test_thousands_of_language_labels(spark, monkeypatch):
+    """More labels than are learned: the most frequent ones are, and every prediction is one of them."""
+    monkeypatch.setattr(language_id, "LANGUAGES", 6)
+    df = labelled_texts(spark, 400).where("doc_id < 400").union(spark.range(50_000, 53_000).selectExpr("id", "'the odd ' || id", "'x' || id"))
+    model = language_id.learn(df)
+    assert model.names == ["de", "en", "es", "fr", "x50000", "x50001"] and model.code.shape == (6, 31)
+    assert {r.lang_pred for r in language_id.predict(df.where("doc_id < 400"), model).collect()} == {"de", "en", "es", "fr"}
+
+
 def test_codewords_correct_errors():
     for n in (1, 2, 3, 4, 5, 6, 12, 40):
         code = language_id.codewords(n)
