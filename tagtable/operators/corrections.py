@@ -3,13 +3,15 @@ back, apply them with the last correction winning (K4, S7, J1)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtable.functions.arrays import let
 from tagtable.functions.labels import label_id, label_name
+from tagtable.sources.lines import file_lines, joined_lines, running_sum
 
 BLOCK_SEP = "\n\n"
+BLANK = r"^[ \t]*$"
 
 
 def review_blocks(df: DataFrame, row: str, key: str = "id", tokens: str = "tokens",
@@ -58,29 +60,9 @@ def read_correction_blocks(spark: SparkSession, paths: str | list[str]) -> DataF
     are counted inside each split and behind those of the file's earlier splits (one count a split), and lines
     with the same count are one block. ``seq`` orders blocks for the last-one-wins rule: by the file's place in
     ``paths``, then by its path (the files of one folder), then by the place in the file."""
-    parts = []
-    for nth, path in enumerate([paths] if isinstance(paths, str) else paths):
-        parts.append(spark.read.text(path).select(
-            F.lit(nth).alias("nth"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", "\r$", "").alias("line")))
-    lines = parts[0]
-    for p in parts[1:]:
-        lines = lines.unionByName(p)
-    return blocks_of_lines(lines)
-
-
-def blocks_of_lines(lines: DataFrame) -> DataFrame:
-    """Lines ``nth, file, start, row, line`` (``start``: the split's place in its file, ``row``: the line's order
-    in its split) -> ``block, seq``."""
-    split = ["nth", "file", "start"]
-    marked = lines.withColumn("_blank", F.col("line").rlike(r"^[ \t]*$").cast("long"))
-    earlier = Window.partitionBy("nth", "file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    before = marked.groupBy(*split).agg(F.sum("_blank").alias("_n")).select(*split, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*split).orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    numbered = marked.withColumn("_in", F.sum("_blank").over(inside)).filter(F.col("_blank") == 0).join(before, split)
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("start", "row", "line"))), lambda x: x["line"]), "\n")
-    return numbered.groupBy("nth", "file", (F.col("_before") + F.col("_in")).alias("_block")).agg(text.alias("block")).select(
-        "block", F.struct("nth", "file", F.col("_block").alias("place")).alias("seq"))
+    counted = running_sum(file_lines(spark, paths), F.col("line").rlike(BLANK), "place")
+    blocks = joined_lines(counted.filter(~F.col("line").rlike(BLANK)), "place", "block")
+    return blocks.select("block", F.struct("nth", "file", "place").alias("seq"))
 
 
 def duplicate_ids(df: DataFrame, key: str = "id") -> DataFrame:

@@ -683,3 +683,30 @@ ORACLE["entity_metrics_flat"] = (
     f"WITH {CTE_ANN}, cut AS (SELECT id, {_zeros('fixed_tags', 3)} AS fixed_tags, {_zeros('model_tags', 2)} AS model_tags FROM ann) "
     + _flat("ann", "plain") + " UNION ALL " + _flat("cut", "open runs")
 )
+
+# -- tables written and read back ------------------------------------------------
+ORACLE["sentences_csv"] = (
+    f"WITH s AS ({SENT}) SELECT id, CASE WHEN id % 1000 = 7 THEN NULL WHEN id % 3 = 0 THEN replace(text, ' o ', ' \"o\",' || chr(10) || chr(10)) "
+    "ELSE text END AS text, CASE WHEN id % 1000 <> 7 THEN lemma_text END AS lemma_text, id % 1000 = 7 AS rejected FROM s"
+)
+ORACLE["first_sentences"] = f"WITH s AS ({SENT}) SELECT id, text FROM s ORDER BY id LIMIT 1000"
+ORACLE["run_table_csv"] = (
+    f"WITH {CTE_RUNS} SELECT Name, learning_rate, num_train_epochs::DOUBLE AS num_train_epochs, \"eval/f1\", \"test/f1\", \"test/macro_f1\" FROM rt"
+)
+ORACLE["split_files"] = (
+    f"WITH {CTE_EXT} SELECT doc_id, subset, array_to_string(tokens, ' ') AS tokens, array_to_string(list_transform(ner_tags, "
+    "lambda t: CASE t WHEN 0 THEN 5 WHEN 5 THEN 0 ELSE t END), ',') AS ner_tags FROM ext"
+)
+ORACLE["run_outputs"] = (
+    "SELECT event_type AS run, user_id, count(*) AS n, count(*) OVER (PARTITION BY event_type) AS n_rows FROM events GROUP BY event_type, user_id"
+)
+ORACLE["metrics_table"] = f"SELECT n.Name, m.* FROM ({ORACLE['token_metrics']}) m CROSS JOIN (VALUES ('V0.0.1'), ('V0.0.2')) n(Name)"
+ORACLE["split_text"] = (
+    f"WITH {CTE_ANN} SELECT id, array_to_string(tokens, ' ') AS text, array_to_string(fixed_tags, ',') AS tags FROM ann WHERE id % 25 >= 20"
+)
+ORACLE["saved_majority"] = (
+    f"WITH {CTE_ANN}, r AS (SELECT unnest(tokens) AS token, unnest(fixed_tags) AS tag FROM ann), "
+    "c AS (SELECT token, tag, row_number() OVER (PARTITION BY token ORDER BY count(*) DESC, tag) AS r FROM r GROUP BY token, tag) "
+    "SELECT token, tag FROM c WHERE r = 1"
+)
+ORACLE["run_stamps"] = "SELECT event_id, strftime(ts, '%d_%m_%Y__%H_%M_%S') AS stamp FROM events"

@@ -22,6 +22,7 @@ from tagtable.operators import tagger as T
 from tagtable.operators.positions import positions
 from tagtable.operators.pieces import piece_word_ids, words_from_pieces
 from tagtable.operators.spans import entity_spans, spans_from_pieces
+from tagtable.plans.io_queries import QUERIES as IO_QUERIES
 from tagtable.session import cut_lineage, scratch_path
 from tagtable.sources import fixtures as fx
 from tagtable.sources.tables import read_history_lines, read_table, spread, write_history_lines
@@ -666,4 +667,5 @@ QUERIES: dict[str, Query] = {
     "history_merge": history_merge_query,
     "exact_split": exact_split_query,
     "entity_metrics_flat": entity_metrics_flat_query,
+    **IO_QUERIES,
 }

@@ -40,9 +40,9 @@ SENTENCE_SCHEMA = T.StructType([
 def read_sentences_csv(spark: SparkSession, path: str, schema: T.StructType = SENTENCE_SCHEMA,
                        multi_line: bool = True) -> DataFrame:
     """Raw sentence CSV (S1): comma, UTF-8, header, quoted multi-line cells.
-    An explicit schema avoids an inference pass over the whole input. A file
-    with multi-line cells cannot be split, so each file is one task: give
-    many files, or ``multi_line=False`` where no cell holds a line end."""
+    An explicit schema avoids an inference pass over the whole input. Each file
+    with multi-line cells is one task; ``lines.csv_records`` reads such files by
+    many tasks and keeps the rejects, and ``multi_line=False`` does where no cell holds a line end."""
     return (
         spark.read.schema(schema)
         .option("header", "true").option("multiLine", str(multi_line).lower())
@@ -52,8 +52,19 @@ def read_sentences_csv(spark: SparkSession, path: str, schema: T.StructType = SE
 
 
 def first_rows(df: DataFrame, n: int | None, order_col: str = "id") -> DataFrame:
-    """First ``n`` rows in explicit key order, or all rows when ``n`` is None (O1)."""
-    return df if n is None else df.orderBy(order_col).limit(n)
+    """First ``n`` rows in key order, or all rows when ``n`` is None (O1). For a key of whole numbers the n-th smallest
+    is found by counting (``smallest``) and the rows are filtered: no sort, and no task that takes all n. Rows without a key come last."""
+    if n is None:
+        return df
+    if df.schema[order_col].dataType.typeName() not in ("integer", "long", "short", "byte"):
+        return df.orderBy(F.col(order_col).asc_nulls_last()).limit(n)
+    from tagtable.operators.datasets import SPLIT_BITS, smallest
+
+    low = df.agg(F.min(order_col)).first()[0] or 0
+    place = F.coalesce(F.col(order_col).cast("long") - F.lit(low), F.lit((1 << SPLIT_BITS) - 1))
+    t, m = smallest(df.select(place.alias("v")), "v", [n])[0]
+    below = df.filter(place < t)
+    return below.unionByName(df.filter(place == t).limit(m)) if m else below
 
 
 def run_stamp(ts_col) -> "F.Column":
@@ -73,7 +84,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", "true").option("quoteAll", "true").csv(path)
+        w.option("header", "true").option("quoteAll", "true").option("escape", '"').csv(path)
     else:
         w.format(fmt).save(path)
 
@@ -106,11 +117,6 @@ def read_splits(spark: SparkSession, paths: dict[str, str], label_map: dict[int,
     return out
 
 
-def append_metrics(metrics: DataFrame, path: str, name: str) -> None:
-    """Append a named metrics row to a metrics table (K2)."""
-    metrics.select(F.lit(name).alias("Name"), *[F.col(f"`{c}`") for c in metrics.columns if c != "Name"]).write.mode("append").parquet(path)
-
-
 def read_history_json(spark: SparkSession, path: str) -> DataFrame:
     """Training-history files (S5): one JSON object per file with a
     ``log_history`` array. Many runs are read in one scan; the file path is

@@ -3,6 +3,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tagtable.operators import tagger as T
@@ -80,17 +81,82 @@ def test_split_reader_with_label_map(spark):
     assert {r.subset: r.ner_tags for r in read_splits(spark, paths, {0: 7, 5: 1}).collect()} == {"train": [7, 1], "validation": [1, 1], "test": [2, 1]}
 
 
-def test_metrics_rows_are_appended(spark):
+def test_metrics_rows_are_put_by_name(spark):
     from tagtable.operators import metrics as M
-    from tagtable.sources.tables import append_metrics
+    from tagtable.sources.outputs import put_metrics, read_metrics
 
     path = os.path.join(tempfile.mkdtemp(prefix="metrics-"), "t")
     df = spark.createDataFrame([([0, 1], [0, 1])], "g array<int>, p array<int>")
     row = M.token_metrics(M.confusion(M.gold_pred_pairs(df, "g", "p")))
-    append_metrics(row, path, "first")
-    append_metrics(row, path, "second")
-    back = spark.read.parquet(path)
-    assert sorted(r.Name for r in back.collect()) == ["first", "second"] and back.columns[0] == "Name"
+    for name in ("first", "second", "first", "007"):
+        put_metrics(row, path, name)
+    back = read_metrics(spark, path)
+    assert sorted(r.Name for r in back.collect()) == ["007", "first", "second"] and back.columns[0] == "Name"
+
+
+def test_runs_can_be_written_again(spark, tmp_path):
+    from tagtable.sources import outputs as O
+
+    path = str(tmp_path / "t")
+    rows = lambda n, k=0: spark.range(n).select("id", (F.col("id") + k).alias("v"))
+    O.write_run(rows(5), path, "a/b=c")
+    O.write_run(rows(3), path, "2")
+    once = sorted(map(tuple, O.read_runs(spark, path).select("run", "id", "v").collect()))
+    for _ in range(2):
+        O.write_run(rows(5), path, "a/b=c")
+    assert sorted(map(tuple, O.read_runs(spark, path).select("run", "id", "v").collect())) == once and len(once) == 8
+    # a job that ends between the rows and the manifest: the run shows as incomplete, and writing it again mends it
+    O._replace(rows(4, 9), path, "2")
+    assert [r.run for r in O.incomplete_runs(spark, path).collect()] == ["2"]
+    O._replace(rows(4), path, "new")
+    assert sorted(r.run for r in O.incomplete_runs(spark, path).collect()) == ["2", "new"]
+    assert O.read_runs(spark, path).filter("run = 'new'").count() == 0
+    O.write_run(rows(3), path, "2")
+    O.write_run(rows(4), path, "new")
+    assert O.incomplete_runs(spark, path).count() == 0 and O.read_runs(spark, path).count() == 12
+    # a run that ends with no rows hides what it wrote before; a failing one leaves the old rows
+    O.write_run(rows(0), path, "new")
+    assert sorted(map(tuple, O.read_runs(spark, path).select("run", "id", "v").collect())) == once
+    with pytest.raises(Exception):
+        O.write_run(rows(5).select("id", F.raise_error(F.lit("lost")).cast("long").alias("v")), path, "2")
+    assert sorted(map(tuple, O.read_runs(spark, path).select("run", "id", "v").collect())) == once
+
+
+def test_multi_line_csv_is_read_by_several_tasks(spark, tmp_path):
+    import csv
+    import random
+
+    from tagtable.sources.lines import csv_records, split_corrupt
+
+    rng = random.Random(5)
+    cell = lambda: "".join(rng.choice(["a", ",", '"', "\n", "\\", " ", "é", "\n\n"]) for _ in range(rng.randrange(12)))
+    want = [(i, cell() or "x", "z" + cell()) for i in range(400)]
+    for end in ("\n", "\r\n"):
+        path = tmp_path / f"f{len(end)}.csv"
+        with open(path, "w", newline="") as f:
+            w = csv.writer(f, quoting=csv.QUOTE_ALL, lineterminator=end)
+            w.writerow(["id", "a", "b"])
+            w.writerows((f"no{i}" if i % 50 == 3 else i, a, b) for i, a, b in want)
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+        try:
+            good, bad = split_corrupt(csv_records(spark, str(path), "id bigint, a string, b string"))
+            got = sorted(map(tuple, good.collect()))
+            assert bad.count() == 8
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert got == [r for r in want if r[0] % 50 != 3]
+
+
+@pytest.mark.parametrize("n", [0, 1, 40, 60, 99])
+def test_first_rows_without_sorting(spark, n):
+    from tagtable.sources.tables import first_rows
+
+    df = spark.createDataFrame([(i * 7 - 50 if i % 4 else None, i) for i in range(60)], "id long, v int").repartition(4)
+    want = sorted((r.id for r in df.collect()), key=lambda x: (x is None, x or 0))[:n]
+    assert sorted((r.id for r in first_rows(df, n).collect()), key=lambda x: (x is None, x or 0)) == want
+    names = df.withColumn("id", F.col("id").cast("string"))
+    assert first_rows(names, n).count() == min(n, 60)
 
 
 def test_saved_test_split_reads_back(spark):
