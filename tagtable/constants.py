@@ -158,19 +158,32 @@ EVALUATION_COLUMNS: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("macro", ("test/macro_precision", "test/macro_recall", "test/macro_f1")),
 )
 
-# Run configurations by version, over the defaults below; only the fields that a token tagger here uses.
+# Run configurations by version, over the defaults below; the fields that a stage here uses, dropout and batch
+# sizes being recorded only. 1.0 and 0.0 stand for yes and no.
 RUN_DEFAULTS: tuple[tuple[str, float], ...] = (
     ("num_train_epochs", 3.0), ("learning_rate", 5e-05), ("weight_decay", 0.0), ("per_device_train_batch_size", 8.0),
+    ("per_device_eval_batch_size", 8.0), ("hidden_dropout_prob", 0.1), ("attention_probs_dropout_prob", 0.1),
+    ("concat_external", 1.0), ("filter_numeric_external", 1.0), ("hyperparameter_tuning", 0.0), ("seed", 42.0),
 )
 RUN_PRESETS: tuple[tuple[str, tuple[tuple[str, float], ...]], ...] = (
-    ("_POC", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0))),
-    ("0.0.1", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 8.0))),
-    ("0.0.2", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 8.0))),
-    ("0.0.3", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("early_stopping_patience", 10.0))),
-    ("0.0.4", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("early_stopping_patience", 3.0),
-               ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975))),
-    ("0.0.5", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("early_stopping_patience", 3.0),
-               ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975))),
-    ("0.0.6", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("early_stopping_patience", 3.0),
-               ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975))),
+    ("_POC", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("per_device_eval_batch_size", 4.0),
+              ("concat_external", 0.0), ("hyperparameter_tuning", 0.0))),
+    ("0.0.1", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 8.0), ("per_device_eval_batch_size", 8.0),
+               ("concat_external", 1.0), ("filter_numeric_external", 0.0), ("hyperparameter_tuning", 0.0))),
+    ("0.0.2", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 8.0), ("per_device_eval_batch_size", 8.0),
+               ("concat_external", 1.0), ("filter_numeric_external", 1.0), ("hyperparameter_tuning", 0.0))),
+    ("0.0.3", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("per_device_eval_batch_size", 4.0),
+               ("concat_external", 1.0), ("filter_numeric_external", 1.0), ("hyperparameter_tuning", 0.0),
+               ("early_stopping_patience", 10.0))),
+    ("0.0.4", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("per_device_eval_batch_size", 4.0),
+               ("concat_external", 1.0), ("filter_numeric_external", 1.0), ("hyperparameter_tuning", 1.0),
+               ("early_stopping_patience", 3.0), ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975))),
+    ("0.0.5", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("per_device_eval_batch_size", 4.0),
+               ("concat_external", 1.0), ("filter_numeric_external", 1.0), ("hyperparameter_tuning", 0.0),
+               ("early_stopping_patience", 3.0), ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975),
+               ("hidden_dropout_prob", 0.2), ("attention_probs_dropout_prob", 0.25), ("classifier_dropout_value", 0.25))),
+    ("0.0.6", (("num_train_epochs", 15.0), ("per_device_train_batch_size", 4.0), ("per_device_eval_batch_size", 4.0),
+               ("hyperparameter_tuning", 0.0),
+               ("early_stopping_patience", 3.0), ("learning_rate", 0.000024981604754), ("weight_decay", 0.285214291922975),
+               ("hidden_dropout_prob", 0.2), ("attention_probs_dropout_prob", 0.25), ("classifier_dropout_value", 0.25))),
 )

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagtable.constants import LABELS
+from tagtable.constants import LABELS, RUN_DEFAULTS, RUN_PRESETS
 from tagtable.session import cut_lineage
 
 ROUND = 6
@@ -180,6 +180,46 @@ def concat_splits(base: DataFrame, external: DataFrame | None, numeric_filter: b
     return out
 
 
+VERSION_FLAGS = ("concat_external", "filter_numeric_external")
+
+
+def version_flags(presets=RUN_PRESETS, defaults=RUN_DEFAULTS) -> list[tuple[str, bool, bool]]:
+    """Each version's name, whether it takes the external corpus, and whether rows with digits of it go (M4)."""
+    base = dict(defaults)
+    return [(v, *[bool({**base, **dict(p)}.get(k, 0.0)) for k in VERSION_FLAGS]) for v, p in presets]
+
+
+def version_corpora(base: DataFrame, external: DataFrame, presets=RUN_PRESETS, defaults=RUN_DEFAULTS) -> DataFrame:
+    """The corpora of all versions as one table (M4, U2): each row once, with ``versions``, a bit for every version
+    whose corpus holds it. A version that takes the external corpus has it cleaned of rows with digits where its preset says so,
+    and loses test rows with an apostrophe, of both sources; another one has the base rows alone. The rows are read and
+    tested once, however many versions there are."""
+    flags = version_flags(presets, defaults)
+    bits = lambda wanted: sum(1 << k for k, f in enumerate(flags) if wanted(*f[1:]))
+    mask = lambda n: F.lit(n).cast("long")
+    cols = ["source", "key", "tokens", "ner_tags", "subset"]
+    dropped = (F.col("subset") == "test") & has_apostrophe("tokens")
+    own = base.select(*cols).withColumn("versions", F.when(dropped, mask(bits(lambda c, _: not c))).otherwise(mask(bits(lambda c, n: True))))
+    numeric = has_digit("tokens")
+    ext = external.withColumn("ner_tags", F.col("ner_tags").cast("array<bigint>")).select(*cols).withColumn(
+        "versions", F.when(dropped, mask(0)).when(numeric, mask(bits(lambda c, n: c and not n))).otherwise(mask(bits(lambda c, n: c))))
+    return own.unionByName(ext).filter(F.col("versions") != 0)
+
+
+def of_version(corpora: DataFrame, version: str, presets=RUN_PRESETS) -> DataFrame:
+    """The corpus of one version."""
+    k = [v for v, _ in presets].index(version)
+    return corpora.filter(F.getbit("versions", F.lit(k)) == 1).drop("versions")
+
+
+def version_distribution(corpora: DataFrame, presets=RUN_PRESETS) -> DataFrame:
+    """Rows and tokens of each version's subsets. Rows are counted once for each set of versions, the few sums are dealt to the versions."""
+    sums = corpora.groupBy("subset", "versions").agg(F.count(F.lit(1)).alias("r"), F.sum(F.size("tokens")).alias("t"))
+    names = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(v).alias("version")) for k, (v, _) in enumerate(presets)])
+    dealt = sums.select("subset", "r", "t", "versions", F.explode(names).alias("v")).filter(F.getbit("versions", F.col("v.k")) == 1)
+    return dealt.groupBy(F.col("v.version").alias("version"), "subset").agg(F.sum("r").alias("n_rows"), F.sum("t").cast("bigint").alias("n_tokens"))
+
+
 def split_sizes(df: DataFrame, subset: str = "subset", tags: str = "ner_tags") -> DataFrame:
     """Rows, tokens and row share per subset (A2)."""
     from pyspark.sql import Window

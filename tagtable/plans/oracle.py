@@ -462,14 +462,33 @@ ORACLE["metrics_long"] = (
         for cat, cols in K.EVALUATION_COLUMNS for m in cols)
 )
 
-_PRESET_KEYS = list(dict.fromkeys([k for k, _ in K.RUN_DEFAULTS] + [k for _, p in K.RUN_PRESETS for k, _ in p]))
+# The presets as SQL, field by field, not from the library's table.
+_EPOCHS = "'num_train_epochs', 15.0"
+_TUNED = "('learning_rate', 0.000024981604754), ('weight_decay', 0.285214291922975)"
+_DROPOUT = "('hidden_dropout_prob', 0.2), ('attention_probs_dropout_prob', 0.25), ('classifier_dropout_value', 0.25)"
+
+
+def _preset(version: str, batch: int, rest: str) -> str:
+    values = f"({_EPOCHS}), ('per_device_train_batch_size', {batch}), ('per_device_eval_batch_size', {batch}), {rest}"
+    return f"SELECT '{version}' AS version, param, value::DOUBLE AS value FROM (VALUES {values}) x(param, value)"
+
+
+_PRESETS = " UNION ALL ".join((
+    _preset("_POC", 4, "('concat_external', 0), ('hyperparameter_tuning', 0)"),
+    _preset("0.0.1", 8, "('concat_external', 1), ('filter_numeric_external', 0), ('hyperparameter_tuning', 0)"),
+    _preset("0.0.2", 8, "('concat_external', 1), ('filter_numeric_external', 1), ('hyperparameter_tuning', 0)"),
+    _preset("0.0.3", 4, "('concat_external', 1), ('filter_numeric_external', 1), ('hyperparameter_tuning', 0), ('early_stopping_patience', 10)"),
+    _preset("0.0.4", 4, f"('concat_external', 1), ('filter_numeric_external', 1), ('hyperparameter_tuning', 1), ('early_stopping_patience', 3), {_TUNED}"),
+    _preset("0.0.5", 4, f"('concat_external', 1), ('filter_numeric_external', 1), ('hyperparameter_tuning', 0), ('early_stopping_patience', 3), {_TUNED}, {_DROPOUT}"),
+    _preset("0.0.6", 4, f"('hyperparameter_tuning', 0), ('early_stopping_patience', 3), {_TUNED}, {_DROPOUT}"),
+))
 ORACLE["preset_configs"] = (
     f"WITH {CTE_RUNS}, v AS (SELECT run_id, regexp_extract(Name, 'V(_POC|[0-9]+\\.[0-9]+\\.[0-9]+)', 1) AS version FROM rt), "
-    "preset(version, param, value) AS (VALUES "
-    + ", ".join(f"({lit(v)}, {lit(k)}, CAST({x!r} AS DOUBLE))" for v, p in K.RUN_PRESETS for k, x in p)
-    + "), param(param, value) AS (VALUES "
-    + ", ".join(f"({lit(k)}, CAST({dict(K.RUN_DEFAULTS).get(k, 'NULL')} AS DOUBLE))" for k in _PRESET_KEYS)
-    + ") SELECT run_id, p.param, coalesce(s.value, p.value) AS value, s.value IS NOT NULL AS overridden "
+    f"preset AS ({_PRESETS}), param(param, value) AS (VALUES ('num_train_epochs', 3.0::DOUBLE), ('learning_rate', 0.00005), ('weight_decay', 0), "
+    "('per_device_train_batch_size', 8), ('per_device_eval_batch_size', 8), ('hidden_dropout_prob', 0.1), ('attention_probs_dropout_prob', 0.1), "
+    "('concat_external', 1), ('filter_numeric_external', 1), ('hyperparameter_tuning', 0), ('seed', 42), ('early_stopping_patience', NULL), "
+    "('classifier_dropout_value', NULL)) "
+    "SELECT run_id, p.param, coalesce(s.value, p.value) AS value, s.value IS NOT NULL AS overridden "
     "FROM v CROSS JOIN param p LEFT JOIN preset s ON s.version = v.version AND s.param = p.param"
 )
 ORACLE["sweep_trials"] = (
@@ -710,3 +729,11 @@ ORACLE["saved_majority"] = (
     "SELECT token, tag FROM c WHERE r = 1"
 )
 ORACLE["run_stamps"] = "SELECT event_id, strftime(ts, '%d_%m_%Y__%H_%M_%S') AS stamp FROM events"
+ORACLE["version_corpora"] = (
+    f"WITH {CTE_CONCAT}, own AS (SELECT * FROM cat0 WHERE source = 'sentences'), "
+    "o AS (SELECT 'documents' AS source, doc_id AS key, tokens, ner_tags, subset FROM ext), "
+    "rows AS (SELECT '_POC' AS version, subset, tokens FROM own "
+    f"UNION ALL SELECT '0.0.1', subset, tokens FROM (SELECT * FROM own UNION ALL SELECT * FROM o) WHERE subset <> 'test' OR {NO_APOS} "
+    f"UNION ALL SELECT v, subset, tokens FROM cat CROSS JOIN (VALUES ('0.0.2'), ('0.0.3'), ('0.0.4'), ('0.0.5'), ('0.0.6')) x(v)) "
+    "SELECT version, subset, count(*) AS n_rows, sum(len(tokens))::BIGINT AS n_tokens FROM rows GROUP BY version, subset"
+)

@@ -603,6 +603,11 @@ def entity_metrics_flat_query(spark, sf):
         M.entity_metrics_flat(b, "fixed_tags", "model_tags").withColumn("corpus", F.lit("open runs")))
 
 
+def version_corpora_query(spark, sf):
+    """Rows and tokens per subset of every version's corpus."""
+    return D.version_distribution(D.version_corpora(modelling_corpus(spark, sf), external(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_sentences": normalize_sentences,
     "normalize_documents": normalize_documents,
@@ -667,5 +672,6 @@ QUERIES: dict[str, Query] = {
     "history_merge": history_merge_query,
     "exact_split": exact_split_query,
     "entity_metrics_flat": entity_metrics_flat_query,
+    "version_corpora": version_corpora_query,
     **IO_QUERIES,
 }

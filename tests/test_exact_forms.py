@@ -197,3 +197,20 @@ def test_chunks_over_sentence_ends(spark, seed):
 def test_flat_metrics_of_nothing(spark):
     r = M.entity_metrics_flat(spark.createDataFrame([], "id long, g array<int>, p array<int>"), "g", "p").first()
     assert (r.n_gold, r.n_pred, r.n_tp, r.f1) == (0, 0, 0, 0.0)
+
+
+# ---- M4, U2
+
+def test_version_corpora_are_the_single_ones(spark):
+    rows = [(s, i, toks, [0] * len(toks), sub) for s in ("sentences", "documents") for i, (toks, sub) in enumerate(
+        [(["a"], "train"), (["d'Or"], "train"), (["d'Or", "b"], "test"), (["20"], "test"), (["x", "y"], "test"), (["2", "d'Or"], "test"), ([], "validation")])]
+    both = spark.createDataFrame(rows, "source string, key int, tokens array<string>, ner_tags array<bigint>, subset string")
+    base, ext = both.filter("source = 'sentences'"), both.filter("source = 'documents'")
+    all_versions = D.version_corpora(base, ext)
+    for version, concat, numeric in D.version_flags():
+        want = D.concat_splits(base, ext if concat else None, numeric_filter=numeric, test_apostrophe_filter=concat)
+        got = D.of_version(all_versions, version)
+        key = lambda d: sorted((r.source, r.key, r.subset) for r in d.collect())
+        assert key(got) == key(want), version
+    flags = {v: (c, n) for v, c, n in D.version_flags()}
+    assert flags["_POC"][0] is False and flags["0.0.1"] == (True, False) and flags["0.0.6"] == (True, True)
