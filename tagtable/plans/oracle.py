@@ -737,3 +737,29 @@ ORACLE["version_corpora"] = (
     f"UNION ALL SELECT v, subset, tokens FROM cat CROSS JOIN (VALUES ('0.0.2'), ('0.0.3'), ('0.0.4'), ('0.0.5'), ('0.0.6')) x(v)) "
     "SELECT version, subset, count(*) AS n_rows, sum(len(tokens))::BIGINT AS n_tokens FROM rows GROUP BY version, subset"
 )
+ORACLE["sequence_tagger"] = (
+    f"WITH RECURSIVE {CTE_MC}, "
+    "w AS (SELECT *, ('0x' || left(md5(token), 4))::BIGINT AS b, coalesce(lag(tag) OVER (PARTITION BY id ORDER BY idx), -1) AS p FROM mrows), "
+    "tags AS (SELECT range AS t FROM range(14)), "
+    "et AS (SELECT tag AS t, count(*) AS n FROM w WHERE subset = 'train' GROUP BY tag), "
+    "ec AS (SELECT b, tag AS t, count(*) AS n FROM w WHERE subset = 'train' GROUP BY b, tag), "
+    "em AS (SELECT x.b, tags.t, round(1000 * ln((coalesce(ec.n, 0) + 1)::DOUBLE / (coalesce(et.n, 0) + 65536)))::BIGINT AS s "
+    "FROM (SELECT DISTINCT b FROM w WHERE subset = 'test') x CROSS JOIN tags LEFT JOIN ec ON ec.b = x.b AND ec.t = tags.t LEFT JOIN et ON et.t = tags.t), "
+    "tt AS (SELECT p, count(*) AS n FROM w WHERE subset = 'train' GROUP BY p), "
+    "tc AS (SELECT p, tag AS t, count(*) AS n FROM w WHERE subset = 'train' GROUP BY p, tag), "
+    "tr AS (SELECT a.p, tags.t, round(1000 * ln((coalesce(tc.n, 0) + 1)::DOUBLE / (coalesce(tt.n, 0) + 14)))::BIGINT AS s "
+    "FROM (SELECT range - 1 AS p FROM range(15)) a CROSS JOIN tags LEFT JOIN tc ON tc.p = a.p AND tc.t = tags.t LEFT JOIN tt ON tt.p = a.p), "
+    "test AS (SELECT id, idx, b FROM w WHERE subset = 'test'), "
+    "v AS (SELECT test.id, 0 AS idx, em.t, tr.s + em.s AS score, [em.t] AS path FROM test JOIN em ON em.b = test.b AND test.idx = 0 "
+    "JOIN tr ON tr.p = -1 AND tr.t = em.t "
+    "UNION ALL SELECT id, idx, t, score + e, list_append(path, t) FROM ("
+    "SELECT v.id, v.idx + 1 AS idx, em.t, max(v.score + tr.s) AS score, any_value(em.s) AS e, arg_max(v.path, (v.score + tr.s) * 100 - v.t) AS path "
+    "FROM v JOIN test ON test.id = v.id AND test.idx = v.idx + 1 JOIN em ON em.b = test.b JOIN tr ON tr.p = v.t AND tr.t = em.t GROUP BY v.id, v.idx, em.t)), "
+    "n AS (SELECT id, max(idx) AS last FROM test GROUP BY id), "
+    "best AS (SELECT v.id, arg_max(path, score * 100 - t) AS path FROM v JOIN n ON n.id = v.id AND v.idx = n.last GROUP BY v.id), "
+    "cnt AS (SELECT token, tag, count(*) AS n FROM mrows WHERE subset = 'train' GROUP BY token, tag), "
+    "top AS (SELECT token, tag FROM (SELECT *, row_number() OVER (PARTITION BY token ORDER BY n DESC, tag) AS r FROM cnt) WHERE r = 1) "
+    "SELECT m.id, array_to_string(any_value(path), ',') AS pred, count(*) FILTER (WHERE path[idx + 1] = m.tag) AS n_right, "
+    "count(*) FILTER (WHERE coalesce(top.tag, 0) = m.tag) AS n_majority FROM mrows m JOIN best ON best.id = m.id "
+    "LEFT JOIN top ON top.token = m.token WHERE m.subset = 'test' GROUP BY m.id"
+)

@@ -18,6 +18,7 @@ from tagtable.operators import corrections as C
 from tagtable.operators import datasets as D
 from tagtable.operators import metrics as M
 from tagtable.operators import runs as R
+from tagtable.operators import sequence as Q
 from tagtable.operators import tagger as T
 from tagtable.operators.positions import positions
 from tagtable.operators.pieces import piece_word_ids, words_from_pieces
@@ -608,6 +609,18 @@ def version_corpora_query(spark, sf):
     return D.version_distribution(D.version_corpora(modelling_corpus(spark, sf), external(spark, sf)))
 
 
+def sequence_tagger_query(spark, sf):
+    """M1, M2: the sequence tagger's labels of each test sentence, and how many of its words it and the majority tagger get right."""
+    mc = cut_lineage(modelling_corpus(spark, sf).select(F.col("key").alias("id"), "tokens", "ner_tags", "subset"))
+    train, test = (mc.filter(F.col("subset") == x) for x in ("train", "test"))
+    pred = Q.predict_sequence(test.select("id", "tokens", "ner_tags"), Q.fit_sequence(train))
+    majority = T.predict_majority(T.token_rows(test), T.fit_majority(T.token_rows(train)), out="m")
+    by_id = majority.groupBy("id").agg(F.sum((F.col("m") == F.col("tag")).cast("long")).alias("n_majority"))
+    right = F.size(F.filter(F.arrays_zip(F.col("ner_tags").alias("a"), F.col("pred").alias("b")), lambda z: z["a"] == z["b"]))
+    return pred.join(by_id, "id", "left").select("id", _ints(F.col("pred")).alias("pred"), right.cast("long").alias("n_right"),
+                                                  F.coalesce("n_majority", F.lit(0)).alias("n_majority"))
+
+
 QUERIES: dict[str, Query] = {
     "normalize_sentences": normalize_sentences,
     "normalize_documents": normalize_documents,
@@ -673,5 +686,6 @@ QUERIES: dict[str, Query] = {
     "exact_split": exact_split_query,
     "entity_metrics_flat": entity_metrics_flat_query,
     "version_corpora": version_corpora_query,
+    "sequence_tagger": sequence_tagger_query,
     **IO_QUERIES,
 }

@@ -214,3 +214,36 @@ def test_version_corpora_are_the_single_ones(spark):
         assert key(got) == key(want), version
     flags = {v: (c, n) for v, c, n in D.version_flags()}
     assert flags["_POC"][0] is False and flags["0.0.1"] == (True, False) and flags["0.0.6"] == (True, True)
+
+
+# ---- M1, M2
+
+def test_viterbi_is_the_best_of_all_sequences(spark):
+    import itertools
+
+    import numpy as np
+
+    from tagtable.operators import sequence as Q
+
+    rng = random.Random(6)
+    rows = [(i, [rng.choice(["a", "b", "c", "dd", "Č"]) for _ in range(n)], [rng.randrange(3) for _ in range(n)]) for i, n in enumerate([0, 1, 2, 5, 5, 4, 3] * 4)]
+    df = spark.createDataFrame(rows, "id int, tokens array<string>, ner_tags array<bigint>")
+    model = Q.fit_sequence(df)
+    small = Q.SequenceModel(model.emission[:, :4], model.transition[:4, :4], model.start[:4])
+    for _, words, _ in rows[:7]:
+        b = [int(__import__("hashlib").md5(w.encode()).hexdigest()[:4], 16) for w in words]
+
+        def score(path):
+            return sum(int(small.emission[x, t]) + int(small.start[t] if i == 0 else small.transition[path[i - 1], t]) for i, (x, t) in enumerate(zip(b, path)))
+
+        assert score(Q.viterbi(np.array(b, int), small)) == max(map(score, itertools.product(range(4), repeat=len(b))))
+    got = {r.id: r for r in Q.predict_sequence(df.withColumn("more", F.lit("x")), model).collect()}
+    assert all(len(r.pred) == len(r.tokens) and r.more == "x" for r in got.values()) and len(got) == len(rows)
+
+
+def test_sequence_tagger_without_rows(spark):
+    from tagtable.operators import sequence as Q
+
+    df = spark.createDataFrame([(1, ["a"], [3]), (2, None, None), (3, [None, "b"], [1, 99])], "id int, tokens array<string>, ner_tags array<bigint>")
+    assert {r.id: r.pred for r in Q.predict_sequence(df, Q.fit_sequence(df.limit(0))).collect()} == {1: [0], 2: None, 3: [0, 0]}
+    assert Q.fit_sequence(df).start[3] > Q.fit_sequence(df).start[0]
