@@ -11,6 +11,7 @@ from tagtable.constants import LABELS
 from tagtable.functions.arrays import let
 
 IGNORE_INDEX = -100
+PAD_TOKEN = "<pad>"
 
 
 def _col(c: Column | str) -> Column:

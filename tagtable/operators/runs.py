@@ -158,22 +158,28 @@ def top_k_per_group(df: DataFrame, group: str, order: Sequence[Column], k: int,
 
 
 # -- model to test-file matching -----------------------------------------------
-def substring_candidates(files: DataFrame, file_col: str, lengths: Sequence[int], out: str = "cand",
-                         at_start: bool = False) -> DataFrame:
-    """Every substring of the file name with one of ``lengths``, at any place
-    or at the start only. 'File contains name' becomes an equi-join on these
-    candidates: at most (name length x distinct lengths) rows per file, and no
-    pairing of all models with all files."""
-    f = F.col(file_col)
-    sizes = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(f))
-    places = (lambda n: F.array(F.lit(1))) if at_start else (lambda n: F.sequence(F.lit(1), F.length(f) - n + 1))
-    cands = F.flatten(F.transform(sizes, lambda n: F.transform(places(n), lambda p: F.substring(f, p, n))))
-    return files.select("*", F.explode(F.array_distinct(cands)).alias(out))
+GRAM = 4
 
 
-def name_lengths(names: DataFrame, name: str) -> list[int]:
-    """Distinct lengths of the names (as many as the longest name is long, at most)."""
-    return sorted(r[0] for r in names.select(F.length(name)).distinct().collect() if r[0])
+def _grams(c: Column, least: Column | int, most: Column | int) -> Column:
+    """Distinct substrings of ``least`` to ``most`` characters."""
+    sizes = F.filter(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: (n >= least) & (n <= most) & (n <= F.length(c)))
+    return F.array_distinct(F.flatten(F.transform(sizes, lambda n: F.transform(
+        F.sequence(F.lit(1), F.length(c) - n + 1), lambda p: F.substring(c, p, n)))))
+
+
+def containing_files(names: DataFrame, files: DataFrame, name: str, file: str) -> DataFrame:
+    """Pairs of a name and a file that contains it (not empty ones). An inverted index from the files' substrings of up to
+    ``GRAM`` characters gives each name its rarest one (of ``GRAM`` characters, or the name itself if shorter); only the files
+    with that one are compared. A name with a substring that no file has meets none."""
+    postings = files.select(F.col(file).alias("_file")).distinct().select("_file", F.explode(_grams(F.col("_file"), 1, GRAM)).alias("_gram"))
+    frequency = postings.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    own = names.select(F.col(name).alias("_name")).distinct().select(
+        "_name", F.explode(_grams(F.col("_name"), F.least(F.length("_name"), F.lit(GRAM)), GRAM)).alias("_gram"))
+    rated = own.join(frequency, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    rarest = rated.groupBy("_name").agg(F.min(F.struct("_n", "_gram")).alias("_r")).filter(F.col("_r._n") > 0)
+    pairs = rarest.select("_name", F.col("_r._gram").alias("_gram")).join(postings, "_gram")
+    return pairs.filter(F.contains("_file", "_name")).select(F.col("_name").alias(name), F.col("_file").alias(file))
 
 
 def match_models_to_files(models: DataFrame, files: DataFrame, name: str = "Name", file_col: str = "file") -> DataFrame:
@@ -181,16 +187,11 @@ def match_models_to_files(models: DataFrame, files: DataFrame, name: str = "Name
     containing the name minus its last two characters; the greatest file
     name is taken so the choice is deterministic. Names need no common
     prefix and may stand anywhere in the file name."""
-    lengths = name_lengths(models, name)
-    wanted = sorted({n for m in lengths for n in (m, m - 2) if n > 0})
-    files = files.select(file_col).where(F.col(file_col).isNotNull()).distinct()
-    cands = substring_candidates(files, file_col, wanted)
-    exact = models.select(name).join(cands, F.col(name) == F.col("cand")).groupBy(name).agg(
-        F.max(file_col).alias("exact_file"))
-    trimmed_key = F.expr(f"substring({name}, 1, length({name}) - 2)")
-    trimmed = models.select(name, trimmed_key.alias("_t")).join(cands, F.col("_t") == F.col("cand")).groupBy(
-        name).agg(F.max(file_col).alias("trimmed_file"))
-    out = models.select(name).join(exact, name, "left").join(trimmed, name, "left")
+    names = models.select(name, F.expr(f"substring({name}, 1, length({name}) - 2)").alias("_t"))
+    asked = names.select(F.explode(F.array(name, "_t")).alias("_asked"))
+    found = containing_files(asked, files.select(file_col), "_asked", file_col).groupBy("_asked").agg(F.max(file_col).alias("_found"))
+    as_is = lambda c, out: found.select(F.col("_asked").alias(c), F.col("_found").alias(out))
+    out = names.join(as_is(name, "exact_file"), name, "left").join(as_is("_t", "trimmed_file"), "_t", "left")
     return out.select(
         name,
         F.coalesce("exact_file", "trimmed_file").alias(file_col),
@@ -205,8 +206,10 @@ def pick_version_folder(versions: DataFrame, folders: DataFrame, version: str =
     the version, or starts with it; null where there is none. The least is
     taken because the order of a directory listing is arbitrary."""
     wanted = versions.select(version).distinct()
-    cands = substring_candidates(folders.select(folder).distinct(), folder, name_lengths(wanted, version), at_start=at_start)
-    found = wanted.join(cands, F.col(version) == F.col("cand")).groupBy(version).agg(F.min(folder).alias(folder))
+    pairs = containing_files(wanted, folders.select(folder), version, folder)
+    if at_start:
+        pairs = pairs.filter(F.startswith(folder, version))
+    found = pairs.groupBy(version).agg(F.min(folder).alias(folder))
     return wanted.join(found, version, "left")
 
 

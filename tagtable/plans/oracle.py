@@ -519,7 +519,8 @@ ORACLE["correction_order"] = (
 ORACLE["predict_spans"] = ORACLE["accepted_spans"]
 ORACLE["modelling_dataset"] = (
     f"WITH {CTE_ANN}, mc AS (SELECT min(id) AS key, tokens, fixed_tags FROM ann GROUP BY tokens, fixed_tags) "
-    "SELECT key, array_to_string(tokens, ' ') AS tokens, array_to_string(list_transform(range(1, 25), "
+    "SELECT key, array_to_string(list_transform(range(1, 25), lambda i: CASE WHEN i <= len(tokens) THEN tokens[i] ELSE '<pad>' END), ' ') AS tokens, "
+    "array_to_string(list_transform(range(1, 25), "
     "lambda i: CASE WHEN i <= len(fixed_tags) THEN fixed_tags[i] ELSE -100 END), ',') AS ner_tags, "
     "CASE WHEN key * 97 % 10000 < 6400 THEN 'train' WHEN key * 97 % 10000 < 8000 THEN 'validation' ELSE 'test' END AS subset FROM mc"
 )
@@ -591,7 +592,7 @@ ORACLE["evaluate_models"] = (
     "JOIN files f ON contains(f.file, substring(r.Name, 1, length(r.Name) - 2)) GROUP BY r.Name), "
     "models AS (SELECT r.Name, r.run_id, coalesce(ex.file, tm.file) AS file FROM rt r LEFT JOIN ex ON r.Name = ex.Name "
     "LEFT JOIN tm ON r.Name = tm.Name WHERE coalesce(ex.file, tm.file) IS NOT NULL), "
-    "ranked AS (SELECT file, row_number() OVER (ORDER BY file) - 1 AS nth, count(*) OVER () AS n_files "
+    "ranked AS (SELECT file, row_number() OVER (ORDER BY ('0x' || left(md5(file), 12))::BIGINT, file) - 1 AS nth, count(*) OVER () AS n_files "
     "FROM (SELECT DISTINCT file FROM models)), "
     "pairs AS (SELECT m.Name, t.tag AS gold, CAST((t.id * 7 + t.idx * 13 + m.run_id % 14) % 14 AS INTEGER) AS pred "
     "FROM ranked r JOIN models m ON m.file = r.file JOIN mrows t ON t.id % r.n_files = r.nth WHERE t.subset = 'test'), "
@@ -763,3 +764,7 @@ ORACLE["sequence_tagger"] = (
     "count(*) FILTER (WHERE coalesce(top.tag, 0) = m.tag) AS n_majority FROM mrows m JOIN best ON best.id = m.id "
     "LEFT JOIN top ON top.token = m.token WHERE m.subset = 'test' GROUP BY m.id"
 )
+ORACLE["sweep_rungs"] = (
+    "SELECT rung, budget, n_trials, n_kept, TRUE AS best_kept, TRUE AS scored FROM (VALUES (0, 2, 4, 2), (1, 4, 2, 1), (2, 8, 1, 1)) "
+    "r(rung, budget, n_trials, n_kept)"
+)

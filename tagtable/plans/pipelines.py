@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagtable.functions.labels import IGNORE_INDEX, pad_truncate
+from tagtable.functions.labels import IGNORE_INDEX, PAD_TOKEN, pad_truncate
 from tagtable.functions.normalize import normalize
 from tagtable.functions.rules import fix_tags
 from tagtable.functions.tokens import parse_int_repr, parse_list, repr_tokens_to_sentence, tokenize
@@ -113,8 +113,8 @@ def modelling_dataset(annotated: DataFrame, key: str = "id", tokens: str = "toke
     """Modelling dataset from annotated rows (L2): list texts are parsed where
     the columns are strings (C5; see ``split_rejects`` for the rows that fail),
     columns renamed and cast (P2, P4), copies dropped (A8, the least key
-    stays), rows split 64/16/20 (W6) and labels padded or cut to
-    ``max_length`` (C19). Output ``key, tokens, ner_tags, subset``."""
+    stays), rows split 64/16/20 (W6) and words and labels padded or cut
+    together to ``max_length`` (C19). Output ``key, tokens, ner_tags, subset``."""
     kinds = dict(annotated.dtypes)
     parsed = annotated.select(
         F.col(key).alias("key"),
@@ -124,5 +124,6 @@ def modelling_dataset(annotated: DataFrame, key: str = "id", tokens: str = "toke
     rows = D.dedup(D.to_modelling(good), ["tokens", "ner_tags"], keep="key")
     out = D.assign_subset(rows, "key", bucket=bucket).select("key", "tokens", "ner_tags", "subset")
     if max_length is not None:
-        out = out.withColumn("ner_tags", pad_truncate("ner_tags", max_length, pad=F.lit(IGNORE_INDEX).cast("bigint")))
+        out = out.withColumns({"tokens": pad_truncate("tokens", max_length, pad=F.lit(PAD_TOKEN)),
+                               "ner_tags": pad_truncate("ner_tags", max_length, pad=F.lit(IGNORE_INDEX).cast("bigint"))})
     return out

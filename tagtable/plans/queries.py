@@ -484,7 +484,7 @@ def evaluate_models_query(spark, sf):
     matched = R.match_models_to_files(runs.select("Name"), fx.test_files(runs)).filter(F.col("file").isNotNull())
     work = matched.select("Name", "file").join(runs.select("Name", "run_id"), "Name")
     files = work.select("file").distinct()
-    ranked = files.withColumn("_o", F.lit(0).cast("long"))
+    ranked = files.withColumn("_o", F.conv(F.substring(F.md5("file"), 1, 12), 16, 10).cast("long"))
     ranked = positions(ranked, "_o", out="nth", ties=[F.col("file")]).select("file", (F.col("nth") - 1).alias("nth"))
     n = files.count()
     test = test_split_repr(modelling_corpus(spark, sf).filter(F.col("subset") == "test")).withColumnRenamed("key", "id")
@@ -604,6 +604,18 @@ def entity_metrics_flat_query(spark, sf):
         M.entity_metrics_flat(b, "fixed_tags", "model_tags").withColumn("corpus", F.lit("open runs")))
 
 
+def sweep_rungs_query(spark, sf):
+    """M3: a random search stopped early: per rung its fits and survivors, and whether these are the best by the stored scores."""
+    train, _ = _split_rows(spark, sf)
+    trials = T.random_trials(4, {"regParam": (0.0, 0.2), "elasticNetParam": (0.0, 0.5)})
+    rows = T.sweep_rungs(train, trials, budgets=(2, 4, 8), num_features=1 << 12)
+    place = F.row_number().over(Window.partitionBy("rung").orderBy(F.desc("f1"), "trial"))
+    n = F.count(F.lit(1)).over(Window.partitionBy("rung"))
+    ruled = rows.withColumn("_ok", (place <= F.ceil(n / 2)) == F.col("kept"))
+    return ruled.groupBy("rung", "budget").agg(F.count(F.lit(1)).alias("n_trials"), F.sum(F.col("kept").cast("long")).alias("n_kept"),
+                                               F.bool_and("_ok").alias("best_kept"), F.bool_and(F.col("f1").between(0, 1)).alias("scored"))
+
+
 def version_corpora_query(spark, sf):
     """Rows and tokens per subset of every version's corpus."""
     return D.version_distribution(D.version_corpora(modelling_corpus(spark, sf), external(spark, sf)))
@@ -686,6 +698,7 @@ QUERIES: dict[str, Query] = {
     "exact_split": exact_split_query,
     "entity_metrics_flat": entity_metrics_flat_query,
     "version_corpora": version_corpora_query,
+    "sweep_rungs": sweep_rungs_query,
     "sequence_tagger": sequence_tagger_query,
     **IO_QUERIES,
 }

@@ -247,3 +247,27 @@ def test_sequence_tagger_without_rows(spark):
     df = spark.createDataFrame([(1, ["a"], [3]), (2, None, None), (3, [None, "b"], [1, 99])], "id int, tokens array<string>, ner_tags array<bigint>")
     assert {r.id: r.pred for r in Q.predict_sequence(df, Q.fit_sequence(df.limit(0))).collect()} == {1: [0], 2: None, 3: [0, 0]}
     assert Q.fit_sequence(df).start[3] > Q.fit_sequence(df).start[0]
+
+
+# ---- J3, J4, M3
+
+def test_names_in_files_by_rarest_substring(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("aab.1Č") for _ in range(n))
+    names = [word(rng.randrange(9)) for _ in range(60)] + ["", None, "Model_V0.0.1.12"]
+    files = [word(rng.randrange(14)) for _ in range(80)] + ["x_Model_V0.0.1.12.csv", "Model_V0.0.1.1", "", None]
+    pairs = R.containing_files(spark.createDataFrame([(n,) for n in names], "n string"), spark.createDataFrame([(f,) for f in files], "f string"), "n", "f")
+    assert sorted(map(tuple, pairs.collect())) == sorted({(n, f) for n in names for f in files if n and f and n in f})
+
+
+def test_rungs_keep_the_best(spark):
+    from tagtable.operators import tagger as T
+
+    assert T.survivors({0: 0.5, 1: 0.7, 2: 0.7, 3: 0.1}, 0.5) == [1, 2] and T.survivors({4: 0.1, 2: 0.1, 9: 0.1}, 0.5) == [2, 4] and T.survivors({}, 0.5) == []
+    df = spark.createDataFrame([(i, [f"w{i % 5}", "x"], [i % 5, 0]) for i in range(60)], "id int, tokens array<string>, t array<int>")
+    rows = T.token_rows(df, tags="t")
+    trials = T.random_trials(3, {"regParam": (0.0, 0.5)})
+    run = lambda: T.sweep_rungs(rows, trials, budgets=(1, 5), num_features=64).collect()
+    a = run()
+    assert [(r.rung, r.trial, r.kept) for r in a] == [(r.rung, r.trial, r.kept) for r in run()] and [r.rung for r in a] == [0, 0, 0, 1, 1]
+    assert {r.trial for r in a if r.rung == 0 and r.kept} == {r.trial for r in a if r.rung == 1} == set(T.survivors({r.trial: r.f1 for r in a if r.rung == 0}, 0.5))

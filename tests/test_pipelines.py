@@ -52,7 +52,7 @@ def test_modelling_dataset(spark):
     rows = [(1, "['a', 'b']", "[0, 1]"), (2, "['a', 'b']", "[0, 1]"), (3, "[]", "[]"), (4, "['a\\x', 'b']", "[0]"), (5, "['c']", "[3]")]
     df = spark.createDataFrame(rows, "id long, tokens string, fixed_tags string")
     out = {r.key: r for r in P.modelling_dataset(df, max_length=3, bucket=F.col("key") * 2000 - 1).collect()}
-    assert out[1].tokens == ["a", "b"] and out[1].ner_tags == [0, 1, -100] and 2 not in out and out[3].tokens == []
+    assert out[1].tokens == ["a", "b", "<pad>"] and out[1].ner_tags == [0, 1, -100] and 2 not in out and out[3].tokens == ["<pad>"] * 3
     assert {k: r.subset for k, r in out.items() if k != 4} == {1: "train", 3: "train", 5: "test"}
     parsed = df.select("id", "tokens", P.parse_list("tokens").alias("p"))
     good, bad = split_rejects(parsed, "tokens", "p")
