@@ -193,7 +193,8 @@ def score_documents(docs: DataFrame, vocabulary: str | None = None, folds: int =
         return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int32()), "bucket": pa.array([key[0].as_py()] * len(rows), pa.int32()),
                          "counts": pa.array([r[1] for r in rows], pa.binary()), "log_p": pa.array([r[2] for r in rows], pa.binary())})
 
-    replies = words.select("bucket", "chunk", "places", "counts", "lens", "blob").groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, counts binary, log_p binary")
+    # a bucket's bytes are few and its work is not: a given number of partitions is not merged into fewer
+    replies = words.select("bucket", "chunk", "places", "counts", "lens", "blob").repartition(chunks, "bucket").groupBy("bucket").applyInArrow(answer, "chunk int, bucket int, counts binary, log_p binary")
     under = math.log10(total + types + 1)
     end_count = n_train
 
