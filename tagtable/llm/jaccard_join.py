@@ -36,6 +36,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS, STEP, TOLERANCE = 32, 3, 16, 1e-9
 BLOCK = 256
 GROUP_ROWS = 4000  # rows a group of bands or clusters is planned for
+ROW_BYTES = 16 << 10  # a shingle set counts as one row for each ROW_BYTES of it
 
 _rng = np.random.default_rng(7)
 MULT = _rng.integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -273,7 +274,7 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
     sigs = settle(rows.mapInArrow(_signatures, "doc_id long, row_key long, digest string, size long, sig binary"))
     classes = (sigs.where("digest is not null").groupBy("digest")
-               .agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("sig").alias("sig")))
+               .agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig")))
     classes = settle(classes)
 
     bands = classes.select("digest", "sig").mapInArrow(_bands, "band long, digest string")
@@ -289,7 +290,9 @@ def linked_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             .mapInArrow(_set_rows, "digest string, shingles binary").groupBy("digest").agg(F.first("shingles").alias("shingles")))
     blocks = settle(blocked(placed, "label", sizes))
     loaded = blocks.join(classes.select("digest", "copies", "sig"), "digest").join(sets, "digest")
-    verified = settle(grouped(loaded, "label", blocks.count()).applyInArrow(_verify, "a string, b string, links long"))
+    weight = F.greatest(F.ceil(F.col("size") * 8 / ROW_BYTES), F.lit(1))
+    total = int(blocks.join(classes.select("digest", "size"), "digest").agg(F.sum(weight)).first()[0] or 0)
+    verified = settle(grouped(loaded, "label", total).applyInArrow(_verify, "a string, b string, links long"))
 
     groups = components(verified.where("b is not null").select("a", "b"))
     links = verified.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
