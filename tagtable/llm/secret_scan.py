@@ -110,7 +110,10 @@ def redact(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
         F.col("row_key").alias("found_key"), F.filter("spans", lambda s: s["live"]).alias("live_spans")).dropDuplicates(["found_key"])
     key = F.xxhash64("doc_id", "text", "source", "lang")
     names = docs.columns
-    rows = docs.select(F.struct(*[f"`{c}`" for c in names]).alias("d"), key.alias("found_key")).join(found, "found_key", "left")
+    # only texts that may hold a span meet what was found; the others pass by without a shuffle
+    may = F.coalesce(F.col("text").rlike(MAYBE.replace("(?i:", "(?iu:")), F.lit(False))
+    clean = docs.where(~may)
+    rows = docs.where(may).select(F.struct(*[f"`{c}`" for c in names]).alias("d"), key.alias("found_key")).join(found, "found_key", "left")
     text = F.col("d.text")
     merged = F.aggregate(  # left to right: what is kept so far and where the next piece starts
         "live_spans", F.struct(F.lit("").alias("kept"), F.lit(0).cast("long").alias("at")),
@@ -121,7 +124,8 @@ def redact(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     new = F.when(F.col("m").isNull(), text).otherwise(F.concat("m.kept", F.substr(text, (F.col("m.at") + 1).cast("int"), F.length(text))))
     rows = rows.withColumn("new", new)
     put = {"text": F.col("new"), "n_chars": F.when(F.col("m").isNull(), F.col("d.n_chars") if "n_chars" in names else F.lit(None)).otherwise(F.length("new")).cast("long")}
-    return rows.select([put[c].alias(c) if c in put else F.col(f"d.`{c}`").alias(c) for c in names])
+    masked = rows.select([put[c].alias(c) if c in put else F.col(f"d.`{c}`").alias(c) for c in names])
+    return masked.union(clean.select([F.col("n_chars").cast("long") if c == "n_chars" else F.col(f"`{c}`") for c in names]))
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
