@@ -7,38 +7,33 @@ from pyspark.sql import functions as F
 
 from tagtable.llm.common import settle
 
-HUBS = 512  # a node of more than one HUBS-th of all pairs is a hub: fewer than HUBS of them
+SALTS = 16
 
 
-def _least(pairs: DataFrame, total: int) -> DataFrame:
-    """(u, v) -> (u, v, m): m is the least of u and its neighbours. ``total`` is at least the number of pairs."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    least = least.select("u", F.least("u", "m").alias("m"), (F.col("n") * HUBS > total).alias("hub"))
-    hubs = F.broadcast(least.where("hub").select("u", "m"))  # fewer than HUBS rows, whatever the input
-    few = pairs.join(F.broadcast(least.where("hub").select("u")), "u", "left_anti").join(least.where("NOT hub").select("u", "m"), "u")
-    return few.union(pairs.join(hubs, "u"))
+def _least(pairs: DataFrame) -> DataFrame:
+    """(u, v) -> (u, v, m): m is the least of u and its neighbours."""
+    least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(least, ["u", "salt"])
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Edges (a, b) -> (node, label): label is the least node of the component. Only nodes with an edge appear.
 
-    Each step is a grouped minimum, combined on the map side, and a join with it. The pairs of hubs, nodes with so many
-    neighbours that their pairs would crowd one task, meet their minimum by a broadcast of fewer than ``HUBS`` rows. Only
-    counts are collected. Every step ends in a checkpoint. Loops, repeated and null edges are ignored; no edges give no rows.
+    Each step is a grouped minimum, combined on the map side, and a join with it, dealt by node and neighbour's hash, so
+    a node with many neighbours is spread over ``SALTS`` tasks. Only counts are collected. Every step ends in a checkpoint.
+    Loops, repeated and null edges are ignored; no edges give no rows.
     """
     e = settle(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    n, before = e.count(), None
-    if not n:
+    before = None
+    if not e.take(1):
         return e.select(F.col("u").alias("node"), F.col("v").alias("label"))
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _least(both, 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        large = large.distinct()
-        small = _least(large, n)
+        large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        small = _least(large)
         e = settle(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                    .union(small.select("u", F.col("m").alias("v"))).where("u != v").distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        n = now[0]
         if now == before:
             return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
                 e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
