@@ -1,10 +1,12 @@
 """Operators on texts against brute force, on a table with every awkward case."""
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -324,6 +326,43 @@ def test_license_scan(spark, clashing):
     assert [r for r in got if r.doc_id is not None and r.doc_id >= 100 and r.spans] == []
 
 
+def edits_within(pattern, text):
+    """The fewest edits between the pattern and any part of the text, by the usual table."""
+    t = np.frombuffer(text.encode(), np.uint8)
+    j = np.arange(len(t) + 1)
+    row = np.zeros(len(t) + 1, int)
+    for i, c in enumerate(pattern.encode()):
+        low = np.append(i + 1, np.minimum(row[:-1] + (t != c), row[1:] + 1))
+        row = np.minimum.accumulate(low - j) + j
+    return int(row.min())
+
+
+def test_notices_stay_apart():
+    notices = [license_scan.Notice(k, t) for k, t in license_scan.NOTICES.items()]
+    assert [(a.label, b.label) for a in notices for b in notices if a is not b and edits_within(a.text.decode(), b.text.decode()) <= a.edits] == []
+
+
+def test_license_notices_against_edit_distance(spark):
+    rng = random.Random(4)
+    texts = []
+    for notice in license_scan.NOTICES.values():
+        for n in (0, len(notice) // 10, len(notice) // 10 + 1, len(notice) // 10 + 4):
+            t = list(notice)
+            for _ in range(n):
+                at = rng.randrange(len(t))
+                t[at : at + 1] = rng.choice([[], [rng.choice("abcxyz")], [t[at], rng.choice("abcxyz")]])
+            texts.append(f"{words_like(rng)} {''.join(t)} {words_like(rng)}")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: {s.label for s in r.spans if not s.base} for r in license_scan.scan_licenses(df).collect()}
+    for i, t in enumerate(texts):
+        t = " " + " ".join(t.split()) + " "
+        assert got[i] == {k for k, v in license_scan.NOTICES.items() if edits_within(v, t) <= max(1, len(v) // license_scan.EDIT_SHARE)}, t
+
+
+def words_like(rng):
+    return " ".join("".join(rng.choice("aeiourst") for _ in range(rng.randrange(2, 9))) for _ in range(rng.randrange(0, 6)))
+
+
 # ---- language id
 
 def test_language_id(spark, clashing):
