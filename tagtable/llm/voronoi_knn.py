@@ -1,8 +1,8 @@
 """Exact top-k search by inner product: a Voronoi kNN join.
 
 The largest inner product is the nearest neighbour once a vector s is extended by sqrt(M^2 - |s|^2) (M: the largest norm)
-and a query by 0. A bounded sample of rows gives the pivots; data and queries belong to the cell of their nearest pivot.
-Two summaries reach the driver, of fixed size for each pivot: the k + 1 smallest distances of a cell's data to its pivot, each
+and a query by 0. A bounded sample of rows gives the pivots, one for each block of
+queries (8 to 512); data and queries belong to the cell of their nearest pivot. Two summaries reach the driver, of fixed size for each pivot: the k + 1 smallest distances of a cell's data to its pivot, each
 from another vec_id, and the largest distance of a cell's queries to theirs. They bound, for every query cell, the distance
 of the k-th neighbour (one of k + 1 vec_ids may be the query's own, however many rows it has); the triangle inequality then says which data can matter to that cell, and only those are replicated to it. Cells are
 cut into blocks of queries and slices of data of bounded size; a task solves one block against one slice and sends k
@@ -25,7 +25,7 @@ from tagtable.llm.common import read_table, settle
 from tagtable.llm.vectors import best, dimension_of, matrix, merge_best, sample, usable
 
 K, EVERY, SCALE = 10, 100, 1024
-PIVOTS = 8
+LEAST_PIVOTS, MOST_PIVOTS = 8, 512  # the plan has a row for two pivots: 262,144 rows at most
 QUERY_BLOCK, DATA_SLICE = 512, 8192
 
 
@@ -67,7 +67,12 @@ def bounds(pivots: np.ndarray, nearest: dict[int, list[tuple[int, float]]], reac
     return out
 
 
-def knn_join(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, pivots: int = PIVOTS) -> DataFrame:
+def pivots_for(queries: int) -> int:
+    """A pivot for each block of queries, so that where no bound excludes anything data travel no more often than there are blocks."""
+    return min(MOST_PIVOTS, max(LEAST_PIVOTS, queries // QUERY_BLOCK))
+
+
+def knn_join(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, pivots: int | None = None) -> DataFrame:
     spark = rows.sparkSession
     good = usable(rows)
     dim = dimension_of(good)
@@ -76,7 +81,8 @@ def knn_join(rows: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
         return spark.createDataFrame([], schema).selectExpr("query_id", "1 AS rank", "vec_id", "score")
     good = good.where(F.size("embedding") == dim)
     whole = F.transform("embedding", lambda v: F.floor(F.lit(float(scale)) * v.cast("double")).cast("double"))
-    top = float(good.agg(F.max(F.aggregate(whole, F.lit(0.0), lambda a, v: a + v * v))).first()[0])
+    top, asking = good.agg(F.max(F.aggregate(whole, F.lit(0.0), lambda a, v: a + v * v)), F.count_if(F.pmod("vec_id", F.lit(every)) == 0)).first()
+    pivots = pivots or pivots_for(asking)
     p = np.floor(scale * sample(good, pivots))
     p = np.hstack([p, np.sqrt(np.maximum(top - (p * p).sum(1, keepdims=True), 0))])
     placed = settle(good.mapInArrow(_cells(p, top, scale), "vec_id long, vec binary, cell int, far double, q_cell int, q_far double"))

@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tagtable.llm import permutation_index, voronoi_knn
+from tagtable.llm.vectors import sample as vectors_sample
 
 
 def good(rows, zero):
@@ -51,6 +52,16 @@ def test_voronoi_bounds_leave_data_out(spark):
     assert got == by_force(stored, 50, 10, lambda a, b: int(a @ b))
 
 
+def test_voronoi_pivots_grow_with_the_queries(vectors, monkeypatch):
+    assert [voronoi_knn.pivots_for(n) for n in (0, 512, 51_200, 10**9)] == [8, 8, 100, 512]
+    asked = []
+    monkeypatch.setattr(voronoi_knn, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(voronoi_knn, "sample", lambda rows, n: asked.append(n) or vectors_sample(rows, n))
+    whole = [(i, np.floor(1024 * np.array(e, np.float64)).astype(np.int64)) for i, e in good(vectors.collect(), True)]
+    assert answers(voronoi_knn.knn_join(vectors, every=10)) == by_force(whole, 10, 10, lambda a, b: int(a @ b))
+    assert asked[0] > 8
+
+
 def test_voronoi_repeated_query_ids(spark):
     """Rows of one query's vec_id fill a tight cluster: its neighbours lie in clusters far away and must still be found."""
     rng = np.random.default_rng(2)
