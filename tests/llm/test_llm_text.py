@@ -216,22 +216,44 @@ def test_lattice_lm(documents, clashing):
 
     path = public_tokenizers.path(lattice_lm.VOCABULARY)
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
-    pieces = Counter()
+    vocabulary = lattice_lm.Pieces(open(path, "rb").read())
+    number = {t: k for k, t in enumerate(vocabulary.texts)}
+    assert {t for i in range(sp.get_piece_size()) if not sp.is_control(i) and not sp.is_unknown(i) and not sp.is_byte(i)
+            for t in [sp.id_to_piece(i).encode()]} | {bytes([x]) for x in range(256)} == set(number)
+    pieces = np.zeros(len(number))
     for w, k in c.items():
         if w is not None:
             for p in sp.encode(w.decode()):
-                pieces[p] += k
-    lattice = lattice_lm.Lattice(open(path, "rb").read(), pieces, c[None])
+                pieces[vocabulary.of_id[p]] += k
 
-    def marginal(w):
+    def recursions(w, log_p):
         t = lattice_lm.SPACE_MARK + w
-        f = [0.0] * len(t) + [1.0]
-        for i in range(len(t) - 1, -1, -1):
-            f[i] = sum(math.exp(lattice.log_p[t[i:j]]) * f[j] for j in range(i + 1, len(t) + 1) if t[i:j] in lattice.log_p)
-        return math.log10(f[0])
-
-    assert abs(sum(math.exp(p) for p in lattice.log_p.values()) + 10**lattice.end - 1) < 0.01
-    known = {w: (lattice.end if w is None else marginal(w)) for _, ws in tokens for w in ws}
+        spans = [(i, j, math.exp(log_p[number[t[i:j]]])) for i in range(len(t)) for j in range(i + 1, min(i + 48, len(t)) + 1) if t[i:j] in number]
+        f, g = [0.0] * len(t) + [1.0], [1.0] + [0.0] * len(t)
+        for i, j, x in reversed(spans):
+            f[i] += x * f[j]
+        for i, j, x in spans:
+            g[j] += g[i] * x
+        return f[0], [(number[t[i:j]], g[i] * x * f[j] / f[0]) for i, j, x in spans]
+
+    log_p, end = lattice_lm.log_probabilities(pieces, c[None])
+    def fit():  # log likelihood and the prior that add-one smoothing stands for: no round lowers it
+        return sum(k * math.log(recursions(w, log_p)[0]) for w, k in c.items() if w is not None) + log_p.sum() + (c[None] + 1) * end
+
+    fits = [fit()]
+    for _ in range(lattice_lm.ROUNDS):
+        pieces = np.zeros(len(number))
+        for w, k in c.items():
+            if w is not None:
+                for p, x in recursions(w, log_p)[1]:
+                    pieces[p] += k * x
+        log_p, end = lattice_lm.log_probabilities(pieces, c[None])
+        fits.append(fit())
+    assert fits == sorted(fits) and fits[0] < fits[-1]
+    end /= lattice_lm.LN10
+    assert abs(np.exp(log_p).sum() + 10**end - 1) < 0.01
+    marginal = lambda w: math.log10(recursions(w, log_p)[0])
+    known = {w: (end if w is None else marginal(w)) for _, ws in tokens for w in ws}
     want = sorted(((i, held(i), len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in ws), 5),
                     round(sum(known[w] for w in ws), 5)) for i, ws in tokens), key=key)
     got = sorted(((*r[:5], round(r[5], 5), round(r[6], 5)) for r in lattice_lm.score_documents(clashing).collect()), key=key)
@@ -239,6 +261,27 @@ def test_lattice_lm(documents, clashing):
     assert all(abs(a[5] - b[5]) < 1e-4 and abs(a[6] - b[6]) < 1e-4 for a, b in zip(got, want))
 
 
+def test_lattice_of_words_of_any_length():
+    import public_tokenizers
+
+    pieces = lattice_lm.Pieces(open(public_tokenizers.path(lattice_lm.VOCABULARY), "rb").read())
+    rng = np.random.default_rng(3)
+    log_p, _ = lattice_lm.log_probabilities(rng.integers(0, 1000, len(pieces.texts)), 9)
+    words = [b"a", "…".encode(), b"internationalisation", bytes(rng.integers(33, 127, 3000).astype(np.uint8)), b"\xff\xfe", b"aaaa" * 200]
+    data = [lattice_lm.SPACE_MARK + w for w in words]
+    lens, counts = np.array([len(w) for w in data]), np.arange(1, 7)
+    flat = np.frombuffer(b"".join(data), np.uint8)
+    whole, expected = lattice_lm.marginals(pieces, log_p, flat, lens, counts)
+    for block in (1, 7, 1000):  # words cut into stretches
+        some, also = lattice_lm.marginals(pieces, log_p, flat, lens, counts, block)
+        assert np.allclose(whole, some, rtol=1e-12) and np.allclose(expected, also)
+    alone = [lattice_lm.marginals(pieces, log_p, np.frombuffer(w, np.uint8), np.array([len(w)]))[0] for w in data]
+    assert np.allclose(whole, alone, rtol=1e-12)
+    sizes = np.array([len(t) for t in pieces.texts])
+    assert np.isclose((expected * sizes).sum(), (counts * lens).sum())  # each byte is covered once
+    assert [len(x) for x in lattice_lm.marginals(pieces, log_p, flat[:0], lens[:0], counts[:0])] == [0, len(log_p)]
+
+
 # ---- packing
 
 def test_packing(clashing):
