@@ -171,14 +171,16 @@ def _grams(c: Column, least: Column | int, most: Column | int) -> Column:
 def containing_files(names: DataFrame, files: DataFrame, name: str, file: str) -> DataFrame:
     """Pairs of a name and a file that contains it (not empty ones). An inverted index from the files' substrings of up to
     ``GRAM`` characters gives each name its rarest one (of ``GRAM`` characters, or the name itself if shorter); only the files
-    with that one are compared. A name with a substring that no file has meets none."""
-    postings = files.select(F.col(file).alias("_file")).distinct().select("_file", F.explode(_grams(F.col("_file"), 1, GRAM)).alias("_gram"))
+    with that one are compared. A name with a substring that no file has meets none. Every side grows with the names or
+    files, and these compress well: no side is broadcast, or the driver would hold many times what Spark measures."""
+    cores = files.sparkSession.sparkContext.defaultParallelism  # names are few bytes but many substrings: a task for each core
+    postings = files.select(F.col(file).alias("_file")).distinct().repartition(cores, "_file").select("_file", F.explode(_grams(F.col("_file"), 1, GRAM)).alias("_gram"))
     frequency = postings.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    own = names.select(F.col(name).alias("_name")).distinct().select(
+    own = names.select(F.col(name).alias("_name")).distinct().repartition(cores, "_name").select(
         "_name", F.explode(_grams(F.col("_name"), F.least(F.length("_name"), F.lit(GRAM)), GRAM)).alias("_gram"))
-    rated = own.join(frequency, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    rated = own.join(frequency.hint("merge"), "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     rarest = rated.groupBy("_name").agg(F.min(F.struct("_n", "_gram")).alias("_r")).filter(F.col("_r._n") > 0)
-    pairs = rarest.select("_name", F.col("_r._gram").alias("_gram")).join(postings, "_gram")
+    pairs = rarest.select("_name", F.col("_r._gram").alias("_gram")).join(postings.hint("merge"), "_gram")
     return pairs.filter(F.contains("_file", "_name")).select(F.col("_name").alias(name), F.col("_file").alias(file))
 
 
@@ -191,7 +193,7 @@ def match_models_to_files(models: DataFrame, files: DataFrame, name: str = "Name
     asked = names.select(F.explode(F.array(name, "_t")).alias("_asked"))
     found = containing_files(asked, files.select(file_col), "_asked", file_col).groupBy("_asked").agg(F.max(file_col).alias("_found"))
     as_is = lambda c, out: found.select(F.col("_asked").alias(c), F.col("_found").alias(out))
-    out = names.join(as_is(name, "exact_file"), name, "left").join(as_is("_t", "trimmed_file"), "_t", "left")
+    out = names.join(as_is(name, "exact_file").hint("merge"), name, "left").join(as_is("_t", "trimmed_file").hint("merge"), "_t", "left")
     return out.select(
         name,
         F.coalesce("exact_file", "trimmed_file").alias(file_col),
