@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagtable.functions.arrays import let
+from tagtable.functions.arrays import computed_once, let
 from tagtable.functions.labels import label_id, label_name
-from tagtable.sources.lines import file_lines, joined_lines, running_sum
+from tagtable.sources.lines import file_lines, line_runs
 
 BLOCK_SEP = "\n\n"
 BLANK = r"^[ \t]*$"
@@ -56,13 +56,14 @@ def read_correction_blocks(spark: SparkSession, paths: str | list[str]) -> DataF
     """Read filled-in review files: one record per blank-line separated block.
 
     Files are read as lines, with LF, CRLF or both as line ends, so one large file is read by as many tasks as it
-    has splits. A block is a run of lines between blank ones and may lie across a split's border: the blank lines
-    are counted inside each split and behind those of the file's earlier splits (one count a split), and lines
-    with the same count are one block. ``seq`` orders blocks for the last-one-wins rule: by the file's place in
-    ``paths``, then by its path (the files of one folder), then by the place in the file."""
-    counted = running_sum(file_lines(spark, paths), F.col("line").rlike(BLANK), "place")
-    blocks = joined_lines(counted.filter(~F.col("line").rlike(BLANK)), "place", "block")
-    return blocks.select("block", F.struct("nth", "file", "place").alias("seq"))
+    has splits. A block is a run of lines between blank ones and may lie across a split's border; blocks are put together where
+    their lines are read, and only those at borders are shuffled (``line_runs``). ``seq`` orders blocks for the
+    last-one-wins rule: by the file's place in ``paths``, then by its path (the files of one folder), then by the place in the file."""
+    line = F.col("line")
+    plain = (line >= "!") & (line < "\x7f")  # begins with an ASCII character that is no white space
+    blank = F.when(line == "", True).when(plain, False).otherwise(line.rlike(BLANK))
+    blocks = line_runs(file_lines(spark, paths), blank, "block")
+    return blocks.select("block", F.struct("nth", "file", "start", "place").alias("seq"))
 
 
 def duplicate_ids(df: DataFrame, key: str = "id") -> DataFrame:
@@ -76,10 +77,23 @@ def rejects(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("status") != "ok")
 
 
+_SPACE = " \t\n\x0b\f\r"
+
+
+def _odd_end(c: Column) -> Column:
+    """Ends in a line terminator that a regular expression's ``$`` knows and its white space does not."""
+    return F.endswith(c, F.lit("\x85")) | F.endswith(c, F.lit("\u2028")) | F.endswith(c, F.lit("\u2029"))
+
+
+def _stripped(c: Column) -> Column:
+    """Without white space at both ends; only the ends of the text are looked at."""
+    return F.when(_odd_end(c), F.regexp_replace(c, r"^\s+|\s+$", "")).otherwise(F.btrim(c, F.lit(_SPACE)))
+
+
 def _last_word(line: Column) -> Column:
-    """Last whitespace-separated word of a line (one cached pattern; a regex
-    ``split`` would compile its pattern again for every row)."""
-    return F.nullif(F.regexp_extract(line, r"(\S+)\s*$", 1), F.lit(""))
+    """Last whitespace-separated word of a line."""
+    plain = F.substring_index(F.rtrim(F.translate(line, _SPACE[1:], " " * (len(_SPACE) - 1))), " ", -1)
+    return F.nullif(F.when(_odd_end(line), F.regexp_extract(line, r"(\S+)\s*$", 1)).otherwise(plain), F.lit(""))
 
 
 def parse_corrections(blocks: DataFrame, block: str = "block") -> DataFrame:
@@ -87,21 +101,23 @@ def parse_corrections(blocks: DataFrame, block: str = "block") -> DataFrame:
     ``status``: 'ok', 'unfilled' (nothing after '--', a reject), 'bad'
     (unknown label or unparsable numbers, a reject). Blank blocks are skipped
     (quirk Q12)."""
-    b = F.regexp_replace(F.col(block), r"^\s+|\s+$", "")
-
-    def body(v: Column) -> Column:
+    def fields(v: Column) -> Column:
         lines = v["l"]
-        new_name = F.trim(F.substring_index(F.get(lines, F.size(lines) - 1), "--", -1))
-        rid = _last_word(F.get(lines, 1)).try_cast("bigint")
-        idx = _last_word(F.get(lines, 2)).try_cast("int")
-        tag = label_id(new_name)
-        status = (F.when(new_name == "", "unfilled")
-                  .when(rid.isNull() | idx.isNull() | tag.isNull(), "bad").otherwise("ok"))
-        return F.struct(rid.alias("id"), idx.alias("token_index"), tag.alias("new_tag"),
-                        new_name.alias("new_label"), status.alias("status"))
-
-    parsed = blocks.filter(b != "").withColumn("_p", let({"l": F.split(b, "\n")}, body))
-    return parsed.select("*", "_p.*").drop("_p")
+        return let({"name": F.trim(F.substring_index(F.get(lines, F.size(lines) - 1), "--", -1)),
+                    "rid": _last_word(F.get(lines, 1)).try_cast("bigint"), "idx": _last_word(F.get(lines, 2)).try_cast("int")}, tagged)
+
+    def tagged(v: Column) -> Column:
+        return let({"name": v["name"], "rid": v["rid"], "idx": v["idx"], "tag": label_id(v["name"])}, checked)
+
+    def checked(v: Column) -> Column:
+        status = (F.when(v["name"] == "", "unfilled")
+                  .when(v["rid"].isNull() | v["idx"].isNull() | v["tag"].isNull(), "bad").otherwise("ok"))
+        return F.struct(v["rid"].alias("id"), v["idx"].alias("token_index"), v["tag"].alias("new_tag"),
+                        v["name"].alias("new_label"), status.alias("status"))
+
+    # Null for a blank block; computed once, or each of the five columns (and a filter on one) would parse the block again.
+    parsed = F.transform(F.array(_stripped(F.col(block))), lambda b: F.when(b != "", let({"l": F.split(b, "\n")}, fields)))
+    return blocks.withColumn("_p", computed_once(F.get(parsed, 0))).filter(F.col("_p").isNotNull()).select("*", "_p.*").drop("_p")
 
 
 def apply_corrections(df: DataFrame, corrections: DataFrame, key: str = "id", tags: str = "fixed_tags",

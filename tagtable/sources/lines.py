@@ -15,7 +15,8 @@ def file_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     split) and ``line``, with LF, CRLF or both as line ends."""
     parts = [spark.read.text(path).select(
         F.lit(nth).alias("nth"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", "\r$", "").alias("line"))
+        F.monotonically_increasing_id().alias("row"),
+        F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value")).alias("line"))
         for nth, path in enumerate([paths] if isinstance(paths, str) else paths)]
     out = parts[0]
     for p in parts[1:]:
@@ -39,6 +40,76 @@ def joined_lines(lines: DataFrame, record: str, out: str) -> DataFrame:
     return lines.groupBy("nth", "file", record).agg(text.alias(out))
 
 
+def line_runs(lines: DataFrame, apart: Column, out: str) -> DataFrame:
+    """``nth, file, start, place`` and the text of each run of lines between those where ``apart`` holds, in the order of the
+    four columns. ``lines`` are those of ``file_lines``, not moved since: a task has a split's lines in order and puts its
+    runs together as it reads. Only what may go on in another split, the first and the last run of each, meets the other
+    splits' in a shuffle; for these few the lines are read a second time."""
+    schema = "nth int, file string, start long, place long, piece string, text string"
+
+    def assemble(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        at, held, place, closed = None, [], 0, False  # the split, lines of its open run, runs so far, was there a line apart
+
+        def rows(places, pieces, texts):
+            one = lambda v, t: pa.repeat(pa.scalar(v, t), len(texts))
+            return pa.RecordBatch.from_arrays([one(at[0], pa.int32()), one(at[1], pa.string()), one(at[2], pa.int64()), pa.array(places, pa.int64()),
+                                               pa.array(pieces, pa.string()), texts.cast(pa.string())], names=["nth", "file", "start", "place", "piece", "text"])
+
+        def joined(parts):
+            return "\n".join(x for p in parts for x in p.to_pylist()) if parts else None
+
+        def last():  # an open run at the end of a split; a split without a line apart is one run that may go on at both ends
+            return rows([place], ["last" if closed else "through"], pa.array([joined(held)], pa.string()))
+
+        for b in batches:
+            cuts = [0]
+            if b.num_rows:
+                moved = pc.or_(pc.or_(pc.not_equal(b["nth"][1:], b["nth"][:-1]), pc.not_equal(b["file"][1:], b["file"][:-1])), pc.not_equal(b["start"][1:], b["start"][:-1]))
+                cuts += (np.flatnonzero(moved.to_numpy(zero_copy_only=False)) + 1).tolist() + [b.num_rows]
+            for lo, hi in zip(cuts, cuts[1:]):
+                key = (b["nth"][lo].as_py(), b["file"][lo].as_py(), b["start"][lo].as_py())
+                if key != at:
+                    if at is not None:
+                        yield last()
+                    at, held, place, closed = key, [], 0, False
+                line = b["line"].slice(lo, hi - lo)
+                gap = b["apart"].slice(lo, hi - lo).to_numpy(zero_copy_only=False)
+                ends = np.flatnonzero(gap)
+                if not len(ends):
+                    held.append(line)
+                    continue
+                first = joined([*held, line.slice(0, int(ends[0]))] if held or ends[0] else [])
+                if not closed:
+                    yield rows([place], ["first"], pa.array([first], pa.string()))
+                elif first is not None:
+                    yield rows([place], ["whole"], pa.array([first], pa.string()))
+                sizes = np.diff(ends) - 1
+                sizes = sizes[sizes > 0]
+                inner = line.slice(int(ends[0]), int(ends[-1] - ends[0])).filter(pa.array(~gap[ends[0]:ends[-1]]))
+                texts = pc.binary_join(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), inner), "\n")
+                if len(texts):
+                    yield rows(place + 1 + np.arange(len(texts)), ["whole"] * len(texts), texts)
+                place, closed = place + 1 + len(texts), True
+                held = [line.slice(int(ends[-1]) + 1)] if ends[-1] + 1 < len(line) else []
+        if at is not None:
+            yield last()
+
+    found = lines.select("nth", "file", "start", "line", apart.alias("apart")).mapInArrow(assemble, schema)
+    whole = found.filter(F.col("piece") == "whole").select(*SPLIT, "place", F.col("text").alias(out))
+    order = Window.partitionBy("nth", "file").orderBy("start", "place")
+    run = F.sum((F.col("piece") == "last").cast("long")).over(order)  # a last piece begins a run that first and through pieces go on with
+    parts = found.filter(F.col("piece") != "whole").withColumn("_run", run).filter(F.col("text").isNotNull())
+    each = F.sort_array(F.collect_list(F.struct("start", "place", "text")))
+    over = parts.groupBy("nth", "file", "_run").agg(each.alias("_e")).select(
+        "nth", "file", F.get("_e", 0)["start"].alias("start"), F.get("_e", 0)["place"].alias("place"),
+        F.array_join(F.transform("_e", lambda x: x["text"]), "\n").alias(out))
+    return whole.unionByName(over)
+
+
 def csv_records(spark: SparkSession, paths: str | list[str], schema: str, header: bool = True) -> DataFrame:
     """CSV with quoted cells that may hold line ends, in files that are read by many tasks (S1). A line starts a record
     if the quotes before it in its file are even in number; its records are parsed by position. ``_corrupt`` holds the text of a
