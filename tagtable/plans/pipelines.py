@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagtable.functions.arrays import computed_once
 from tagtable.functions.labels import IGNORE_INDEX, PAD_TOKEN, pad_truncate
 from tagtable.functions.normalize import normalize
 from tagtable.functions.rules import fix_tags
@@ -118,8 +119,8 @@ def modelling_dataset(annotated: DataFrame, key: str = "id", tokens: str = "toke
     kinds = dict(annotated.dtypes)
     parsed = annotated.select(
         F.col(key).alias("key"),
-        (parse_list(tokens) if kinds[tokens] == "string" else F.col(tokens)).alias("text_tokens"),
-        (parse_list(tags, "bigint") if kinds[tags] == "string" else F.col(tags)).alias("fixed_tags"))
+        (computed_once(parse_list(tokens)) if kinds[tokens] == "string" else F.col(tokens)).alias("text_tokens"),
+        (computed_once(parse_list(tags, "bigint")) if kinds[tags] == "string" else F.col(tags)).alias("fixed_tags"))
     good = parsed.filter(F.col("text_tokens").isNotNull() & F.col("fixed_tags").isNotNull())
     rows = D.dedup(D.to_modelling(good), ["tokens", "ner_tags"], keep="key")
     out = D.assign_subset(rows, "key", bucket=bucket).select("key", "tokens", "ner_tags", "subset")

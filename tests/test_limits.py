@@ -4,8 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
+from tagtable.functions.tokens import parse_list
 from tagtable.operators import corrections as C
 from tagtable.operators import runs as R
+from tagtable.plans.pipelines import modelling_dataset
 
 
 def plan_of(df):
@@ -57,3 +59,17 @@ def test_block_fields_as_regular_expressions_find_them(spark):
     line = df.filter(~t.contains("\n"))
     word = F.nullif(F.regexp_extract(t, r"(\S+)\s*$", 1), F.lit(""))
     assert line.filter(~C._last_word(t).eqNullSafe(word)).select("t").collect() == []
+
+
+def test_three_quotes_open_one_literal(spark):
+    texts = ["['''n']", '["""]\t"]', "['''a'b''']", "['''a\r\nb''' 'c', \"\"\"\"q\\x41\"\"\"]", "['' 'a']", "['''a'''']", "['''" + "x'" * 30_000 + "y''']"]
+    want = [None, None, ["a'b"], ["a\nbc", '"qA'], ["a"], None, ["x'" * 30_000 + "y"]]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert [r.v for r in df.select("i", parse_list("t").alias("v")).orderBy("i").collect()] == want
+
+
+def test_list_texts_are_parsed_once_a_row(spark):
+    df = spark.createDataFrame([(1, "['a']", "[0]"), (2, "['a'", "[0]")], "id long, tokens string, fixed_tags string")
+    out = modelling_dataset(df, bucket=F.lit(0))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(tokens") == 1
+    assert [(r.key, r.tokens) for r in out.collect()] == [(1, ["a"])]
