@@ -271,3 +271,27 @@ def test_rungs_keep_the_best(spark):
     a = run()
     assert [(r.rung, r.trial, r.kept) for r in a] == [(r.rung, r.trial, r.kept) for r in run()] and [r.rung for r in a] == [0, 0, 0, 1, 1]
     assert {r.trial for r in a if r.rung == 0 and r.kept} == {r.trial for r in a if r.rung == 1} == set(T.survivors({r.trial: r.f1 for r in a if r.rung == 0}, 0.5))
+
+
+def test_rungs_read_only_the_rows_they_need(spark):
+    import os
+
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    from tagtable.operators import tagger as T
+    from tagtable.session import ensure_checkpoint_dir
+
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, [rng.choice("abc") + rng.choice(["", "Č", "1"]) for _ in range(4)], [rng.randrange(3) for _ in range(4)]) for i in range(80)],
+                               "id int, tokens array<string>, t array<int>")
+    rows, folder = T.token_rows(df, tags="t"), ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    got = T.sweep_rungs(rows, [{"regParam": 0.01}], budgets=(3,), num_features=64).first()
+    (made,) = set(os.listdir(folder)) - before
+    held = F.pmod(F.xxhash64(F.lit(42), F.col("id")), F.lit(5)) == 0
+    n = {x: spark.read.parquet(f"{folder}/{made}/held={x}").count() for x in (0, 1)}
+    assert n == {0: rows.filter(~held).count(), 1: rows.filter(held).count()} and min(n.values()) > 0
+    hasher, lr = T.logreg_pipeline(num_features=64, max_iter=3, reg_param=0.01).getStages()
+    data = hasher.transform(T._features(rows).withColumn("label", F.col("tag").cast("double")))
+    plain = MulticlassClassificationEvaluator(metricName="f1").evaluate(lr.fit(data.filter(~held)).transform(data.filter(held)))
+    assert abs(got.f1 - plain) < 0.02 and 0 < got.f1 < 1
