@@ -295,3 +295,19 @@ def test_rungs_read_only_the_rows_they_need(spark):
     data = hasher.transform(T._features(rows).withColumn("label", F.col("tag").cast("double")))
     plain = MulticlassClassificationEvaluator(metricName="f1").evaluate(lr.fit(data.filter(~held)).transform(data.filter(held)))
     assert abs(got.f1 - plain) < 0.02 and 0 < got.f1 < 1
+
+
+def test_sweep_computes_features_once(spark):
+    import os
+
+    from tagtable.operators import tagger as T
+    from tagtable.session import ensure_checkpoint_dir
+
+    rows = T.token_rows(spark.createDataFrame([(i, [f"w{i % 5}", "X1"], [i % 5, 0]) for i in range(60)], "id int, tokens array<string>, t array<int>"), tags="t")
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    found = T.sweep(rows, {"regParam": [0.0, 0.1]}, num_features=64, max_iter=3)
+    (made,) = set(os.listdir(folder)) - before
+    assert spark.read.parquet(f"{folder}/{made}").count() == rows.count() and len(found.validationMetrics) == 2
+    assert len(found.getEstimatorParamMaps()) == 2
+    assert T.predict_logreg(found.bestModel, rows).filter("pred is not null").count() == rows.count()  # still a model of token rows
