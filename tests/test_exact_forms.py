@@ -311,3 +311,11 @@ def test_sweep_computes_features_once(spark):
     assert spark.read.parquet(f"{folder}/{made}").count() == rows.count() and len(found.validationMetrics) == 2
     assert len(found.getEstimatorParamMaps()) == 2
     assert T.predict_logreg(found.bestModel, rows).filter("pred is not null").count() == rows.count()  # still a model of token rows
+
+
+def test_version_corpora_test_each_word_once(spark):
+    from tagtable.plans.queries import version_corpora_query
+
+    plan = version_corpora_query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"RLIKE(lambda") + plan.count(r"RLIKE lambda") >= 1
+    assert len([x for x in plan.splitlines() if r"\p{Nd})" in x and "exists(" in x]) == 1
