@@ -6,12 +6,18 @@ variant (one row per piece) uses a window per sentence instead."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagtable.functions.arrays import let
+from tagtable.functions.flat import fields, in_slices, ints, joined_runs, laid_out, records, row_starts, stacked
 
 WORD_MARKER = "Ġ"
+PIECES_TYPE = "array<struct<entity:string,word:string,start:int,end:int>>"
+WORDS_TYPE = "array<struct<entity:string,word:string,start:int,end:int,first_piece:int,n_pieces:int>>"
 
 
 def _col(c: Column | str) -> Column:
@@ -28,25 +34,23 @@ def _firsts(p: Column, marker: str) -> Column:
 def words_from_pieces(pieces: Column | str, marker: str = WORD_MARKER) -> Column:
     """Roll pieces up to words: ``array<struct<entity, word, start, end,
     first_piece, n_pieces>>``. The first piece's entity wins."""
-    def body(v: Column) -> Column:
-        p, firsts = v["p"], v["f"]
-
-        def word(f: Column, k: Column) -> Column:
-            nxt = F.coalesce(F.get(firsts, k + 1)["i"], F.size(p))
-            n_pieces = nxt - f["i"]
-            text = F.array_join(F.transform(F.slice(p, f["i"] + 1, n_pieces), lambda x: x["word"]), "")
-            return F.struct(
-                f["p"]["entity"].alias("entity"),
-                F.regexp_replace(text, "^" + marker, "").alias("word"),
-                f["p"]["start"].alias("start"),
-                F.get(p, nxt - 1)["end"].alias("end"),
-                f["i"].alias("first_piece"),
-                n_pieces.alias("n_pieces"),
-            )
-
-        return F.transform(firsts, word)
-
-    return let({"p": _col(pieces)}, lambda a: let({"p": a["p"], "f": _firsts(a["p"], marker)}, body))
+    def roll_up(rows: pa.Array) -> pa.Array:
+        items, cuts = laid_out(rows)
+        entity, text, start, end = fields(items, "entity", "word", "start", "end")
+        marked = pc.fill_null(pc.starts_with(text, marker), False)
+        begins = np.append(marked.to_numpy(zero_copy_only=False), False)
+        begins[cuts[:-1]] = True
+        first = np.flatnonzero(begins[:-1])
+        bounds = np.append(first, len(items))
+        head, tail = pa.array(first), pa.array(bounds[1:] - 1)
+        word = joined_runs(pc.if_else(marked, pc.utf8_slice_codeunits(text, len(marker)), text), bounds)
+        return stacked(records(entity=entity.take(head), word=word, start=ints(start.take(head)), end=ints(end.take(tail)),
+                               first_piece=ints(first - row_starts(cuts)[first]), n_pieces=ints(np.diff(bounds))), np.searchsorted(first, cuts), rows)
+
+    def words(rows: pa.Array) -> pa.Array:
+        return in_slices(roll_up, rows)
+
+    return F.arrow_udf(words, WORDS_TYPE)(_col(pieces))
 
 
 def piece_word_ids(pieces: Column | str, marker: str = WORD_MARKER,

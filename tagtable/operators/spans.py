@@ -1,15 +1,21 @@
 """Entity spans from labelled pieces or words.
 
-Both operators work inside one sentence row (sentence form), in time linear
+All operators work inside the sentence's row (sentence form) and in time linear
 in its length, so they need no shuffle: runs of equal entity type are found
-from their change points, and the overlap rule reads the span just before."""
+from their change points, and the overlap rule reads the span just before.
+The rows of an Arrow batch are worked on together (``functions/flat``)."""
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagtable.functions.arrays import indices, let
+from tagtable.functions.flat import fields, flags, in_slices, ints, laid_out, records, row_starts, stacked
 from tagtable.operators.pieces import WORD_MARKER
 
 
@@ -17,11 +23,43 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _empty_if_none(n: Column, arr: Column, elem_type: str) -> Column:
-    return F.when(n > 0, arr).otherwise(F.array().cast(f"array<{elem_type}>"))
+SPAN_TYPE = "struct<type:string,start:int,end:int,first:int,last:int>"
 
 
-SPAN_TYPE = "struct<type:string,start:int,end:int,first:int,last:int>"
+class Spans(NamedTuple):
+    """Spans of a batch's rows end to end: each one's type, offsets and first and last item (places among all items),
+    and where each row's spans begin."""
+
+    type: pa.Array
+    start: pa.Array
+    end: pa.Array
+    first: np.ndarray
+    last: np.ndarray
+    cuts: np.ndarray
+
+
+def find_spans(items: pa.Array, cuts: np.ndarray, outside: str = "0") -> Spans:
+    """``entity_spans`` over flat items."""
+    entity, start, end = fields(items, "entity", "start", "end")
+    coded = entity.dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    types = list(dict.fromkeys(x.rsplit("-", 1)[-1] for x in names))
+    number = {t: k for k, t in enumerate(types)}
+    code = pc.fill_null(coded.indices, len(names)).to_numpy(zero_copy_only=False)
+    kind = np.array([number[x.rsplit("-", 1)[-1]] for x in names] + [-1])[code]
+    opens = np.array([x != outside and x.startswith("B") for x in names] + [False])[code]
+    n = len(code)
+    change = np.zeros(n + 1, bool)
+    change[cuts[:-1]] = True
+    change = change[:n]
+    change[1:] |= (kind[1:] != kind[:-1]) & (kind[1:] >= 0) & (kind[:-1] >= 0)  # a missing label changes nothing
+    runs = np.append(np.flatnonzero(change), n)
+    first = np.flatnonzero(opens)
+    run = np.cumsum(change)[first] - 1
+    last = runs[run + 1] - 1
+    of_run = kind[runs[run]]
+    return Spans(pa.array(types, pa.string()).take(pa.array(of_run, mask=of_run < 0)), ints(start.take(pa.array(first))), ints(end.take(pa.array(last))),
+                 first, last, np.searchsorted(first, cuts))
 
 
 def entity_spans(items: Column | str, outside: str = "0") -> Column:
@@ -33,112 +71,81 @@ def entity_spans(items: Column | str, outside: str = "0") -> Column:
     and a bare 'Time' never opens one (Q18). Items are
     ``struct<entity, start, end, ..>``; the result is
     ``array<struct<type, start, end, first, last>>`` with item indices."""
-    def with_types(a: Column) -> Column:
-        it = a["it"]
-        return let({"it": it, "ty": F.transform(it, lambda x: F.substring_index(x["entity"], "-", -1))},
-                   with_changes)
-
-    def with_changes(b: Column) -> Column:
-        it, ty = b["it"], b["ty"]
-        ch = F.filter(indices(F.size(it)), lambda i: (i == 0) | (F.get(ty, i) != F.get(ty, i - 1)))
-        return let({"it": it, "ty": ty, "ch": ch}, spans)
-
-    def spans(c: Column) -> Column:
-        it, ty, ch = c["it"], c["ty"], c["ch"]
-        n = F.size(it)
-
-        def per_run(s: Column, k: Column) -> Column:
-            e = F.coalesce(F.get(ch, k + 1), n)
-            opens = F.filter(
-                F.sequence(s, e - 1),
-                lambda i: (F.get(it, i)["entity"] != outside) & F.get(it, i)["entity"].startswith("B"),
-            )
-            return F.transform(opens, lambda i: F.struct(
-                F.get(ty, s).alias("type"),
-                F.get(it, i)["start"].cast("int").alias("start"),
-                F.get(it, e - 1)["end"].cast("int").alias("end"),
-                i.alias("first"),
-                (e - 1).alias("last"),
-            ))
-
-        return _empty_if_none(n, F.flatten(F.transform(ch, per_run)), SPAN_TYPE)
-
-    return let({"it": _col(items)}, with_types)
-
-
-def piece_boundaries(pieces: Column | str, marker: str = WORD_MARKER):
-    """Per piece: does a whitespace token start here / end here."""
-    p = _col(pieces)
-    is_first = F.transform(p, lambda x, i: (i == 0) | x["word"].startswith(marker))
-    is_last = let({"p": p}, lambda v: F.transform(
-        v["p"], lambda x, i: (i == F.size(v["p"]) - 1) | F.get(v["p"], i + 1)["word"].startswith(marker)))
-    return is_first, is_last
-
-
-def accepted_spans(spans: Column | str, starts_token: Column, ends_token: Column) -> Column:
+    def merge(rows: pa.Array) -> pa.Array:
+        flat, cuts = laid_out(rows)
+        s = find_spans(flat, cuts, outside)
+        at = row_starts(cuts)[s.first]
+        return stacked(records(type=s.type, start=s.start, end=s.end, first=ints(s.first - at), last=ints(s.last - at)), s.cuts)
+
+    def spans(rows: pa.Array) -> pa.Array:
+        return in_slices(merge, rows)
+
+    return F.arrow_udf(spans, f"array<{SPAN_TYPE}>")(_col(items))
+
+
+def piece_boundaries(pieces: pa.Array, cuts: np.ndarray, marker: str = WORD_MARKER) -> tuple[np.ndarray, np.ndarray]:
+    """Per flat piece: does a whitespace token start here / end here."""
+    marked = flags(pc.starts_with(fields(pieces, "word")[0], marker))
+    starts, ends = marked.copy(), np.append(marked[1:], False)
+    filled = np.flatnonzero(np.diff(cuts))
+    starts[cuts[filled]] = True
+    ends[cuts[filled + 1] - 1] = True
+    return starts, ends
+
+
+def accepted_spans(s: Spans, starts_token: np.ndarray, ends_token: np.ndarray) -> Spans:
     """Keep spans that sit on token boundaries and drop a span contained in
     the one just before it (W4).
 
-    ``starts_token`` / ``ends_token`` are boolean arrays over the items the
-    spans index. The containment test looks at the previous span, aligned
+    ``starts_token`` / ``ends_token`` tell of each item whether a token starts or ends there.
+    The containment test looks at the previous span, aligned
     or not, but only once some span has been accepted; before that nothing
-    is compared. Result: ``array<struct<type, start, end>>``."""
-    def contained(cur: Column, prev: Column) -> Column:
-        return ((cur["start"] >= prev["start"]) & (cur["start"] < prev["end"])
-                & (cur["end"] - 1 >= prev["start"]) & (cur["end"] - 1 < prev["end"]))
-
-    def flag(a: Column) -> Column:
-        flagged = F.transform(a["sp"], lambda s: s.withField(
-            "aligned", F.coalesce(F.get(a["b"], s["first"]) & F.get(a["e"], s["last"]), F.lit(False))))
-        return let({"f": flagged}, choose)
-
-    def choose(v: Column) -> Column:
-        flagged = v["f"]
-        ok_idx = F.filter(F.transform(flagged, lambda s, k: F.when(s["aligned"], k)), lambda k: k.isNotNull())
-        first_ok = F.coalesce(F.get(ok_idx, 0), F.lit(-1))
-        keep = F.filter(
-            F.transform(flagged, lambda s, k: s.withField(
-                "keep", s["aligned"] & ((k == first_ok) | ~contained(s, F.get(flagged, k - 1))))),
-            lambda s: s["keep"],
-        )
-        return F.transform(keep, lambda s: F.struct(s["type"].alias("type"), s["start"].alias("start"),
-                                                     s["end"].alias("end")))
-
-    return let({"sp": _col(spans), "b": starts_token, "e": ends_token}, flag)
+    is compared."""
+    aligned = starts_token[s.first] & ends_token[s.last]
+    row = np.repeat(np.arange(len(s.cuts) - 1), np.diff(s.cuts))
+    ok = np.flatnonzero(aligned)
+    free = np.zeros(len(row), bool)
+    free[ok[np.diff(row[ok], prepend=-1) != 0]] = True  # the row's first aligned span
+    before = pa.array(np.arange(len(row)) - 1, mask=np.diff(row, prepend=-1) != 0)
+    low, high, end = s.start.take(before), s.end.take(before), pc.subtract(s.end, 1)
+    contained = pc.and_kleene(pc.and_kleene(pc.greater_equal(s.start, low), pc.less(s.start, high)),
+                              pc.and_kleene(pc.greater_equal(end, low), pc.less(end, high)))
+    keep = np.flatnonzero(aligned & (free | flags(pc.invert(contained))))
+    some = pa.array(keep)
+    return Spans(s.type.take(some), s.start.take(some), s.end.take(some), s.first[keep], s.last[keep], np.searchsorted(keep, s.cuts))
 
 
 def spans_from_pieces(pieces: Column | str, marker: str = WORD_MARKER) -> Column:
-    """Predicted sentence to accepted entity spans (X2 without the model)."""
-    def body(v: Column) -> Column:
-        is_first, is_last = piece_boundaries(v["p"], marker)
-        return accepted_spans(entity_spans(v["p"]), is_first, is_last)
+    """Predicted sentence to accepted entity spans (X2 without the model): ``array<struct<type, start, end>>``."""
+    def accept(rows: pa.Array) -> pa.Array:
+        flat, cuts = laid_out(rows)
+        s = accepted_spans(find_spans(flat, cuts), *piece_boundaries(flat, cuts, marker))
+        return stacked(records(type=s.type, start=s.start, end=s.end), s.cuts)
+
+    def spans(rows: pa.Array) -> pa.Array:
+        return in_slices(accept, rows)
 
-    return let({"p": _col(pieces)}, body)
+    return F.arrow_udf(spans, "array<struct<type:string,start:int,end:int>>")(_col(pieces))
 
 
-OFFSET_BLOCK = 128
+def joined_offsets(lengths: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Start of each flat token in its row's text, the tokens joined by single spaces (C17)."""
+    run = np.concatenate([[0], np.cumsum(lengths + 1, dtype=np.int64)])
+    return run[:-1] - run[row_starts(cuts)]
 
 
 def token_offsets(tokens: Column | str) -> Column:
     """``struct(start, end)`` of each token in the single-space joined
-    sentence (C17). Tokens are summed in blocks, and each block starts at the
-    sum of the blocks before it, so a text of n tokens takes about
-    64 n + (n / 128)^2 / 2 additions and no array is grown token by token."""
-    def add(a: Column, x: Column) -> Column:
-        return a + x
-
-    def blocks(v: Column) -> Column:
-        n = F.size(v["w"])
-        cut = F.transform(indices(F.ceil(n / OFFSET_BLOCK).cast("int")), lambda b: F.slice(v["w"], b * OFFSET_BLOCK + 1, OFFSET_BLOCK))
-        return let({"b": cut}, lambda c: let(
-            {"b": c["b"], "s": F.transform(c["b"], lambda x: F.aggregate(x, F.lit(0), add))}, spread_out))
-
-    def spread_out(c: Column) -> Column:
-        def one(x: Column, k: Column) -> Column:
-            return let({"x": x, "at": F.aggregate(F.slice(c["s"], 1, k), F.lit(0), add)}, lambda y: F.transform(y["x"], lambda width, i: let(
-                {"start": y["at"] + F.aggregate(F.slice(y["x"], 1, i), F.lit(0), add)},
-                lambda z: F.struct(z["start"].alias("start"), (z["start"] + width - 1).alias("end")))))
-
-        return F.flatten(F.transform(c["b"], one))
-
-    return let({"w": F.transform(_col(tokens), lambda t: F.length(t) + 1)}, blocks)
+    sentence (C17), by one running sum over the tokens' lengths. What follows a null token has no place."""
+    def place(rows: pa.Array) -> pa.Array:
+        words, cuts = laid_out(rows)
+        lengths = pc.fill_null(pc.utf8_length(words), 0).to_numpy(zero_copy_only=False)
+        start = joined_offsets(lengths, cuts)
+        missing = np.concatenate([[0], np.cumsum(pc.is_null(words).to_numpy(zero_copy_only=False))])
+        at = missing[row_starts(cuts)]
+        return stacked(records(start=ints(start, missing[:-1] > at), end=ints(start + lengths, missing[1:] > at)), cuts)
+
+    def offsets(rows: pa.Array) -> pa.Array:
+        return in_slices(place, rows)
+
+    return F.arrow_udf(offsets, "array<struct<start:int,end:int>>")(_col(tokens))
