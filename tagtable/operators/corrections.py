@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tagtable.functions.arrays import computed_once, let
 from tagtable.functions.labels import label_id, label_name
-from tagtable.sources.lines import file_lines, line_runs
+from tagtable.sources.lines import evenly_parted, file_lines, line_runs, record_runs
 
 BLOCK_SEP = "\n\n"
 BLANK = r"^[ \t]*$"
@@ -57,12 +57,19 @@ def read_correction_blocks(spark: SparkSession, paths: str | list[str]) -> DataF
 
     Files are read as lines, with LF, CRLF or both as line ends, so one large file is read by as many tasks as it
     has splits. A block is a run of lines between blank ones and may lie across a split's border; blocks are put together where
-    their lines are read, and only those at borders are shuffled (``line_runs``). ``seq`` orders blocks for the
+    their lines are read, and only those at borders are shuffled (``line_runs``). Files with LF and one empty line between blocks, as
+    ``write_review_blocks`` makes them, are read a block a record (``record_runs``). ``seq`` orders blocks for the
     last-one-wins rule: by the file's place in ``paths``, then by its path (the files of one folder), then by the place in the file."""
-    line = F.col("line")
-    plain = (line >= "!") & (line < "\x7f")  # begins with an ASCII character that is no white space
-    blank = F.when(line == "", True).when(plain, False).otherwise(line.rlike(BLANK))
-    blocks = line_runs(file_lines(spark, paths), blank, "block")
+    def blank(line: Column) -> Column:
+        plain = (line >= "!") & (line < "\x7f")  # begins with an ASCII character that is no white space
+        return F.when(line == "", True).when(plain, False).otherwise(line.rlike(BLANK))
+
+    every = dict(enumerate([paths] if isinstance(paths, str) else paths))
+    even = evenly_parted(spark, every, blank)
+    rest = {nth: path for nth, path in every.items() if nth not in even}
+    found = [record_runs(spark, even, "block")] if even else []
+    found += [line_runs(file_lines(spark, rest), blank(F.col("line")), "block")] if rest else []
+    blocks = found[0].unionByName(found[1]) if len(found) > 1 else found[0]
     return blocks.select("block", F.struct("nth", "file", "start", "place").alias("seq"))
 
 
@@ -96,28 +103,30 @@ def _last_word(line: Column) -> Column:
     return F.nullif(F.when(_odd_end(line), F.regexp_extract(line, r"(\S+)\s*$", 1)).otherwise(plain), F.lit(""))
 
 
+def _last_number(line: Column, kind: str) -> Column:
+    """Last word of a line as a number. What follows the last space is that word where it is a number as it is written."""
+    plain = F.substring_index(line, " ", -1)
+    return F.when(plain.try_cast(kind).cast("string") == plain, plain.try_cast(kind)).otherwise(_last_word(line).try_cast(kind))
+
+
 def parse_corrections(blocks: DataFrame, block: str = "block") -> DataFrame:
     """Fields of each block: ``id``, ``token_index``, ``new_tag`` and a
     ``status``: 'ok', 'unfilled' (nothing after '--', a reject), 'bad'
     (unknown label or unparsable numbers, a reject). Blank blocks are skipped
     (quirk Q12)."""
-    def fields(v: Column) -> Column:
-        lines = v["l"]
-        return let({"name": F.trim(F.substring_index(F.get(lines, F.size(lines) - 1), "--", -1)),
-                    "rid": _last_word(F.get(lines, 1)).try_cast("bigint"), "idx": _last_word(F.get(lines, 2)).try_cast("int")}, tagged)
-
-    def tagged(v: Column) -> Column:
-        return let({"name": v["name"], "rid": v["rid"], "idx": v["idx"], "tag": label_id(v["name"])}, checked)
-
-    def checked(v: Column) -> Column:
-        status = (F.when(v["name"] == "", "unfilled")
-                  .when(v["rid"].isNull() | v["idx"].isNull() | v["tag"].isNull(), "bad").otherwise("ok"))
-        return F.struct(v["rid"].alias("id"), v["idx"].alias("token_index"), v["tag"].alias("new_tag"),
-                        v["name"].alias("new_label"), status.alias("status"))
-
-    # Null for a blank block; computed once, or each of the five columns (and a filter on one) would parse the block again.
-    parsed = F.transform(F.array(_stripped(F.col(block))), lambda b: F.when(b != "", let({"l": F.split(b, "\n")}, fields)))
-    return blocks.withColumn("_p", computed_once(F.get(parsed, 0))).filter(F.col("_p").isNotNull()).select("*", "_p.*").drop("_p")
+    # Steps of their own, each computed once: plain expressions that are compiled, where functions over arrays would be interpreted.
+    b, name = F.col("_b"), F.col("new_label")
+    text = blocks.withColumn("_b", computed_once(_stripped(F.col(block)))).filter(F.col("_b") != "")
+    two = F.substring_index(b, "\n", 2)  # the first two lines; all of the block where it has no more
+    second = F.when(F.contains(b, F.lit("\n")), F.substring_index(two, "\n", -1))
+    third = F.when(F.octet_length(two) < F.octet_length(b), F.substring_index(F.substring_index(b, "\n", 3), "\n", -1))
+    found = text.withColumns({
+        "id": computed_once(_last_number(second, "bigint")), "token_index": computed_once(_last_number(third, "int")),
+        "new_label": computed_once(F.trim(F.substring_index(F.substring_index(b, "\n", -1), "--", -1)))}).drop("_b")
+    tagged = found.withColumn("new_tag", computed_once(label_id(name)))
+    status = (F.when(name == "", "unfilled")
+              .when(F.col("id").isNull() | F.col("token_index").isNull() | F.col("new_tag").isNull(), "bad").otherwise("ok"))
+    return tagged.select(*blocks.columns, "id", "token_index", "new_tag", "new_label", status.alias("status"))
 
 
 def apply_corrections(df: DataFrame, corrections: DataFrame, key: str = "id", tags: str = "fixed_tags",

@@ -4,20 +4,26 @@ number a split, the sum over the file's earlier splits."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SPLIT = ("nth", "file", "start")
 
 
-def file_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``nth`` (place in ``paths``), ``file``, ``start`` (the split's place in its file), ``row`` (orders the lines of a
+def _numbered(paths: str | list[str] | dict[int, str]) -> dict[int, str]:
+    return paths if isinstance(paths, dict) else dict(enumerate([paths] if isinstance(paths, str) else paths))
+
+
+def file_lines(spark: SparkSession, paths: str | list[str] | dict[int, str]) -> DataFrame:
+    """``nth`` (place in ``paths``, or key), ``file``, ``start`` (the split's place in its file), ``row`` (orders the lines of a
     split) and ``line``, with LF, CRLF or both as line ends."""
     parts = [spark.read.text(path).select(
         F.lit(nth).alias("nth"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("row"),
         F.when(F.contains("value", F.lit("\r")), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value")).alias("line"))
-        for nth, path in enumerate([paths] if isinstance(paths, str) else paths)]
+        for nth, path in _numbered(paths).items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -110,6 +116,36 @@ def line_runs(lines: DataFrame, apart: Column, out: str) -> DataFrame:
     return whole.unionByName(over)
 
 
+def _records(spark: SparkSession, nth: int, path: str) -> DataFrame:
+    return spark.read.option("lineSep", "\n\n").text(path).select(
+        F.lit(nth).alias("nth"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"), "value")
+
+
+def evenly_parted(spark: SparkSession, paths: str | list[str] | dict[int, str], apart: Callable[[Column], Column]) -> dict[int, str]:
+    """Those of the paths whose files have LF line ends only, and between runs of lines one empty line and no other for which ``apart``
+    holds: their runs are what the text reader finds between two line ends. Lines are looked at first, so that no file
+    without two line ends in a row but with other blank lines is read as one record."""
+    def any_of(df: DataFrame, odd: Column) -> bool:
+        return df.agg(F.coalesce(F.bool_or(odd), F.lit(False))).first()[0]
+
+    line, value = F.col("value"), F.col("value")
+    other = F.contains(line, F.lit("\r")) | ((line != "") & apart(line))
+    return {nth: path for nth, path in _numbered(paths).items() if not any_of(spark.read.option("lineSep", "\n").text(path), other)
+            # a record is empty or begins with a line end where there are three line ends or more, or two at the file's start
+            and not any_of(_records(spark, nth, path), (value == "") | value.startswith("\n"))}
+
+
+def record_runs(spark: SparkSession, paths: dict[int, str], out: str) -> DataFrame:
+    """What ``line_runs`` gives for ``evenly_parted`` files: each run is one record of the text reader, which reads records
+    over the borders of splits, so no line is a row and nothing is shuffled."""
+    parts = [_records(spark, nth, path).select(*SPLIT, "place", F.rtrim("value", F.lit("\n")).alias(out)) for nth, path in paths.items()]
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p)
+    return every.filter(F.col(out) != "")
+
+
 def csv_records(spark: SparkSession, paths: str | list[str], schema: str, header: bool = True) -> DataFrame:
     """CSV with quoted cells that may hold line ends, in files that are read by many tasks (S1). A line starts a record
     if the quotes before it in its file are even in number; its records are parsed by position. ``_corrupt`` holds the text of a
