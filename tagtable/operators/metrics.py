@@ -8,12 +8,17 @@ exchange, however the tokens are skewed."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtable.constants import LABELS, NUM_LABELS
-from tagtable.functions.arrays import computed_once, indices, let
+from tagtable.functions.arrays import let
+from tagtable.functions.flat import flags, in_slices, ints, laid_out, records, stacked
 from tagtable.operators.positions import chunk_max, chunked
 from tagtable.session import cut_lineage
 
@@ -271,41 +276,113 @@ def entity_metrics(df: DataFrame, gold_names: str, pred_names: str,
     return _scores(per_row.agg(*[F.sum(c).alias(c) for c in ("n_gold", "n_pred", "n_tp", "n_tok", "n_eq")]))
 
 
-def _marks(tags: Column, table: Column, first: Column) -> Column:
-    """Chunk ends of a sentence inside a corpus read as one sequence, each sentence followed by one outside label:
-    ``struct<ends: array<struct<i, type, begin>>, last>``. ``begin`` is the last start before the end, null where this
-    sentence has none; ``last`` is the sentence's last start. ``first`` marks the corpus' first sentence, whose
-    first label follows nothing."""
-    outside = F.struct(F.lit("O").alias("p"), F.lit("_").alias("t"))
-    nothing = F.struct(F.lit("O").alias("p"), F.lit("").alias("t"))
+_NOTHING, _OUTSIDE, _UNKNOWN = NUM_LABELS, NUM_LABELS + 1, NUM_LABELS + 2  # codes after the labels': before a corpus, between sentences, other tags
 
-    def at_place(at: Column, i: Column, start_of_corpus: Column) -> Column:
-        """Whether a chunk starts or ends at place i, and the type of the label before."""
-        def both(v: Column) -> Column:
-            prev, cur = v["prev"], v["cur"]
-            other = prev["t"] != cur["t"]
-            end = prev["p"].isin("E", "S") | (prev["p"].isin("B", "I") & cur["p"].isin("B", "S", "O")) | (~prev["p"].isin("O", ".") & other)
-            start = cur["p"].isin("B", "S") | (prev["p"].isin("E", "S", "O") & cur["p"].isin("E", "I")) | (~cur["p"].isin("O", ".") & other)
-            return F.struct(i.alias("i"), start.alias("s"), end.alias("e"), prev["t"].alias("t"))
 
-        before = F.when(i > 0, F.get(at, i - 1)).when(start_of_corpus, nothing).otherwise(outside)
-        return let({"prev": before, "cur": F.coalesce(F.get(at, i), outside)}, both)
+_NULL = -(1 << 62)
 
-    def ends(v: Column) -> Column:
-        # A chunk can end without another starting only before an outside label, after which no chunk ends before one
-        # starts or an unstarted one ends with a start: of two marks in a row at least one is a start.
-        m = v["m"]
-        found = F.transform(m, lambda x, k: F.when(x["e"], F.struct(x["i"].alias("i"), x["t"].alias("type"), F.coalesce(
-            F.when(F.get(m, k - 1)["s"], F.get(m, k - 1)["i"]), F.when(F.get(m, k - 2)["s"], F.get(m, k - 2)["i"])).alias("begin"))))
-        return F.struct(F.filter(found, lambda x: x.isNotNull()).alias("ends"),
-                        F.array_max(F.transform(F.filter(m, lambda x: x["s"]), lambda x: x["i"])).alias("last"))
 
-    def marks(v: Column) -> Column:
-        every = F.transform(F.sequence(F.lit(0), F.size(v["at"])), lambda i: at_place(v["at"], i, v["f"]))
-        return let({"m": F.filter(every, lambda x: x["s"] | x["e"])}, ends)
-
-    known = F.transform(tags, lambda t: F.struct(F.get(table, t)["p"].alias("p"), F.get(table, t)["t"].alias("t")))
-    return let({"at": known, "f": first}, marks)
+def _mark_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """For each code of the label before and of the label at a place: whether a chunk starts, and whether one ends there; the number of
+    each code's type, and the types. An unknown tag starts and ends nothing by itself."""
+    def etype(name: str) -> str:
+        return name[1:].split("-", 1)[-1] or "_"
+
+    known = [(n[:1], etype(n)) for n in LABELS] + [("O", ""), ("O", "_")]
+    types = sorted({t for _, t in known})
+    start, end = np.zeros((2, _UNKNOWN + 1, _UNKNOWN + 1), bool)
+    for a, (pp, pt) in enumerate(known):
+        for b, (cp, ct) in enumerate(known):
+            end[a, b] = pp in "ES" or (pp in "BI" and cp in "BSO") or (pp not in "O." and pt != ct)
+            start[a, b] = cp in "BS" or (pp in "ESO" and cp in "EI") or (cp not in "O." and pt != ct)
+    for a, (pp, _) in enumerate(known):
+        end[a, _UNKNOWN] = pp in "ES"
+    for b, (cp, _) in enumerate(known):
+        start[_UNKNOWN, b] = cp in "BS"
+    return start, end, np.array([types.index(t) for _, t in known] + [-1]), types
+
+
+class _Marks(NamedTuple):
+    """Chunk ends of a side, end to end: the row, the place in it, the number of the type and the last start before it (-1 where
+    the sentence has none); for each row its last start (-1 without)."""
+
+    row: np.ndarray
+    at: np.ndarray
+    type: np.ndarray
+    begin: np.ndarray
+    last: np.ndarray
+
+
+def _marks(tags: np.ndarray, cuts: np.ndarray, first: np.ndarray) -> _Marks:
+    """The marks of sentences inside a corpus read as one sequence, each sentence followed by one outside label. ``tags`` are codes;
+    ``first`` marks the corpus' first sentence, whose first label follows nothing."""
+    start, end, type_of, _ = _mark_tables()
+    n = len(cuts) - 1
+    base = cuts + np.arange(n + 1)  # a sentence has a place after its last label
+    row = np.repeat(np.arange(n), np.diff(base))
+    own = np.arange(len(tags)) + np.repeat(np.arange(n), np.diff(cuts))
+    cur = np.full(base[-1], _OUTSIDE)
+    cur[own] = tags
+    prev = np.full(base[-1], _OUTSIDE)
+    prev[own + 1] = tags
+    prev[base[:-1]] = np.where(first, _NOTHING, _OUTSIDE)
+    # A chunk can end without another starting only before an outside label, after which no chunk ends before one
+    # starts or an unstarted one ends with a start: of two marks in a row at least one is a start.
+    found = np.flatnonzero(start[prev, cur] | end[prev, cur])
+    r, at = row[found], found - base[row[found]]
+    starts, ends = start[prev, cur][found], end[prev, cur][found]
+    begin = np.full(len(found), -1)
+    for back in (2, 1):  # the nearer one last
+        ok = np.zeros(len(found), bool)
+        ok[back:] = (r[back:] == r[:-back]) & starts[:-back]
+        begin[ok] = at[np.flatnonzero(ok) - back]
+    last = np.full(n, -1)
+    last[r[starts]] = at[starts]  # in order: the last one stays
+    return _Marks(r[ends], at[ends], type_of[prev[found]][ends], begin[ends], last)
+
+
+_SIDE = "struct<ends:array<struct<i:int,type:string,begin:int>>,last:int>"
+_FLAT = f"struct<n_gold:int,n_pred:int,n_tp:int,n_tok:int,n_eq:int,g:{_SIDE},p:{_SIDE}>"
+
+
+def _flat_rows(gold: pa.Array, pred: pa.Array, first: pa.Array) -> pa.Array:
+    """What one sentence tells of a corpus read as one sequence: its numbers, the chunks whose begin it knows compared, and of each side the
+    ends of the others (all ends of the first sentence, whose begin can be that of the corpus) and the last start."""
+    is_first = flags(first)
+    flat, marks, codes = {}, {}, {}
+    for side, rows in (("g", gold), ("p", pred)):
+        values, cuts = laid_out(rows)
+        tag = pc.fill_null(values.cast(pa.int64()), _NULL).to_numpy(zero_copy_only=False)
+        flat[side], codes[side] = tag, cuts
+        marks[side] = _marks(np.where((tag >= 0) & (tag < NUM_LABELS), tag, _UNKNOWN), cuts, is_first)
+    g, p = marks["g"], marks["p"]
+    n = len(is_first)
+    sizes = {side: np.diff(cuts) for side, cuts in codes.items()}
+    places = np.concatenate([[0], np.cumsum(np.maximum(sizes["g"], sizes["p"]) + 1)])
+
+    def laid(m: _Marks, values: np.ndarray, fill: int) -> np.ndarray:
+        out = np.full(places[-1], fill)
+        keep = (m.begin >= 0) & ~is_first[m.row]
+        out[places[m.row[keep]] + m.at[keep]] = values[keep]
+        return out
+
+    same = (laid(g, g.type, -1) == laid(p, p.type, -2)) & (laid(g, g.begin, -1) == laid(p, p.begin, -2))
+    row_of = np.repeat(np.arange(n), np.diff(places))
+    both = np.minimum(sizes["g"], sizes["p"])
+    at = np.arange(both.sum()) - np.repeat(np.cumsum(both) - both, both)
+    which = np.repeat(np.arange(n), both)
+    left, right = flat["g"][codes["g"][which] + at], flat["p"][codes["p"][which] + at]
+    _, _, _, types = _mark_tables()
+
+    def side(m: _Marks, rows: pa.Array) -> pa.Array:
+        keep = np.flatnonzero((m.begin < 0) | is_first[m.row])
+        ends = records(i=ints(m.at[keep]), type=pa.array(types).take(pa.array(m.type[keep])), begin=ints(m.begin[keep], m.begin[keep] < 0))
+        return records(ends=stacked(ends, np.searchsorted(m.row[keep], np.arange(n + 1)), rows), last=ints(m.last, m.last < 0))
+
+    missing = {"g": pc.is_null(gold).to_numpy(zero_copy_only=False), "p": pc.is_null(pred).to_numpy(zero_copy_only=False)}
+    return records(n_gold=ints(np.bincount(g.row, minlength=n), missing["g"]), n_pred=ints(np.bincount(p.row, minlength=n), missing["p"]),
+                   n_tp=ints(np.bincount(row_of[same], minlength=n)), n_tok=ints(sizes["g"], missing["g"]),
+                   n_eq=ints(np.bincount(which[(left == right) & (left != _NULL)], minlength=n), missing["g"] | missing["p"]), g=side(g, gold), p=side(p, pred))
 
 
 def flat_entity_counts(df: DataFrame, gold: str, pred: str, order: str = "id") -> DataFrame:
@@ -313,17 +390,16 @@ def flat_entity_counts(df: DataFrame, gold: str, pred: str, order: str = "id") -
     ``order`` (unique): a chunk that a sentence's end does not close goes on, and one that nothing starts has the place of the
     last start before it, in whichever sentence.
 
-    All but the open chunk is decided inside the sentence row. What crosses sentences is one place, the last start so far:
+    All but the open chunk is decided inside the sentence row, for all rows of a batch together. What crosses sentences is one place, the last start so far:
     a running maximum over the sentences' last starts, taken in chunks of the order (see ``positions``). Only sentences
-    with a chunk that began earlier are joined with it; no token array is shuffled but theirs."""
-    table = label_attributes()
+    with a chunk that began earlier are joined with it, with those chunks only; no token array is shuffled."""
+    def count(first: pa.Array, pred_rows: pa.Array, gold_rows: pa.Array) -> pa.Array:
+        return in_slices(lambda f, p, g: _flat_rows(g, p, f), first, pred_rows, gold_rows)
+
     lowest = df.agg(F.min(order)).first()[0]
-    first = F.col(order) == F.lit(lowest)
-    sides = df.select(F.col(order).alias("_o"), F.col(gold).alias("_g"), F.col(pred).alias("_p"),
-                      computed_once(_marks(F.col(gold), table, first)).alias("g"), computed_once(_marks(F.col(pred), table, first)).alias("p"))
-    numbers = [F.size("_g").alias("n_tok"), F.size(F.filter(F.arrays_zip(F.col("_g").alias("a"), F.col("_p").alias("b")),
-                                                             lambda z: z["a"] == z["b"])).alias("n_eq")]
-    rows = cut_lineage(sides.select("_o", "g", "p", *numbers))
+    first = F.coalesce(F.col(order) == F.lit(lowest), F.lit(False))
+    marked = df.select(F.col(order).alias("_o"), F.arrow_udf(count, _FLAT)(first, F.col(pred), F.col(gold)).alias("m"))
+    rows = cut_lineage(marked.select("_o", "m.*"))
     place = lambda side: F.when(F.col(f"{side}.last").isNotNull(), F.struct(F.col("_o").alias("o"), F.col(f"{side}.last").alias("i")))
     narrow = chunked(rows.select("_o", place("g").alias("_gl"), place("p").alias("_pl")), "_o")
     carried = chunk_max(chunk_max(narrow, "_gl", [F.col("_o")], "_gc", inclusive=False), "_pl", [F.col("_o")], "_pc", inclusive=False)
@@ -339,8 +415,7 @@ def flat_entity_counts(df: DataFrame, gold: str, pred: str, order: str = "id") -
             return F.to_json(F.struct(x["i"].alias("end"), x["type"].alias("type"), F.coalesce(own, F.col(f"_{side}c"), begin_of_all).alias("begin")))
         return F.transform(f"{side}.ends", key)
 
-    counts = every.select(F.size("g.ends").alias("n_gold"), F.size("p.ends").alias("n_pred"),
-                          F.size(F.array_intersect(keys("g"), keys("p"))).alias("n_tp"), "n_tok", "n_eq")
+    counts = every.select("n_gold", "n_pred", (F.col("n_tp") + F.size(F.array_intersect(keys("g"), keys("p")))).alias("n_tp"), "n_tok", "n_eq")
     return counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts.columns])
 
 

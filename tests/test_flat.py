@@ -105,3 +105,22 @@ def test_pieces_of_a_document_never_leave_the_worker_that_finds_its_spans(spark)
 
     plan = document_spans_query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "spans(batch(" in plan
+
+
+def test_flat_rows_with_unknown_tags_nulls_and_other_lengths(spark):
+    from tagtable.operators import metrics as M
+
+    rows = [(0, [3, 4], [3, 4]), (1, [None, 3, -100, 20], [None, 3, -100, 21, 0]), (2, None, [1]), (3, [], [])]
+    df = spark.createDataFrame(rows, "id long, g array<int>, p array<int>")
+    r = M.flat_entity_counts(df, "g", "p").first()
+    # a chunk ends at the end of sentence 0; the start of sentence 1 is at its second place, and the tag after it ends nothing
+    assert (r.n_gold, r.n_pred, r.n_tp, r.n_tok, r.n_eq) == (1, 1, 1, 6, 4)  # a sentence without gold tags counts nothing
+
+
+def test_sentences_are_annotated_once_for_both_corpora(spark, monkeypatch):
+    from tagtable.plans import queries as Q
+
+    kept = []
+    monkeypatch.setattr(Q, "stored", lambda df, name: kept.append(name) or df)
+    Q.entity_metrics_flat_query(spark, "/root/testdata/sf0.001")
+    assert kept == ["annotated"]
