@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagtable.constants import LABELS, NUM_LABELS
-from tagtable.functions.arrays import let
+from tagtable.functions.arrays import computed_once, let
 from tagtable.functions.flat import flags, in_slices, ints, laid_out, records, stacked
 from tagtable.operators.positions import chunk_max, chunked
 from tagtable.session import cut_lineage
@@ -398,8 +398,9 @@ def flat_entity_counts(df: DataFrame, gold: str, pred: str, order: str = "id") -
 
     lowest = df.agg(F.min(order)).first()[0]
     first = F.coalesce(F.col(order) == F.lit(lowest), F.lit(False))
-    marked = df.select(F.col(order).alias("_o"), F.arrow_udf(count, _FLAT)(first, F.col(pred), F.col(gold)).alias("m"))
-    rows = cut_lineage(marked.select("_o", "m.*"))
+    # Plain columns go to the worker: what makes them is a projection of its own, which is not merged with this one.
+    sides = df.select(F.col(order).alias("_o"), first.alias("_f"), computed_once(F.col(pred)).alias("_p"), computed_once(F.col(gold)).alias("_g"))
+    rows = cut_lineage(sides.select("_o", F.arrow_udf(count, _FLAT)("_f", "_p", "_g").alias("m")).select("_o", "m.*"))
     place = lambda side: F.when(F.col(f"{side}.last").isNotNull(), F.struct(F.col("_o").alias("o"), F.col(f"{side}.last").alias("i")))
     narrow = chunked(rows.select("_o", place("g").alias("_gl"), place("p").alias("_pl")), "_o")
     carried = chunk_max(chunk_max(narrow, "_gl", [F.col("_o")], "_gc", inclusive=False), "_pl", [F.col("_o")], "_pc", inclusive=False)
