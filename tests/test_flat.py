@@ -124,3 +124,23 @@ def test_sentences_are_annotated_once_for_both_corpora(spark, monkeypatch):
     monkeypatch.setattr(Q, "stored", lambda df, name: kept.append(name) or df)
     Q.entity_metrics_flat_query(spark, "/root/testdata/sf0.001")
     assert kept == ["annotated"]
+
+
+def test_batch_predictor_gives_the_pieces_of_the_plain_one(spark):
+    from tagtable.operators import tagger as T
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(rng.randrange(12))) for _ in range(300)] + [None, "", "  ", " a  b "]
+    df = spark.createDataFrame([(n - 50, t) for n, t in enumerate(texts)], "id long, text string").repartition(3)
+    got, want = (T.annotate(df, lambda f=f: f(shift=5), keep=["text"]) for f in (T.FixtureBatchPredictor, T.FixturePredictor))
+    assert got.exceptAll(want).count() == 0 and got.count() == len(texts)
+    tags = got.select("pieces", T.word_tags(words_from_pieces("pieces")).alias("t")).collect()
+    assert all(r.t == [LABELS.index(w[0]) for w in plain_words(tuples(r.pieces))] for r in tags)
+
+
+def test_word_tags_of_unknown_names_are_null(spark):
+    from tagtable.operators import tagger as T
+
+    df = spark.createDataFrame([([("B-Date", "a", 0, 1, 0, 1), ("x", "b", 2, 3, 1, 1), (None, "c", 4, 5, 2, 1)],), (None,), ([],)],
+                               "w array<struct<entity:string,word:string,start:int,end:int,first_piece:int,n_pieces:int>>")
+    assert [r.t for r in df.select(T.word_tags("w").alias("t")).collect()] == [[7, None, None], None, []]
