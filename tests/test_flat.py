@@ -144,3 +144,10 @@ def test_word_tags_of_unknown_names_are_null(spark):
     df = spark.createDataFrame([([("B-Date", "a", 0, 1, 0, 1), ("x", "b", 2, 3, 1, 1), (None, "c", 4, 5, 2, 1)],), (None,), ([],)],
                                "w array<struct<entity:string,word:string,start:int,end:int,first_piece:int,n_pieces:int>>")
     assert [r.t for r in df.select(T.word_tags("w").alias("t")).collect()] == [[7, None, None], None, []]
+
+
+def test_pieces_and_words_of_a_document_are_one_arrow_step(spark):
+    from tagtable.plans.queries import document_words_query
+
+    plan = document_words_query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("words(batch(") == 1
