@@ -151,3 +151,20 @@ def test_pieces_and_words_of_a_document_are_one_arrow_step(spark):
 
     plan = document_words_query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and plan.count("words(batch(") == 1
+
+
+def test_documents_go_to_the_workers_in_small_batches(spark):
+    from tagtable.plans.queries import document_words_query
+    from tagtable.session import ARROW_BATCH_BYTES, small_arrow_batches
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64m")
+        document_words_query(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(key) in (str(ARROW_BATCH_BYTES), f"{ARROW_BATCH_BYTES}b")
+        spark.conf.set(key, "1m")
+        small_arrow_batches(spark)
+        assert spark.conf.get(key) in ("1m", f"{1 << 20}b")
+    finally:
+        spark.conf.set(key, before)
